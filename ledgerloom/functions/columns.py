@@ -193,7 +193,7 @@ def clean_key(c: Column) -> Column:
 
 def split_keys(text: Column) -> Column:
     """Comma list to array: trimmed, blanks dropped, a missing list is empty."""
-    parts = F.transform(F.split(F.coalesce(clean_key(text), F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(clean_key(text), F.lit("")), ","), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p != "")
 
 

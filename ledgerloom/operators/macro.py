@@ -38,7 +38,7 @@ def parse_symbol_specs(specs: DataFrame, text: str = "spec") -> DataFrame:
     a text without any usable part yields the default symbols. The primary keeps rank 0.
     """
     part = F.split(F.coalesce(F.col(text), F.lit("")), ",")
-    usable = F.filter(F.transform(part, F.trim), lambda p: F.contains(p, F.lit(":")))
+    usable = F.filter(F.transform(part, lambda p: F.trim(p)), lambda p: F.contains(p, F.lit(":")))
 
     def indicator(p: Column) -> Column:
         return F.trim(F.substring_index(p, ":", 1))
@@ -48,7 +48,7 @@ def parse_symbol_specs(specs: DataFrame, text: str = "spec") -> DataFrame:
         bar = F.instr(body, "|")
         primary = F.when(bar > 0, F.substr(body, F.lit(1), bar - 1)).otherwise(F.trim(body))
         tail = F.when(bar > 0, F.substr(body, bar + 1)).otherwise("")
-        fallbacks = F.filter(F.transform(F.split(tail, ";"), F.trim), lambda s: s != "")
+        fallbacks = F.filter(F.transform(F.split(tail, ";"), lambda s: F.trim(s)), lambda s: s != "")
         return F.concat(F.array(primary), fallbacks)
 
     # map_concat with LAST_WIN would need a session setting; keep the last position by hand.

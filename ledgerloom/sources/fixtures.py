@@ -227,7 +227,7 @@ def regression_lifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sectors = account_sectors(spark, sf_dir).select(
         account_name(F.col("account_id")).alias("name"), "sector"
     )
-    note = F.concat(F.lit("n=1;reg="), F.format_string("%.2f", F.col("share")))
+    note = F.concat(F.lit("n=1;reg="), (F.floor(F.col("share") * 100) / 100.0).cast("string"))
     return pairs.join(sectors, "name").select(
         *lf.PAIR_KEYS, "sector", "rmse_lift_pct",
         F.when(F.col("share") > 0.2, note).otherwise("n/a").alias("notes"),
@@ -262,3 +262,52 @@ def sector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sector", "cv_bucket", (F.col("_t") > 0.3).alias("use_externals_regression"),
         (F.col("_t") <= 0.3).alias("use_externals_classification"),
     )
+
+
+def customer_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short panels: a customer's orders per week (at most a few dozen rows each)."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("account_id"), F.col("o_orderdate").alias("op_ts"),
+        F.col("o_totalprice").alias("amount"),
+        element(SECTORS, F.col("o_custkey")).alias("sector"),
+    )
+    panel = wk.weekly_cashflow(o)
+    return panel.withColumn("account_id", F.format_string("C_%06d", F.col("account_id")))
+
+
+def demo_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy of two thirds of the accounts, with every form of flag, model name and key list."""
+    k = F.col("s_suppkey")
+    models = F.array(F.lit("Random_Forest "), F.lit("ridge"), F.lit("lgbm"), F.lit(None))
+    keys = F.array(
+        F.lit("oil_price_z,is_ramadan"), F.lit(""), F.lit("masi_index_z, bogus ,is_payroll_week"),
+    )
+    return table(spark, sf_dir, "supplier").where(k % 3 != 0).select(
+        account_name(k).alias("account_id"),
+        (k % 2 == 0).alias("use_externals_regression"),
+        (k % 4 == 0).alias("use_externals_classification"),
+        F.element_at(models, (k % 4 + 1).cast("int")).alias("regression_model"),
+        F.element_at(keys, (F.floor(k / 2) % 3 + 1).cast("int")).alias("externals_for_model"),
+    )
+
+
+def mapping(spark: SparkSession) -> DataFrame:
+    """Reference mapping with a losing duplicate and a catch-all row."""
+    from ledgerloom.operators.sectors import reference_mapping
+
+    extra = [
+        ("transport", "masi_index_z", "oil_price_z", False, 9),
+        ("*", "oil_price_z", "oil_price_z", False, 50),
+    ]
+    base = reference_mapping(spark)
+    return base.unionByName(spark.createDataFrame(extra, base.schema))
+
+
+def messy_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with sectors in mixed case and padding."""
+    named = account_sectors(spark, sf_dir)
+    text = F.when(F.col("account_id") % 2 == 0, F.concat(F.lit(" "), F.upper("sector"), F.lit(" ")))
+    return named.select(
+        account_name(F.col("account_id")).alias("account_id"),
+        F.coalesce(text, F.col("sector")).alias("sector"),
+    )
