@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import calendar_parts, harmonics, monday
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.schemas import CALENDAR, CALENDAR_FLAGS
 
 # Published holiday dates. An entry is (flag, first day, last day); Eid spans the
@@ -24,7 +25,7 @@ HOLIDAY_PERIODS = (
 
 def holiday_days(spark: SparkSession, periods: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Periods unfolded to (day, flag): a range join becomes an equi join on the day."""
-    frame = spark.createDataFrame(list(periods), "flag string, first string, last string")
+    frame = literal_table(spark, periods, "flag string, first string, last string")
     span = F.sequence(F.to_date("first"), F.to_date("last"))
     return frame.select(F.explode(span).alias("day"), "flag").distinct()
 

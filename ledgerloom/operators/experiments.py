@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import columns as C
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators.matrix import external_lags, lag_columns, series_index
 from ledgerloom.operators.models import fit_boosted
 from ledgerloom.operators.tsmetrics import indexed
@@ -176,7 +177,7 @@ def select_by_importance(
     weights = fit_boosted(rows, "x", rounds).featureImportances.toArray()
     total = dict(zip(names, weights))
     out = [(k, float(total[f"{k}_t"] + total[f"{k}_t1"])) for k in externals]
-    return panel.sparkSession.createDataFrame(out, "external string, importance double").withColumn(
+    return literal_table(panel.sparkSession, out, "external string, importance double").withColumn(
         "keep", F.col("importance") >= threshold
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import exact_median
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators.policy import builtin_policy, sector_rule
 
 PAIR_KEYS = ["name", "condition", "model_name"]
@@ -65,7 +66,7 @@ def source_pairs(results: DataFrame, pairs: DataFrame | None = None) -> DataFram
     spark = results.sparkSession
     if pairs is None:
         pairs = paired(results)
-    sources = spark.createDataFrame(list(CATEGORY_SOURCES), _SOURCE_SCHEMA)
+    sources = literal_table(spark, CATEGORY_SOURCES, _SOURCE_SCHEMA)
 
     def labelled(kind: str, frame: DataFrame, column: str) -> DataFrame:
         # Eight literal rows at most.
@@ -133,7 +134,7 @@ def derive_policy(results: DataFrame, min_lift_pct: float = 3.0) -> DataFrame:
     )
     found = F.col("champion_model").isNotNull()
     return (
-        spark.createDataFrame(list(CATEGORY_SOURCES), _SOURCE_SCHEMA)
+        literal_table(spark, CATEGORY_SOURCES, _SOURCE_SCHEMA)
         .join(decided, "account_category", "left")
         .join(fallback, "account_category", "left")
         .select(

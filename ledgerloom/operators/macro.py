@@ -72,43 +72,40 @@ def parse_symbol_specs(specs: DataFrame, text: str = "spec") -> DataFrame:
     return specs.select(*keep, F.inline(rows))
 
 
+def _best_rank(candidates: DataFrame) -> DataFrame:
+    """Rows of the least rank of each indicator; a window holds one indicator's calendar."""
+    least = F.min("rank").over(Window.partitionBy("indicator"))
+    return candidates.withColumn("_least", least).where(F.col("rank") == F.col("_least"))
+
+
 def pick_symbol(
     symbols: DataFrame, daily: DataFrame, stale: DataFrame | None = None
 ) -> DataFrame:
     """Daily values of the best-ranked symbol that has any, per indicator, with a source label.
 
     ``stale`` holds older copies (symbol, day, value): they serve an indicator none of whose symbols
-    has fresh data, and only under its primary symbol.
+    has fresh data, and only under its primary symbol. The symbol list is configuration (a few rows).
     """
-    live = daily.where(F.col("value").isNotNull())
-    found = live.select("symbol").distinct()
-
-    def best(candidates: DataFrame) -> DataFrame:
-        return candidates.groupBy("indicator").agg(
-            F.min("rank").alias("rank"), F.min_by("symbol", "rank").alias("symbol")
-        )
-
-    chosen = best(symbols.join(found, "symbol", "left_semi")).withColumn(
-        "source",
-        F.when(F.col("rank") == 0, "yahoo").otherwise(
-            F.concat(F.lit("yahoo_fallback:"), F.col("symbol"))
-        ),
+    listed = F.broadcast(symbols.select("indicator", "rank", "symbol"))
+    label = F.when(F.col("rank") == 0, "yahoo").otherwise(
+        F.concat(F.lit("yahoo_fallback:"), F.col("symbol"))
     )
-    out = live.join(F.broadcast(chosen.drop("rank")), "symbol")
+    has_value = F.col("value").isNotNull()
+    rows = daily.where(has_value).join(listed, "symbol").withColumn("source", label)
     if stale is not None:
-        primary = symbols.where(F.col("rank") == 0).join(chosen, "indicator", "left_anti")
-        kept = stale.where(F.col("value").isNotNull()).join(
-            F.broadcast(primary.select("indicator", "symbol")), "symbol"
-        )
-        out = out.unionByName(kept.withColumn("source", F.lit("cache_stale")))
-    return out.select("indicator", "symbol", "source", "day", "value")
+        primary = F.broadcast(symbols.where(F.col("rank") == 0).select("indicator", "symbol"))
+        last_resort = stale.where(has_value).join(primary, "symbol").withColumns({
+            "rank": F.lit(2**31 - 1), "source": F.lit("cache_stale"),
+        })
+        rows = rows.unionByName(last_resort)
+    return _best_rank(rows).select("indicator", "symbol", "source", "day", "value")
 
 
-def weekly_last(daily: DataFrame) -> DataFrame:
-    """Last non-null value of each Monday week per indicator."""
+def weekly_last(daily: DataFrame, *labels: str) -> DataFrame:
+    """Last non-null value of each Monday week per indicator (and constant label columns)."""
     return (
         daily.where(F.col("value").isNotNull())
-        .groupBy("indicator", monday(F.col("day")).alias("week"))
+        .groupBy("indicator", *labels, monday(F.col("day")).alias("week"))
         .agg(F.max_by("value", "day").alias("raw_value"))
     )
 
@@ -176,16 +173,14 @@ def pick_feed(
     wanted = substitute.where(F.col("indicator").isin(*indicators))
     if mode != "scraped":
         return wanted.select("indicator", "week", "raw_value", F.lit("synthetic_full").alias("source"))
-    label = picked.select(
-        "indicator", F.concat_ws(":", "source", "symbol").alias("source")
-    ).distinct()
-    fresh = weekly_last(picked).join(F.broadcast(label), "indicator")
-    filler = wanted.join(F.broadcast(label), "indicator", "left_anti").withColumn(
-        "source", F.lit("synthetic_fallback")
-    )
-    return fresh.select("indicator", "week", "raw_value", "source").unionByName(
-        filler.select("indicator", "week", "raw_value", "source")
+    tagged = picked.withColumn("_source", F.concat_ws(":", "source", "symbol"))
+    fresh = weekly_last(tagged, "_source").withColumnRenamed("_source", "source")
+    both = fresh.withColumn("rank", F.lit(0)).unionByName(
+        wanted.select("indicator", "week", "raw_value").withColumns({
+            "source": F.lit("synthetic_fallback"), "rank": F.lit(1),
+        })
     )
+    return _best_rank(both).select("indicator", "week", "raw_value", "source")
 
 
 def feed_report(feed: DataFrame) -> DataFrame:

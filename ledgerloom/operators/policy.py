@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import keep_one
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators.quality import with_category
 from ledgerloom.schemas import CATEGORY_POLICY, require_columns
 
@@ -39,7 +40,9 @@ POLICY_COLUMNS = METRIC_COLUMNS + (
 
 
 def builtin_policy(spark) -> DataFrame:
-    return spark.createDataFrame(list(BUILTIN_POLICY), CATEGORY_POLICY)
+    return literal_table(
+        spark, BUILTIN_POLICY, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CATEGORY_POLICY)
+    )
 
 
 def load_category_policy(table: DataFrame, order: str | None = None) -> DataFrame:

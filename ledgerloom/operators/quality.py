@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.operators.tsmetrics import ts_metrics, valid_metrics
-from ledgerloom.operators.weekly import account_stats, eligible_accounts, weekly_cashflow
+from ledgerloom.operators.tsmetrics import account_metrics, valid_metrics
+from ledgerloom.operators.weekly import weekly_cashflow
 
 
 @dataclass(frozen=True)
@@ -69,9 +69,7 @@ def quality_accounts(
     weekly: DataFrame, cuts: QualityCuts = QualityCuts(), min_obs: int = 24
 ) -> DataFrame:
     """Weekly panel to the accounts fit for modelling, with metrics and scores."""
-    eligible = eligible_accounts(account_stats(weekly), min_obs)
-    metrics = valid_metrics(ts_metrics(weekly, eligible))
-    return quality_filter(quality_scores(merge_metrics(eligible, metrics)), cuts)
+    return quality_filter(quality_scores(valid_metrics(account_metrics(weekly, min_obs))), cuts)
 
 
 def quality_pipeline(
@@ -79,8 +77,8 @@ def quality_pipeline(
 ) -> tuple[DataFrame, DataFrame]:
     """Transactions to (weekly panel, quality accounts).
 
-    The panel feeds two outputs and two branches of the second. Write it once and pass the re-read
-    table to ``quality_accounts`` when both are wanted at scale.
+    The panel feeds both outputs. Where both are stored, write it once and pass the re-read table to
+    ``quality_accounts``, or the transactions are scanned twice.
     """
     weekly = weekly_cashflow(transactions)
     return weekly, quality_accounts(weekly, cuts, min_obs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import keep_one
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.schemas import CALENDAR_KEYS, require_columns
 
 ANY_SECTOR = "*"
@@ -24,8 +25,8 @@ MAPPING_COLUMNS = ("sector", "macro_primary", "macro_secondary", "include_calend
 
 
 def reference_mapping(spark) -> DataFrame:
-    return spark.createDataFrame(
-        list(SECTOR_MAPPING),
+    return literal_table(
+        spark, SECTOR_MAPPING,
         "sector string, macro_primary string, macro_secondary string,"
         " include_calendar boolean, priority int",
     )

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import ratio, safe_corr_from_moments
-from ledgerloom.operators.weekly import account_window, restrict_to
+from ledgerloom.schemas import QUALITY, TS_METRICS
+from ledgerloom.operators.weekly import (
+    account_window, eligible_accounts, restrict_to, stats_aggregates, with_ratios,
+)
 
 SEASON = 52
 MIN_ACF_ROWS = 8
@@ -60,7 +63,10 @@ def _lagged_rows(weekly: DataFrame) -> DataFrame:
 
 
 def _moments(weekly: DataFrame) -> DataFrame:
-    """One row per account with every moment-based metric and the ordered series."""
+    """One row per account: statistics, every moment-based metric, the ordered series.
+
+    Columns that a caller does not use are pruned, with the windows behind them.
+    """
     x, m = F.col("total_amount"), F.col("_mean")
     spread = F.sum((x - m) * (x - m))
     paired = F.when(F.col("_xs").isNotNull(), x)
@@ -69,6 +75,7 @@ def _moments(weekly: DataFrame) -> DataFrame:
         _lagged_rows(weekly)
         .groupBy("account_id")
         .agg(
+            *stats_aggregates(),
             F.max("n").alias("n"),
             F.max("n_missing").alias("n_missing"),
             ratio(F.sum((x - m) * (F.col("_x1") - m)), spread).alias("r1"),
@@ -203,18 +210,29 @@ def _adf_batch(series: pd.Series) -> pd.DataFrame:
     })
 
 
+def _with_adf(moments: DataFrame) -> DataFrame:
+    series = F.when(F.col("n_missing") == 0, F.col("series"))
+    return moments.withColumn("_adf", _adf_batch(series)).select(
+        "*", "_adf.adf_statistic", "_adf.adf_pvalue"
+    )
+
+
 def ts_metrics(weekly: DataFrame, eligible: DataFrame | None = None) -> DataFrame:
     """All metrics, one row per account; ``eligible`` restricts the panel first."""
     panel = weekly if eligible is None else restrict_to(weekly, eligible)
-    return (
-        _moments(panel)
-        .withColumns(_metric_columns())
-        .withColumn("_adf", _adf_batch(F.when(F.col("n_missing") == 0, F.col("series"))))
-        .select(
-            "account_id", "_adf.adf_statistic", "_adf.adf_pvalue", "acf_lag1", "acf_lag2",
-            "pacf_lag1", "trend_strength", "seasonality_strength",
-        )
-    )
+    return _with_adf(_moments(panel).withColumns(_metric_columns())).select(*TS_METRICS.fieldNames())
+
+
+def account_metrics(weekly: DataFrame, min_obs: int = 24, adf: bool = True) -> DataFrame:
+    """Statistics and metrics of the eligible accounts from one pass over the panel.
+
+    Equals eligibility, the semi join of the panel, the metrics and the join of both, but the panel
+    is read and shuffled by account once; the costly unit-root test sees eligible accounts only.
+    """
+    eligible = eligible_accounts(with_ratios(_moments(weekly).withColumns(_metric_columns())), min_obs)
+    tested = _with_adf(eligible) if adf else eligible
+    names = [n for n in QUALITY.fieldNames() if n in tested.columns]
+    return tested.select(*names)
 
 
 def ts_adf(weekly: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import monday, ratio
@@ -51,10 +51,10 @@ def trailing_mean(weekly: DataFrame, rows: int = 4) -> DataFrame:
     return weekly.withColumn("total_amount", F.avg("total_amount").over(frame))
 
 
-def account_stats(weekly: DataFrame) -> DataFrame:
-    """One row per account: length, turnover, dispersion, completeness; sector of the first week."""
+def stats_aggregates() -> list[Column]:
+    """Aggregates of one account's weekly rows; the sector is that of the first week."""
     x = F.col("total_amount")
-    stats = weekly.groupBy("account_id").agg(
+    return [
         F.count(x).alias("n_obs"),
         F.sum("transaction_count").alias("total_transactions"),
         F.sum(F.abs(x)).alias("total_cashflow"),
@@ -62,13 +62,21 @@ def account_stats(weekly: DataFrame) -> DataFrame:
         F.stddev_samp(x).alias("std_cashflow"),
         F.sum((x != 0).cast("double")).alias("non_zero_periods"),
         F.min_by("sector", F.struct(*PANEL_ORDER)).alias("sector"),
-    )
+    ]
+
+
+def with_ratios(stats: DataFrame) -> DataFrame:
     return stats.withColumns({
         "completeness_ratio": ratio(F.col("non_zero_periods"), F.col("n_obs")),
         "cv_cashflow": ratio(F.col("std_cashflow"), F.col("mean_cashflow")),
     })
 
 
+def account_stats(weekly: DataFrame) -> DataFrame:
+    """One row per account: length, turnover, dispersion, completeness, sector."""
+    return with_ratios(weekly.groupBy("account_id").agg(*stats_aggregates()))
+
+
 def eligible_accounts(stats: DataFrame, min_obs: int = 24, min_std: float = 1e-8) -> DataFrame:
     return stats.where((F.col("n_obs") >= min_obs) & (F.col("std_cashflow") >= min_std))
 

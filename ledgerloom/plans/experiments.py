@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators import experiments as ex
 from ledgerloom.operators import lift as lf
 from ledgerloom.operators import sectors as sec
@@ -172,8 +173,8 @@ register(
 
 def _with_categories(spark, sf):
     rows = summary(spark, sf)
-    spec = spark.createDataFrame(
-        [(r[4], r[0]) for r in lf.CATEGORY_SOURCES if r[3] == "condition"],
+    spec = literal_table(
+        spark, [(r[4], r[0]) for r in lf.CATEGORY_SOURCES if r[3] == "condition"],
         "condition string, account_category string")
     return rows.join(F.broadcast(spec), "condition")
 
@@ -238,11 +239,12 @@ register("degrade_d_noisy30", lambda s, d: ex.degrade_externals(ml_features(s, d
     *KEYS, *S.MACRO_KEYS))
 register(
     "structural_break",
-    lambda s, d: ex.level_shift(fx.weekly_smooth(s, d)).select(*KEYS, "idx", "total_amount"),
-    with_ctes(f"""SELECT account_id, week, sector, CAST(i AS INTEGER) AS idx,
-      CASE WHEN i >= 70 THEN total_amount + 0.3 * m ELSE total_amount END AS total_amount FROM (
+    lambda s, d: ex.level_shift(fx.weekly_smooth(s, d).withColumn("x", F.col("total_amount"))).select(
+        *KEYS, "idx", "x", (F.col("total_amount") - F.col("x")).alias("added")),
+    with_ctes(f"""SELECT account_id, week, sector, CAST(i AS INTEGER) AS idx, total_amount AS x,
+      CASE WHEN i >= 70 THEN 0.3 * m ELSE 0.0 END AS added FROM (
         SELECT *, row_number() OVER ({ACCOUNT}) - 1 AS i, avg(total_amount) OVER (PARTITION BY account_id) AS m FROM smooth)"""),
-    total_amount=3,
+    x=6, added=3,
 )
 _NEXT = {a: b for a, b in zip(fx.SECTORS[:6], fx.SECTORS[1:6] + fx.SECTORS[:1])}
 register(

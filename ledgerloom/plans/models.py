@@ -10,7 +10,6 @@ from ledgerloom.operators import features as feat
 from ledgerloom.operators import matrix as mx
 from ledgerloom.operators import metrics as met
 from ledgerloom.operators import models as mo
-from ledgerloom.operators import quality as q
 from ledgerloom.operators import scoring as sc
 from ledgerloom.operators import tsmetrics as ts
 from ledgerloom.operators import weekly as wk
@@ -31,15 +30,15 @@ _KEPT = {
 
 def kept_accounts(smooth: DataFrame) -> DataFrame:
     """Accounts chosen by moments only, so that plain SQL can choose the same ones."""
-    stats = wk.eligible_accounts(wk.account_stats(smooth))
-    return q.merge_metrics(stats, ts.ts_acf(smooth)).where(
+    return ts.account_metrics(smooth, adf=False).where(
         (F.col("acf_lag1") > 0.70) & (F.col("completeness_ratio") > 0.60)
         & F.col("cv_cashflow").between(0.20, 2.00)
     )
 
 
 def feature_table(spark, sf) -> DataFrame:
-    panel = fx.weekly(spark, sf)
+    """The panel is stored first, as two branches read it: the transactions are scanned once."""
+    panel = io.written(fx.weekly(spark, sf), "weekly")
     return feat.feature_table(
         panel, kept_accounts(wk.trailing_mean(panel, 4)), fx.calendar(spark, sf), fx.macro(spark, sf)
     )
@@ -71,7 +70,7 @@ register(
 
 def ml_features(spark, sf) -> DataFrame:
     """Smoothed panel of all accounts with its externals."""
-    panel = fx.weekly_smooth(spark, sf)
+    panel = io.written(fx.weekly_smooth(spark, sf), "weekly-smooth")
     return feat.feature_table(panel, panel, fx.calendar(spark, sf), fx.macro(spark, sf))
 
 
@@ -105,8 +104,10 @@ register(
     _window("b1 AS back_1, b2 AS back_2, b3 AS back_3, b4 AS back_4"),
     back_1=6, back_2=6, back_3=6, back_4=6,
 )
-register("ml_roll", lambda s, d: mx.lag_moments(fx.weekly_smooth(s, d)).select(*KEYS, "roll_mean", "roll_std"),
-         _window("rm AS roll_mean, rs AS roll_std"), roll_mean=5, roll_std=3)
+register("ml_roll", lambda s, d: mx.lag_moments(fx.weekly_smooth(s, d)).select(
+             *KEYS, "roll_mean", F.log1p("roll_std").alias("log_std")),
+         # Half the difference of two exact amounts is often an exact rounding tie; its logarithm is not.
+         _window("rm AS roll_mean, ln(1 + rs) AS log_std"), roll_mean=8, log_std=9)
 register("series_index", lambda s, d: mx.series_index(fx.weekly_smooth(s, d)).select(*KEYS, "t", "phase"),
          _window("CAST(t AS INTEGER) AS t, CAST(t % 52 AS INTEGER) AS phase"))
 register(
@@ -174,7 +175,7 @@ register(
       cos(2 * pi() * (t % 52) / 52) AS x8, {_tail_sql('use_reg', False)} AS tail_reg,
       {_tail_sql('use_clf', False)} AS tail_clf, CAST(26 AS INTEGER) AS n_pooled
       FROM labelled AS l LEFT JOIN policy_raw AS p ON p.account_id = l.account_id WHERE t >= 4""", **_X),
-    y=6, x1=6, x2=6, x3=6, x4=6, x5=5, x6=3, x7=9, x8=9, tail_reg=6, tail_clf=6,
+    y=6, x1=6, x2=6, x3=6, x4=6, x5=8, x6=3, x7=9, x8=9, tail_reg=6, tail_clf=6,
 )
 
 # --- folds and metrics ------------------------------------------------------------------------------------
@@ -213,7 +214,7 @@ _FOLDS = {
           UNION ALL SELECT account_id, said, 0, 1, 0 FROM labels WHERE t >= 5)
       GROUP BY account_id, cls""",
 }
-_ERR_DIGITS = dict(rmse=3, mae=3, mape=5, r2=6)
+_ERR_DIGITS = dict(rmse=3, mae=9, mape=5, r2=6)
 register(
     "walk_forward_folds",
     lambda s, d: mx.walk_forward_folds(short_matrix(s, d)).select("account_id", "pos", "fold", "role"),

@@ -160,7 +160,7 @@ def stats_sql(panel: str) -> str:
 
 
 STATS_DIGITS = dict(
-    total_cashflow=2, mean_cashflow=3, std_cashflow=3, non_zero_periods=1, completeness_ratio=6,
+    total_cashflow=6, mean_cashflow=3, std_cashflow=3, non_zero_periods=1, completeness_ratio=6,
     cv_cashflow=6,
 )
 ELIGIBLE = f"SELECT * FROM ({stats_sql('short')}) WHERE n_obs >= 24 AND std_cashflow >= 1e-8"

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import cv_bucket
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators import calendar as cal
 from ledgerloom.operators import lift as lf
 from ledgerloom.operators import macro as mac
 from ledgerloom.operators import weekly as wk
+from ledgerloom.sources.io import written
 
 SECTORS = (
     "agriculture", "transport", "investment", "construction", "mixed", "retail", "energy",
@@ -48,8 +51,15 @@ SYMBOLS = (
 SUBSTITUTE = "3-MEDIUM"
 
 
+_known_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its footer is read for the schema once per path, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
 def element(names: tuple[str, ...], index: Column) -> Column:
@@ -153,20 +163,22 @@ def daily_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def symbols(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SYMBOLS), "indicator string, rank int, symbol string")
+    return literal_table(spark, SYMBOLS, "indicator string, rank int, symbol string")
 
 
-def substitute_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def substitute_weekly(feeds: DataFrame) -> DataFrame:
     """Weekly substitute values for every indicator (one series, listed under each name)."""
-    base = daily_feeds(spark, sf_dir).where(F.col("symbol") == SUBSTITUTE)
+    base = feeds.where(F.col("symbol") == SUBSTITUTE)
     one = mac.weekly_last(base.select(F.lit("_").alias("indicator"), "day", "value"))
     names = F.array(*(F.lit(i) for i in mac.MACRO_KEYS))
     return one.select(F.explode(names).alias("indicator"), "week", "raw_value")
 
 
 def macro_feed(spark: SparkSession, sf_dir: str, mode: str = "scraped") -> DataFrame:
-    picked = mac.pick_symbol(symbols(spark), daily_feeds(spark, sf_dir))
-    return mac.pick_feed(picked, substitute_feed(spark, sf_dir), mode=mode)
+    """Weekly feed per indicator; the daily values are stored first, as both sources read them."""
+    feeds = written(daily_feeds(spark, sf_dir), "daily-feeds")
+    picked = mac.pick_symbol(symbols(spark), feeds)
+    return mac.pick_feed(picked, substitute_weekly(feeds), mode=mode)
 
 
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +312,8 @@ def mapping(spark: SparkSession) -> DataFrame:
         ("*", "oil_price_z", "oil_price_z", False, 50),
     ]
     base = reference_mapping(spark)
-    return base.unionByName(spark.createDataFrame(extra, base.schema))
+    columns = ", ".join(f"{name} {kind}" for name, kind in base.dtypes)
+    return base.unionByName(literal_table(spark, extra, columns))
 
 
 def messy_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
