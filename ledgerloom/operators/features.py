@@ -46,9 +46,9 @@ def rolling_features(panel: DataFrame) -> DataFrame:
 
 
 def feature_table(
-    weekly: DataFrame, accounts: DataFrame, calendar: DataFrame, macro: DataFrame
+    weekly: DataFrame, accounts: DataFrame | None, calendar: DataFrame, macro: DataFrame
 ) -> DataFrame:
-    """Feature table of the accounts kept: one shuffle by account, then two broadcast joins."""
-    kept = seasonal_features(restrict_to(weekly, accounts))
+    """Feature table of the accounts kept (None: all): one shuffle by account, two broadcast joins."""
+    kept = seasonal_features(weekly if accounts is None else restrict_to(weekly, accounts))
     joined = macro_lag_join(calendar_join(rolling_features(kept).drop(*_HELPERS), calendar), macro)
     return joined.select(*FEATURES.fieldNames())

@@ -54,28 +54,34 @@ def direction_labels(panel: DataFrame, threshold: float = 0.05) -> DataFrame:
     return panel.withColumn("label", label)
 
 
-def policy_to_series(panel: DataFrame, policy: DataFrame) -> DataFrame:
-    """Attach the policy to the panel rows; an account without one gets no externals, default model."""
-    listed = "externals_for_model" in policy.columns
-    keys = F.col("externals_for_model") if listed else F.lit(None).cast("array<string>")
-    if listed and dict(policy.dtypes)["externals_for_model"] == "string":
-        keys = C.split_keys(keys)
-    rules = policy.select(
-        "account_id",
-        F.col("use_externals_regression").alias("_reg"),
-        F.col("use_externals_classification").alias("_clf"),
-        F.col("regression_model").alias("_model"),
-        keys.alias("_keys"),
-    )
-    return panel.join(rules, "account_id", "left").select(
-        *panel.columns,
-        F.coalesce("_reg", F.lit(False)).alias("use_externals_regression"),
-        F.coalesce("_clf", F.lit(False)).alias("use_externals_classification"),
-        C.model_key(F.col("_model")).alias("regression_model"),
-        F.coalesce("_keys", F.array().cast("array<string>")).alias("external_keys"),
+def account_rules(policy: DataFrame) -> DataFrame:
+    """Per-account flags, model key and external list of a policy (text lists are split)."""
+    keys = F.lit(None).cast("array<string>")
+    if "externals_for_model" in policy.columns:
+        keys = F.col("externals_for_model")
+        if dict(policy.dtypes)["externals_for_model"] == "string":
+            keys = C.split_keys(keys)
+    return policy.select(
+        "account_id", "use_externals_regression", "use_externals_classification",
+        "regression_model", keys.alias("external_keys"),
     )
 
 
+def _defaults() -> dict[str, Column]:
+    """What an account without a policy row gets: no externals, the default model."""
+    return {
+        "use_externals_regression": F.coalesce("use_externals_regression", F.lit(False)),
+        "use_externals_classification": F.coalesce("use_externals_classification", F.lit(False)),
+        "regression_model": C.model_key(F.col("regression_model")),
+        "external_keys": F.coalesce("external_keys", F.array().cast("array<string>")),
+    }
+
+
+def policy_to_series(panel: DataFrame, policy: DataFrame) -> DataFrame:
+    """Attach the policy to the panel rows."""
+    return panel.join(account_rules(policy), "account_id", "left").withColumns(_defaults())
+
+
 def model_route(policy: DataFrame) -> DataFrame:
     """Model key as recorded, and the trainer family that serves it."""
     key = C.model_key(F.col("regression_model"))
@@ -84,12 +90,34 @@ def model_route(policy: DataFrame) -> DataFrame:
     )
 
 
-def _allowed(use: Column, externals) -> Column:
-    """The account's externals in list order; an empty list means every external there is."""
+def _positions(use: Column, externals) -> Column:
+    """Where the account's externals stand in the array of all (now, row before) pairs.
+
+    They come in list order; unknown keys are skipped, and an empty list means every external.
+    """
     known = F.array(*(F.lit(k) for k in externals))
-    named = F.filter(F.col("external_keys"), lambda k: F.array_contains(known, k))
-    chosen = F.when(F.size("external_keys") == 0, known).otherwise(named)
-    return F.when(use, chosen).otherwise(F.array().cast("array<string>"))
+    every = F.array(*(F.lit(i) for i in range(2 * len(externals))))
+    named = F.flatten(F.transform(
+        F.filter("external_keys", lambda k: F.array_contains(known, k)),
+        lambda k: F.transform(
+            F.array(F.lit(2), F.lit(1)),
+            lambda back: (F.array_position(known, k) * 2 - back).cast("int"),
+        ),
+    ))
+    chosen = F.when(F.size("external_keys") == 0, every).otherwise(named)
+    return F.when(use, chosen).otherwise(F.array().cast("array<int>"))
+
+
+def external_rules(policy: DataFrame, externals) -> DataFrame:
+    """One row per account: feature modes and positions, worked out before the panel join."""
+    def mode(flag: Column) -> Column:
+        return F.when(flag, "with_externals").otherwise("baseline")
+
+    reg, clf = F.col("use_externals_regression"), F.col("use_externals_classification")
+    return account_rules(policy).withColumns(_defaults()).select(
+        "account_id", "regression_model", mode(reg).alias("mode_reg"), mode(clf).alias("mode_clf"),
+        _positions(reg, externals).alias("_reg"), _positions(clf, externals).alias("_clf"),
+    )
 
 
 def base_vector(n_lags: int = N_LAGS, period: int = 52) -> Column:
@@ -99,24 +127,10 @@ def base_vector(n_lags: int = N_LAGS, period: int = 52) -> Column:
     return F.array(*lags, F.col("roll_mean"), F.col("roll_std"), F.sin(angle), F.cos(angle))
 
 
-def external_vector(keys: Column, externals) -> Column:
-    """(now, one row earlier) of each key, in key order."""
-    if not externals:
-        return F.array().cast("array<double>")
-    lookup = F.map_from_arrays(
-        F.array(*(F.lit(k) for k in externals)),
-        F.array(*(F.array(F.col(f"{k}_t"), F.col(f"{k}_t1")) for k in externals)),
-    )
-    return F.flatten(F.transform(keys, lambda k: F.element_at(lookup, k)))
-
-
-def pooled_vector(keys: Column, externals) -> Column:
-    """All externals in fixed order, 0 where the account may not use one: equal width for all rows."""
-    parts = []
-    for k in externals:
-        on = F.array_contains(keys, k)
-        parts += [F.when(on, F.col(f"{k}_{lag}")).otherwise(0.0) for lag in ("t", "t1")]
-    return F.array(*parts) if parts else F.array().cast("array<double>")
+def external_pairs(externals) -> Column:
+    """(now, one row earlier) of every external, in fixed order."""
+    pairs = [F.col(f"{k}_{lag}") for k in externals for lag in ("t", "t1")]
+    return F.array(*pairs) if pairs else F.array().cast("array<double>")
 
 
 def ml_matrix(
@@ -125,30 +139,43 @@ def ml_matrix(
     """Rows (account_id, week, t, pos, n_rows, y, label, x_reg, x_clf, x_pooled) for t >= n_lags.
 
     ``x_reg`` and ``x_clf`` hold the base vector plus the externals the policy allows for the task;
-    ``x_pooled`` is ``x_reg`` at equal width for models over many accounts. One shuffle by account serves all windows and the policy join.
+    ``x_pooled`` is ``x_reg`` at equal width, 0 where the account may not use an external, for models
+    over many accounts. One shuffle by account serves all windows, and the policy joins on the same
+    partitioning after them, so that its arrays go through no sort.
     """
     externals = [k for k in EXTERNAL_KEYS if k in features.columns]
-    joined = policy_to_series(
-        features.select("account_id", "week", "sector", "total_amount", *externals), policy
-    )
+    panel = features.select("account_id", "week", "sector", "total_amount", *externals)
     wide = direction_labels(
-        external_lags(lag_moments(lag_columns(series_index(joined), n_lags), n_lags), externals),
+        external_lags(lag_moments(lag_columns(series_index(panel), n_lags), n_lags), externals),
         threshold,
     )
     n = F.count(F.lit(1)).over(Window.partitionBy("account_id"))
-    rows = wide.withColumn("n_rows", n - n_lags).where(F.col("t") >= n_lags)
-    reg, clf = F.col("use_externals_regression"), F.col("use_externals_classification")
-    return rows.select(
+    rows = wide.withColumn("n_rows", n - n_lags).where(F.col("t") >= n_lags).select(
         "account_id", "week", "t", (F.col("t") - n_lags).alias("pos"), "n_rows",
-        F.col("total_amount").alias("y"), "label", "regression_model",
-        F.when(reg, "with_externals").otherwise("baseline").alias("mode_reg"),
-        F.when(clf, "with_externals").otherwise("baseline").alias("mode_clf"),
-        F.concat(base_vector(n_lags), external_vector(_allowed(reg, externals), externals))
-        .alias("x_reg"),
-        F.concat(base_vector(n_lags), external_vector(_allowed(clf, externals), externals))
-        .alias("x_clf"),
-        F.concat(base_vector(n_lags), pooled_vector(_allowed(reg, externals), externals))
-        .alias("x_pooled"),
+        F.col("total_amount").alias("y"), "label",
+        base_vector(n_lags).alias("_base"), external_pairs(externals).alias("_pairs"),
+    )
+    none = F.array().cast("array<int>")
+    ruled = rows.join(external_rules(policy, externals), "account_id", "left").withColumns({
+        "regression_model": F.coalesce("regression_model", F.lit(C.DEFAULT_REGRESSION_MODEL)),
+        "mode_reg": F.coalesce("mode_reg", F.lit("baseline")),
+        "mode_clf": F.coalesce("mode_clf", F.lit("baseline")),
+        "_reg": F.coalesce("_reg", none),
+        "_clf": F.coalesce("_clf", none),
+    })
+
+    def chosen(positions: str) -> Column:
+        return F.transform(positions, lambda i: F.get("_pairs", i))
+
+    masked = F.transform(
+        "_pairs", lambda v, i: F.when(F.array_contains("_reg", i), v).otherwise(0.0)
+    )
+    return ruled.select(
+        "account_id", "week", "t", "pos", "n_rows", "y", "label", "regression_model",
+        "mode_reg", "mode_clf",
+        F.concat("_base", chosen("_reg")).alias("x_reg"),
+        F.concat("_base", chosen("_clf")).alias("x_clf"),
+        F.concat("_base", masked).alias("x_pooled"),
     )
 
 

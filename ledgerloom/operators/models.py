@@ -168,7 +168,7 @@ def _grouped(
 def fit_ridge(
     matrix: DataFrame, n_splits: int = 3, test_size: int = 4, min_train: int = 10, min_rows: int = 14
 ) -> DataFrame:
-    """Ridge coefficients per account and fold, the final fit as fold -1."""
+    """Ridge coefficients per account and fold, the final fit as fold -1 (alone with ``n_splits=0``)."""
 
     def fit(x, y):
         alpha, intercept, coef = ridge_fit(x, y.astype(float))

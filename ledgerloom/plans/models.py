@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
@@ -70,8 +70,8 @@ register(
 
 def ml_features(spark, sf) -> DataFrame:
     """Smoothed panel of all accounts with its externals."""
-    panel = io.written(fx.weekly_smooth(spark, sf), "weekly-smooth")
-    return feat.feature_table(panel, panel, fx.calendar(spark, sf), fx.macro(spark, sf))
+    panel = fx.weekly_smooth(spark, sf)
+    return feat.feature_table(panel, None, fx.calendar(spark, sf), fx.macro(spark, sf))
 
 
 _X = {
@@ -135,7 +135,7 @@ def matrix(spark, sf) -> DataFrame:
     return mx.ml_matrix(ml_features(spark, sf), fx.demo_policy(spark, sf))
 
 
-def _weighted_tail(x: str) -> F.Column:
+def _weighted_tail(x: str) -> Column:
     """Externals of a vector as one number that depends on their values and positions."""
     tail = F.slice(x, 9, F.greatest(F.size(x) - 8, F.lit(0)))
     return F.aggregate(
@@ -148,7 +148,6 @@ def _matrix_rows(spark, sf):
         F.size("x_reg").alias("n_reg"), F.size("x_clf").alias("n_clf"),
         *(F.element_at("x_reg", i).alias(f"x{i}") for i in range(1, 9)),
         _weighted_tail("x_reg").alias("tail_reg"), _weighted_tail("x_clf").alias("tail_clf"),
-        F.size("x_pooled").alias("n_pooled"),
     )
 
 
@@ -173,11 +172,27 @@ register(
       CAST({_tail_sql('use_reg', True)} AS INTEGER) AS n_reg, CAST({_tail_sql('use_clf', True)} AS INTEGER) AS n_clf,
       b4 AS x1, b3 AS x2, b2 AS x3, b1 AS x4, rm AS x5, rs AS x6, sin(2 * pi() * (t % 52) / 52) AS x7,
       cos(2 * pi() * (t % 52) / 52) AS x8, {_tail_sql('use_reg', False)} AS tail_reg,
-      {_tail_sql('use_clf', False)} AS tail_clf, CAST(26 AS INTEGER) AS n_pooled
+      {_tail_sql('use_clf', False)} AS tail_clf
       FROM labelled AS l LEFT JOIN policy_raw AS p ON p.account_id = l.account_id WHERE t >= 4""", **_X),
     y=6, x1=6, x2=6, x3=6, x4=6, x5=8, x6=3, x7=9, x8=9, tail_reg=6, tail_clf=6,
 )
 
+_POOLED_TAIL = " + ".join(
+    f"{2 * i + j + 1} * CASE WHEN use_reg AND keyset IN ({sets}) THEN {k}_{lag} ELSE 0.0 END"
+    for i, (k, sets) in enumerate(
+        (k, {"oil_price_z": "0, 1", "is_ramadan": "0, 1", "masi_index_z": "1, 2",
+             "is_payroll_week": "1, 2"}.get(k, "1")) for k in S.EXTERNAL_KEYS)
+    for j, lag in enumerate(("t", "t1"))
+)
+register(
+    "ml_matrix_pooled",
+    lambda s, d: matrix(s, d).select(
+        "account_id", "t", F.size("x_pooled").alias("n"), _weighted_tail("x_pooled").alias("tail")),
+    with_ctes(f"""SELECT l.account_id, CAST(t AS INTEGER) AS t, CAST(26 AS INTEGER) AS n, {_POOLED_TAIL} AS tail
+      FROM labelled AS l LEFT JOIN policy_raw AS p ON p.account_id = l.account_id WHERE t >= 4""", **_X),
+    tail=6,
+)
+
 # --- folds and metrics ------------------------------------------------------------------------------------
 
 
@@ -303,9 +318,8 @@ def _score(mode: str):
         features = io.written(ml_features(spark, sf), "features")
         policy = fx.demo_policy(spark, sf)
         rows = io.written(mx.ml_matrix(features, policy), "matrix")
-        final = F.col("fold") == mo.FINAL_FOLD
         return sc.batch_score(
-            features, policy, mo.fit_ridge(rows).where(final), mo.fit_logistic(rows).where(final),
+            features, policy, mo.fit_ridge(rows, n_splits=0), mo.fit_logistic(rows, n_splits=0),
             mode, fx.calendar(spark, sf), fx.macro(spark, sf),
         )
 
@@ -328,7 +342,7 @@ register("fit_ridge", lambda s, d: mo.fit_ridge(matrix(s, d)))
 register("fit_logistic", lambda s, d: mo.fit_logistic(matrix(s, d)))
 register("fit_forest", _pooled(mo.fit_forest, "rf"))
 register("fit_boosted", _pooled(mo.fit_boosted, "lgbm"))
-register("fit_final", lambda s, d: mo.fit_ridge(matrix(s, d)).where(F.col("fold") == mo.FINAL_FOLD))
+register("fit_final", lambda s, d: mo.fit_ridge(matrix(s, d), n_splits=0))
 register("evaluate", _evaluate)
 register("training_report", _report)
 register("model_store", _store)
