@@ -17,6 +17,9 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import model_family
+from ledgerloom.operators.matrix import walk_forward_folds
+
 FINAL_FOLD = -1
 RIDGE_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
 
@@ -260,3 +263,44 @@ def fit_boosted(
 
 def pooled_predictions(model, rows: DataFrame, x: str = "x_pooled") -> DataFrame:
     return model.transform(_vectors(rows, x)).drop("_features")
+
+
+POOLED_FITS = {"rf": fit_forest, "lgbm": fit_boosted}
+
+
+def routed(rows: DataFrame, family: str) -> DataFrame:
+    """Rows of the accounts whose policy names the family's model."""
+    return rows.where(model_family(F.col("regression_model")) == family)
+
+
+def pooled_fold_predictions(
+    matrix: DataFrame, family: str, n_splits: int = 3, test_size: int = 4, **parameters
+) -> DataFrame:
+    """Test rows of each fold scored by a model of all the family's training rows of that fold.
+
+    ``last_block`` rows (the newest test block scored by each fold's model) come with ``block`` =
+    'last', the fold's own test rows with 'test'. The matrix is read once per fold: pass a stored one.
+    """
+    folds = walk_forward_folds(routed(matrix, family), n_splits, test_size)
+    out = None
+    for fold in range(n_splits):
+        rows = folds.where(F.col("fold") == fold)
+        train = rows.where(F.col("role") == "train")
+        if train.isEmpty():  # no account has a history long enough for this fold or older ones
+            break
+        model = POOLED_FITS[family](train, **parameters)
+        newest = routed(matrix, family).where(F.col("pos") >= F.col("n_rows") - test_size)
+        eligible = rows.select("account_id").distinct()
+        scored = pooled_predictions(model, rows.where(F.col("role") == "test")).withColumn(
+            "block", F.lit("test")
+        ).unionByName(
+            pooled_predictions(model, newest.join(eligible, "account_id", "left_semi"))
+            .withColumns({"fold": F.lit(fold), "role": F.lit("test"), "block": F.lit("last")})
+        ).select("account_id", "fold", "pos", "y", "yhat", "block")
+        out = scored if out is None else out.unionByName(scored)
+    if out is None:
+        out = matrix.where("false").select(
+            "account_id", F.lit(0).alias("fold"), "pos", "y", F.lit(0.0).alias("yhat"),
+            F.lit("test").alias("block"),
+        )
+    return out.withColumn("model_name", F.lit(family))

@@ -71,15 +71,15 @@ def load_category_policy(table: DataFrame, order: str | None = None) -> DataFram
 def category_policy_join(categorised: DataFrame, table: DataFrame) -> DataFrame:
     """Policy row of the account's category; an unlisted category gets no externals and defaults.
 
-    ``table`` has one row per category (``load_category_policy``), and the category tree has eight
-    leaves, so the side is broadcast.
+    ``table`` has one row per category (``load_category_policy``). Spark broadcasts it by its measured
+    size, and beyond that splits the hot categories of the shuffled join (AQE).
     """
     rules = table.select(
         "account_category", F.col("activate_externals").alias("_on"),
         F.col("regression_model").alias("_model"), F.col("policy_rule_id").alias("_rule"),
     )
     use = F.coalesce("_on", F.lit(False))
-    return categorised.join(F.broadcast(rules), "account_category", "left").select(
+    return categorised.join(rules, "account_category", "left").select(
         *(c for c in categorised.columns),
         use.alias("use_externals_regression"),
         use.alias("use_externals_classification"),

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import CLASSIFICATION_MODEL
 from ledgerloom.functions.aggregates import keep_one
-from ledgerloom.operators.macro import macro_lag_join
+from ledgerloom.functions.columns import CLASSIFICATION_MODEL, model_family
 from ledgerloom.operators.calendar import calendar_join
-from ledgerloom.operators.matrix import ml_matrix
+from ledgerloom.operators.macro import macro_lag_join
+from ledgerloom.operators.matrix import ml_matrix, walk_forward_folds
 from ledgerloom.operators.metrics import clf_metrics, fold_mean, reg_metrics
 from ledgerloom.operators.models import (
-    FINAL_FOLD, class_prediction, fold_predictions, linear_prediction,
+    FINAL_FOLD, class_prediction, fold_predictions, linear_prediction, pooled_predictions, routed,
 )
 from ledgerloom.operators.weekly import latest_week
 from ledgerloom.schemas import CALENDAR_FLAGS, MACRO_KEYS
@@ -20,18 +20,31 @@ from ledgerloom.schemas import CALENDAR_FLAGS, MACRO_KEYS
 ACCOUNT_FOLD = ["account_id", "fold"]
 
 
-def evaluate_regression(folds: DataFrame, models: DataFrame) -> DataFrame:
-    """Fold means of RMSE, MAE, MAPE and R2 per account, plus ``mape_ref``.
+def ridge_predictions(folds: DataFrame, models: DataFrame) -> DataFrame:
+    """Ridge forecasts of each fold's test rows, and of the newest block by each fold's model."""
+    newest = folds.where(F.col("fold") == 0).drop("fold", "role")
+    own = fold_predictions(folds, models, "regression").withColumn("block", F.lit("test"))
+    last = fold_predictions(newest, models, "regression", last_block=True).withColumn(
+        "block", F.lit("last")
+    )
+    return own.unionByName(last).drop("label").withColumn("model_name", F.lit("ridge"))
+
+
+def evaluate_regression(predictions: DataFrame) -> DataFrame:
+    """Fold means of RMSE, MAE, MAPE and R2 per account and model, plus ``mape_ref``.
 
     ``mape_ref`` scores the newest block with the model of the oldest training window, as the
-    reference report does; that block lies partly outside the fold's own test rows.
+    reference report does; that block lies outside the fold's own test rows.
     """
-    per_fold = reg_metrics(fold_predictions(folds, models, "regression"), ACCOUNT_FOLD)
-    means = fold_mean(per_fold, ["account_id"], ["rmse", "mae", "mape", "r2"])
-    newest = folds.where(F.col("fold") == 0).drop("fold", "role")
-    last = reg_metrics(fold_predictions(newest, models, "regression", last_block=True), ACCOUNT_FOLD)
-    oldest = last.groupBy("account_id").agg(F.max_by("mape", "fold").alias("mape_ref"))
-    return means.join(oldest, "account_id", "left")
+    per_fold = reg_metrics(predictions, ["account_id", "model_name", "fold", "block"])
+    keys = ["account_id", "model_name"]
+    means = fold_mean(
+        per_fold.where(F.col("block") == "test"), keys, ["rmse", "mae", "mape", "r2"]
+    )
+    oldest = per_fold.where(F.col("block") == "last").groupBy(*keys).agg(
+        F.max_by("mape", "fold").alias("mape_ref")
+    )
+    return means.join(oldest, keys, "left")
 
 
 def evaluate_classification(folds: DataFrame, models: DataFrame) -> DataFrame:
@@ -40,24 +53,34 @@ def evaluate_classification(folds: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def training_report(
-    folds: DataFrame, ridge: DataFrame, logistic: DataFrame, run_stamp: str
+    matrix: DataFrame,
+    regression: DataFrame,
+    logistic: DataFrame,
+    run_stamp: str,
+    store: str | None = None,
+    n_splits: int = 3,
+    test_size: int = 4,
 ) -> DataFrame:
-    """One row per account and task that produced a final model and an evaluation."""
-    def final(models: DataFrame) -> DataFrame:
-        return models.where(F.col("fold") == FINAL_FOLD).select(
-            "account_id", F.col("mode").alias("feature_mode"), F.col("n_train")
-        )
+    """One row per account and task with its metrics, model name, run stamp and model reference.
 
-    stamp = F.lit(run_stamp).alias("run_stamp")
-    reg = evaluate_regression(folds, ridge).join(final(ridge), "account_id").select(
-        "account_id", F.lit("regression").alias("task"), "feature_mode",
-        F.lit("ridge").alias("model_name"), "rmse", "mae", "mape", "mape_ref", "r2",
-        "n_folds", "n_train", stamp,
+    ``regression`` holds the fold predictions of all families (``ridge_predictions``,
+    ``pooled_fold_predictions``), each for the accounts routed to it.
+    """
+    modes = matrix.groupBy("account_id").agg(
+        F.min("mode_reg").alias("mode_reg"), F.min("mode_clf").alias("mode_clf"),
+        F.max("n_rows").alias("n_train"),
     )
-    clf = evaluate_classification(folds, logistic).join(final(logistic), "account_id").select(
-        "account_id", F.lit("classification").alias("task"), "feature_mode",
-        F.lit(CLASSIFICATION_MODEL).alias("model_name"), "accuracy", "f1_macro", "f1_weighted",
-        "n_folds", "n_train", stamp,
+    ref = F.lit(None if store is None else f"{store}/run_stamp={run_stamp}").cast("string")
+    tail = (F.lit(run_stamp).alias("run_stamp"), ref.alias("model_ref"))
+    reg = evaluate_regression(regression).join(modes, "account_id").select(
+        "account_id", F.lit("regression").alias("task"), F.col("mode_reg").alias("feature_mode"),
+        "model_name", "rmse", "mae", "mape", "mape_ref", "r2", "n_folds", "n_train", *tail,
+    )
+    folds = walk_forward_folds(matrix, n_splits, test_size)
+    clf = evaluate_classification(folds, logistic).join(modes, "account_id").select(
+        "account_id", F.lit("classification").alias("task"),
+        F.col("mode_clf").alias("feature_mode"), F.lit(CLASSIFICATION_MODEL).alias("model_name"),
+        "accuracy", "f1_macro", "f1_weighted", "n_folds", "n_train", *tail,
     )
     return reg.unionByName(clf, allowMissingColumns=True)
 
@@ -110,33 +133,45 @@ def batch_score(
     mode: str = "replay",
     calendar: DataFrame | None = None,
     macro: DataFrame | None = None,
+    pooled: dict | None = None,
 ) -> DataFrame:
     """Newest row of each account through its stored models, one row per task.
 
     ``replay`` scores the last observed week, whose amount is already known (reference behaviour).
-    ``next`` adds the following week from ``calendar`` and ``macro`` and scores that one. A model
-    fitted under another feature mode than today's policy asks for does not match.
+    ``next`` adds the following week from ``calendar`` and ``macro`` and scores that one. Accounts
+    routed to a family of ``pooled`` (family -> fitted model) use that model, all others the ridge
+    table. A model fitted under another feature mode than today's policy asks for does not match.
     """
     if mode == "next":
         features = with_next_week(features, calendar, macro)
     elif mode != "replay":
         raise ValueError(f"unknown scoring mode {mode!r}")
+    pooled = pooled or {}
     newest = keep_one(ml_matrix(features, policy), ["account_id"], ["t"], "last")
 
-    def scored(models: DataFrame, mode_col: str, task: str, name, yhat) -> DataFrame:
-        fitted = models.drop("fold", "n_train").withColumnRenamed("mode", mode_col)
-        return newest.join(fitted, ["account_id", mode_col]).select(
+    def row(task: str, mode_col: str, name, yhat):
+        return (
             "account_id", F.col("week").alias("last_week"), F.lit(task).alias("task"),
             F.col(mode_col).alias("feature_mode"), name.alias("model_name"),
             yhat.cast("double").alias("prediction"),
         )
 
-    return scored(
-        ridge, "mode_reg", "regression", F.lit("ridge"), linear_prediction(F.col("x_reg"))
-    ).unionByName(scored(
-        logistic, "mode_clf", "classification", F.lit(CLASSIFICATION_MODEL),
-        class_prediction(F.col("x_clf")),
-    ))
+    def stored(rows: DataFrame, models: DataFrame, mode_col: str) -> DataFrame:
+        fitted = models.drop("fold", "n_train").withColumnRenamed("mode", mode_col)
+        return rows.join(fitted, ["account_id", mode_col])
+
+    linear = newest.where(~model_family(F.col("regression_model")).isin(*pooled))
+    out = stored(linear, ridge, "mode_reg").select(*row(
+        "regression", "mode_reg", F.lit("ridge"), linear_prediction(F.col("x_reg"))
+    )).unionByName(stored(newest, logistic, "mode_clf").select(*row(
+        "classification", "mode_clf", F.lit(CLASSIFICATION_MODEL), class_prediction(F.col("x_clf"))
+    )))
+    for family, model in pooled.items():
+        scored = pooled_predictions(model, routed(newest, family))
+        out = out.unionByName(scored.select(*row(
+            "regression", "mode_reg", F.lit(family), F.col("yhat")
+        )))
+    return out
 
 
 def naive_forecast(panel: DataFrame) -> DataFrame:

@@ -48,9 +48,9 @@ def _lagged_rows(weekly: DataFrame) -> DataFrame:
     base = indexed(weekly).withColumns({
         "_mean": F.avg(x).over(Window.partitionBy("account_id")),
         "_season": F.when(n > SEASON, SEASON).otherwise(F.floor(n / 2)).cast("int"),
-        # A short account's season length differs from row group to row group, which lag() cannot
-        # take; at most 52 values cover it.
-        "_head": F.collect_list(F.when(idx < SEASON, x)).over(whole),
+        # lag() takes one offset for all accounts, while a short account's season is its half
+        # length. Its at most 52 values are looked up instead; longer accounts collect nothing.
+        "_head": F.collect_list(F.when(n <= SEASON, x)).over(whole),
         "_x1": F.lag(x, 1).over(w),
         "_x2": F.lag(x, 2).over(w),
         "_x52": F.lag(x, SEASON).over(w),

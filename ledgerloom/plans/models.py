@@ -288,25 +288,28 @@ def stored_matrix(spark, sf) -> DataFrame:
     return io.written(matrix(spark, sf), "matrix")
 
 
-def routed(rows: DataFrame, family: str) -> DataFrame:
-    return rows.where(F.col("regression_model") == family)
-
-
 def _evaluate(spark, sf):
-    rows = stored_matrix(spark, sf)
+    """Ridge walk-forward metrics of the accounts routed to ridge."""
+    rows = mo.routed(stored_matrix(spark, sf), "ridge")
     ridge = io.written(mo.fit_ridge(rows), "ridge")
-    return sc.evaluate_regression(mx.walk_forward_folds(rows), ridge)
+    return sc.evaluate_regression(sc.ridge_predictions(mx.walk_forward_folds(rows), ridge))
 
 
 def _report(spark, sf):
+    """Ridge accounts over three folds; the pooled families over the newest fold."""
     rows = stored_matrix(spark, sf)
-    ridge, logistic = io.written(mo.fit_ridge(rows), "ridge"), io.written(mo.fit_logistic(rows), "logistic")
-    return sc.training_report(mx.walk_forward_folds(rows), ridge, logistic, "20240101-000000")
+    linear = mo.routed(rows, "ridge")
+    ridge = io.written(mo.fit_ridge(linear), "ridge")
+    logistic = io.written(mo.fit_logistic(rows), "logistic")
+    regression = sc.ridge_predictions(mx.walk_forward_folds(linear), ridge).unionByName(
+        mo.pooled_fold_predictions(rows, "rf", n_splits=1)
+    ).unionByName(mo.pooled_fold_predictions(rows, "lgbm", n_splits=1))
+    return sc.training_report(rows, regression, logistic, "20240101-000000", "models")
 
 
 def _store(spark, sf):
     """Two runs saved to one store; the later one is loaded."""
-    ridge = io.written(mo.fit_ridge(stored_matrix(spark, sf)), "ridge")
+    ridge = io.written(mo.fit_ridge(stored_matrix(spark, sf), n_splits=0), "ridge")
     path = io.scratch_path(spark, "model-store")
     sc.save_models(ridge.withColumn("intercept", F.lit(0.0)), path, "20240101-000000")
     sc.save_models(ridge, path, "20240102-000000")
@@ -318,30 +321,29 @@ def _score(mode: str):
         features = io.written(ml_features(spark, sf), "features")
         policy = fx.demo_policy(spark, sf)
         rows = io.written(mx.ml_matrix(features, policy), "matrix")
+        forest = mo.fit_forest(mo.routed(rows, "rf"))
         return sc.batch_score(
             features, policy, mo.fit_ridge(rows, n_splits=0), mo.fit_logistic(rows, n_splits=0),
-            mode, fx.calendar(spark, sf), fx.macro(spark, sf),
+            mode, fx.calendar(spark, sf), fx.macro(spark, sf), {"rf": forest},
         )
 
     return run
 
 
-def _pooled(fit, family: str):
+def _pooled(family: str):
     """Model of one family's accounts trained on the newest fold's history, scored on its test block."""
 
     def run(spark, sf):
-        folds = mx.walk_forward_folds(routed(stored_matrix(spark, sf), family), n_splits=1)
-        model = fit(folds.where("role = 'train'"))
-        scored = mo.pooled_predictions(model, folds.where("role = 'test'"))
-        return scored.select("account_id", "t", "y", "yhat")
+        rows = stored_matrix(spark, sf)
+        return mo.pooled_fold_predictions(rows, family, n_splits=1).where("block = 'test'")
 
     return run
 
 
 register("fit_ridge", lambda s, d: mo.fit_ridge(matrix(s, d)))
 register("fit_logistic", lambda s, d: mo.fit_logistic(matrix(s, d)))
-register("fit_forest", _pooled(mo.fit_forest, "rf"))
-register("fit_boosted", _pooled(mo.fit_boosted, "lgbm"))
+register("fit_forest", _pooled("rf"))
+register("fit_boosted", _pooled("lgbm"))
 register("fit_final", lambda s, d: mo.fit_ridge(matrix(s, d), n_splits=0))
 register("evaluate", _evaluate)
 register("training_report", _report)

@@ -59,7 +59,7 @@ def _src_csv(spark, sf):
 
 def _src_csv_parts(spark, sf):
     path = io.scratch_path(spark, "panel-csv-parts")
-    io.write_csv(fx.weekly_smooth(spark, sf).repartition(4, "account_id"), path)
+    io.write_csv(fx.weekly_smooth(spark, sf), path)
     return io.read_csv(spark, path, S.WEEKLY)
 
 
