@@ -41,7 +41,7 @@ def _ewm_sql() -> str:
     out = ", ".join(f"e{n} AS ewm_{n}" for n in ex.EWM_SPANS)
     body = with_ctes(
         f"SELECT account_id, week, sector, total_amount, {out} FROM rec",
-        num=f"SELECT account_id, week, sector, total_amount, CAST(total_amount AS DOUBLE) AS x, row_number() OVER ({ACCOUNT}) AS i FROM short",
+        num=f"SELECT account_id, week, sector, total_amount, CAST(total_amount AS DOUBLE) AS x, row_number() OVER ({ACCOUNT}) AS i FROM mixed",
         rec=f"""SELECT account_id, week, sector, total_amount, i, {first} FROM num WHERE i = 1
       UNION ALL SELECT c.account_id, c.week, c.sector, c.total_amount, c.i, {step}
       FROM rec AS r JOIN num AS c ON c.account_id = r.account_id AND c.i = r.i + 1""",
@@ -49,7 +49,7 @@ def _ewm_sql() -> str:
     return body.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-register("ewm_features", lambda s, d: ex.ewm_features(fx.weekly_short(s, d)), _ewm_sql(),
+register("ewm_features", lambda s, d: ex.ewm_features(fx.weekly_mixed(s, d)), _ewm_sql(),
          total_amount=6, ewm_4=4, ewm_12=4, ewm_52=4)
 
 # --- selection ---------------------------------------------------------------------------------------------

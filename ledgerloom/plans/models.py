@@ -19,7 +19,7 @@ from ledgerloom.plans.sql import ACCOUNT, with_ctes
 from ledgerloom.sources import fixtures as fx
 from ledgerloom.sources import io
 
-_SMOOTH_METRICS = {k: v.replace("FROM short", "FROM smooth") for k, v in METRICS_SQL.items()}
+_SMOOTH_METRICS = {k: v.replace("FROM mixed", "FROM smooth") for k, v in METRICS_SQL.items()}
 _KEPT = {
     **_SMOOTH_METRICS,
     "kept": f"""SELECT s.account_id FROM ({stats_sql('smooth')}) AS s JOIN acfs AS a ON a.account_id = s.account_id
@@ -198,7 +198,7 @@ register(
 
 def short_matrix(spark, sf) -> DataFrame:
     """Matrix of the truncated panel without externals, lags only."""
-    panel = mx.lag_columns(mx.direction_labels(mx.series_index(fx.weekly_short(spark, sf))), 1)
+    panel = mx.lag_columns(mx.direction_labels(mx.series_index(fx.weekly_mixed(spark, sf))), 1)
     n = F.count(F.lit(1)).over(wk.Window.partitionBy("account_id"))
     return panel.withColumn("n_rows", n - 4).where("t >= 4").select(
         "account_id", "t", (F.col("t") - 4).alias("pos"), "n_rows",
@@ -208,7 +208,7 @@ def short_matrix(spark, sf) -> DataFrame:
 
 _FOLDS = {
     "base": f"""SELECT account_id, row_number() OVER ({ACCOUNT}) - 5 AS pos, total_amount AS y,
-        lag(total_amount) OVER ({ACCOUNT}) AS yhat, count(*) OVER (PARTITION BY account_id) - 4 AS n_rows FROM short""",
+        lag(total_amount) OVER ({ACCOUNT}) AS yhat, count(*) OVER (PARTITION BY account_id) - 4 AS n_rows FROM mixed""",
     "fold_rows": """SELECT account_id, pos, y, yhat, s AS fold,
         CASE WHEN pos < n_rows - 4 * (s + 1) THEN 'train' ELSE 'test' END AS role
       FROM base CROSS JOIN (VALUES (0), (1), (2)) AS f(s)
@@ -221,7 +221,7 @@ _FOLDS = {
         SELECT account_id, row_number() OVER ({ACCOUNT}) - 1 AS t,
           CASE WHEN (total_amount - prev) / (abs(prev) + 1e-8) > 0.05 THEN 1
             WHEN (total_amount - prev) / (abs(prev) + 1e-8) < -0.05 THEN -1 ELSE 0 END AS label
-        FROM (SELECT *, lag(total_amount) OVER ({ACCOUNT}) AS prev FROM short))""",
+        FROM (SELECT *, lag(total_amount) OVER ({ACCOUNT}) AS prev FROM mixed))""",
     "classes": """SELECT account_id, cls, sum(truth) AS truth, sum(hit) AS hit,
         2.0 * sum(hit) / (sum(truth) + sum(called)) AS f1 FROM (
           SELECT account_id, label AS cls, 1 AS truth, 0 AS called, CASE WHEN label = said THEN 1 ELSE 0 END AS hit
@@ -261,7 +261,7 @@ def _naive(spark, sf):
 
 register(
     "naive_baseline_eval", _naive,
-    with_ctes(_MEANS, **{**_FOLDS, "base": _FOLDS["base"].replace("FROM short", "FROM smooth")}), **_ERR_DIGITS,
+    with_ctes(_MEANS, **{**_FOLDS, "base": _FOLDS["base"].replace("FROM mixed", "FROM smooth")}), **_ERR_DIGITS,
 )
 
 

@@ -163,21 +163,21 @@ STATS_DIGITS = dict(
     total_cashflow=6, mean_cashflow=3, std_cashflow=3, non_zero_periods=1, completeness_ratio=6,
     cv_cashflow=6,
 )
-ELIGIBLE = f"SELECT * FROM ({stats_sql('short')}) WHERE n_obs >= 24 AND std_cashflow >= 1e-8"
+ELIGIBLE = f"SELECT * FROM ({stats_sql('mixed')}) WHERE n_obs >= 24 AND std_cashflow >= 1e-8"
 
 register("weekly_cashflow", lambda s, d: wk.weekly_cashflow(fx.transactions(s, d)), _WEEKLY,
          total_amount=4)
 register("weekly_cashflow_eager", fx.weekly, _WEEKLY, total_amount=4)
-register("account_stats", lambda s, d: wk.account_stats(fx.weekly_short(s, d)),
-         with_ctes(stats_sql("short")), **STATS_DIGITS)
-register("eligibility", lambda s, d: wk.eligible_accounts(wk.account_stats(fx.weekly_short(s, d))),
+register("account_stats", lambda s, d: wk.account_stats(fx.weekly_mixed(s, d)),
+         with_ctes(stats_sql("mixed")), **STATS_DIGITS)
+register("eligibility", lambda s, d: wk.eligible_accounts(wk.account_stats(fx.weekly_mixed(s, d))),
          with_ctes(ELIGIBLE), **STATS_DIGITS)
 register(
     "semi_eligible",
     lambda s, d: wk.restrict_to(
-        p := fx.weekly_short(s, d), wk.eligible_accounts(wk.account_stats(p))
+        p := fx.weekly_mixed(s, d), wk.eligible_accounts(wk.account_stats(p))
     ).select(*KEYS, "total_amount"),
-    with_ctes("""SELECT account_id, week, sector, total_amount FROM short
+    with_ctes("""SELECT account_id, week, sector, total_amount FROM mixed
       WHERE account_id IN (SELECT account_id FROM eligible)""", eligible=ELIGIBLE),
     total_amount=6,
 )
@@ -356,10 +356,10 @@ register(
 METRICS_SQL = {
     "idx": f"""SELECT account_id, week, sector, total_amount AS x,
         row_number() OVER ({ACCOUNT}) - 1 AS i, count(*) OVER (PARTITION BY account_id) AS n,
-        avg(total_amount) OVER (PARTITION BY account_id) AS m FROM short""",
+        avg(total_amount) OVER (PARTITION BY account_id) AS m FROM mixed""",
     "acfs": """SELECT a.account_id, max(a.n) AS n,
-        sum((a.x - a.m) * (b.x - a.m)) / sum((a.x - a.m) * (a.x - a.m)) AS r1,
-        sum((a.x - a.m) * (c.x - a.m)) / sum((a.x - a.m) * (a.x - a.m)) AS r2
+        CASE WHEN max(a.n) >= 8 THEN sum((a.x - a.m) * (b.x - a.m)) / nullif(sum((a.x - a.m) * (a.x - a.m)), 0) END AS r1,
+        CASE WHEN max(a.n) >= 8 THEN sum((a.x - a.m) * (c.x - a.m)) / nullif(sum((a.x - a.m) * (a.x - a.m)), 0) END AS r2
       FROM idx AS a LEFT JOIN idx AS b ON a.account_id = b.account_id AND a.i = b.i + 1
       LEFT JOIN idx AS c ON a.account_id = c.account_id AND a.i = c.i + 2 GROUP BY a.account_id""",
     "seasons": """SELECT a.account_id, CASE WHEN count(*) > 1 THEN abs(covar_pop(a.x, b.x)
@@ -375,32 +375,34 @@ def _metrics(body: str) -> str:
     return with_ctes(body, **METRICS_SQL)
 
 
-register("ts_acf", lambda s, d: ts.ts_acf(fx.weekly_short(s, d)),
+register("ts_acf", lambda s, d: ts.ts_acf(fx.weekly_mixed(s, d)),
          _metrics("SELECT account_id, r1 AS acf_lag1, r2 AS acf_lag2 FROM acfs"), acf_lag1=7, acf_lag2=7)
-register("ts_pacf", lambda s, d: ts.ts_pacf(fx.weekly_short(s, d)),
+register("ts_pacf", lambda s, d: ts.ts_pacf(fx.weekly_mixed(s, d)),
          _metrics("SELECT account_id, r1 * n / (n - 1) AS pacf_lag1 FROM acfs"), pacf_lag1=7)
-register("ts_trend", lambda s, d: ts.ts_trend(fx.weekly_short(s, d)),
-         _metrics("SELECT account_id, regr_r2(x, i) AS trend_strength FROM idx GROUP BY account_id"),
+register("ts_trend", lambda s, d: ts.ts_trend(fx.weekly_mixed(s, d)),
+         _metrics("SELECT account_id, CASE WHEN count(x) > 1 THEN CASE WHEN var_pop(x) = 0 THEN 0.0 ELSE regr_r2(x, i) END END AS trend_strength FROM idx GROUP BY account_id"),
          trend_strength=7)
 register(
-    "ts_seasonality", lambda s, d: ts.ts_seasonality(fx.weekly_short(s, d)),
+    "ts_seasonality", lambda s, d: ts.ts_seasonality(fx.weekly_mixed(s, d)),
     _metrics("""SELECT DISTINCT i.account_id, s AS seasonality_strength FROM idx AS i
       LEFT JOIN seasons AS z ON i.account_id = z.account_id"""),
     seasonality_strength=7,
 )
 register(
-    "ts_df0", lambda s, d: ts.ts_df0(fx.weekly_short(s, d)),
-    _metrics("""SELECT account_id, b / sqrt((syy - b * sxy) / (m - 2) / sxx) AS df_statistic FROM (
-      SELECT account_id, count(*) AS m, regr_slope(dx, prev) AS b, regr_sxx(dx, prev) AS sxx,
-        regr_sxy(dx, prev) AS sxy, regr_syy(dx, prev) AS syy FROM diffs GROUP BY account_id)"""),
-    df_statistic=6,
+    "ts_df0", lambda s, d: ts.ts_df0(fx.weekly_mixed(s, d)),
+    _metrics("""SELECT i.account_id, CASE WHEN m > 2 THEN b / sqrt((syy - b * sxy) / (m - 2) / sxx) END AS df_statistic
+      FROM (SELECT DISTINCT account_id FROM idx) AS i LEFT JOIN (
+        SELECT account_id, count(*) AS m, regr_slope(dx, prev) AS b, regr_sxx(dx, prev) AS sxx,
+          regr_sxy(dx, prev) AS sxy, regr_syy(dx, prev) AS syy FROM diffs GROUP BY account_id) AS d
+      ON d.account_id = i.account_id"""),
+    df_statistic=4,
 )
-register("ts_adf", lambda s, d: ts.ts_adf(fx.weekly_short(s, d)))
-register("ts_metrics", lambda s, d: ts.ts_metrics(fx.weekly_short(s, d)))
+register("ts_adf", lambda s, d: ts.ts_adf(fx.weekly_mixed(s, d)))
+register("ts_metrics", lambda s, d: ts.ts_metrics(fx.weekly_mixed(s, d)))
 register(
     "metrics_merge",
     lambda s, d: q.merge_metrics(
-        wk.eligible_accounts(wk.account_stats(p := fx.weekly_short(s, d))), ts.ts_acf(p)
+        wk.eligible_accounts(wk.account_stats(p := fx.weekly_mixed(s, d))), ts.ts_acf(p)
     ).select("account_id", "sector", "n_obs", "cv_cashflow", "acf_lag1"),
     _metrics(f"""SELECT e.account_id, sector, n_obs, cv_cashflow, r1 AS acf_lag1
       FROM ({ELIGIBLE}) AS e JOIN acfs AS a ON e.account_id = a.account_id"""),

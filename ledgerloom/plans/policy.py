@@ -45,11 +45,11 @@ _RULED = f"""SELECT {_METRICS}, CAST(NULL AS VARCHAR) AS account_category, polic
           WHEN cv_cashflow > 1.2 AND composite_score >= 30 THEN 'R3' ELSE 'baseline' END AS policy_rule_id
         FROM scored)"""
 _OVERRIDES = """SELECT account_id AS ov_account, total_transactions % 2 = 0 AS ov_reg, total_transactions % 3 = 0 AS ov_clf
-      FROM profiles WHERE n_obs % 4 = 0"""
+      FROM profiles WHERE completeness_ratio >= 0.5"""
 
 
 def overrides(spark, sf):
-    return fx.metric_profiles(spark, sf).where("n_obs % 4 = 0").select(
+    return fx.metric_profiles(spark, sf).where("completeness_ratio >= 0.5").select(
         "account_id", (F.col("total_transactions") % 2 == 0).alias("use_externals_regression"),
         (F.col("total_transactions") % 3 == 0).alias("use_externals_classification"),
     )
@@ -112,7 +112,7 @@ register(
 
 def _assignment_join(spark, sf):
     quality = scored(spark, sf)
-    assigned = sec.macro_assignment(quality.where("n_obs % 3 <> 0"), sec.reference_mapping(spark))
+    assigned = sec.macro_assignment(quality.where("trend_strength > 0.2"), sec.reference_mapping(spark))
     out = po.assignment_join(po.build_policy(quality), assigned)
     return out.select(
         "account_id", "account_category", "macro_primary", "macro_secondary",
@@ -123,9 +123,9 @@ def _assignment_join(spark, sf):
 register(
     "assignment_join", _assignment_join,
     with_ctes("""SELECT account_id, account_category,
-      CASE WHEN n_obs % 3 <> 0 THEN coalesce(macro_primary, '') END AS macro_primary,
-      CASE WHEN n_obs % 3 <> 0 THEN coalesce(macro_secondary, '') END AS macro_secondary,
-      CAST(CASE WHEN n_obs % 3 <> 0 THEN 5 + CASE WHEN macro_primary <> '' THEN 1 ELSE 0 END
+      CASE WHEN trend_strength > 0.2 THEN coalesce(macro_primary, '') END AS macro_primary,
+      CASE WHEN trend_strength > 0.2 THEN coalesce(macro_secondary, '') END AS macro_secondary,
+      CAST(CASE WHEN trend_strength > 0.2 THEN 5 + CASE WHEN macro_primary <> '' THEN 1 ELSE 0 END
         + CASE WHEN macro_secondary <> '' THEN 1 ELSE 0 END END AS INTEGER) AS n_externals
       FROM categorised AS c LEFT JOIN (SELECT * FROM mapping WHERE priority <= 6) AS m ON m.sector = c.sector"""),
 )

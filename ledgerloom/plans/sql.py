@@ -34,10 +34,7 @@ CTES = {
     "smooth": f"""SELECT account_id, week, sector,
         avg(total_amount) OVER ({ACCOUNT} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS total_amount,
         transaction_count FROM weekly""",
-    "short": f"""SELECT account_id, week, sector, total_amount, transaction_count FROM (
-        SELECT *, row_number() OVER ({ACCOUNT}) AS rn,
-          CAST(substr(account_id, 5) AS BIGINT) % 5 AS cut FROM smooth)
-      WHERE rn <= CASE cut WHEN 0 THEN 20 WHEN 1 THEN 40 WHEN 2 THEN 53 ELSE 1000000 END""",
+    "mixed": "SELECT * FROM smooth UNION ALL BY NAME SELECT * FROM customer_weekly",
     "profiles": f"""SELECT printf('P_%08d', o_orderkey) AS account_id,
         {element(SECTORS, 'o_custkey')} AS sector,
         o_orderkey % 90 + 30 AS n_obs, o_orderkey % 401 AS total_transactions,
@@ -160,7 +157,7 @@ CTES = {
     "policy_raw": """SELECT printf('ACC_%05d', s_suppkey) AS account_id, s_suppkey % 2 = 0 AS use_reg,
         s_suppkey % 4 = 0 AS use_clf,
         CASE s_suppkey % 4 WHEN 0 THEN 'rf' WHEN 1 THEN 'ridge' WHEN 2 THEN 'lgbm' ELSE 'rf' END AS model,
-        (s_suppkey // 2) % 3 AS keyset FROM supplier WHERE s_suppkey % 3 <> 0""",
+        (s_suppkey // 2) % 3 AS keyset FROM supplier WHERE s_acctbal > 3000""",
     "mapping": """SELECT * FROM (VALUES
         ('agriculture', 'commodity_index_z', '', true, 1), ('transport', 'oil_price_z', '', true, 2),
         ('investment', 'masi_index_z', '', true, 3),
@@ -175,7 +172,7 @@ CTES = {
     "cells": """SELECT sector, cv_bucket, t > 0.3 AS cell_reg, t <= 0.3 AS cell_clf FROM (
         SELECT sector, CASE WHEN cv_cashflow < 0.30 THEN '<0.30' WHEN cv_cashflow < 0.50 THEN '[0.30,0.50)'
             WHEN cv_cashflow < 0.80 THEN '[0.50,0.80)' ELSE '>=0.80' END AS cv_bucket,
-          avg(trend_strength) AS t, count(*) AS n FROM profiles GROUP BY 1, 2) WHERE n % 3 <> 0""",
+          avg(trend_strength) AS t FROM profiles GROUP BY 1, 2) WHERE sector <> 'energy'""",
     "categorised": """SELECT *, CASE
           WHEN n_obs < 52 THEN 'E_short_history' WHEN cv_cashflow > 1.0 THEN 'D_sparse'
           WHEN trend_strength < 0.02 AND cv_cashflow < 0.40 THEN 'F_flat'

@@ -115,16 +115,13 @@ def weekly_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wk.trailing_mean(weekly(spark, sf_dir), 4)
 
 
-def weekly_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Smoothed panel, accounts cut to 20 / 40 / 53 / all / all rows, to reach small-n branches."""
-    keep = F.element_at(
-        F.array(*(F.lit(n) for n in (20, 40, 53, 1_000_000, 1_000_000))),
-        (F.substring("account_id", 5, 20).cast("bigint") % 5 + 1).cast("int"),
-    )
-    numbered = weekly_smooth(spark, sf_dir).withColumn(
-        "_row", F.row_number().over(wk.account_window())
-    )
-    return numbered.where(F.col("_row") <= keep).drop("_row")
+def weekly_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long and short panels together: smoothed accounts and customers' orders per week.
+
+    Accounts have some 300 rows, customers from one to a few dozen, so the branches for short series
+    are reached.
+    """
+    return weekly_smooth(spark, sf_dir).unionByName(customer_weekly(spark, sf_dir))
 
 
 def metric_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,11 +263,11 @@ def scored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup cells derived from the profiles: on where the cell's mean trend passes 0.3."""
+    """Lookup cells of the mapped sectors: on where the cell's mean trend passes 0.3."""
     cells = metric_profiles(spark, sf_dir).groupBy(
         "sector", cv_bucket(F.col("cv_cashflow")).alias("cv_bucket")
-    ).agg(F.avg("trend_strength").alias("_t"), F.count(F.lit(1)).alias("_n"))
-    return cells.where(F.col("_n") % 3 != 0).select(
+    ).agg(F.avg("trend_strength").alias("_t"))
+    return cells.where(F.col("sector") != "energy").select(
         "sector", "cv_bucket", (F.col("_t") > 0.3).alias("use_externals_regression"),
         (F.col("_t") <= 0.3).alias("use_externals_classification"),
     )
@@ -288,13 +285,13 @@ def customer_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demo_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policy of two thirds of the accounts, with every form of flag, model name and key list."""
+    """Policy of the accounts with a high balance, with every form of flag, model name and key list."""
     k = F.col("s_suppkey")
     models = F.array(F.lit("Random_Forest "), F.lit("ridge"), F.lit("lgbm"), F.lit(None))
     keys = F.array(
         F.lit("oil_price_z,is_ramadan"), F.lit(""), F.lit("masi_index_z, bogus ,is_payroll_week"),
     )
-    return table(spark, sf_dir, "supplier").where(k % 3 != 0).select(
+    return table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 3000).select(
         account_name(k).alias("account_id"),
         (k % 2 == 0).alias("use_externals_regression"),
         (k % 4 == 0).alias("use_externals_classification"),
