@@ -9,6 +9,7 @@ from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import exact_median
 from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators.policy import builtin_policy, sector_rule
+from ledgerloom.sources.io import written
 
 PAIR_KEYS = ["name", "condition", "model_name"]
 
@@ -58,35 +59,38 @@ def scope_semi(pairs: DataFrame, results: DataFrame, account_type: str) -> DataF
     return pairs.join(scope.select("name", "condition"), ["name", "condition"], "left_semi")
 
 
-def source_pairs(results: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def _categories(kind: str, holds) -> Column:
+    """Categories whose source of the given kind satisfies ``holds`` (eight literal entries at most)."""
+    entries = F.array(*(
+        F.struct(F.lit(row[4]).alias("value"), F.lit(row[0]).alias("category"))
+        for row in CATEGORY_SOURCES if row[3] == kind
+    ))
+    return F.transform(F.filter(entries, lambda e: holds(e["value"])), lambda e: e["category"])
+
+
+def source_pairs(results: DataFrame) -> DataFrame:
     """Pairs labelled with the category whose source experiment they belong to.
 
-    A pair can serve two categories (its condition's and its account type's).
+    A pair can serve two categories (its condition's and its account type's): it is joined once and
+    unfolded, not labelled in two branches. ``results`` is read three times, so pass a stored table.
     """
-    spark = results.sparkSession
-    if pairs is None:
-        pairs = paired(results)
-    sources = literal_table(spark, CATEGORY_SOURCES, _SOURCE_SCHEMA)
-
-    def labelled(kind: str, frame: DataFrame, column: str) -> DataFrame:
-        # Eight literal rows at most.
-        side = F.broadcast(
-            sources.where(F.col("source_kind") == kind).select(
-                F.col("source_value").alias(column), "account_category"
-            )
-        )
-        return frame.join(side, column).select(
-            "account_category", *PAIR_KEYS, "rmse_baseline", "rmse_with_externals", "rmse_lift_pct"
-        )
-
-    types = results.select("name", "condition", "account_type").distinct()
-    return labelled("condition", pairs, "condition").unionByName(
-        labelled("account_type", pairs.join(types, ["name", "condition"]), "account_type")
+    listed = [row[4] for row in CATEGORY_SOURCES if row[3] == "account_type"]
+    # A set of at most the listed types, not of the group's rows.
+    types = results.where(F.col("account_type").isin(*listed)).groupBy("name", "condition").agg(
+        F.collect_set("account_type").alias("_types")
+    )
+    by_condition = _categories("condition", lambda v: v == F.col("condition"))
+    by_type = _categories(
+        "account_type", lambda v: F.coalesce(F.array_contains("_types", v), F.lit(False))
+    )
+    return paired(results).join(types, ["name", "condition"], "left").select(
+        F.explode(F.concat(by_condition, by_type)).alias("account_category"),
+        *PAIR_KEYS, "rmse_baseline", "rmse_with_externals", "rmse_lift_pct",
     )
 
 
 def lift_medians(labelled: DataFrame) -> DataFrame:
-    """Median error with externals and median lift per category and model."""
+    """Median error with externals and median lift per category and model (reads its input twice)."""
     keys = ["account_category", "model_name"]
     long = labelled.select(
         *keys,
@@ -120,11 +124,12 @@ def source_accounts(labelled: DataFrame) -> DataFrame:
 def derive_policy(results: DataFrame, min_lift_pct: float = 3.0) -> DataFrame:
     """One decision per category: champion model, externals on from ``min_lift_pct`` median lift.
 
-    A category without pairs takes its built-in row. All joins are between tables of at most eight
-    rows.
+    A category without pairs takes its built-in row. The labelled pairs are stored, as the medians
+    read them twice and the account counts once; all joins after that are between tables of at most
+    eight rows.
     """
     spark = results.sparkSession
-    labelled = source_pairs(calibration_rows(results))
+    labelled = written(source_pairs(calibration_rows(results)), "labelled-pairs")
     decided = champion_models(lift_medians(labelled)).join(
         source_accounts(labelled), "account_category"
     )

@@ -15,6 +15,7 @@ from ledgerloom.plans.policy import _DERIVE
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.sql import ACCOUNT, with_ctes
 from ledgerloom.sources import fixtures as fx
+from ledgerloom.sources import io
 
 
 def _over(n: int) -> str:
@@ -235,8 +236,35 @@ _degraded(
     "E_missing20",
     "last_value(CASE WHEN {draw} >= 0.2 THEN {k} END IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
 )
-register("degrade_d_noisy30", lambda s, d: ex.degrade_externals(ml_features(s, d), "D_noisy30").select(
-    *KEYS, *S.MACRO_KEYS))
+_U, _V = (
+    "CAST(CAST('0x' || substr(md5(concat_ws('|', account_id, CAST(week AS VARCHAR), '{k}', '42', '%s')), 1, 8)"
+    " AS UBIGINT) AS DOUBLE) / 4294967296.0" % part for part in "uv"
+)
+_degraded(
+    "D_noisy30",
+    "{k} + 0.3 * stddev_pop({k}) OVER (PARTITION BY account_id) * sqrt(-2 * ln(1 - "
+    + _U + ")) * cos(2 * pi() * " + _V + ")",
+)
+
+
+def _all_conditions(spark, sf):
+    """Every condition on the same stored features, one labelled copy of the panel each."""
+    features = io.written(ml_features(spark, sf), "features")
+    parts = [
+        ex.degrade_externals(features, c).select(F.lit(c).alias("condition"), *KEYS, "oil_price_z", "is_ramadan")
+        for c in ("A_perfect", "B_lag1w", "C_lag3w")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register(
+    "degrade_externals", _all_conditions,
+    with_ctes(" UNION ALL ".join(
+        f"SELECT '{c}' AS condition, account_id, week, sector, {e} AS oil_price_z, is_ramadan FROM ext"
+        for c, e in (("A_perfect", "oil_price_z"), ("B_lag1w", f"lag(oil_price_z, 1) OVER ({ACCOUNT})"),
+                     ("C_lag3w", f"lag(oil_price_z, 3) OVER ({ACCOUNT})"))), **_X),
+    oil_price_z=8,
+)
 register(
     "structural_break",
     lambda s, d: ex.level_shift(fx.weekly_smooth(s, d).withColumn("x", F.col("total_amount"))).select(

@@ -47,7 +47,7 @@ def feature_table(spark, sf) -> DataFrame:
 register(
     "semi_quality",
     lambda s, d: wk.restrict_to(
-        p := fx.weekly(s, d), kept_accounts(wk.trailing_mean(p, 4))).select(*KEYS, "total_amount"),
+        p := io.written(fx.weekly(s, d), "weekly"), kept_accounts(wk.trailing_mean(p, 4))).select(*KEYS, "total_amount"),
     with_ctes("SELECT account_id, week, sector, total_amount FROM weekly WHERE account_id IN (SELECT account_id FROM kept)",
               **_KEPT),
     total_amount=4,

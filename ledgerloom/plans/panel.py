@@ -175,7 +175,7 @@ register("eligibility", lambda s, d: wk.eligible_accounts(wk.account_stats(fx.we
 register(
     "semi_eligible",
     lambda s, d: wk.restrict_to(
-        p := fx.weekly_mixed(s, d), wk.eligible_accounts(wk.account_stats(p))
+        p := io.written(fx.weekly_mixed(s, d), "mixed"), wk.eligible_accounts(wk.account_stats(p))
     ).select(*KEYS, "total_amount"),
     with_ctes("""SELECT account_id, week, sector, total_amount FROM mixed
       WHERE account_id IN (SELECT account_id FROM eligible)""", eligible=ELIGIBLE),
@@ -402,7 +402,7 @@ register("ts_metrics", lambda s, d: ts.ts_metrics(fx.weekly_mixed(s, d)))
 register(
     "metrics_merge",
     lambda s, d: q.merge_metrics(
-        wk.eligible_accounts(wk.account_stats(p := fx.weekly_mixed(s, d))), ts.ts_acf(p)
+        wk.eligible_accounts(wk.account_stats(p := io.written(fx.weekly_mixed(s, d), "mixed"))), ts.ts_acf(p)
     ).select("account_id", "sector", "n_obs", "cv_cashflow", "acf_lag1"),
     _metrics(f"""SELECT e.account_id, sector, n_obs, cv_cashflow, r1 AS acf_lag1
       FROM ({ELIGIBLE}) AS e JOIN acfs AS a ON e.account_id = a.account_id"""),

@@ -14,6 +14,7 @@ from ledgerloom.plans.panel import scored
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.sql import with_ctes
 from ledgerloom.sources import fixtures as fx
+from ledgerloom.sources import io
 
 # Own test thresholds: the rules have no published values.
 CUTS = po.RuleCuts(
@@ -111,7 +112,7 @@ register(
 
 
 def _assignment_join(spark, sf):
-    quality = scored(spark, sf)
+    quality = io.written(scored(spark, sf), "scored")
     assigned = sec.macro_assignment(quality.where("trend_strength > 0.2"), sec.reference_mapping(spark))
     out = po.assignment_join(po.build_policy(quality), assigned)
     return out.select(
@@ -188,8 +189,21 @@ _PAIR = "name, condition, model_name, rmse_baseline, rmse_with_externals, rmse_l
 _PAIR_DIGITS = dict(rmse_baseline=3, rmse_with_externals=3, rmse_lift_pct=6)
 
 
+def results(spark, sf):
+    """Experiment results as the stored table they are: the pairings read it several times."""
+    return io.written(fx.experiments(spark, sf), "experiments")
+
+
 def calibrated(spark, sf):
-    return lf.calibration_rows(fx.experiments(spark, sf))
+    return lf.calibration_rows(results(spark, sf))
+
+
+def labelled(spark, sf):
+    return io.written(lf.source_pairs(calibrated(spark, sf)), "labelled-pairs")
+
+
+def classified(spark, sf):
+    return io.written(fx.classification_results(spark, sf), "classified")
 
 
 register(
@@ -215,22 +229,22 @@ _CHAMPS = """SELECT account_category, arg_min(model_name, (rmse_with_externals,
         arg_min(lift_med, (rmse_with_externals, model_name)) AS lift_med FROM medians GROUP BY 1"""
 _DERIVE = dict(labelled=_LABELLED, medians=_MEDIANS, champs=_CHAMPS)
 register(
-    "lift_median_by_model", lambda s, d: lf.lift_medians(lf.source_pairs(calibrated(s, d))),
+    "lift_median_by_model", lambda s, d: lf.lift_medians(labelled(s, d)),
     with_ctes("SELECT account_category, model_name, rmse_with_externals, lift_med FROM medians", **_DERIVE),
     rmse_with_externals=3, lift_med=6,
 )
 register(
     "champion_model",
-    lambda s, d: lf.champion_models(lf.lift_medians(lf.source_pairs(calibrated(s, d)))),
+    lambda s, d: lf.champion_models(lf.lift_medians(labelled(s, d))),
     with_ctes("SELECT account_category, champion_model, lift_med FROM champs", **_DERIVE), lift_med=6,
 )
 register(
-    "n_accounts_distinct", lambda s, d: lf.source_accounts(lf.source_pairs(calibrated(s, d))),
+    "n_accounts_distinct", lambda s, d: lf.source_accounts(labelled(s, d)),
     with_ctes("""SELECT account_category, CAST(count(DISTINCT name) AS BIGINT) AS n_accounts FROM labelled
       GROUP BY account_category""", **_DERIVE),
 )
 register(
-    "policy_derive", lambda s, d: lf.derive_policy(fx.experiments(s, d), min_lift_pct=2.0),
+    "policy_derive", lambda s, d: lf.derive_policy(results(s, d), min_lift_pct=2.0),
     with_ctes(f"""SELECT b.account_category, lift_med >= 2.0 AS activate_externals, champion_model, rule_id AS policy_rule_id,
       source_exp, round(lift_med, 2) AS lift_med_champion_pct, n_accounts, 'v7_encapsulated' AS policy_source
       FROM {_BUILTIN} JOIN champs AS c ON c.account_category = b.account_category
@@ -301,10 +315,10 @@ register(
 _ACC = """SELECT b.name, b.sector, b.accuracy AS accuracy_baseline, e.accuracy AS accuracy_with_externals
       FROM clf_results AS b JOIN clf_results AS e ON b.name = e.name
       WHERE b.model_type = 'baseline' AND e.model_type = 'with_externals'"""
-register("acc_pair", lambda s, d: lf.accuracy_pairs(fx.classification_results(s, d)), with_ctes(_ACC),
+register("acc_pair", lambda s, d: lf.accuracy_pairs(classified(s, d)), with_ctes(_ACC),
          accuracy_baseline=6, accuracy_with_externals=6)
 register(
-    "oracle_classification", lambda s, d: lf.classification_oracle(fx.classification_results(s, d)),
+    "oracle_classification", lambda s, d: lf.classification_oracle(classified(s, d)),
     with_ctes("""SELECT name AS experiment_account, sector, accuracy_baseline, accuracy_with_externals,
       accuracy_with_externals - accuracy_baseline AS accuracy_lift,
       accuracy_with_externals > accuracy_baseline AS use_externals_classification,
@@ -313,7 +327,7 @@ register(
 )
 register(
     "key_intersection",
-    lambda s, d: (r := fx.classification_results(s, d)).where("model_type = 'baseline'").select("name")
+    lambda s, d: (r := classified(s, d)).where("model_type = 'baseline'").select("name")
     .intersect(r.where("model_type = 'with_externals'").select("name")),
     with_ctes("""SELECT name FROM clf_results WHERE model_type = 'baseline' INTERSECT
       SELECT name FROM clf_results WHERE model_type = 'with_externals'"""),

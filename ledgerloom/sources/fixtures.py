@@ -229,7 +229,7 @@ def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regression_lifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lifts per account, condition and model, with the sector and a free-text note."""
-    results = experiments(spark, sf_dir)
+    results = written(experiments(spark, sf_dir), "experiments")
     pairs = lf.paired(results).join(
         results.where(F.col("model_type") == "baseline").select(*lf.PAIR_KEYS, "share"), lf.PAIR_KEYS
     )
