@@ -65,13 +65,13 @@ def resolve_sectors(accounts: DataFrame, mapping: DataFrame) -> DataFrame:
         F.lit(True).alias("include_calendar"),
     )
     anywhere = rules.where(F.col("_sector") == ANY_SECTOR).select(
-        F.lit(True).alias("_any"), F.col("_rule").alias("_any_rule")
+        F.col("_sector").alias("_other"), F.col("_rule").alias("_any_rule")
     )
     joined = (
         accounts.withColumn("_sector", F.lower(F.trim("sector")))
         .join(rules, "_sector", "left")
-        .withColumn("_any", F.lit(True))
-        .join(F.broadcast(anywhere), "_any", "left")
+        .withColumn("_other", F.when(F.col("_rule").isNull(), ANY_SECTOR))
+        .join(F.broadcast(anywhere), "_other", "left")  # one row
         .withColumn("_pick", F.coalesce("_rule", "_any_rule", default))
     )
     blank = F.lit("")

@@ -138,11 +138,10 @@ _EDGES = {"cv_cashflow": (0.85, 0.9, 1.0), "acf_lag1": (0.65, 0.7)}
 
 
 def _account_metrics(spark, sf):
-    from ledgerloom.operators.tsmetrics import ts_acf
-    from ledgerloom.operators.weekly import account_stats
+    from ledgerloom.operators.tsmetrics import account_metrics
 
-    panel = fx.weekly_smooth(spark, sf)
-    return account_stats(panel).join(ts_acf(panel), "account_id").withColumnRenamed("account_id", "name")
+    metrics = account_metrics(fx.weekly_smooth(spark, sf), min_obs=0, adf=False)
+    return metrics.withColumnRenamed("account_id", "name")
 
 
 def _bins_sql() -> str:

@@ -200,7 +200,7 @@ register(
     total_amount=4,
 )
 register(
-    "last_n_weeks", lambda s, d: wk.last_n_weeks(fx.weekly(s, d), 20),
+    "last_n_weeks", lambda s, d: wk.last_n_weeks(io.written(fx.weekly(s, d), "weekly"), 20),
     with_ctes(f"""SELECT {PANEL} FROM weekly WHERE week IN
       (SELECT DISTINCT week FROM weekly ORDER BY week DESC LIMIT 20)"""),
     total_amount=4,
@@ -228,7 +228,7 @@ for _which, _dir in (("first", "ASC"), ("last", "DESC")):
     )
 register(
     "latest_run",
-    lambda s, d: _latest_run(fx.weekly(s, d)),
+    lambda s, d: _latest_run(io.written(fx.weekly(s, d), "weekly")),
     with_ctes(f"""SELECT {PANEL}, strftime(week, '%Y%m') AS run_stamp FROM weekly
       WHERE strftime(week, '%Y%m') = (SELECT max(strftime(week, '%Y%m')) FROM weekly)"""),
     total_amount=4,
