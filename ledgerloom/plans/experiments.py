@@ -247,7 +247,7 @@ _degraded(
 
 
 def _all_conditions(spark, sf):
-    """Every condition on the same stored features, one labelled copy of the panel each."""
+    """The undegraded and lagged conditions on one stored table, a labelled copy of the panel each."""
     features = io.written(ml_features(spark, sf), "features")
     parts = [
         ex.degrade_externals(features, c).select(F.lit(c).alias("condition"), *KEYS, "oil_price_z", "is_ramadan")
