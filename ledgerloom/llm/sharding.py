@@ -10,7 +10,7 @@ from ledgerloom.plans.registry import register
 from ledgerloom.sources.io import written
 
 SHARDS = 16
-ROUNDS = 3
+ROUNDS = 4
 #: Room above an even share that a shard has while labels move; the last step takes it away.
 SLACK = 0.1
 LINK = ["_hash", "size", "text_crc32"]
@@ -27,6 +27,18 @@ def _sizes(state: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
+def _let_in(flows: dict[tuple[int, int], int], sizes: list[int], quota: int) -> list[float]:
+    """The share of those that want each shard that its quota lets in, given what leaves it then."""
+    shards = range(len(sizes))
+    wanted = [sum(n for (_, t), n in flows.items() if t == s) for s in shards]
+    share = [1.0 if wanted[s] else 0.0 for s in shards]
+    for _ in range(100):
+        leaving = [sum(n * share[t] for (f, t), n in flows.items() if f == s) for s in shards]
+        room = [quota - sizes[s] + leaving[s] for s in shards]
+        share = [min(share[s], max(0.0, room[s]) / wanted[s]) if wanted[s] else 0.0 for s in shards]
+    return share
+
+
 def _pick(values: list, index: str) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), F.col(index).cast("int") + 1)
 
@@ -36,7 +48,7 @@ def propagate(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
 
     Documents are linked if their texts are equal. Each starts in a shard drawn from its doc_id. In
     each round all documents of a linked group want the shard most of the group is in; a shard lets
-    in as many as its quota (an even share and ``slack``) has room for, drawn by hash. Groups move as
+    in as many as its quota (an even share and ``slack``) has room for as others leave, drawn by hash. Groups move as
     one; a group larger than half a quota is first split into parts below that size by a hash of
     doc_id, so that one with a third of all rows is spread over as few shards as it fills. At the
     end the rows above an even share leave their shard, those that cut no link first, for the
@@ -74,13 +86,13 @@ def propagate(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
         liked = F.max(F.struct("_n", _draw(*unit, F.col("shard"), F.lit(turn)).alias("_d"), "shard"))
         wants = counts.groupBy(*unit).agg(liked["shard"].alias("_want"))
         asking = state.join(wants, unit, "left").withColumn("_want", F.coalesce("_want", "shard"))
-        moves = {
-            r["_want"]: r["n"]
-            for r in asking.where("_want <> shard").groupBy("_want").agg(F.count(F.lit(1)).alias("n")).collect()
+        flows = {
+            (r["shard"], r["_want"]): r["n"]
+            for r in asking.where("_want <> shard").groupBy("shard", "_want").agg(F.count(F.lit(1)).alias("n")).collect()
         }
-        if not moves:
+        if not flows:
             break
-        share = [min(1.0, max(0, quota - sizes[s]) / moves[s]) if s in moves else 0.0 for s in range(shards)]
+        share = _let_in(flows, sizes, quota)
         enters = _draw(*(F.col(c) for c in unit), F.lit(turn), F.lit("in")) < _pick(share, "_want")
         state = written(
             asking.withColumn("shard", F.when(enters, F.col("_want")).otherwise(F.col("shard")))
