@@ -31,6 +31,7 @@ MOST_DIFFERENT = 39
 STAR_ROUNDS = 2
 #: Members of one block of a bucket; pairs of blocks are compared in separate rows.
 BLOCK = 256
+MEMBER = ("cls", "root", "size", "held", "signature")
 
 _A = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 _B = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
@@ -157,28 +158,57 @@ def _alike(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left[:, None, :] != right[None, :, :]).sum(axis=2, dtype=np.int16) <= MOST_DIFFERENT
 
 
-def _remaining(members: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components whose signatures are near enough.
+def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members that may have a link to another component, with the sizes that bound their overlaps.
 
-    A bucket is cut into blocks of at most about BLOCK members; every two blocks meet in a row of
-    their own, and only near pairs leave it.
+    ``size`` counts a member's shingles, ``held`` those that other members have too.
+
+    Two sets that reach ``percent`` share a shingle among the first ``size - percent of size + 1`` of
+    each in any common order. Ordered by how many of the members have them, a text's own edits come
+    first, so one with too many of them shares none and has no link outside its component.
     """
+    nodes = written(members.select("cls", "root").distinct(), "near-nodes")
+    each = nodes.join(sets, "cls").select("cls", "root", F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    ordered = each.join(common, "s").groupBy("cls", "root").agg(
+        F.array_sort(F.collect_list(F.struct("n", "s"))).alias("all"), F.count_if(F.col("n") > 1).alias("held")
+    )
+    ordered = written(ordered, "near-ordered")
+    size = F.size("all")
+    rare = F.slice("all", F.lit(1), size - F.ceil(size * percent / 100).cast("int") + 1)
+    first = written(ordered.select("cls", "root", F.explode(rare).alias("r")).where("r.n > 1").select("cls", "root", "r.s"), "near-rare")
+    shared = first.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    able = first.join(shared.select("s"), "s", "left_semi").select("cls").distinct()
+    sized = ordered.select("cls", F.size("all").alias("size"), "held").join(able, "cls")
+    return members.join(sized, "cls")
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, with the bucket's size."""
     sizes = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("root") < F.max("root")).alias("mixed")
-    ).where("mixed and n > 1")
-    dealt = members.join(sizes.select("key", "n"), "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("low < high").select("key", "n")
+    return members.join(sizes, "key")
+
+
+def _remaining(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's members in different components that may be linked.
+
+    Their signatures are near, and shingles that other members have suffice for the overlap. A bucket is cut into blocks of at most about BLOCK members; every two blocks meet in a row of
+    their own, and only near pairs leave it.
+    """
+    dealt = _across(members).withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
         "mine", F.pmod(F.xxhash64("cls", "key"), F.col("blocks"))
     )
-    dealt = written(dealt.join(signatures, "cls").select("key", "blocks", "mine", "cls", "root", "signature"), "near-dealt")
-    packed = dealt.groupBy("key", "blocks", "mine").agg(
-        F.collect_list("cls").alias("cls"), F.collect_list("root").alias("root"),
-        F.collect_list("signature").alias("signature"),
-    )
+    dealt = written(dealt.join(signatures, "cls").select(
+        "key", "blocks", "mine", *MEMBER,
+    ), "near-dealt")
+    packed = dealt.groupBy("key", "blocks", "mine").agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
     # Each block once for every block it meets: (lower, upper) of the two.
     met = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
         "low": F.least("mine", "other"), "high": F.greatest("mine", "other"),
     }).groupBy("key", "low", "high").agg(
-        F.collect_list(F.struct("mine", "cls", "root", "signature")).alias("sides")
+        F.collect_list("members").alias("sides")
     )
 
     def run(batches):
@@ -186,14 +216,19 @@ def _remaining(members: DataFrame, signatures: DataFrame) -> DataFrame:
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for sides in batch.column(0).to_pylist():
                 parts = [
-                    (np.array(s["cls"], np.int64), np.array(s["root"], np.int64),
-                     np.frombuffer(b"".join(s["signature"]), np.uint16).reshape(-1, SLOTS)) for s in sides
+                    (*(np.array([m[k] for m in side], np.int64) for k in MEMBER[:-1]),
+                     np.frombuffer(b"".join(m["signature"] for m in side), np.uint16).reshape(-1, SLOTS))
+                    for side in sides
                 ]
-                (cls, root, signs), (cls2, root2, signs2) = parts[0], parts[-1]
+                (cls, root, size, held, signs), (cls2, root2, size2, held2, signs2) = parts[0], parts[-1]
                 for at in range(0, len(cls), 64):
-                    near = _alike(signs[at : at + 64], signs2) & (root[at : at + 64, None] != root2[None, :])
-                    i, j = np.nonzero(near)
-                    found.append((cls[at + i], cls2[j]))
+                    some = slice(at, at + 64)
+                    most = np.minimum(held[some, None], held2[None, :])
+                    may = (root[some, None] != root2[None, :]) & (
+                        100 * most >= percent * (size[some, None] + size2[None, :] - most)
+                    )
+                    i, j = np.nonzero(may & _alike(signs[some], signs2)) if may.any() else ((), ())
+                    found.append((cls[at + np.array(i, int)], cls2[np.array(j, int)]))
             a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
             b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -209,12 +244,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     component_id is the smallest doc_id that links reach. Rows of one set are one class, counted with
     map-side combine; classes are nodes. Signatures give candidates, full sets decide:
 
-    1. In each bucket of equal chunk keys one member is tried against every other, STAR_ROUNDS times
-       with another member by draw, for those in another component only; each class takes the
-       member it meets most favourably, so it is one pair a class and round.
+    1. In each bucket of equal chunk keys one member, the one that meets most others and then one
+       by draw, is tried against every other that is in another component; each class tries the
+       best of those its buckets offer, so it is one pair a class and round.
     2. All pairs in a bucket that are still in different components are compared by signature,
-       block against block, and the near ones confirmed. So no candidate link is left out; what is
-       skipped are pairs that are known to be connected.
+       block against block, and the near ones confirmed, but for texts whose rarest shingles, and
+       pairs whose shingles without company, show that they have no link. So no candidate link is left out; what is
+       skipped are pairs that are known to be connected or known not to be linked.
 
     Rows with fewer words than ``n`` have their words as one shingle; rows without words are linked
     with nothing. Null texts are empty. A null doc_id is never a component_id unless all of its
@@ -232,16 +268,19 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
         ), "near-classes",
     )
     keys = _chunk_keys(classes)
-    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = written(keys.join(crowded, "key", "left_semi"), "near-buckets")
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = written(keys.join(crowded, "key"), "near-buckets")
+    degrees = written(buckets.groupBy("cls").agg(F.sum("n").alias("met")), "near-degrees")
+    buckets = buckets.drop("n")
     sets = _sets_of(docs, classes, buckets.select("cls").distinct(), n)
     links = None
     roots = buckets.select("cls").distinct().select(F.col("cls").alias("node"), F.col("cls").alias("root"))
     for turn in range(STAR_ROUNDS):
-        members = buckets.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-            "key", "cls", F.coalesce("root", "cls").alias("root")
-        )
-        draw = F.xxhash64("cls", F.lit(turn))
+        members = buckets.join(degrees, "cls").join(
+            roots.select(F.col("node").alias("cls"), "root"), "cls", "left"
+        ).select("key", "cls", "met", F.coalesce("root", "cls").alias("root"))
+        # First the member that meets most others, which is the one that the others were made from; then by draw.
+        draw = -F.col("met") if turn == 0 else F.xxhash64("cls", F.lit(turn))
         stars = members.groupBy("key").agg(
             F.min(F.struct(draw.alias("d"), "cls", "root")).alias("star"),
             F.min("root").alias("lowest"), F.max("root").alias("highest"),
@@ -255,7 +294,9 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     members = buckets.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
         "key", "cls", F.coalesce("root", "cls").alias("root")
     )
-    rest = written(_remaining(written(members, "near-members"), classes.select("cls", "signature")), "near-rest")
+    members = written(_across(members).drop("n"), "near-members")
+    able = written(_able(members, sets, percent), "near-able")
+    rest = written(_remaining(able, classes.select("cls", "signature"), percent), "near-rest")
     links = written(links.unionByName(_confirmed(rest, sets, percent)), "near-links")
     roots = components(links)
     placed = classes.select("cls", *name, "doc_id").join(roots, F.col("cls") == F.col("node"), "left")
