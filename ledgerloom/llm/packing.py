@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,9 +19,11 @@ WINDOW = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; it forgets all of them when it has that many.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 800_000
 # Code points with the Unicode property White_Space.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Fixed value: the pattern by which the tokenizer splits lower-cased text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -33,28 +34,56 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Ids of a text, word by word: the tokenizer drops white space and never joins across it."""
+    """Ids of a text, word by word: the tokenizer drops white space and never joins across it.
+
+    New words go through the whole tokenizer, but for those of plain Latin letters, digits and signs:
+    these need no normalising beyond lower case, so they are split by the tokenizer's own pattern and
+    only pieces not met before are merged by its model. Both memories are of bounded size.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, np.ndarray] = {}
+        self._words: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
         self._word = re.compile(f"[^{WHITE}]+")
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """An int32 array of ids for each text; new words of all texts are encoded together."""
-        if len(self._known) > MEMORY_WORDS:
-            self._known.clear()
-        known = self._known
-        words = [self._word.findall(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for w, e in zip(some, self._tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
-        for ws in words:
-            yield np.frombuffer(b"".join([known[w] for w in ws]), np.uint32)
+        self._plain = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+").fullmatch
+        self._split = regex.compile(SPLIT).findall
+        # Byte-level models write bytes without a visible Latin-1 character as those from U+0100 on.
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in visible]
+        self._letters = {b: b for b in visible} | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+    def _of_piece(self, piece: str) -> bytes:
+        if piece not in self._pieces:
+            if len(self._pieces) > MEMORY_WORDS // 2:
+                self._pieces.clear()
+            letters = piece.encode().decode("latin-1").translate(self._letters)
+            ids = [t.id for t in self._tokenizer.model.tokenize(letters)]
+            self._pieces[piece] = np.array(ids, np.uint32).tobytes()
+        return self._pieces[piece]
+
+    def _of_word(self, word: str) -> bytes:
+        if self._plain(word) and "<|" not in word:
+            return b"".join(map(self._of_piece, self._split(word.lower())))
+        ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, np.uint32).tobytes()
+
+    def __call__(self, text: str) -> np.ndarray:
+        known = self._words
+        if len(known) > MEMORY_WORDS:
+            known.clear()
+        words = self._word.findall(text)
+        try:
+            found = [known[w] for w in words]
+        except KeyError:
+            for w in words:
+                if w not in known:
+                    known[w] = self._of_word(w)
+            found = [known[w] for w in words]
+        return np.frombuffer(b"".join(found), np.uint32)
 
 
 def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -66,18 +95,11 @@ def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[tuple] = []
-            at = 0
-            while at < len(texts):
-                size, end = 0, at
-                while end < len(texts) and (end == at or size + len(texts[end]) < 1 << 20):
-                    size += len(texts[end])
-                    end += 1
-                for doc_id, ids in zip(ids_of[at:end], encode(texts[at:end]), strict=True):
-                    ids = np.append(ids, np.uint32(end_id))
-                    for s in range(0, len(ids), window):
-                        piece = ids[s : s + window]
-                        rows.append((doc_id, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-                at = end
+            for doc_id, text in zip(ids_of, texts, strict=True):
+                ids = np.append(encode(text), np.uint32(end_id))
+                for s in range(0, len(ids), window):
+                    piece = ids[s : s + window]
+                    rows.append((doc_id, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
