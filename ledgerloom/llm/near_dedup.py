@@ -237,6 +237,18 @@ def _remaining(members: DataFrame, signatures: DataFrame, percent: int) -> DataF
     return met.select("sides").mapInArrow(run, "a long, b long").distinct()
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after the links: one link between two roots stands for all between their nodes."""
+    end = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    between = links.join(end("a"), "a").join(end("b"), "b").select(
+        F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")
+    ).where("a < b").distinct()
+    merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    return written(
+        roots.join(merged, "root", "left").select("node", F.coalesce("_top", "root").alias("root")), "near-roots"
+    )
+
+
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept of every row.
 
@@ -273,12 +285,11 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     degrees = written(buckets.groupBy("cls").agg(F.sum("n").alias("met")), "near-degrees")
     buckets = buckets.drop("n")
     sets = _sets_of(docs, classes, buckets.select("cls").distinct(), n)
-    links = None
-    roots = buckets.select("cls").distinct().select(F.col("cls").alias("node"), F.col("cls").alias("root"))
+    roots = written(
+        buckets.select("cls").distinct().select(F.col("cls").alias("node"), F.col("cls").alias("root")), "near-roots"
+    )
     for turn in range(STAR_ROUNDS):
-        members = buckets.join(degrees, "cls").join(
-            roots.select(F.col("node").alias("cls"), "root"), "cls", "left"
-        ).select("key", "cls", "met", F.coalesce("root", "cls").alias("root"))
+        members = buckets.join(degrees, "cls").join(roots.withColumnRenamed("node", "cls"), "cls")
         # First the member that meets most others, which is the one that the others were made from; then by draw.
         draw = -F.col("met") if turn == 0 else F.xxhash64("cls", F.lit(turn))
         stars = members.groupBy("key").agg(
@@ -288,17 +299,12 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
         tried = members.join(stars, "key").where("root <> star.root").groupBy("cls").agg(
             F.min("star").alias("star")
         ).select(F.least("cls", "star.cls").alias("a"), F.greatest("cls", "star.cls").alias("b")).distinct()
-        found = _confirmed(tried, sets, percent)
-        links = written(found if links is None else links.unionByName(found), "near-links")
-        roots = components(links)
-    members = buckets.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
-        "key", "cls", F.coalesce("root", "cls").alias("root")
-    )
+        roots = _joined(roots, _confirmed(tried, sets, percent))
+    members = buckets.join(roots.withColumnRenamed("node", "cls"), "cls").select("key", "cls", "root")
     members = written(_across(members).drop("n"), "near-members")
     able = written(_able(members, sets, percent), "near-able")
     rest = written(_remaining(able, classes.select("cls", "signature"), percent), "near-rest")
-    links = written(links.unionByName(_confirmed(rest, sets, percent)), "near-links")
-    roots = components(links)
+    roots = _joined(roots, _confirmed(rest, sets, percent))
     placed = classes.select("cls", *name, "doc_id").join(roots, F.col("cls") == F.col("node"), "left")
     placed = written(placed.select(*name, "cls", "doc_id", F.coalesce("root", "cls").alias("root")), "near-placed")
     lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
