@@ -19,8 +19,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Determinised states, and pieces, that a worker remembers; it forgets all when it has that many.
 MEMORY_STATES = 400_000
 MEMORY_PIECES = 600_000
-#: Text handled at once.
-CHUNK_CHARS = 1 << 20
+#: Undecided bytes from which on a state looks for settled boundaries; most pieces end before.
+LOOKAHEAD = 24
 
 
 def default_ranks() -> str:
@@ -57,8 +57,9 @@ class Transducer:
         self.memory = memory
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.begins = {k[:n] for k in ranks for n in range(1, len(k))}
+        self.ends = {k[-n:] for k in ranks for n in range(1, len(k) + 1)}
         self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self._reset()
 
@@ -96,9 +97,9 @@ class Transducer:
     def _follows(self, left: int, right: int) -> bool:
         if left < 0:
             return True
-        key = (left, right)
+        key = left << 24 | right
         if key not in self.pairs:
-            if len(self.pairs) > self.memory:
+            if len(self.pairs) > 2 * self.memory:
                 self.pairs.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
             self.pairs[key] = self._merged(a + b) == [a, b]
@@ -106,21 +107,27 @@ class Transducer:
 
     def _last(self, before: int, rest: bytes, lasts: tuple[int, ...]) -> int:
         """Last token of the whole of ``rest``, given the last tokens of its shorter prefixes."""
-        n = len(rest)
-        for length in range(min(n, self.longest), 0, -1):
-            token = self.ranks.get(rest[n - length :])
-            if token is not None and self._stands(token):
-                left = before if length == n else lasts[n - length - 1]
-                if self._follows(left, token):
-                    return token
+        n, ranks, ends = len(rest), self.ranks, self.ends
+        found = []
+        for at in range(n - 1, -1, -1):
+            tail = rest[at:]
+            if tail not in ends:
+                break
+            if tail in ranks:
+                found.append((at, ranks[tail]))
+        for at, token in reversed(found):
+            if self._stands(token) and self._follows(lasts[at - 1] if at else before, token):
+                return token
         raise ValueError("the vocabulary lacks a byte")
 
     def _arc(self, number: int, byte: int) -> tuple[tuple[int, ...], int]:
         before, rest, lasts = self.states[number]
         rest += bytes((byte,))
         lasts += (self._last(before, rest, lasts),)
-        size = lambda t: len(self.bytes_of[t])
         n = len(rest)
+        if n < LOOKAHEAD:
+            return (), self._number(before, rest, lasts)
+        size = lambda t: len(self.bytes_of[t])
         live = [j for j in range(max(0, n - self.longest + 1), n) if rest[j:] in self.begins] + [n]
         # Go back from the last live boundary; what all the others also pass is settled.
         ways = []
