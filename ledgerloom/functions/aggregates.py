@@ -29,8 +29,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str) -> Data
     NULL and NaN are ignored. Should a bracket ever miss the middle the job fails: it never
     returns a guess.
 
-    ``keys`` must have few distinct combinations by design (rules x models), since the bracket
-    table, one row per group, is broadcast.
+    A NULL key is a group of its own, and infinities are values like others.
     """
     v = F.col(value)
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"))
@@ -38,14 +37,19 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str) -> Data
         F.percentile_approx("_v", [0.498, 0.502], 10000).alias("_b"),
         F.count("_v").alias("_total"),
     ).select(*keys, "_total", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    own = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
     counted = (
-        rows.join(F.broadcast(bracket), keys)
+        rows.join(bracket.select(*own, "_total", "_lo", "_hi"), same)
         .where(F.col("_v") <= F.col("_hi"))
-        .withColumn("_v", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).otherwise(float("-inf")))
-        .groupBy(*keys, "_total", "_v")
+        .withColumn("_below", F.col("_v") < F.col("_lo"))
+        .withColumn("_v", F.when(~F.col("_below"), F.col("_v")))
+        .groupBy(*keys, "_total", "_below", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    running = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_v"))
+    running = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.desc("_below"), "_v"))
     total = F.col("_total")
     lower_rank = F.floor((total + 1) / 2)
     upper_rank = F.floor(total / 2) + 1
@@ -55,9 +59,10 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str) -> Data
         .agg(
             F.min(F.when(F.col("_cum") >= lower_rank, F.col("_v"))).alias("_a"),
             F.min(F.when(F.col("_cum") >= upper_rank, F.col("_v"))).alias("_z"),
+            F.max(F.col("_below") & (F.col("_cum") >= lower_rank)).alias("_short"),
         )
     )
-    missed = F.col("_a").isNull() | F.col("_z").isNull() | (F.col("_a") == float("-inf"))
+    missed = F.col("_a").isNull() | F.col("_z").isNull() | F.col("_short")
     return ends.select(
         *keys,
         F.when(missed, F.raise_error(F.lit("median bracket missed the middle")).cast("double"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import model_family
 from ledgerloom.operators.matrix import walk_forward_folds
+from ledgerloom.sources.io import written
 
 FINAL_FOLD = -1
 RIDGE_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
@@ -281,7 +282,16 @@ def pooled_fold_predictions(
     ``last_block`` rows (the newest test block scored by each fold's model) come with ``block`` =
     'last', the fold's own test rows with 'test'. The matrix is read once per fold: pass a stored one.
     """
-    folds = walk_forward_folds(routed(matrix, family), n_splits, test_size)
+    mine = routed(matrix, family)
+    # Narrow rows with the fold's tags, written once: each fit passes over its rows many times.
+    folds = written(
+        walk_forward_folds(mine, n_splits, test_size).select("account_id", "fold", "role", "pos", "y", "x_pooled"),
+        "pooled-folds",
+    )
+    last = written(
+        mine.where(F.col("pos") >= F.col("n_rows") - test_size).select("account_id", "pos", "y", "x_pooled"),
+        "pooled-last",
+    )
     out = None
     for fold in range(n_splits):
         rows = folds.where(F.col("fold") == fold)
@@ -289,12 +299,11 @@ def pooled_fold_predictions(
         if train.isEmpty():  # no account has a history long enough for this fold or older ones
             break
         model = POOLED_FITS[family](train, **parameters)
-        newest = routed(matrix, family).where(F.col("pos") >= F.col("n_rows") - test_size)
         eligible = rows.select("account_id").distinct()
         scored = pooled_predictions(model, rows.where(F.col("role") == "test")).withColumn(
             "block", F.lit("test")
         ).unionByName(
-            pooled_predictions(model, newest.join(eligible, "account_id", "left_semi"))
+            pooled_predictions(model, last.join(eligible, "account_id", "left_semi"))
             .withColumns({"fold": F.lit(fold), "role": F.lit("test"), "block": F.lit("last")})
         ).select("account_id", "fold", "pos", "y", "yhat", "block")
         out = scored if out is None else out.unionByName(scored)

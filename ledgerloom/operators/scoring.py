@@ -88,11 +88,12 @@ def training_report(
 # --- model store ------------------------------------------------------------------------------------
 
 def save_models(models: DataFrame, path: str, run_stamp: str) -> str:
-    """Append the final fits of a run as one ``run_stamp`` partition."""
+    """Write the final fits of a run as one ``run_stamp`` partition; saving a stamp again replaces it."""
     (
         models.where(F.col("fold") == FINAL_FOLD)
         .withColumn("run_stamp", F.lit(run_stamp))
-        .write.mode("append").partitionBy("run_stamp").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_stamp").parquet(path)
     )
     return path
 
@@ -139,8 +140,8 @@ def batch_score(
 
     ``replay`` scores the last observed week, whose amount is already known (reference behaviour).
     ``next`` adds the following week from ``calendar`` and ``macro`` and scores that one. Accounts
-    routed to a family of ``pooled`` (family -> fitted model) use that model, all others the ridge
-    table. A model fitted under another feature mode than today's policy asks for does not match.
+    routed to a family of ``pooled`` (family -> fitted model) use that model, those routed to ridge the
+    ridge table; an account whose family has no model gets no regression row. A model fitted under another feature mode than today's policy asks for does not match.
     """
     if mode == "next":
         features = with_next_week(features, calendar, macro)
@@ -160,7 +161,7 @@ def batch_score(
         fitted = models.drop("fold", "n_train").withColumnRenamed("mode", mode_col)
         return rows.join(fitted, ["account_id", mode_col])
 
-    linear = newest.where(~model_family(F.col("regression_model")).isin(*pooled))
+    linear = newest.where(model_family(F.col("regression_model")) == "ridge")
     out = stored(linear, ridge, "mode_reg").select(*row(
         "regression", "mode_reg", F.lit("ridge"), linear_prediction(F.col("x_reg"))
     )).unionByName(stored(newest, logistic, "mode_clf").select(*row(

@@ -212,7 +212,8 @@ def _adf_batch(series: pd.Series) -> pd.DataFrame:
 
 def _with_adf(moments: DataFrame) -> DataFrame:
     series = F.when(F.col("n_missing") == 0, F.col("series"))
-    return moments.withColumn("_adf", _adf_batch(series)).select(
+    # Marked so that a filter on the result is not pushed below it as a second test of all rows.
+    return moments.withColumn("_adf", _adf_batch.asNondeterministic()(series)).select(
         "*", "_adf.adf_statistic", "_adf.adf_pvalue"
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.aggregates import keep_one
 from ledgerloom.functions.columns import monday, ratio
 
 # Row order inside an account. An account with two sectors has two rows in one week; the sector
@@ -24,7 +25,8 @@ def account_window() -> Window:
 def weekly_cashflow(transactions: DataFrame, account_sector: DataFrame | None = None) -> DataFrame:
     """Sum and non-null count of amounts per account, Monday week and sector.
 
-    With ``account_sector`` (account_id, sector; one row per account) the transactions are summed
+    With ``account_sector`` (account_id, sector; of several rows the one whose sector sorts first, and
+    a NULL sector for accounts without one, so no amount is lost or doubled) the transactions are summed
     first and only the weekly rows meet the dimension: the join then moves weeks instead of
     transactions, and an account that holds a third of all transactions is no hot key any more.
     """
@@ -36,7 +38,9 @@ def weekly_cashflow(transactions: DataFrame, account_sector: DataFrame | None =
     if account_sector is None:
         out = dated.groupBy("account_id", "week", "sector").agg(*sums)
     else:
-        out = dated.groupBy("account_id", "week").agg(*sums).join(account_sector, "account_id")
+        out = dated.groupBy("account_id", "week").agg(*sums).join(
+            keep_one(account_sector.select("account_id", "sector"), ["account_id"], ["sector"]), "account_id", "left"
+        )
     return out.select("account_id", "week", "sector", "total_amount", "transaction_count")
 
 

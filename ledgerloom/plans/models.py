@@ -296,14 +296,14 @@ def _evaluate(spark, sf):
 
 
 def _report(spark, sf):
-    """Ridge accounts over three folds; the pooled families over the newest fold."""
+    """Every family over three folds."""
     rows = stored_matrix(spark, sf)
     linear = mo.routed(rows, "ridge")
     ridge = io.written(mo.fit_ridge(linear), "ridge")
     logistic = io.written(mo.fit_logistic(rows), "logistic")
     regression = sc.ridge_predictions(mx.walk_forward_folds(linear), ridge).unionByName(
-        mo.pooled_fold_predictions(rows, "rf", n_splits=1)
-    ).unionByName(mo.pooled_fold_predictions(rows, "lgbm", n_splits=1))
+        mo.pooled_fold_predictions(rows, "rf")
+    ).unionByName(mo.pooled_fold_predictions(rows, "lgbm"))
     return sc.training_report(rows, regression, logistic, "20240101-000000", "models")
 
 
@@ -321,21 +321,21 @@ def _score(mode: str):
         features = io.written(ml_features(spark, sf), "features")
         policy = fx.demo_policy(spark, sf)
         rows = io.written(mx.ml_matrix(features, policy), "matrix")
-        forest = mo.fit_forest(mo.routed(rows, "rf"))
+        pooled = {family: fit(mo.routed(rows, family)) for family, fit in mo.POOLED_FITS.items()}
         return sc.batch_score(
             features, policy, mo.fit_ridge(rows, n_splits=0), mo.fit_logistic(rows, n_splits=0),
-            mode, fx.calendar(spark, sf), fx.macro(spark, sf), {"rf": forest},
+            mode, fx.calendar(spark, sf), fx.macro(spark, sf), pooled,
         )
 
     return run
 
 
 def _pooled(family: str):
-    """Model of one family's accounts trained on the newest fold's history, scored on its test block."""
+    """Models of one family's accounts trained on each fold's history, scored on its test block."""
 
     def run(spark, sf):
         rows = stored_matrix(spark, sf)
-        return mo.pooled_fold_predictions(rows, family, n_splits=1).where("block = 'test'")
+        return mo.pooled_fold_predictions(rows, family).where("block = 'test'")
 
     return run
 

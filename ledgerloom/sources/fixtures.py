@@ -51,15 +51,9 @@ SYMBOLS = (
 SUBSTITUTE = "3-MEDIUM"
 
 
-_known_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its footer is read for the schema once per path, not once per use."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _known_schemas:
-        _known_schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_known_schemas[path]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def element(names: tuple[str, ...], index: Column) -> Column:

@@ -308,3 +308,21 @@ def test_hot_account_sums_before_the_join(spark):
     eager = wk.weekly_cashflow(tx, dim)
     direct = wk.weekly_cashflow(tx.join(dim, "account_id"))
     assert sorted(map(tuple, eager.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_median_keeps_null_group_and_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame(
+        [(None, 1.0), (None, 3.0), ("a", -inf), ("a", -inf), ("a", 2.0), ("b", inf), ("b", 1.0), ("b", inf)], "k string, v double"
+    )
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    assert got == {None: 2.0, "a": -inf, "b": inf}
+
+
+def test_weekly_keeps_accounts_without_dimension(spark):
+    tx = spark.createDataFrame(
+        [("a", "1995-01-03 10:00:00", 5.0), ("b", "1995-01-03 10:00:00", 7.0)], "account_id string, op_ts string, amount double"
+    ).selectExpr("account_id", "cast(op_ts as timestamp) op_ts", "amount")
+    dim = spark.createDataFrame([("a", "retail"), ("a", "mixed")], "account_id string, sector string")
+    got = {(r.account_id, r.sector, r.total_amount) for r in wk.weekly_cashflow(tx, dim).collect()}
+    assert got == {("a", "mixed", 5.0), ("b", None, 7.0)}
