@@ -154,8 +154,9 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) ->
     return sets.dropDuplicates(["cls"]) if sets.count() > rows.count() else sets
 
 
-def _alike(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left[:, None, :] != right[None, :, :]).sum(axis=2, dtype=np.int16) <= MOST_DIFFERENT
+def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Slots in which each two signatures differ."""
+    return (left[:, None, :] != right[None, :, :]).sum(axis=2, dtype=np.int16)
 
 
 def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -191,11 +192,11 @@ def _across(members: DataFrame) -> DataFrame:
     return members.join(sizes, "key")
 
 
-def _remaining(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+def _remaining(members: DataFrame, signatures: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs of a bucket's members in different components that may be linked.
 
     Their signatures are near, and shingles that other members have suffice for the overlap. A bucket is cut into blocks of at most about BLOCK members; every two blocks meet in a row of
-    their own, and only near pairs leave it.
+    their own, and only near pairs leave it; with ``nearest``, only each member's nearest.
     """
     dealt = _across(members).withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
         "mine", F.pmod(F.xxhash64("cls", "key"), F.col("blocks"))
@@ -227,8 +228,17 @@ def _remaining(members: DataFrame, signatures: DataFrame, percent: int) -> DataF
                     may = (root[some, None] != root2[None, :]) & (
                         100 * most >= percent * (size[some, None] + size2[None, :] - most)
                     )
-                    i, j = np.nonzero(may & _alike(signs[some], signs2)) if may.any() else ((), ())
-                    found.append((cls[at + np.array(i, int)], cls2[np.array(j, int)]))
+                    if not may.any():
+                        continue
+                    apart = np.where(may, _differing(signs[some], signs2), SLOTS + 1)
+                    near = apart <= MOST_DIFFERENT
+                    if nearest:
+                        near &= apart == apart.min(axis=1, keepdims=True)
+                        first = np.zeros_like(near)
+                        first[np.arange(len(near)), near.argmax(axis=1)] = True
+                        near &= first
+                    i, j = np.nonzero(near)
+                    found.append((cls[at + i], cls2[j]))
             a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
             b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -260,7 +270,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
        by draw, is tried against every other that is in another component; each class tries the
        best of those its buckets offer, so it is one pair a class and round.
     2. All pairs in a bucket that are still in different components are compared by signature,
-       block against block, and the near ones confirmed, but for texts whose rarest shingles, and
+       block against block, and the near ones confirmed (first each text's nearest, twice), but for texts whose rarest shingles, and
        pairs whose shingles without company, show that they have no link. So no candidate link is left out; what is
        skipped are pairs that are known to be connected or known not to be linked.
 
@@ -300,11 +310,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
             F.min("star").alias("star")
         ).select(F.least("cls", "star.cls").alias("a"), F.greatest("cls", "star.cls").alias("b")).distinct()
         roots = _joined(roots, _confirmed(tried, sets, percent))
-    members = buckets.join(roots.withColumnRenamed("node", "cls"), "cls").select("key", "cls", "root")
-    members = written(_across(members).drop("n"), "near-members")
-    able = written(_able(members, sets, percent), "near-able")
-    rest = written(_remaining(able, classes.select("cls", "signature"), percent), "near-rest")
-    roots = _joined(roots, _confirmed(rest, sets, percent))
+    # Twice each member's nearest of a block, which joins most of what is linked; then all that is left.
+    for nearest in (True, True, False):
+        members = buckets.join(roots.withColumnRenamed("node", "cls"), "cls").select("key", "cls", "root")
+        members = written(_across(members).drop("n"), "near-members")
+        able = written(_able(members, sets, percent), "near-able")
+        rest = written(_remaining(able, classes.select("cls", "signature"), percent, nearest), "near-rest")
+        roots = _joined(roots, _confirmed(rest, sets, percent))
     placed = classes.select("cls", *name, "doc_id").join(roots, F.col("cls") == F.col("node"), "left")
     placed = written(placed.select(*name, "cls", "doc_id", F.coalesce("root", "cls").alias("root")), "near-placed")
     lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
