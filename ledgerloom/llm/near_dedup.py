@@ -24,14 +24,13 @@ SHINGLE = 5
 CHUNKS = 12
 CHUNK_SLOTS = 8
 SLOTS = CHUNKS * CHUNK_SLOTS
-#: Slots in which two signatures of texts this alike may differ: at 0.8, mean 19.2 and standard
-#: deviation 3.9; beyond mean and five deviations a candidate is not confirmed on full sets.
-MOST_DIFFERENT = 39
 #: Rounds in which a bucket's members are tried against one of them before all remaining pairs are.
 STAR_ROUNDS = 2
-#: Members of one block of a bucket; pairs of blocks are compared in separate rows.
+#: Members, and shingles of all members, of one block of a bucket; pairs of blocks meet in separate rows.
 BLOCK = 256
-MEMBER = ("cls", "root", "size", "held", "signature")
+BLOCK_SHINGLES = 1 << 18
+#: Shingles in one product of incidence matrices.
+WIDTH = 4096
 
 _A = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 _B = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
@@ -154,15 +153,10 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) ->
     return sets.dropDuplicates(["cls"]) if sets.count() > rows.count() else sets
 
 
-def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Slots in which each two signatures differ."""
-    return (left[:, None, :] != right[None, :, :]).sum(axis=2, dtype=np.int16)
-
-
 def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members that may have a link to another component, with the sizes that bound their overlaps.
+    """The members that may have a link to another component, with what their overlaps need.
 
-    ``size`` counts a member's shingles, ``held`` those that other members have too.
+    ``size`` counts a member's shingles; ``held`` are those that other members have too, sorted.
 
     Two sets that reach ``percent`` share a shingle among the first ``size - percent of size + 1`` of
     each in any common order. Ordered by how many of the members have them, a text's own edits come
@@ -172,7 +166,7 @@ def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     each = nodes.join(sets, "cls").select("cls", "root", F.explode("shingles").alias("s"))
     common = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     ordered = each.join(common, "s").groupBy("cls", "root").agg(
-        F.array_sort(F.collect_list(F.struct("n", "s"))).alias("all"), F.count_if(F.col("n") > 1).alias("held")
+        F.array_sort(F.collect_list(F.struct("n", "s"))).alias("all")
     )
     ordered = written(ordered, "near-ordered")
     size = F.size("all")
@@ -180,31 +174,86 @@ def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = written(ordered.select("cls", "root", F.explode(rare).alias("r")).where("r.n > 1").select("cls", "root", "r.s"), "near-rare")
     shared = first.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     able = first.join(shared.select("s"), "s", "left_semi").select("cls").distinct()
-    sized = ordered.select("cls", F.size("all").alias("size"), "held").join(able, "cls")
+    held = F.transform(F.filter("all", lambda x: x["n"] > 1), lambda x: x["s"])
+    sized = ordered.select(
+        "cls", F.size("all").cast("long").alias("size"), F.array_sort(held).alias("held")
+    ).join(able, "cls")
     return members.join(sized, "cls")
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with the bucket's size."""
-    sizes = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
-    ).where("low < high").select("key", "n")
-    return members.join(sizes, "key")
+    """Members of buckets that hold several components; of buckets with the same members, one."""
+    kinds = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.bit_xor(F.xxhash64("cls")).alias("one"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
+    ).where("low < high")
+    return members.join(kinds.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+class _Side:
+    """One block of a bucket: roots, sizes and held shingles of its members."""
+
+    def __init__(self, members: pa.StructArray):
+        self.root, self.size = (members.field(n).to_numpy(zero_copy_only=False) for n in ("root", "size"))
+        held = members.field("held")
+        self.flat = held.flatten().to_numpy(zero_copy_only=False)
+        self.counts = held.value_lengths().to_numpy(zero_copy_only=False)
+        self.row = np.repeat(np.arange(len(self.root)), self.counts)
+
+    def incidence(self, names: np.ndarray) -> np.ndarray:
+        """1 where a member (row) has the shingle (column) of the sorted ``names``."""
+        at = np.minimum(np.searchsorted(names, self.flat), len(names) - 1)
+        there = names[at] == self.flat
+        out = np.zeros((len(self.root), len(names)), np.float32)
+        out[self.row[there], at[there]] = 1
+        return out
+
+
+def _linked_roots(left: _Side, right: _Side, percent: int) -> list[tuple[int, int]]:
+    """Pairs of roots that links between the two blocks connect, without those that others imply."""
+    sizes = left.size[:, None] + right.size[None, :]
+    most = np.minimum(left.counts[:, None], right.counts[None, :])
+    may = (left.root[:, None] != right.root[None, :]) & (100 * most >= percent * (sizes - most))
+    if not may.any():
+        return []
+    names, met = np.intersect1d(left.flat, right.flat), np.zeros(may.shape, np.float32)
+    for at in range(0, len(names), WIDTH):
+        some = names[at : at + WIDTH]
+        met += left.incidence(some) @ right.incidence(some).T
+    met = met.astype(np.int64)
+    i, j = np.nonzero(may & (100 * met >= percent * (sizes - met)))
+    ends = np.sort(np.stack([left.root[i], right.root[j]], axis=1), axis=1)
+    top: dict[int, int] = {}
+    out = []
+    for a, b in np.unique(ends, axis=0).tolist():
+        x, y = a, b
+        while x in top:
+            x = top[x]
+        while y in top:
+            y = top[y]
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
 
 
-def _remaining(members: DataFrame, signatures: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of a bucket's members in different components that may be linked.
+def _remaining(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): roots that links between members of one bucket connect.
 
-    Their signatures are near, and shingles that other members have suffice for the overlap. A bucket is cut into blocks of at most about BLOCK members; every two blocks meet in a row of
-    their own, and only near pairs leave it; with ``nearest``, only each member's nearest.
+    A bucket is cut into blocks of about BLOCK members or BLOCK_SHINGLES shingles; every two blocks meet
+    in a row of their own, which counts the overlaps of all their pairs exactly and lets out no more
+    pairs of roots than it has members.
     """
-    dealt = _across(members).withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
-        "mine", F.pmod(F.xxhash64("cls", "key"), F.col("blocks"))
+    size = F.size("held")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("all")).select(
+        "key", F.greatest(F.lit(1), F.least("n", F.greatest(
+            F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)
+        ))).alias("blocks"),
+    )
+    dealt = members.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")))
+    packed = dealt.groupBy("key", "blocks", "mine").agg(
+        F.collect_list(F.struct("root", "size", "held")).alias("members")
     )
-    dealt = written(dealt.join(signatures, "cls").select(
-        "key", "blocks", "mine", *MEMBER,
-    ), "near-dealt")
-    packed = dealt.groupBy("key", "blocks", "mine").agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
     # Each block once for every block it meets: (lower, upper) of the two.
     met = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
         "low": F.least("mine", "other"), "high": F.greatest("mine", "other"),
@@ -214,35 +263,14 @@ def _remaining(members: DataFrame, signatures: DataFrame, percent: int, nearest:
 
     def run(batches):
         for batch in batches:
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for sides in batch.column(0).to_pylist():
-                parts = [
-                    (*(np.array([m[k] for m in side], np.int64) for k in MEMBER[:-1]),
-                     np.frombuffer(b"".join(m["signature"] for m in side), np.uint16).reshape(-1, SLOTS))
-                    for side in sides
-                ]
-                (cls, root, size, held, signs), (cls2, root2, size2, held2, signs2) = parts[0], parts[-1]
-                for at in range(0, len(cls), 64):
-                    some = slice(at, at + 64)
-                    most = np.minimum(held[some, None], held2[None, :])
-                    may = (root[some, None] != root2[None, :]) & (
-                        100 * most >= percent * (size[some, None] + size2[None, :] - most)
-                    )
-                    if not may.any():
-                        continue
-                    apart = np.where(may, _differing(signs[some], signs2), SLOTS + 1)
-                    near = apart <= MOST_DIFFERENT
-                    if nearest:
-                        near &= apart == apart.min(axis=1, keepdims=True)
-                        first = np.zeros_like(near)
-                        first[np.arange(len(near)), near.argmax(axis=1)] = True
-                        near &= first
-                    i, j = np.nonzero(near)
-                    found.append((cls[at + i], cls2[j]))
-            a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-            b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            found = []
+            for row in range(batch.num_rows):
+                sides = batch.column(0)[row].values
+                left = _Side(sides[0].values)
+                right = left if len(sides) == 1 else _Side(sides[1].values)
+                found += _linked_roots(left, right, percent)
+            ends = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     return met.select("sides").mapInArrow(run, "a long, b long").distinct()
 
@@ -250,9 +278,13 @@ def _remaining(members: DataFrame, signatures: DataFrame, percent: int, nearest:
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) after the links: one link between two roots stands for all between their nodes."""
     end = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-    between = links.join(end("a"), "a").join(end("b"), "b").select(
+    return _merged(roots, links.join(end("a"), "a").join(end("b"), "b").select(
         F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")
-    ).where("a < b").distinct()
+    ).where("a < b").distinct())
+
+
+def _merged(roots: DataFrame, between: DataFrame) -> DataFrame:
+    """(node, root) after links (a, b) between roots."""
     merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("_top"))
     return written(
         roots.join(merged, "root", "left").select("node", F.coalesce("_top", "root").alias("root")), "near-roots"
@@ -269,10 +301,10 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
     1. In each bucket of equal chunk keys one member, the one that meets most others and then one
        by draw, is tried against every other that is in another component; each class tries the
        best of those its buckets offer, so it is one pair a class and round.
-    2. All pairs in a bucket that are still in different components are compared by signature,
-       block against block, and the near ones confirmed (first each text's nearest, twice), but for texts whose rarest shingles, and
-       pairs whose shingles without company, show that they have no link. So no candidate link is left out; what is
-       skipped are pairs that are known to be connected or known not to be linked.
+    2. All pairs in a bucket that are still in different components have their overlap counted, block
+       against block, but for texts whose rarest shingles, and pairs whose shingles without company,
+       show that they have no link. So no candidate link is left out; what is skipped are pairs that
+       are known to be connected or known not to be linked.
 
     Rows with fewer words than ``n`` have their words as one shingle; rows without words are linked
     with nothing. Null texts are empty. A null doc_id is never a component_id unless all of its
@@ -310,13 +342,10 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -
             F.min("star").alias("star")
         ).select(F.least("cls", "star.cls").alias("a"), F.greatest("cls", "star.cls").alias("b")).distinct()
         roots = _joined(roots, _confirmed(tried, sets, percent))
-    # Twice each member's nearest of a block, which joins most of what is linked; then all that is left.
-    for nearest in (True, True, False):
-        members = buckets.join(roots.withColumnRenamed("node", "cls"), "cls").select("key", "cls", "root")
-        members = written(_across(members).drop("n"), "near-members")
-        able = written(_able(members, sets, percent), "near-able")
-        rest = written(_remaining(able, classes.select("cls", "signature"), percent, nearest), "near-rest")
-        roots = _joined(roots, _confirmed(rest, sets, percent))
+    members = buckets.join(roots.withColumnRenamed("node", "cls"), "cls").select("key", "cls", "root")
+    able = _able(written(_across(members), "near-members"), sets, percent)
+    able = written(_across(able), "near-able")
+    roots = _merged(roots, written(_remaining(able, percent), "near-rest"))
     placed = classes.select("cls", *name, "doc_id").join(roots, F.col("cls") == F.col("node"), "left")
     placed = written(placed.select(*name, "cls", "doc_id", F.coalesce("root", "cls").alias("root")), "near-placed")
     lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
