@@ -46,23 +46,41 @@ def irregular_features(panel: DataFrame) -> DataFrame:
 def ewm_features(panel: DataFrame, spans=EWM_SPANS) -> DataFrame:
     """Recursive exponentially weighted means (alpha = 2 / (span + 1)), started at the first amount.
 
-    A recursion has no window form; one Arrow call per account runs it over the account's weeks.
+    A recursion has no window form: one aggregation orders an account's weeks (bounded by the
+    calendar) and a fold over that array runs it. A missing amount repeats the mean and fades its
+    weight, so that the next amount counts for more.
     """
-    names = [f"ewm_{s}" for s in spans]
-
-    def per_account(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["week", "sector"])
-        for span, name in zip(spans, names):
-            rows[name] = rows["total_amount"].ewm(span=span, adjust=False).mean()
-        return rows
+    point = F.struct("week", "sector", F.col("total_amount").cast("double").alias("total_amount"))
+    series = panel.groupBy("account_id").agg(F.array_sort(F.collect_list(point)).alias("_points"))
+
+    def smoothed(span: int) -> Column:
+        alpha = 2.0 / (span + 1)
+
+        def step(acc: Column, at: Column) -> Column:
+            x = F.nanvl(at["total_amount"], F.lit(None).cast("double"))
+            old = acc["weight"] * (1 - alpha)
+            mean = (
+                F.when(x.isNull(), acc["mean"]).when(acc["mean"].isNull(), x)
+                .otherwise((old * acc["mean"] + alpha * x) / (old + alpha))
+            )
+            return F.struct(
+                mean.alias("mean"), F.when(x.isNull(), old).otherwise(1.0).alias("weight"),
+                F.concat(acc["means"], F.array(mean)).alias("means"),
+            )
+
+        start = F.struct(
+            F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("weight"),
+            F.array().cast("array<double>").alias("means"),
+        )
+        return F.aggregate("_points", start, step, lambda acc: acc["means"])
 
-    schema = "account_id string, week date, sector string, total_amount double, " + ", ".join(
-        f"{n} double" for n in names
-    )
-    return (
-        panel.select("account_id", "week", "sector", "total_amount")
-        .groupBy("account_id")
-        .applyInPandas(per_account, schema)
+    names = [f"ewm_{s}" for s in spans]
+    folded = series.withColumns({n: smoothed(s) for s, n in zip(spans, names)})
+    return folded.select(
+        "account_id", F.explode(F.arrays_zip("_points", *names)).alias("_row")
+    ).select(
+        "account_id", *(f"_row._points.{c}" for c in ("week", "sector", "total_amount")),
+        *(f"_row.{n}" for n in names),
     )
 
 

@@ -326,3 +326,21 @@ def test_weekly_keeps_accounts_without_dimension(spark):
     dim = spark.createDataFrame([("a", "retail"), ("a", "mixed")], "account_id string, sector string")
     got = {(r.account_id, r.sector, r.total_amount) for r in wk.weekly_cashflow(tx, dim).collect()}
     assert got == {("a", "mixed", 5.0), ("b", None, 7.0)}
+
+
+def test_ewm_repeats_the_mean_over_missing_amounts(spark):
+    import pandas as pd
+
+    from ledgerloom.operators.experiments import EWM_SPANS, ewm_features
+
+    amounts = {"a": [None, 4.0, None, None, -2.0, 7.0], "b": [None, None], "c": [3.0]}
+    rows = [
+        (k, MONDAY + dt.timedelta(weeks=i), "retail", x)
+        for k, xs in amounts.items() for i, x in enumerate(xs)
+    ]
+    panel = spark.createDataFrame(rows[::-1], "account_id string, week date, sector string, total_amount double")
+    got = ewm_features(panel).toPandas().sort_values(["account_id", "week"])
+    for span in EWM_SPANS:
+        want = [v for xs in amounts.values() for v in pd.Series(xs, dtype=float).ewm(span=span, adjust=False).mean()]
+        assert got[f"ewm_{span}"].tolist() == pytest.approx(want, nan_ok=True)
+    assert ewm_features(panel.where("false")).count() == 0
