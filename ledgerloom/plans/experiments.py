@@ -218,51 +218,57 @@ register(
 _DRAW = "CAST(CAST('0x' || substr(md5(concat_ws('|', account_id, CAST(week AS VARCHAR), '{}', '42')), 1, 8) AS UBIGINT) AS DOUBLE) / 4294967296.0"
 
 
-def _degraded(condition: str, expression: str):
-    columns = ", ".join(f"{expression.format(k=k, w=ACCOUNT, draw=_DRAW.format(k))} AS {k}" for k in S.MACRO_KEYS)
+_U, _V = (
+    "CAST(CAST('0x' || substr(md5(concat_ws('|', account_id, CAST(week AS VARCHAR), '{k}', '42', '%s')), 1, 8)"
+    " AS UBIGINT) AS DOUBLE) / 4294967296.0" % part for part in "uv"
+)
+_WORSE = {
+    "A_perfect": "{k}",
+    "B_lag1w": "lag({k}, 1) OVER ({w})",
+    "C_lag3w": "lag({k}, 3) OVER ({w})",
+    "D_noisy30": "{k} + 0.3 * stddev_pop({k}) OVER (PARTITION BY account_id) * sqrt(-2 * ln(1 - "
+    + _U + ")) * cos(2 * pi() * " + _V + ")",
+    "E_missing20": "last_value(CASE WHEN {draw} >= 0.2 THEN {k} END IGNORE NULLS)"
+    " OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+}
+
+
+def _worse_sql(condition: str) -> str:
+    return ", ".join(
+        f"{_WORSE[condition].format(k=k, w=ACCOUNT, draw=_DRAW.format(k))} AS {k}" for k in S.MACRO_KEYS)
+
+
+def _degraded(condition: str):
     register(
         f"degrade_{condition.lower()}",
         lambda s, d: ex.degrade_externals(ml_features(s, d), condition).select(
             *KEYS, *S.MACRO_KEYS, "is_ramadan"),
-        with_ctes(f"SELECT account_id, week, sector, {columns}, is_ramadan FROM ext", **_X),
+        with_ctes(f"SELECT account_id, week, sector, {_worse_sql(condition)}, is_ramadan FROM ext", **_X),
         **{k: 8 for k in S.MACRO_KEYS},
     )
 
 
-_degraded("B_lag1w", "lag({k}, 1) OVER ({w})")
-_degraded("C_lag3w", "lag({k}, 3) OVER ({w})")
-_degraded(
-    "E_missing20",
-    "last_value(CASE WHEN {draw} >= 0.2 THEN {k} END IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
-)
-_U, _V = (
-    "CAST(CAST('0x' || substr(md5(concat_ws('|', account_id, CAST(week AS VARCHAR), '{k}', '42', '%s')), 1, 8)"
-    " AS UBIGINT) AS DOUBLE) / 4294967296.0" % part for part in "uv"
-)
-_degraded(
-    "D_noisy30",
-    "{k} + 0.3 * stddev_pop({k}) OVER (PARTITION BY account_id) * sqrt(-2 * ln(1 - "
-    + _U + ")) * cos(2 * pi() * " + _V + ")",
-)
+for _condition in list(_WORSE)[1:]:
+    _degraded(_condition)
 
 
 def _all_conditions(spark, sf):
-    """The undegraded and lagged conditions on one stored table, a labelled copy of the panel each."""
+    """Every condition on one stored table, a labelled copy of the panel each."""
     features = io.written(ml_features(spark, sf), "features")
-    parts = [
-        ex.degrade_externals(features, c).select(F.lit(c).alias("condition"), *KEYS, "oil_price_z", "is_ramadan")
-        for c in ("A_perfect", "B_lag1w", "C_lag3w")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = None
+    for condition in _WORSE:
+        part = ex.degrade_externals(features, condition).select(
+            F.lit(condition).alias("condition"), *KEYS, *S.MACRO_KEYS, "is_ramadan")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 register(
     "degrade_externals", _all_conditions,
     with_ctes(" UNION ALL ".join(
-        f"SELECT '{c}' AS condition, account_id, week, sector, {e} AS oil_price_z, is_ramadan FROM ext"
-        for c, e in (("A_perfect", "oil_price_z"), ("B_lag1w", f"lag(oil_price_z, 1) OVER ({ACCOUNT})"),
-                     ("C_lag3w", f"lag(oil_price_z, 3) OVER ({ACCOUNT})"))), **_X),
-    oil_price_z=8,
+        f"SELECT '{c}' AS condition, account_id, week, sector, {_worse_sql(c)}, is_ramadan FROM ext"
+        for c in _WORSE), **_X),
+    **{k: 8 for k in S.MACRO_KEYS},
 )
 register(
     "structural_break",

@@ -62,8 +62,7 @@ def _stale(spark, sf):
     """Fresh copies exist of two symbols only; the others must fall back to stale primaries."""
     feeds = fx.daily_feeds(spark, sf)
     fresh = feeds.where(F.col("symbol").isin("1-URGENT", "5-LOW"))
-    stale = feeds.where(F.year("day") < 1997)
-    return mac.pick_symbol(fx.symbols(spark), fresh, stale)
+    return mac.pick_symbol(fx.symbols(spark), fresh, feeds)
 
 
 register(
@@ -72,7 +71,7 @@ register(
         FROM feeds WHERE symbol = '1-URGENT'
       UNION ALL SELECT 'masi_index_z', symbol, 'yahoo_fallback:5-LOW', day, value FROM feeds WHERE symbol = '5-LOW'
       UNION ALL SELECT 'commodity_index_z', symbol, 'cache_stale', day, value FROM feeds
-        WHERE symbol = '2-HIGH' AND year(day) < 1997"""),
+        WHERE symbol = '2-HIGH'"""),
     value=6,
 )
 register("macro_source_pick", fx.macro_feed,

@@ -110,12 +110,10 @@ register("ml_roll", lambda s, d: mx.lag_moments(fx.weekly_smooth(s, d)).select(
          _window("rm AS roll_mean, ln(1 + rs) AS log_std"), roll_mean=8, log_std=9)
 register("series_index", lambda s, d: mx.series_index(fx.weekly_smooth(s, d)).select(*KEYS, "t", "phase"),
          _window("CAST(t AS INTEGER) AS t, CAST(t % 52 AS INTEGER) AS phase"))
+_EXT_LAGS = [f"{k}_{lag}" for k in S.EXTERNAL_KEYS for lag in ("t", "t1")]
 register(
-    "ext_lag",
-    lambda s, d: mx.external_lags(ml_features(s, d)).select(
-        *KEYS, "oil_price_z_t", "oil_price_z_t1", "is_ramadan_t", "is_ramadan_t1"),
-    _window("oil_price_z_t, oil_price_z_t1, is_ramadan_t, is_ramadan_t1"),
-    oil_price_z_t=8, oil_price_z_t1=8, is_ramadan_t=1, is_ramadan_t1=1,
+    "ext_lag", lambda s, d: mx.external_lags(ml_features(s, d)).select(*KEYS, *_EXT_LAGS),
+    _window(", ".join(_EXT_LAGS)), **{k: 8 for k in _EXT_LAGS},
 )
 register("direction_label", lambda s, d: mx.direction_labels(fx.weekly_smooth(s, d)).select(*KEYS, "label"),
          _window("label"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import exact_median
 from ledgerloom.operators import lift as lf
+from ledgerloom.operators import matrix as mx
 from ledgerloom.operators import policy as po
 from ledgerloom.operators import quality as q
 from ledgerloom.operators import sectors as sec
@@ -98,17 +99,29 @@ register(
       coalesce(ov_clf, use_externals_classification) AS use_externals_classification
       FROM ruled LEFT JOIN ov ON ov_account = account_id""", ruled=_RULED, ov=_OVERRIDES),
 )
-register(
-    "policy_mode",
-    lambda s, d: po.build_policy(
-        scored(s, d), "hybrid", cuts=CUTS, lookup=fx.sector_cells(s, d), overrides=overrides(s, d)
-    ).select("account_id", "policy_rule_id", "use_externals_regression", "use_externals_classification"),
-    with_ctes(f"""SELECT account_id, policy_rule_id,
-      coalesce(ov_reg, cell_reg, use_externals_regression) AS use_externals_regression,
-      coalesce(ov_clf, cell_clf, use_externals_classification) AS use_externals_classification
+
+
+def _mode(key: str, mode: str, *first: str):
+    """One policy mode; ``first`` names the tables whose flags replace the rules', strongest first."""
+    reg, clf = (", ".join([*(f"{t}_{task}" for t in first), ""]) for task in ("reg", "clf"))
+    register(
+        key,
+        lambda s, d: po.build_policy(
+            scored(s, d), mode, cuts=CUTS, lookup=fx.sector_cells(s, d), overrides=overrides(s, d)
+        ).select("account_id", "policy_rule_id", "use_externals_regression", "use_externals_classification"),
+        with_ctes(f"""SELECT account_id, policy_rule_id,
+      coalesce({reg}use_externals_regression) AS use_externals_regression,
+      coalesce({clf}use_externals_classification) AS use_externals_classification
       FROM (SELECT *, {_BUCKET} AS b FROM ruled) AS r LEFT JOIN cells AS c ON c.sector = r.sector AND c.cv_bucket = r.b
       LEFT JOIN ov ON ov_account = account_id""", ruled=_RULED, ov=_OVERRIDES),
-)
+    )
+
+
+_mode("policy_mode", "hybrid", "ov", "cell")
+_mode("policy_mode_lookup", "lookup", "cell")
+_mode("policy_mode_oracle", "oracle", "ov")
+_mode("policy_mode_rules", "rules")
+_mode("policy_mode_unknown", "no such mode")
 
 
 def _assignment_join(spark, sf):
@@ -170,18 +183,23 @@ register(
         model_name AS regression_model, row_number() OVER (PARTITION BY name
           ORDER BY condition || '|' || model_name || '|' || model_type DESC) AS rn FROM experiments) WHERE rn = 1"""),
 )
-register(
-    "model_route",
-    lambda s, d: po_route(s, d),
-    with_ctes("""SELECT account_id, model AS model_name, model AS model_family FROM policy_raw"""),
-)
-
-
-def po_route(spark, sf):
-    from ledgerloom.operators.matrix import model_route
+def _routes(spark, sf):
+    """Every account, with each spelling of a model name, none, a blank and an unknown one."""
+    k = F.col("s_suppkey")
+    names = F.array(*map(F.lit, ("Random_Forest ", "ridge", "lgbm", None, "", "xgboost")))
+    named = fx.table(spark, sf, "supplier").select(
+        fx.account_name(k).alias("account_id"),
+        F.element_at(names, (k % 6 + 1).cast("int")).alias("regression_model"),
+    )
+    return mx.model_route(named).drop("regression_model")
 
-    return model_route(fx.demo_policy(spark, sf)).select("account_id", "model_name", "model_family")
 
+register(
+    "model_route", _routes,
+    """SELECT printf('ACC_%05d', s_suppkey) AS account_id,
+      CASE s_suppkey % 6 WHEN 1 THEN 'ridge' WHEN 2 THEN 'lgbm' WHEN 5 THEN 'xgboost' ELSE 'rf' END AS model_name,
+      CASE s_suppkey % 6 WHEN 1 THEN 'ridge' WHEN 2 THEN 'lgbm' ELSE 'rf' END AS model_family FROM supplier""",
+)
 
 # --- lifts ----------------------------------------------------------------------------------------------
 
