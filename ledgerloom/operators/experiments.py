@@ -15,6 +15,7 @@ from ledgerloom.operators.models import fit_boosted
 from ledgerloom.operators.tsmetrics import indexed
 from ledgerloom.operators.weekly import account_window
 from ledgerloom.schemas import CALENDAR_KEYS, MACRO_KEYS
+from ledgerloom.sources.io import written
 
 EWM_SPANS = (4, 12, 52)
 
@@ -192,6 +193,7 @@ def select_by_importance(
         .where((F.col("t") >= 4) & (F.col("t") < F.col("n") * share))
         .select(F.col("total_amount").alias("y"), F.array(*names).alias("x"))
     )
+    rows = written(rows, "importance-rows")  # the fit passes over its rows many times
     weights = fit_boosted(rows, "x", rounds).featureImportances.toArray()
     total = dict(zip(names, weights))
     out = [(k, float(total[f"{k}_t"] + total[f"{k}_t1"])) for k in externals]

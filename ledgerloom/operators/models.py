@@ -142,15 +142,20 @@ def _grouped(
     matrix: DataFrame, x: str, target: str, mode: str, schema: str,
     fit: Callable[[np.ndarray, np.ndarray], dict | None],
     n_splits: int, test_size: int, min_train: int, min_rows: int,
+    worth: Callable[[np.ndarray], bool] = lambda targets: True,
 ) -> DataFrame:
-    """Fit every fold of each account; a group is one account's weeks, bounded by the calendar."""
+    """Fit every fold of each account; a group is one account's weeks, bounded by the calendar.
+
+    An account whose targets are not ``worth`` a model gets none.
+    """
 
     def per_account(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("pos")
         features = np.stack(rows["x"].to_numpy()).astype(float)
         targets = rows["target"].to_numpy()
         out = []
-        for fold, end in _train_ends(len(rows), n_splits, test_size, min_train):
+        ends = _train_ends(len(rows), n_splits, test_size, min_train) if worth(targets) else []
+        for fold, end in ends:
             fitted = fit(features[:end], targets[:end])
             if fitted is not None:
                 out.append({
@@ -185,7 +190,11 @@ def fit_ridge(
 def fit_logistic(
     matrix: DataFrame, n_splits: int = 3, test_size: int = 4, min_train: int = 10, min_rows: int = 14
 ) -> DataFrame:
-    """Logistic coefficients per account and fold; a training set of one class gives no model."""
+    """Logistic coefficients per account and fold; a training set of one class gives no model.
+
+    Nor does an account without any evaluable fold: its longest training set before a test block
+    needs ``min_train`` rows of two classes, whether or not fold models are asked for.
+    """
 
     def fit(x, labels):
         if len(np.unique(labels)) < 2:
@@ -193,8 +202,12 @@ def fit_logistic(
         classes, intercepts, coefs = logistic_fit(x, labels)
         return {"classes": classes, "intercepts": intercepts, "coefs": list(coefs)}
 
+    def evaluable(labels):
+        longest = labels[: max(len(labels) - test_size, 0)]
+        return len(longest) >= min_train and len(np.unique(longest)) > 1
+
     return _grouped(matrix, "x_clf", "label", "mode_clf", LOGISTIC_SCHEMA, fit,
-                    n_splits, test_size, min_train, min_rows)
+                    n_splits, test_size, min_train, min_rows, evaluable)
 
 
 # --- scoring in the JVM -----------------------------------------------------------------------------

@@ -110,3 +110,17 @@ def test_pooled_models_beat_the_mean(spark):
     for model in (mo.fit_forest(rows, "x", trees=20), mo.fit_boosted(rows, "x", rounds=10, rate=0.3)):
         error = mo.pooled_predictions(model, rows, "x").agg(F.avg((F.col("y") - F.col("yhat")) ** 2)).first()[0]
         assert error < np.var(y)
+
+
+def test_classifier_needs_an_evaluable_fold(spark):
+    """The second class of "late" first comes in the newest block, so no fold could be evaluated."""
+    rows = [
+        (k, i, "baseline", [float(i), float(i % 3)], label(i), 24)
+        for k, label in (("late", lambda i: int(i >= 21)), ("fit", lambda i: i % 2)) for i in range(24)
+    ]
+    matrix = spark.createDataFrame(
+        rows, "account_id string, pos int, mode_clf string, x_clf array<double>, label int, n_rows long")
+    for n_splits in (0, 3):
+        models = mo.fit_logistic(matrix, n_splits).collect()
+        assert {m["account_id"] for m in models} == {"fit"}
+        assert len(models) == n_splits + 1
