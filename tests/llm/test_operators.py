@@ -252,6 +252,39 @@ def test_language_evidence_decides_short_texts(spark):
     assert [found[i]["language"] for i in (200, 201, 202)] == ["de", "en", "de"]
 
 
+RARE = {"en": ["the", "thing", "with", "ation", "ought"], "es": ["los", "ñar", "ción", "ado", "que"]}
+
+
+def _rare(rng, i, language):
+    return " ".join(rng.choice(RARE[language]) + rng.choice("aeiou") for _ in range(40))
+
+
+def test_language_keeps_rare_languages(spark):
+    """Three rows of a language are a class of their own, and so are more languages than one part holds."""
+    rng = random.Random(9)
+    rows = [(i, _rare(rng, i, "en"), "en", f"s{i % 3}") for i in range(300)]
+    rows += [(1000 + i, _rare(rng, i, "es"), "es", f"s{i}") for i in range(3)]
+    letters = "bcdfghjklmnpqrstvwxz"
+    for n in range(70):
+        own = [letters[n % 20] + v + letters[n // 4] + w for v in "aeiou" for w in "aeiou"]
+        code = f"x{chr(97 + n // 26)}{chr(97 + n % 26)}"
+        rows += [(2000 + 2 * n + k, " ".join(rng.choice(own) for _ in range(40)), code, None) for k in range(2)]
+    found = _by_id(language_id.identify(language_id.document_evidence(_frame(spark, rows))))
+    assert all(found[d]["kept"] and found[d]["language"] == lang for d, _, lang, _ in rows)
+
+
+def test_language_without_declarations(spark):
+    """Clean rows stay where nothing is declared; noise goes."""
+    rng = random.Random(10)
+    rows = [(i, _rare(rng, i, "en" if i % 9 else "es"), None, None) for i in range(180)]
+    rows += [(1000, "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(60)), None, None), (1001, "", None, None)]
+    frame = _frame(spark, rows)
+    found = _by_id(language_id.identify(language_id.document_evidence(frame)))
+    assert {d for d, r in found.items() if r["kept"]} == set(range(180))
+    assert all(r["language"] is None for r in found.values())
+    assert {r["doc_id"] for r in language_id.keep_identified(frame).collect()} == set(range(180))
+
+
 def test_page_evidence(spark):
     pages = spark.createDataFrame([
         (1, "https://Blog.example.de/a?x=1", '<!doctype html><html class="x" lang="de-AT"><p>x'),
