@@ -45,6 +45,14 @@ SURE_NAMES = frozenset("ad ads advert adverts advertisement comment comments com
 MOST_SHARE = 0.7
 #: Paths whose fused ratio falls below this share of the ratios' standard deviation are not content.
 THRESHOLD = 0.5
+#: Factor of the ratios of nodes inside article or main elements.
+CONTENT_PRIOR = 2.0
+#: Share of links from which neighbours of one path are a list, and a block of short texts is teasers.
+LIST_SHARE, TEASER_SHARE = 0.5, 0.3
+#: Times that a text of a path below the threshold occurs before it is a repeated notice. Cells, items
+#: and headlines repeat for other reasons.
+NOTICE_TIMES = 3
+NOTICE_TAGS = frozenset(("div", "p", "section"))
 #: Weights of a node's neighbours and itself when ratios are smoothed in page order.
 KERNEL = (0.25, 0.5, 0.25)
 
@@ -149,8 +157,8 @@ def _nodes(page: str) -> list[Node]:
     return [x for x in nodes if x.text]
 
 
-def _fused_ratios(nodes: list[Node]) -> list[float]:
-    """Each node's smoothed text ratio and punctuation ratio of its path, multiplied."""
+def _fused_ratios(nodes: list[Node]) -> tuple[list[float], list[float]]:
+    """Each node's text ratio and punctuation ratio of its path, multiplied: smoothed, and as they are."""
     paths: dict[str, list[float]] = {}
     for x in nodes:
         sums = paths.setdefault(x.element.path, [0.0, 0.0, 0.0])
@@ -164,17 +172,63 @@ def _fused_ratios(nodes: list[Node]) -> list[float]:
         padded = [values[0], *values, values[-1]]
         return [sum(w * v for w, v in zip(KERNEL, padded[i : i + 3], strict=True)) for i in range(len(values))]
 
-    return [math.sqrt(t * (1 + m)) for t, m in zip(smooth(text), smooth(marks), strict=True)]
+    def fuse(text: list[float], marks: list[float]) -> list[float]:
+        return [math.sqrt(t * (1 + m)) for t, m in zip(text, marks, strict=True)]
+
+    return fuse(smooth(text), smooth(marks)), fuse(text, marks)
+
+
+def _above(element: Element, inside: set[int]) -> Element | None:
+    """The child, among ``element`` and those around it, of an element whose id is in ``inside``."""
+    e: Element | None = element
+    while e is not None and e.parent is not None:
+        if id(e.parent) in inside:
+            return e
+        e = e.parent
+    return None
+
+
+def _lists(nodes: list[Node], low: list[bool], inside: set[int]) -> list[bool]:
+    """Which nodes the statistics take for lists of links, teasers or repeated notices.
+
+    Neighbours of one path that are mostly links are a list; a linked headline between paragraphs is
+    none. A block of a container with several nodes, all of paths below the threshold, is teasers if
+    TEASER_SHARE of it are links. A text that stands NOTICE_TIMES in such paths is a notice.
+    """
+    blocks: dict[int, list[int]] = {}
+    times: dict[str, int] = {}
+    of = [_above(x.element, inside) for x in nodes]
+    for x, block, small in zip(nodes, of, low, strict=True):
+        if block is not None:
+            sums = blocks.setdefault(id(block), [0, 0, 0, 0])
+            for i, n in enumerate((1, not small, x.links, len(x.text))):
+                sums[i] += n
+        if small and x.element.tag in NOTICE_TAGS:
+            times[x.text] = times.get(x.text, 0) + 1
+    linked = [x.element.path if x.links >= LIST_SHARE * len(x.text) else None for x in nodes]
+
+    def listed(i: int) -> bool:
+        if linked[i] is not None and linked[i] in (linked[i - 1] if i else None, *linked[i + 1 : i + 2]):
+            return True
+        if of[i] is not None:
+            n, good, links, chars = blocks[id(of[i])]
+            if n > 1 and not good and links >= TEASER_SHARE * chars:
+                return True
+        return low[i] and nodes[i].element.tag in NOTICE_TAGS and times[nodes[i].text] >= NOTICE_TIMES
+
+    return [listed(i) for i in range(len(nodes))]
 
 
 def main_text(page: str) -> str:
     """The article's text of one page.
 
     Ratios of text and punctuation by tag path, smoothed in page order and fused, are held against
-    a share of their standard deviation: what reaches it and is in no container for other purposes
-    is content. The content's container is the page's article or main element where some of it is
-    content, else the deepest element with most content; all its text that isn't in a container for
-    other purposes belongs to the article, short lines included.
+    a share of their standard deviation; nodes inside article or main elements have theirs raised by
+    CONTENT_PRIOR. What reaches it, is in no container for other purposes and no list of links is
+    chosen. The content's containers are the outermost article or main elements with chosen nodes,
+    or all of them where none has any; without such elements, the deepest element with most content.
+    All text of the containers belongs to the article, short lines included, but for what is in
+    containers for other purposes, lists of links, teasers and repeated notices.
     """
     nodes = _nodes(page)
     if not nodes:
@@ -197,39 +251,58 @@ def main_text(page: str) -> str:
         return False
 
     judged = [not boilerplate(x.element) for x in nodes]
-    marked = any(x.element.content and ok for x, ok in zip(nodes, judged, strict=True))
-    if marked:
-        return " ".join(x.text for x, ok in zip(nodes, judged, strict=True) if ok and x.element.content)
-    ratios = _fused_ratios(nodes)
+    smoothed, plain = _fused_ratios(nodes)
+    prior = [CONTENT_PRIOR if x.element.content else 1.0 for x in nodes]
+    ratios = [p * r for p, r in zip(prior, smoothed, strict=True)]
     mean = sum(ratios) / len(ratios)
-    spread = math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
-    chosen = [ok and r >= THRESHOLD * spread for ok, r in zip(judged, ratios, strict=True)]
+    least = THRESHOLD * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
+    low = [p * r < least for p, r in zip(prior, plain, strict=True)]
+    chosen = [ok and r >= least for ok, r in zip(judged, ratios, strict=True)]
+    listed = _lists(nodes, low, set())
+    chosen = [ok and not out for ok, out in zip(chosen, listed, strict=True)]
     if not any(chosen):
         chosen = judged
-    held: dict[int, tuple[int, Element]] = {}
+    roots: dict[int, bool] = {}
+    outer: list[int | None] = []
+    for x, ok, good in zip(nodes, judged, chosen, strict=True):
+        e: Element | None = x.element
+        while e is not None and e.parent is not None and e.parent.content:
+            e = e.parent
+        outer.append(id(e) if ok and e.content else None)
+        if outer[-1] is not None:
+            roots[id(e)] = roots.get(id(e), False) or good
+    if roots:
+        inside = {i for i, good in roots.items() if good} or set(roots)
+        listed = _lists(nodes, low, inside)
+        held = [i in inside for i in outer]
+        kept = [ok and not out for ok, out in zip(held, listed, strict=True)]
+        # Containers of lists alone: the lists are the content.
+        return " ".join(x.text for x, ok in zip(nodes, kept if any(kept) else held, strict=True) if ok)
+    sums: dict[int, tuple[int, Element]] = {}
     size = 0
     for x, ok in zip(nodes, chosen, strict=True):
         if ok:
             size += len(x.text)
-            e, depth = x.element, 0
+            e = x.element
             while e is not None:
-                held[id(e)] = (held.get(id(e), (0, e))[0] + len(x.text), e)
-                e, depth = e.parent, depth + 1
+                sums[id(e)] = (sums.get(id(e), (0, e))[0] + len(x.text), e)
+                e = e.parent
     if not size:
         return ""
-    most = [e for n, e in held.values() if n >= 0.9 * size]
+    most = [e for n, e in sums.values() if n >= 0.9 * size]
     container = max(most, key=lambda e: e.path.count("/"))
 
-    def inside(e: Element | None) -> bool:
+    def within(e: Element | None) -> bool:
         while e is not None:
             if e is container:
                 return True
             e = e.parent
         return False
 
+    listed = _lists(nodes, low, {id(container)})
     return " ".join(
-        x.text for x, ok, good in zip(nodes, judged, chosen, strict=True)
-        if ok and (good or (inside(x.element) and x.links * 2 < len(x.text)))
+        x.text for x, ok, good, out in zip(nodes, judged, chosen, listed, strict=True)
+        if ok and (good or (within(x.element) and not out and x.links * 2 < len(x.text)))
     )
 
 

@@ -423,6 +423,25 @@ def test_tag_paths(spark):
     assert tag_paths.extract(pages.limit(0)).count() == 0
 
 
+LONG = "<p>" + "A sentence of the article, with some words and marks. " * 6
+
+
+def test_tag_paths_judges_inside_article():
+    """Link lists, teasers and repeated notices inside article or main go; headings and short lines stay."""
+    links = "".join(f"<li><a href=/{i}>Other story {i}</a></li>" for i in range(6))
+    cards = "".join(f"<div class=card><h3><a href=/{i}>Read this {i}</a></h3><p>A teaser.</p></div>" for i in range(4))
+    notice = "<div class=box>Only for members</div>"
+    for name in ("article", "main"):
+        page = (
+            f"<html><body><{name}><h1><a href=/t>Title here</a></h1>{LONG}{notice}{LONG}{notice}{LONG}{notice}{LONG}"
+            f"<ul class=x><li>point</li><li>more</li></ul>{LONG}<table><tr><td>0<td>0<td>0</table>{LONG}<ul class=y>{links}</ul><div class=z>{cards}</div></{name}></body></html>"
+        )
+        text = tag_paths.main_text(page)
+        assert text.startswith("Title here A sentence") and "point more" in text and "0 0 0" in text
+        assert text.count("A sentence") == 36
+        assert not any(w in text for w in ("Other story", "teaser", "Read this", "members"))
+
+
 def test_ranked(spark):
     rows = [(i % 3, i * 7 % 101) for i in range(1000)]
     df = spark.createDataFrame(rows, "g int, v int")
