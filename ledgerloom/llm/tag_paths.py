@@ -17,6 +17,8 @@ from ledgerloom.plans.registry import register
 # Element names of the markup language by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|select|canvas|title"
+# Raw elements that run to the page's end without an end tag; the others end with their parent.
+RAW_TO_END = frozenset("script style textarea title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
@@ -29,7 +31,7 @@ CLOSES_SELF = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-BOILERPLATE = frozenset("head nav header footer aside form dialog menu button figcaption".split())
+BOILERPLATE = frozenset("head nav header footer aside dialog menu button figcaption".split())
 CONTENT = frozenset(("article", "main"))
 # Words of class and id names that tell what a container is for.
 NAMES = frozenset(
@@ -56,14 +58,17 @@ NOTICE_TAGS = frozenset(("div", "p", "section"))
 #: Weights of a node's neighbours and itself when ratios are smoothed in page order.
 KERNEL = (0.25, 0.5, 0.25)
 
+# Quotes hold attribute values after an equals sign only; one without an end is plain.
+_ATTRS = r"""(?:[^>=]++|=\s*(?:"[^"]*"|'[^']*')|=)*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?P<given>{_ATTRS})>"
+    rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>{_ATTRS})>"
     r"|<[/!?a-z][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？¿¡]")
 
@@ -116,7 +121,24 @@ def _nodes(page: str) -> list[Node]:
             if stack[i].tag in limits:
                 return
 
-    for found in _TOKEN.finditer(page):
+    at, unclosed = 0, set()
+    while at < len(page):
+        found = _TOKEN.match(page, at)
+        at = found.end()
+        if found["raw"] is not None:
+            raw = found["raw"].lower()
+            if raw in ("svg", "math") and found["given"].endswith("/"):
+                continue
+            end = None if raw in unclosed else _RAW_END[raw].search(page, at)
+            if end is not None:
+                at = end.end()
+            elif raw in RAW_TO_END:
+                break
+            else:
+                unclosed.add(raw)
+                stack.append(Element(raw, f"{stack[-1].path}/{raw}", stack[-1], "sure"))
+                node = None
+            continue
         text = found["text"]
         if text is not None:
             holder = next(e for e in reversed(stack) if e.tag not in INLINE)
@@ -242,7 +264,7 @@ def main_text(page: str) -> str:
 
     def boilerplate(e: Element | None) -> bool:
         while e is not None:
-            if e.flagged == "sure":
+            if e.flagged == "sure" or (e.tag == "form" and e.chars <= MOST_SHARE * total):
                 return True
             parent = e.parent.flagged if e.parent is not None else ""
             if e.flagged == "named" and not parent and e.chars <= MOST_SHARE * total:

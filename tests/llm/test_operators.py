@@ -442,6 +442,25 @@ def test_tag_paths_judges_inside_article():
         assert not any(w in text for w in ("Other story", "teaser", "Read this", "members"))
 
 
+def test_tag_reader_loses_no_text():
+    """Long attributes, self-closed and unclosed raw elements, and forms around a page."""
+    long = "x" * 4001
+    for quote in "\"'":
+        style = f"style={quote}{long}>{quote}"
+        assert tag_paths.main_text(f"<div><article><div {style}>a</div><p>b</article></div>") == "a b"
+        assert tag_paths.main_text(f"<nav {style}><p>menu</nav><article><p>text, here</article>") == "text, here"
+    assert tag_paths.main_text('<article><p title="no end>a</p><p>b') == "a b"
+    for name in ("svg", "math"):
+        assert tag_paths.main_text(f"<article><p>one <{name} class=i/> two<p>three</article>") == "one two three"
+    for name in ("iframe", "object", "noscript", "svg"):
+        assert tag_paths.main_text(f"<article><p>one <{name} class=i> two<p>three</article>") == "one three"
+        assert tag_paths.main_text(f"<article><p>one <{name}><p>x</p></{name}> two</article>") == "one two"
+    assert tag_paths.main_text("<article><p>one<script>two<p>three</article>") == "one"
+    assert tag_paths.main_text(PAGE.replace("<header>", "<form action=/><header>", 1)) == tag_paths.main_text(PAGE)
+    wrapped = f"<body><form><div class=sidebar>Side</div><div>{LONG}{LONG}</div></form></body>"
+    assert tag_paths.main_text(wrapped).count("A sentence") == 12 and "Side" not in tag_paths.main_text(wrapped)
+
+
 def test_ranked(spark):
     rows = [(i % 3, i * 7 % 101) for i in range(1000)]
     df = spark.createDataFrame(rows, "g int, v int")
