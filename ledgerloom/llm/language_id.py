@@ -284,4 +284,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(document_evidence(table(spark, sf_dir, "documents"))).drop("text_key")
 
 
+def page_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(page_evidence(table(spark, sf_dir, "pages"))).drop("text_key").withColumnRenamed("doc_id", "page_id")
+
+
 register("op6_language_evidence", query)
+register("op6_page_language", page_query)

@@ -146,3 +146,57 @@ def tokens_of(texts, path, pattern):
 
 def jaccard(a, b):
     return Fraction(len(a & b), len(a | b)) if a | b else Fraction(0)
+
+
+def languages(rows, buckets=1 << 14, background_strength=2000, full=150, strength=20):
+    """{id: (language, confidence)} of (id, text, declared, host, suffix), the fusion written out."""
+    def grams(text):
+        data = lowered(text).encode()
+        return [
+            ((data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 2654435761 % 2**32) >> 18 for i in range(len(data) - 2)
+        ]
+
+    found = {r[0]: grams(r[1]) for r in rows}
+    names = sorted({r[2] for r in rows if r[2]})
+    everything, counts = Counter(), {name: Counter() for name in names}
+    for i, _, declared, *_ in rows:
+        everything.update(found[i])
+        if declared:
+            counts[declared].update(found[i])
+    n = sum(everything.values())
+
+    def share(b):
+        return (everything[b] + 0.5) / (n + 0.5 * buckets)
+
+    def mean(name, gs):
+        c = counts[name]
+        size = c.total() + background_strength
+        return sum(math.log((c[g] + background_strength * share(g)) / size) for g in gs) / len(gs)
+
+    means = {i: {name: mean(name, gs) for name in names} for i, gs in found.items() if gs}
+    guesses = {}
+    for i, m in means.items():
+        chance = max(max(m.values()), sum(math.log(share(g)) for g in found[i]) / len(found[i]))
+        if chance + math.log(buckets) > 0:
+            guesses[i] = max(names, key=lambda x: m[x])
+    overall, by_suffix, by_host, by_declared = Counter(), defaultdict(Counter), defaultdict(Counter), defaultdict(Counter)
+    for i, _, declared, host, suffix in rows:
+        if i in guesses:
+            overall[guesses[i]] += 1
+            by_suffix[suffix][guesses[i]] += 1
+            by_host[host, suffix][guesses[i]] += 1
+            by_declared[declared][guesses[i]] += 1
+    out = {}
+    for i, _, declared, host, suffix in rows:
+        logs = {}
+        for x in names:
+            prior = (overall[x] + 1) / (overall.total() + len(names))
+            if suffix is not None and suffix in by_suffix:
+                prior = (by_suffix[suffix][x] + strength * prior) / (by_suffix[suffix].total() + strength)
+            if host is not None and (host, suffix) in by_host:
+                prior = (by_host[host, suffix][x] + strength * prior) / (by_host[host, suffix].total() + strength)
+            said = (by_declared[declared][x] + 1) / (overall[x] + len(names) + 1) if declared and declared in by_declared else 1
+            logs[x] = (means[i][x] * min(len(found[i]), full) if found[i] else 0) + math.log(prior) + math.log(said)
+        best = max(names, key=lambda x: logs[x])
+        out[i] = (best, 1 / sum(math.exp(v - logs[best]) for v in logs.values()))
+    return out

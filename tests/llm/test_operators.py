@@ -295,6 +295,31 @@ def test_page_evidence(spark):
     assert got[2][1] is None and got[3][1] is None
 
 
+def test_page_language(spark, tmp_path):
+    """The query over pages fuses markup language, host and suffix as by brute force."""
+    rng = random.Random(11)
+    pages, evidence = [], []
+    for i in range(240):
+        language, suffix = ("en", "org") if i % 2 else ("es", rng.choice(["es", "org"]))
+        host = f"h{rng.randrange(4)}.{suffix}" if i % 11 else None
+        declared = (language if i % 10 else "fr") if i % 3 else None
+        words = " ".join(rng.choice(RARE[language]) for _ in range(3 if i % 4 else 1)) if i % 17 else "zq"
+        tag = f' lang="{declared}-XX"' if declared else ""
+        text = f"<html{tag}><p>{words}"
+        pages.append((i, f"https://{host}/a" if host else None, text))
+        # An address without a host has an empty suffix.
+        evidence.append((i, text, declared, host, suffix if host else ""))
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r for r in language_id.page_query(spark, str(tmp_path)).collect()}
+    expected = brute.languages(evidence)
+    assert len(got) == 240
+    for i, (language, confidence) in expected.items():
+        assert got[i]["confidence"] == pytest.approx(confidence, rel=1e-3)
+        assert got[i]["language"] == language or confidence < 0.501
+    no_suffix = brute.languages([(*r[:4], None) for r in evidence])
+    assert any(abs(no_suffix[i][1] - c) > 0.01 for i, (_, c) in expected.items())
+
+
 @pytest.mark.parametrize("order", [1, 2, 4])
 def test_lm(docs, rows, order):
     plain = [(d, t) for d, t, *_ in rows]
