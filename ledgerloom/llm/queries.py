@@ -6,7 +6,7 @@ import importlib
 
 MODULES = (
     "packing", "outliers", "sharding", "tag_paths", "substring_dedup", "language_id", "lm_scoring",
-    "exact_dedup", "near_dedup", "byte_bpe", "resampling",
+    "exact_dedup", "near_dedup", "byte_bpe", "resampling", "hard_negatives", "chat",
 )
 
 for _name in MODULES:
