@@ -134,23 +134,28 @@ def external_pairs(externals) -> Column:
 
 
 def ml_matrix(
-    features: DataFrame, policy: DataFrame, n_lags: int = N_LAGS, threshold: float = 0.05
+    features: DataFrame, policy: DataFrame, n_lags: int = N_LAGS, threshold: float = 0.05,
+    newest: bool = False,
 ) -> DataFrame:
     """Rows (account_id, week, t, pos, n_rows, y, label, x_reg, x_clf, x_pooled) for t >= n_lags.
 
     ``x_reg`` and ``x_clf`` hold the base vector plus the externals the policy allows for the task;
     ``x_pooled`` is ``x_reg`` at equal width, 0 where the account may not use an external, for models
     over many accounts. One shuffle by account serves all windows, and the policy joins on the same
-    partitioning after them, so that its arrays go through no sort.
+    partitioning after them, so that its arrays go through no sort. ``newest`` keeps each account's
+    last row only: the rows that its lags reach are kept before the lags are taken.
     """
     externals = [k for k in EXTERNAL_KEYS if k in features.columns]
     panel = features.select("account_id", "week", "sector", "total_amount", *externals)
+    n = F.count(F.lit(1)).over(Window.partitionBy("account_id"))
+    indexed = series_index(panel).withColumn("n_rows", n - n_lags)
+    if newest:
+        indexed = indexed.where(F.col("t") >= F.col("n_rows") - 1)
     wide = direction_labels(
-        external_lags(lag_moments(lag_columns(series_index(panel), n_lags), n_lags), externals),
-        threshold,
+        external_lags(lag_moments(lag_columns(indexed, n_lags), n_lags), externals), threshold
     )
-    n = F.count(F.lit(1)).over(Window.partitionBy("account_id"))
-    rows = wide.withColumn("n_rows", n - n_lags).where(F.col("t") >= n_lags).select(
+    first = F.col("n_rows") + n_lags - 1 if newest else F.lit(n_lags)
+    rows = wide.where((F.col("t") >= n_lags) & (F.col("t") >= first)).select(
         "account_id", "week", "t", (F.col("t") - n_lags).alias("pos"), "n_rows",
         F.col("total_amount").alias("y"), "label",
         base_vector(n_lags).alias("_base"), external_pairs(externals).alias("_pairs"),

@@ -9,12 +9,15 @@ routed to them, as a tree ensemble per account would be one task's private work.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import model_family
@@ -254,13 +257,18 @@ def _vectors(rows: DataFrame, x: str) -> DataFrame:
     return rows.withColumn("_features", array_to_vector(F.col(x)))
 
 
+def _compact(train: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """Few rows in few partitions: boosting runs hundreds of short jobs over the same rows."""
+    return train.coalesce(max(1, -(-train.count() // rows_per_task)))
+
+
 def fit_forest(train: DataFrame, x: str = "x_pooled", trees: int = 100, depth: int = 5, seed: int = 42):
     """Random forest over the rows of all accounts routed to it."""
     forest = RandomForestRegressor(
         featuresCol="_features", labelCol="y", predictionCol="yhat",
         numTrees=trees, maxDepth=depth, seed=seed,
     )
-    return forest.fit(_vectors(train, x))
+    return forest.fit(_vectors(_compact(train), x))
 
 
 def fit_boosted(
@@ -272,7 +280,7 @@ def fit_boosted(
         featuresCol="_features", labelCol="y", predictionCol="yhat",
         maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed,
     )
-    return boosted.fit(_vectors(train, x))
+    return boosted.fit(_vectors(_compact(train), x))
 
 
 def pooled_predictions(model, rows: DataFrame, x: str = "x_pooled") -> DataFrame:
@@ -287,42 +295,59 @@ def routed(rows: DataFrame, family: str) -> DataFrame:
     return rows.where(model_family(F.col("regression_model")) == family)
 
 
+def calendar_folds(
+    matrix: DataFrame, n_splits: int = 3, test_size: int = 4, min_train: int = 10, min_rows: int = 14,
+    grid_weeks: int = 4,
+) -> DataFrame:
+    """Test rows of each fold with ``cut``: models trained on weeks before it know nothing of the test.
+
+    A fold's test block is that of walk_forward_folds(). ``cut`` is its first week, put back to the
+    start of a ``grid_weeks`` block of the calendar, so that accounts and folds share cuts and their
+    number is bounded by the calendar. Each fold also scores the newest block, with ``block`` = 'last'.
+    """
+    tested = walk_forward_folds(matrix, n_splits, test_size, min_train, min_rows).where("role = 'test'")
+    span = Window.partitionBy("account_id", "fold")
+    day = F.datediff(F.min("week").over(span), F.lit("1970-01-05").cast("date"))
+    cut = F.date_add(F.lit("1970-01-05").cast("date"), (day - F.pmod(day, F.lit(7 * grid_weeks))).cast("int"))
+    own = tested.withColumn("cut", cut).withColumn("block", F.lit("test"))
+    newest = matrix.where(F.col("pos") >= F.col("n_rows") - test_size)
+    cuts = own.groupBy("account_id", "fold").agg(F.first("cut").alias("cut"))
+    last = newest.join(cuts, "account_id").withColumn("block", F.lit("last"))
+    columns = ["account_id", "fold", "block", "cut", "week", "pos", "y", "x_pooled"]
+    return own.select(*columns).unionByName(last.select(*columns))
+
+
 def pooled_fold_predictions(
-    matrix: DataFrame, family: str, n_splits: int = 3, test_size: int = 4, **parameters
+    matrix: DataFrame, family: str, n_splits: int = 3, test_size: int = 4, min_rows: int = 14,
+    grid_weeks: int = 4, **parameters,
 ) -> DataFrame:
-    """Test rows of each fold scored by a model of all the family's training rows of that fold.
+    """Test rows of the family's accounts scored by models that saw no later week of any account.
 
-    ``last_block`` rows (the newest test block scored by each fold's model) come with ``block`` =
-    'last', the fold's own test rows with 'test'. The matrix is read once per fold: pass a stored one.
+    One model per cut of calendar_folds(), trained on all the family's rows of earlier weeks and
+    used for every account and fold with that cut, for the fold's own block and the newest one.
+    An account whose history, or any other's, begins at a cut has no earlier row and no model for it.
     """
-    mine = routed(matrix, family)
-    # Narrow rows with the fold's tags, written once: each fit passes over its rows many times.
-    folds = written(
-        walk_forward_folds(mine, n_splits, test_size).select("account_id", "fold", "role", "pos", "y", "x_pooled"),
-        "pooled-folds",
+    mine = written(
+        routed(matrix, family).where(F.col("n_rows") >= min_rows)
+        .select("account_id", "week", "pos", "n_rows", "y", "x_pooled"),
+        "pooled-rows",
     )
-    last = written(
-        mine.where(F.col("pos") >= F.col("n_rows") - test_size).select("account_id", "pos", "y", "x_pooled"),
-        "pooled-last",
-    )
-    out = None
-    for fold in range(n_splits):
-        rows = folds.where(F.col("fold") == fold)
-        train = rows.where(F.col("role") == "train")
-        if train.isEmpty():  # no account has a history long enough for this fold or older ones
-            break
+    tested = written(calendar_folds(mine, n_splits, test_size, min_rows=min_rows, grid_weeks=grid_weeks), "pooled-folds")
+
+    def scored(row) -> DataFrame | None:
+        train = mine.where(F.col("week") < F.lit(row["cut"]))
+        if train.isEmpty():
+            return None
         model = POOLED_FITS[family](train, **parameters)
-        eligible = rows.select("account_id").distinct()
-        scored = pooled_predictions(model, rows.where(F.col("role") == "test")).withColumn(
-            "block", F.lit("test")
-        ).unionByName(
-            pooled_predictions(model, last.join(eligible, "account_id", "left_semi"))
-            .withColumns({"fold": F.lit(fold), "role": F.lit("test"), "block": F.lit("last")})
-        ).select("account_id", "fold", "pos", "y", "yhat", "block")
-        out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        out = matrix.where("false").select(
-            "account_id", F.lit(0).alias("fold"), "pos", "y", F.lit(0.0).alias("yhat"),
-            F.lit("test").alias("block"),
-        )
-    return out.withColumn("model_name", F.lit(family))
+        return pooled_predictions(model, tested.where(F.col("cut") == F.lit(row["cut"]))).drop("x_pooled", "week")
+
+    cuts = tested.select("cut").distinct().orderBy("cut").collect()
+    none = tested.where("false").drop("x_pooled", "week").withColumn("yhat", F.lit(0.0))
+    found = [df for df in at_once(matrix.sparkSession, scored, cuts) if df is not None]
+    return reduce(DataFrame.unionByName, found, none).withColumn("model_name", F.lit(family))
+
+
+def at_once(spark: SparkSession, work: Callable, items: list, threads: int = 4) -> list:
+    """``work`` of each item, some at a time: a fit is a chain of jobs too short to fill a cluster."""
+    with ThreadPool(threads) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
+from ledgerloom.functions.columns import model_family
 from ledgerloom.operators import features as feat
 from ledgerloom.operators import matrix as mx
 from ledgerloom.operators import metrics as met
 from ledgerloom.operators import models as mo
 from ledgerloom.operators import scoring as sc
+from ledgerloom.operators import store as st
 from ledgerloom.operators import tsmetrics as ts
 from ledgerloom.operators import weekly as wk
 from ledgerloom.plans.panel import HARMONICS, KEYS, METRICS_SQL, ROLLING_SQL, WAVE_DIGITS, stats_sql
@@ -74,6 +76,11 @@ def ml_features(spark, sf) -> DataFrame:
     return feat.feature_table(panel, None, fx.calendar(spark, sf), fx.macro(spark, sf))
 
 
+def model_inputs(spark, sf) -> DataFrame:
+    """The features that models read, written once: the others are pruned from the windows."""
+    return io.written(ml_features(spark, sf).select(*KEYS, "total_amount", *S.EXTERNAL_KEYS), "features")
+
+
 _X = {
     "ext": f"""SELECT s.account_id, s.week, s.sector, s.total_amount, {_FLAGS}, {_Z} FROM smooth AS s
       LEFT JOIN calendar AS c ON c.week = s.week LEFT JOIN macro AS m ON m.week = s.week - INTERVAL 7 DAY""",
@@ -278,73 +285,281 @@ register(
     accuracy=6, f1_macro=6, f1_weighted=6,
 )
 
-# --- fits, evaluation, store, scoring (no exact SQL form) -----------------------------------------------------
+# --- stored models and scoring ---------------------------------------------------------------------------------
 
+#: Coefficients of the known linear models on the base vector, and factors of the k-th external.
+_RIDGE = (0.1, 0.2, 0.3, 0.4, 0.05, -0.25, 10.0, 20.0)
+_CLASSES = {
+    -1: (0.0, 0.0, 0.0, -0.001, 0.002, 0.0, 0.0, 0.0),
+    0: (0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 30.0, 0.0),
+    1: (0.0, 0.0, 0.0, 0.001, -0.0005, 0.0, 0.0, 0.0),
+}
+_RIDGE_EXTERNAL, _CLASS_EXTERNAL = 100.0, 2.5
+#: Known trees: model, number, weight, depth, then feature, threshold, left, right and value by node.
+_TREES = (
+    ("rf", 0, 0.5, 1, (3, -1, -1), (0.0, 0.0, 0.0), (1, -1, -1), (2, -1, -1), (0.0, -10.0, 25.0)),
+    ("rf", 1, 0.5, 2, (8, -1, 4, -1, -1), (0.0, 0.0, 100000.0, 0.0, 0.0), (1, -1, 3, -1, -1), (2, -1, 4, -1, -1),
+     (0.0, 1.0, 0.0, 7.0, 9.0)),
+    ("lgbm", 0, 1.0, 0, (-1,), (0.0,), (-1,), (-1,), (500.0,)),
+    ("lgbm", 1, 0.05, 2, (5, -1, 0, -1, -1), (10000.0, 0.0, 0.0, 0.0, 0.0), (1, -1, 3, -1, -1), (2, -1, 4, -1, -1),
+     (0.0, 40.0, 0.0, -60.0, 80.0)),
+)
 
-def stored_matrix(spark, sf) -> DataFrame:
-    """The matrix written once: several fits and the evaluation read it."""
-    return io.written(matrix(spark, sf), "matrix")
 
+def _known_coefficients(x: str, base: tuple[float, ...], external: float) -> Column:
+    more = F.transform(F.sequence(F.lit(1), F.greatest(F.size(x) - 8, F.lit(1))), lambda i: i * F.lit(external))
+    return F.concat(
+        F.array(*(F.lit(c) for c in base)),
+        F.when(F.size(x) > 8, more).otherwise(F.array().cast("array<double>")),
+    )
 
-def _evaluate(spark, sf):
-    """Ridge walk-forward metrics of the accounts routed to ridge."""
-    rows = mo.routed(stored_matrix(spark, sf), "ridge")
-    ridge = io.written(mo.fit_ridge(rows), "ridge")
-    return sc.evaluate_regression(sc.ridge_predictions(mx.walk_forward_folds(rows), ridge))
 
+def known_members(newest: DataFrame) -> DataFrame:
+    """Models of known parameters for every account with an evaluable fold: its family's and a classifier."""
+    rows = newest.where(F.col("n_rows") >= 14).withColumns({
+        "family": model_family(F.col("regression_model")), "n_train": F.col("n_rows").cast("long"),
+    })
+    ridge = F.col("family") == "ridge"
+    regression = rows.select(
+        "account_id", F.lit("regression").alias("task"), "family", F.col("mode_reg").alias("mode"), "n_train",
+        F.when(ridge, F.col("account_id")).otherwise(F.col("family")).alias("model_id"),
+        F.lit(None).cast("array<int>").alias("classes"),
+        F.when(ridge, F.array(F.col("n_rows") * 0.5)).alias("intercepts"),
+        F.when(ridge, F.array(_known_coefficients("x_reg", _RIDGE, _RIDGE_EXTERNAL))).alias("coefs"),
+    )
+    classifier = rows.select(
+        "account_id", F.lit("classification").alias("task"), F.lit("logistic").alias("family"),
+        F.col("mode_clf").alias("mode"), "n_train", F.col("account_id").alias("model_id"),
+        F.array(*(F.lit(c) for c in _CLASSES)).alias("classes"),
+        F.array(*(F.lit(0.25 * c) for c in _CLASSES)).alias("intercepts"),
+        F.array(*(
+            _known_coefficients("x_clf", base, _CLASS_EXTERNAL * c) for c, base in _CLASSES.items()
+        )).alias("coefs"),
+    )
+    return regression.unionByName(classifier)
 
-def _report(spark, sf):
-    """Every family over three folds."""
-    rows = stored_matrix(spark, sf)
-    linear = mo.routed(rows, "ridge")
-    ridge = io.written(mo.fit_ridge(linear), "ridge")
-    logistic = io.written(mo.fit_logistic(rows), "logistic")
-    regression = sc.ridge_predictions(mx.walk_forward_folds(linear), ridge).unionByName(
-        mo.pooled_fold_predictions(rows, "rf")
-    ).unionByName(mo.pooled_fold_predictions(rows, "lgbm"))
-    return sc.training_report(rows, regression, logistic, "20240101-000000", "models")
-
-
-def _store(spark, sf):
-    """Two runs saved to one store; the later one is loaded."""
-    ridge = io.written(mo.fit_ridge(stored_matrix(spark, sf), n_splits=0), "ridge")
+
+def known_trees(spark, family: str) -> DataFrame:
+    return spark.createDataFrame([t for t in _TREES if t[0] == family], st.TREES)
+
+
+def known_run(spark, sf, features: DataFrame, path: str, run_stamp: str, **how) -> DataFrame:
+    newest = mx.ml_matrix(features, fx.demo_policy(spark, sf), newest=True)
+    ensembles = {family: known_trees(spark, family) for family in ("rf", "lgbm")}
+    return st.save_run(known_members(newest), ensembles, path, run_stamp, **how)
+
+
+def _store(spark, sf) -> DataFrame:
+    """What the manifest shows after a run, the same stamp again, an older run and a failed attempt."""
+    features = model_inputs(spark, sf)
     path = io.scratch_path(spark, "model-store")
-    sc.save_models(ridge.withColumn("intercept", F.lit(0.0)), path, "20240101-000000")
-    sc.save_models(ridge, path, "20240102-000000")
-    return sc.load_models(spark, path)
+    for run_stamp, commit in (
+        ("20240102-000000", True), ("20240102-000000", True), ("20240101-000000", True), ("20240103-000000", False),
+    ):
+        known_run(spark, sf, features, path, run_stamp, commit=commit)
+    run = st.load_run(spark, path)
+    held = run.members.groupBy("task", "family").agg(F.sum("n_train").alias("n_train"))
+    return st.manifest(spark, path).join(held, ["task", "family"]).select(
+        "run_stamp", "attempt", "task", "family", "kind", "models", "accounts", "n_train",
+        (F.col("run_stamp") == run.run_stamp).alias("newest"),
+    )
+
+
+_ACCOUNTS = {
+    **_X,
+    "accounts": """SELECT l.account_id, any_value(n_rows) AS n_rows, any_value(coalesce(model, 'rf')) AS family,
+        any_value(coalesce(use_reg, false)) AS use_reg, any_value(coalesce(use_clf, false)) AS use_clf
+      FROM labelled AS l LEFT JOIN policy_raw AS p ON p.account_id = l.account_id
+      GROUP BY l.account_id HAVING any_value(n_rows) >= 14""",
+    "trained": """SELECT account_id, 'regression' AS task, family, CASE WHEN use_reg THEN 'with_externals' ELSE 'baseline' END AS mode,
+        n_rows AS n_train FROM accounts
+      UNION ALL SELECT account_id, 'classification', 'logistic', CASE WHEN use_clf THEN 'with_externals' ELSE 'baseline' END,
+        n_rows FROM accounts""",
+}
+register(
+    "model_store", _store,
+    with_ctes("""SELECT run_stamp, attempt, task, family, CASE WHEN family IN ('rf', 'lgbm') THEN 'trees' ELSE 'linear' END AS kind,
+      CASE WHEN family IN ('rf', 'lgbm') THEN CAST(1 AS BIGINT) ELSE count(*) END AS models, count(*) AS accounts,
+      CAST(sum(n_train) AS BIGINT) AS n_train, run_stamp = '20240102-000000' AS newest
+      FROM trained CROSS JOIN (VALUES ('20240102-000000', 2), ('20240101-000000', 1)) AS r(run_stamp, attempt)
+      GROUP BY run_stamp, attempt, task, family""", **_ACCOUNTS),
+)
 
 
 def _score(mode: str):
+    """A store of known models, loaded and scored: nothing is fitted."""
+
     def run(spark, sf):
-        features = io.written(ml_features(spark, sf), "features")
-        policy = fx.demo_policy(spark, sf)
-        rows = io.written(mx.ml_matrix(features, policy), "matrix")
-        pooled = {family: fit(mo.routed(rows, family)) for family, fit in mo.POOLED_FITS.items()}
+        features = model_inputs(spark, sf)
+        path = io.scratch_path(spark, "model-store")
+        known_run(spark, sf, features, path, "20240102-000000")
         return sc.batch_score(
-            features, policy, mo.fit_ridge(rows, n_splits=0), mo.fit_logistic(rows, n_splits=0),
-            mode, fx.calendar(spark, sf), fx.macro(spark, sf), pooled,
+            features, fx.demo_policy(spark, sf), st.load_run(spark, path), mode,
+            fx.calendar(spark, sf) if mode == "next" else None, fx.macro(spark, sf) if mode == "next" else None,
         )
 
     return run
 
 
-def _pooled(family: str):
-    """Models of one family's accounts trained on each fold's history, scored on its test block."""
+def _linear_sql(base: tuple[float, ...], tail: str, external: float) -> str:
+    names = ("b4", "b3", "b2", "b1", "rm", "rs", "sin(2 * pi() * (t % 52) / 52)", "cos(2 * pi() * (t % 52) / 52)")
+    return " + ".join(f"{c} * {n}" for c, n in zip(base, names, strict=True) if c) + f" + {external} * ({tail})"
+
+
+def _score_sql(mode: str) -> str:
+    ctes = dict(_ACCOUNTS)
+    ctes["points"] = "SELECT * FROM labelled WHERE t = n_rows + 3"
+    if mode == "next":
+        # The week after each account's last, with the externals known by then.
+        ctes["future"] = """SELECT account_id, CAST(week + INTERVAL 7 DAY AS DATE) AS week, sector,
+            CAST(NULL AS DOUBLE) AS total_amount FROM smooth
+          QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY week DESC, sector DESC) = 1"""
+        ctes["longer"] = "SELECT account_id, week, sector, total_amount FROM smooth UNION ALL SELECT * FROM future"
+        renamed = {"ext": "next_ext", "safe": "next_safe", "wide": "next_wide"}
+        for old, new in renamed.items():
+            text = _X[old].replace("FROM smooth AS s", "FROM longer AS s")
+            for o, n in renamed.items():
+                text = text.replace(f"FROM {o}", f"FROM {n}")
+            ctes[new] = text
+        ctes["points"] = "SELECT * FROM next_wide WHERE t = n_rows + 3"
+    masked = "CASE WHEN use_reg AND keyset IN (0, 1) THEN oil_price_z_t ELSE 0.0 END"
+    clf = {c: _linear_sql(b, _tail_sql("use_clf", False), _CLASS_EXTERNAL * c) + f" + {0.25 * c}" for c, b in _CLASSES.items()}
+    ctes["scored_points"] = f"""SELECT q.account_id, q.week, coalesce(p.use_reg, false) AS use_reg,
+        coalesce(p.use_clf, false) AS use_clf, coalesce(p.model, 'rf') AS family,
+        {_linear_sql(_RIDGE, _tail_sql('p.use_reg', False), _RIDGE_EXTERNAL)} + 0.5 * a.n_rows AS ridge,
+        0.5 * CASE WHEN b1 <= 0 THEN -10 ELSE 25 END
+          + 0.5 * CASE WHEN {masked.replace('use_reg', 'p.use_reg')} <= 0 THEN 1 WHEN rm <= 100000 THEN 7 ELSE 9 END AS rf,
+        500 + 0.05 * CASE WHEN rs <= 10000 THEN 40 WHEN b4 <= 0 THEN -60 ELSE 80 END AS lgbm,
+        {clf[-1].replace('use_clf', 'p.use_clf')} AS down, {clf[0].replace('use_clf', 'p.use_clf')} AS level,
+        {clf[1].replace('use_clf', 'p.use_clf')} AS up
+      FROM points AS q JOIN accounts AS a ON a.account_id = q.account_id
+      LEFT JOIN policy_raw AS p ON p.account_id = q.account_id"""
+    return with_ctes("""SELECT account_id, week AS last_week, 'regression' AS task,
+        CASE WHEN use_reg THEN 'with_externals' ELSE 'baseline' END AS feature_mode, family AS model_name,
+        CASE family WHEN 'ridge' THEN ridge WHEN 'rf' THEN rf ELSE lgbm END AS prediction FROM scored_points
+      UNION ALL SELECT account_id, week, 'classification', CASE WHEN use_clf THEN 'with_externals' ELSE 'baseline' END, 'logistic',
+        CASE WHEN down >= greatest(level, up) THEN -1.0 WHEN level >= up THEN 0.0 ELSE 1.0 END FROM scored_points""", **ctes)
+
+
+register("batch_score", _score("replay"), _score_sql("replay"), prediction=3)
+register("batch_score_next", _score("next"), _score_sql("next"), prediction=3)
+
+# --- fits and evaluation ---------------------------------------------------------------------------------------
+
+
+def stored_matrix(spark, sf) -> DataFrame:
+    """The matrix written once: several fits and the evaluation read it."""
+    return io.written(matrix(spark, sf), "matrix")
+
+
+def _final(spark, sf) -> DataFrame:
+    """Every family's final models, trained and saved as one run: who got which."""
+    path = io.scratch_path(spark, "model-store")
+    st.train(stored_matrix(spark, sf), path, "20240101-000000")
+    return st.load_run(spark, path).members.select("account_id", "task", "family", "mode", "n_train")
+
+
+def _train_and_score(spark, sf) -> DataFrame:
+    """Trained, saved, loaded and scored: the predictions table of one run, read back."""
+    features = model_inputs(spark, sf)
+    policy = fx.demo_policy(spark, sf)
+    path = io.scratch_path(spark, "model-store")
+    st.train(io.written(mx.ml_matrix(features, policy), "matrix"), path, "20240101-000000")
+    run = st.load_run(spark, path)
+    predictions = io.scratch_path(spark, "predictions")
+    sc.save_rows(sc.batch_score(features, policy, run), predictions, run.run_stamp)
+    return sc.saved_rows(spark, predictions)
+
+
+def _known_report(spark, sf) -> DataFrame:
+    """The naive predictor's report in every family's slot, saved twice under one stamp and read back."""
+    rows = stored_matrix(spark, sf)
+    path = io.scratch_path(spark, "reports")
+    for run_stamp in ("20240101-000000", "20240102-000000", "20240102-000000"):
+        report = sc.training_report(rows, *sc.naive_predictions(rows), run_stamp, "models")
+        sc.save_rows(report, path, run_stamp)
+    return sc.saved_rows(spark, path)
+
+
+def _report(spark, sf) -> DataFrame:
+    """Every family's own models and the classifier over three folds."""
+    rows = stored_matrix(spark, sf)
+    return sc.training_report(rows, *sc.family_predictions(rows), "20240101-000000", "models")
+
+
+_NAIVE = {
+    **_ACCOUNTS, **_FOLDS,
+    "base": _FOLDS["base"].replace("FROM mixed", "FROM smooth"),
+    "newest": """SELECT account_id, avg(abs((y - yhat) / y)) FILTER (abs(y) > 1) * 100 AS mape_ref FROM base
+      WHERE pos >= n_rows - 4 GROUP BY account_id""",
+    "tagged": """SELECT l.account_id, s AS fold, label,
+        lag(label) OVER (PARTITION BY l.account_id, s ORDER BY t) AS said, t - 4 AS pos, n_rows
+      FROM labelled AS l CROSS JOIN (VALUES (0), (1), (2)) AS f(s) WHERE t >= 4""",
+    "fold_labels": """SELECT * FROM tagged WHERE n_rows >= 14 AND n_rows - 4 * (fold + 1) >= 10
+        AND pos >= n_rows - 4 * (fold + 1) AND pos < n_rows - 4 * fold""",
+    "fold_classes": """SELECT account_id, fold, cls, sum(truth) AS truth, sum(hit) AS hit,
+        2.0 * sum(hit) / (sum(truth) + sum(called)) AS f1 FROM (
+          SELECT account_id, fold, label AS cls, 1 AS truth, 0 AS called, CASE WHEN label = said THEN 1 ELSE 0 END AS hit FROM fold_labels
+          UNION ALL SELECT account_id, fold, said, 0, 1, 0 FROM fold_labels)
+      GROUP BY account_id, fold, cls""",
+    "fold_scores": """SELECT account_id, fold, sum(hit) / sum(truth) AS accuracy, avg(f1) AS f1_macro,
+        sum(truth * f1) / sum(truth) AS f1_weighted FROM fold_classes GROUP BY account_id, fold""",
+    "means": """SELECT account_id, avg(rmse) AS rmse, avg(mae) AS mae, avg(mape) AS mape, avg(r2) AS r2, count(*) AS n_folds
+      FROM errors GROUP BY account_id""",
+    "means_clf": """SELECT account_id, avg(accuracy) AS accuracy, avg(f1_macro) AS f1_macro, avg(f1_weighted) AS f1_weighted,
+        count(*) AS n_folds FROM fold_scores GROUP BY account_id""",
+    "rated": """SELECT a.account_id, 'regression' AS task, a.family AS model_name, rmse, mae, mape, mape_ref, r2,
+        CAST(NULL AS DOUBLE) AS accuracy, CAST(NULL AS DOUBLE) AS f1_macro, CAST(NULL AS DOUBLE) AS f1_weighted, n_folds
+      FROM accounts AS a JOIN means AS m ON m.account_id = a.account_id LEFT JOIN newest AS n ON n.account_id = a.account_id
+      UNION ALL SELECT account_id, 'classification', 'logistic', NULL, NULL, NULL, NULL, NULL, accuracy, f1_macro, f1_weighted, n_folds
+      FROM means_clf""",
+}
+_RATED_DIGITS = dict(**_ERR_DIGITS, mape_ref=5, accuracy=6, f1_macro=6, f1_weighted=6)
+register(
+    "evaluate", lambda s, d: sc.evaluate(*sc.naive_predictions(stored_matrix(s, d))),
+    with_ctes("SELECT * FROM rated", **_NAIVE), **_RATED_DIGITS,
+)
+register(
+    "training_report", _known_report,
+    with_ctes("""SELECT r.*, t.mode AS feature_mode, CAST(t.n_train AS BIGINT) AS n_train, CAST(4 AS BIGINT) AS n_test_obs, run_stamp,
+      'models/run_stamp=' || run_stamp AS model_ref FROM rated AS r JOIN trained AS t ON t.account_id = r.account_id AND t.task = r.task
+      CROSS JOIN (VALUES ('20240101-000000'), ('20240102-000000')) AS v(run_stamp)""", **_NAIVE),
+    **_RATED_DIGITS,
+)
+
+
+def _fitted(family: str):
+    """Whether a family's fold models beat the spread of what they predict, and who was tested where."""
 
     def run(spark, sf):
         rows = stored_matrix(spark, sf)
-        return mo.pooled_fold_predictions(rows, family).where("block = 'test'")
+        predictions = mo.pooled_fold_predictions(rows, family).where("block = 'test'")
+        predictions = io.written(predictions, "fold-predictions")
+        below = F.avg((F.col("y") - F.col("yhat")) ** 2) < F.var_pop("y")
+        return predictions.groupBy("account_id", "fold", "model_name").agg(
+            F.count("yhat").alias("n_scored"), F.min("pos").alias("first_pos"), F.bool_and(~F.isnan("yhat")).alias("finite"),
+            F.lit(predictions.agg(below.alias("below")).first()["below"]).alias("below_variance"),
+        )
 
     return run
 
 
+def _fitted_sql(family: str) -> str:
+    return with_ctes(f"""SELECT f.account_id, fold, '{family}' AS model_name, count(*) AS n_scored,
+      CAST(min(pos) AS INTEGER) AS first_pos, true AS finite, true AS below_variance
+      FROM fold_rows AS f JOIN accounts AS a ON a.account_id = f.account_id
+      WHERE role = 'test' AND family = '{family}' GROUP BY f.account_id, fold""", **_NAIVE)
+
+
 register("fit_ridge", lambda s, d: mo.fit_ridge(matrix(s, d)))
 register("fit_logistic", lambda s, d: mo.fit_logistic(matrix(s, d)))
-register("fit_forest", _pooled("rf"))
-register("fit_boosted", _pooled("lgbm"))
-register("fit_final", lambda s, d: mo.fit_ridge(matrix(s, d), n_splits=0))
-register("evaluate", _evaluate)
-register("training_report", _report)
-register("model_store", _store)
-register("batch_score", _score("replay"))
-register("batch_score_next", _score("next"))
+register("fit_forest", _fitted("rf"), _fitted_sql("rf"))
+register("fit_boosted", _fitted("lgbm"), _fitted_sql("lgbm"))
+register(
+    "fit_final", _final,
+    with_ctes("""SELECT account_id, task, family, mode, CAST(n_train AS BIGINT) AS n_train FROM trained
+      WHERE task = 'regression' OR account_id IN (SELECT account_id FROM labelled WHERE t >= 4 AND t < n_rows
+        GROUP BY account_id HAVING count(DISTINCT label) > 1)""", **_ACCOUNTS),
+)
+register("train_and_score", _train_and_score)
+register("training_report_models", _report)

@@ -288,16 +288,6 @@ def test_indicators_arrive_one_week_late(spark):
     assert [got[MONDAY + dt.timedelta(weeks=i)] for i in range(4)] == [None, 0.0, 1.0, 2.0]
 
 
-def test_latest_run_and_next_week(spark, tmp_path):
-    models = spark.createDataFrame([("a", "baseline", -1, 9, 1.0, 0.0, [1.0])],
-                                   "account_id string, mode string, fold int, n_train int, alpha double,"
-                                   " intercept double, coef array<double>")
-    path = str(tmp_path / "store")
-    for stamp, value in (("20240102-000000", 2.0), ("20240101-000000", 1.0)):
-        sc.save_models(models.withColumn("intercept", F.lit(value)), path, stamp)
-    assert one(sc.load_models(spark, path)).intercept == 2.0
-
-
 def test_hot_account_sums_before_the_join(spark):
     """The eager plan has one row per week of the hot account by the time it meets the dimension."""
     tx = spark.range(30_000).select(
