@@ -11,7 +11,7 @@ from ledgerloom.operators import matrix as mx
 from ledgerloom.operators import policy as po
 from ledgerloom.operators import quality as q
 from ledgerloom.operators import sectors as sec
-from ledgerloom.plans.panel import scored
+from ledgerloom.plans.panel import CATEGORY_V6, scored
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.sql import with_ctes
 from ledgerloom.sources import fixtures as fx
@@ -46,14 +46,14 @@ _RULED = f"""SELECT {_METRICS}, CAST(NULL AS VARCHAR) AS account_category, polic
           WHEN acf_lag1 < 0.35 AND completeness_ratio > 0.45 AND composite_score >= 35 THEN 'R2'
           WHEN cv_cashflow > 1.2 AND composite_score >= 30 THEN 'R3' ELSE 'baseline' END AS policy_rule_id
         FROM scored)"""
-_OVERRIDES = """SELECT account_id AS ov_account, total_transactions % 2 = 0 AS ov_reg, total_transactions % 3 = 0 AS ov_clf
-      FROM profiles WHERE completeness_ratio >= 0.5"""
+_OVERRIDES = "SELECT account_id AS ov_account, n_items % 2 = 0 AS ov_reg, n_parts % 3 = 0 AS ov_clf FROM items"
 
 
 def overrides(spark, sf):
-    return fx.metric_profiles(spark, sf).where("completeness_ratio >= 0.5").select(
-        "account_id", (F.col("total_transactions") % 2 == 0).alias("use_externals_regression"),
-        (F.col("total_transactions") % 3 == 0).alias("use_externals_classification"),
+    """Flags of every order with line items; those without have no override."""
+    return fx.item_accounts(spark, sf).select(
+        "account_id", (F.col("n_items") % 2 == 0).alias("use_externals_regression"),
+        (F.col("n_parts") % 3 == 0).alias("use_externals_classification"),
     )
 
 
@@ -71,15 +71,15 @@ register(
     **_MDIGITS,
 )
 register(
+    # The pooled categories are not all in the table of the separate ones: D_volatile and F_mixed have no row.
     "category_policy_join",
     lambda s, d: po.category_policy_join(
-        q.with_category(scored(s, d)).select("account_id", "account_category"),
-        po.builtin_policy(s).where(~F.col("account_category").isin("D_noisy", "A_regular_stable")),
+        q.with_category(scored(s, d), "v6").select("account_id", "account_category"), po.builtin_policy(s),
     ),
     with_ctes(f"""SELECT account_id, c.account_category, coalesce(act, false) AS use_externals_regression,
       coalesce(act, false) AS use_externals_classification, coalesce(rule_id, c.account_category) AS policy_rule_id,
-      coalesce(model, 'rf') AS regression_model FROM categorised AS c LEFT JOIN {_BUILTIN}
-      ON b.account_category = c.account_category AND b.account_category NOT IN ('D_noisy', 'A_regular_stable')"""),
+      coalesce(model, 'rf') AS regression_model FROM (SELECT account_id, {CATEGORY_V6} AS account_category FROM scored) AS c
+      LEFT JOIN {_BUILTIN} ON b.account_category = c.account_category"""),
 )
 register("policy_rules", lambda s, d: po.policy_rules(scored(s, d), CUTS), with_ctes(_RULED), **_MDIGITS)
 register(
@@ -125,9 +125,9 @@ _mode("policy_mode_unknown", "no such mode")
 
 
 def _assignment_join(spark, sf):
-    quality = io.written(scored(spark, sf), "scored")
-    assigned = sec.macro_assignment(quality.where("trend_strength > 0.2"), sec.reference_mapping(spark))
-    out = po.assignment_join(po.build_policy(quality), assigned)
+    """Indicators assigned to every order with line items; the policy also holds those without."""
+    assigned = sec.macro_assignment(fx.item_accounts(spark, sf), sec.reference_mapping(spark))
+    out = po.assignment_join(po.build_policy(scored(spark, sf)), assigned)
     return out.select(
         "account_id", "account_category", "macro_primary", "macro_secondary",
         F.size("externals_for_model").alias("n_externals"),
@@ -136,12 +136,13 @@ def _assignment_join(spark, sf):
 
 register(
     "assignment_join", _assignment_join,
-    with_ctes("""SELECT account_id, account_category,
-      CASE WHEN trend_strength > 0.2 THEN coalesce(macro_primary, '') END AS macro_primary,
-      CASE WHEN trend_strength > 0.2 THEN coalesce(macro_secondary, '') END AS macro_secondary,
-      CAST(CASE WHEN trend_strength > 0.2 THEN 5 + CASE WHEN macro_primary <> '' THEN 1 ELSE 0 END
+    with_ctes("""SELECT c.account_id, account_category,
+      CASE WHEN i.account_id IS NOT NULL THEN coalesce(macro_primary, '') END AS macro_primary,
+      CASE WHEN i.account_id IS NOT NULL THEN coalesce(macro_secondary, '') END AS macro_secondary,
+      CAST(CASE WHEN i.account_id IS NOT NULL THEN 5 + CASE WHEN macro_primary <> '' THEN 1 ELSE 0 END
         + CASE WHEN macro_secondary <> '' THEN 1 ELSE 0 END END AS INTEGER) AS n_externals
-      FROM categorised AS c LEFT JOIN (SELECT * FROM mapping WHERE priority <= 6) AS m ON m.sector = c.sector"""),
+      FROM categorised AS c LEFT JOIN items AS i ON i.account_id = c.account_id
+      LEFT JOIN (SELECT * FROM mapping WHERE priority <= 6) AS m ON m.sector = i.sector"""),
 )
 register(
     "policy_sector_rule_v2",

@@ -169,10 +169,13 @@ CTES = {
     "messy": f"""SELECT printf('ACC_%05d', s_suppkey) AS account_id,
         CASE WHEN s_suppkey % 2 = 0 THEN ' ' || upper({element(SECTORS, 's_nationkey')}) || ' '
              ELSE {element(SECTORS, 's_nationkey')} END AS sector FROM supplier""",
-    "cells": """SELECT sector, cv_bucket, t > 0.3 AS cell_reg, t <= 0.3 AS cell_clf FROM (
-        SELECT sector, CASE WHEN cv_cashflow < 0.30 THEN '<0.30' WHEN cv_cashflow < 0.50 THEN '[0.30,0.50)'
-            WHEN cv_cashflow < 0.80 THEN '[0.50,0.80)' ELSE '>=0.80' END AS cv_bucket,
-          avg(trend_strength) AS t FROM profiles GROUP BY 1, 2) WHERE sector <> 'energy'""",
+    "cells": f"""SELECT sector, cv_bucket, max(n) % 2 = 0 AS cell_reg, min(n) % 3 = 0 AS cell_clf FROM (
+        SELECT {element(SECTORS, 'n_regionkey')} AS sector, n_nationkey AS n,
+          CASE WHEN n_nationkey % 10 < 3 THEN '<0.30' WHEN n_nationkey % 10 < 5 THEN '[0.30,0.50)'
+            WHEN n_nationkey % 10 < 8 THEN '[0.50,0.80)' ELSE '>=0.80' END AS cv_bucket
+        FROM nation) GROUP BY ALL""",
+    "items": f"""SELECT printf('P_%08d', l_orderkey) AS account_id, {element(SECTORS, 'max(l_suppkey)')} AS sector,
+        count(*) AS n_items, sum(l_linenumber) AS n_parts FROM lineitem GROUP BY l_orderkey""",
     "categorised": """SELECT *, CASE
           WHEN n_obs < 52 THEN 'E_short_history' WHEN cv_cashflow > 1.0 THEN 'D_sparse'
           WHEN trend_strength < 0.02 AND cv_cashflow < 0.40 THEN 'F_flat'

@@ -257,13 +257,25 @@ def scored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup cells of the mapped sectors: on where the cell's mean trend passes 0.3."""
-    cells = metric_profiles(spark, sf_dir).groupBy(
-        "sector", cv_bucket(F.col("cv_cashflow")).alias("cv_bucket")
-    ).agg(F.avg("trend_strength").alias("_t"))
-    return cells.where(F.col("sector") != "energy").select(
-        "sector", "cv_bucket", (F.col("_t") > 0.3).alias("use_externals_regression"),
-        (F.col("_t") <= 0.3).alias("use_externals_classification"),
+    """Lookup cells of the five sectors that regions stand for; the others have no cell at all."""
+    n = table(spark, sf_dir, "nation")
+    return n.groupBy(
+        element(SECTORS, F.col("n_regionkey")).alias("sector"),
+        cv_bucket((F.col("n_nationkey") % 10) / 10.0).alias("cv_bucket"),
+    ).agg(
+        (F.max("n_nationkey") % 2 == 0).alias("use_externals_regression"),
+        (F.min("n_nationkey") % 3 == 0).alias("use_externals_classification"),
+    )
+
+
+def item_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(account_id, sector, n_items, n_parts) of every order that has line items; some orders have none."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_suppkey").alias("_s"), F.count(F.lit(1)).alias("n_items"), F.sum("l_linenumber").alias("_p"),
+    )
+    return lines.select(
+        F.format_string("P_%08d", "l_orderkey").alias("account_id"), element(SECTORS, F.col("_s")).alias("sector"),
+        "n_items", F.col("_p").alias("n_parts"),
     )
 
 
