@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
 from ledgerloom.operators.tsmetrics import account_metrics, valid_metrics
-from ledgerloom.operators.weekly import weekly_cashflow
+from ledgerloom.operators.weekly import trailing_mean, weekly_cashflow
+from ledgerloom.sources.io import written
 
 
 @dataclass(frozen=True)
@@ -25,17 +27,20 @@ class QualityCuts:
     predictability_min: float = 35.0
     composite_min: float = 40.0
 
-    def holds(self) -> Column:
+    def conditions(self) -> dict[str, Column]:
         """All strict, but for the CV range, which includes its ends."""
-        return (
-            (F.col("acf_lag1") > self.acf_min)
-            & (F.col("adf_pvalue") < self.adf_pvalue_max)
-            & (F.col("completeness_ratio") > self.completeness_min)
-            & (F.col("total_transactions") > self.transactions_min)
-            & F.col("cv_cashflow").between(self.cv_min, self.cv_max)
-            & (F.col("predictability_score") > self.predictability_min)
-            & (F.col("composite_score") > self.composite_min)
-        )
+        return {
+            "acf": F.col("acf_lag1") > self.acf_min,
+            "adf_pvalue": F.col("adf_pvalue") < self.adf_pvalue_max,
+            "completeness": F.col("completeness_ratio") > self.completeness_min,
+            "transactions": F.col("total_transactions") > self.transactions_min,
+            "cv": F.col("cv_cashflow").between(self.cv_min, self.cv_max),
+            "predictability": F.col("predictability_score") > self.predictability_min,
+            "composite": F.col("composite_score") > self.composite_min,
+        }
+
+    def holds(self) -> Column:
+        return reduce(Column.__and__, self.conditions().values())
 
 
 # Thresholds of the scheduled job, and the three sets of the ablation.
@@ -72,16 +77,41 @@ def quality_accounts(
     return quality_filter(quality_scores(valid_metrics(account_metrics(weekly, min_obs))), cuts)
 
 
-def quality_pipeline(
-    transactions: DataFrame, cuts: QualityCuts = QualityCuts(), min_obs: int = 24
-) -> tuple[DataFrame, DataFrame]:
-    """Transactions to (weekly panel, quality accounts).
+@dataclass(frozen=True)
+class QualityRun:
+    """The stored weekly panel, the stored quality accounts, and how many accounts each step saw.
 
-    The panel feeds both outputs. Where both are stored, write it once and pass the re-read table to
-    ``quality_accounts``, or the transactions are scanned twice.
+    ``counts`` holds accounts_in, untested (no valid unit-root test or autocorrelation), kept, and
+    for every cut ``fails_...``, the tested accounts that miss it (an account can miss several).
     """
-    weekly = weekly_cashflow(transactions)
-    return weekly, quality_accounts(weekly, cuts, min_obs)
+
+    weekly: DataFrame
+    accounts: DataFrame
+    counts: dict[str, int]
+
+
+def quality_pipeline(
+    transactions: DataFrame, cuts: QualityCuts = QualityCuts(), min_obs: int = 24, smoothing: int = 1,
+    account_sector: DataFrame | None = None,
+) -> QualityRun:
+    """Transactions to the weekly panel and the accounts fit for modelling.
+
+    The panel is written once and both outputs read it, so the transactions are scanned once. What
+    is kept and rejected is observed in the pass that writes the accounts, without a job of its own.
+    ``smoothing`` judges the trailing mean of so many rows; the panel itself stays as it is.
+    """
+    weekly = written(weekly_cashflow(transactions, account_sector), "weekly")
+    judged = trailing_mean(weekly, smoothing) if smoothing > 1 else weekly
+    seen, tested = Observation("accounts"), Observation("cuts")
+    metrics = account_metrics(judged, min_obs).observe(seen, F.count(F.lit(1)).alias("accounts_in"))
+    scored = quality_scores(valid_metrics(metrics)).observe(
+        tested, F.count(F.lit(1)).alias("tested"), F.count_if(cuts.holds()).alias("kept"),
+        *(F.count_if(~F.coalesce(c, F.lit(False))).alias(f"fails_{n}") for n, c in cuts.conditions().items()),
+    )
+    accounts = written(quality_filter(scored, cuts), "quality-accounts")
+    counts = {**seen.get, **tested.get}
+    counts["untested"] = counts["accounts_in"] - counts.pop("tested")
+    return QualityRun(weekly, accounts, counts)
 
 
 def profile_tag(

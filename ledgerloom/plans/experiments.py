@@ -145,7 +145,7 @@ def _account_metrics(spark, sf):
 
 
 def _bins_sql() -> str:
-    from ledgerloom.plans.models import _SMOOTH_METRICS
+    from ledgerloom.plans.panel import JUDGED
     from ledgerloom.plans.panel import stats_sql
 
     return with_ctes(f"""SELECT l.name, condition, model_name, experiment_role, rmse_lift_pct,
@@ -153,7 +153,7 @@ def _bins_sql() -> str:
         WHEN cv_cashflow < 1.0 THEN '[0.9,1.0)' WHEN cv_cashflow >= 1.0 THEN '>=1.0' END AS cv_cashflow_bin,
       CASE WHEN r1 < 0.65 THEN '<0.65' WHEN r1 < 0.7 THEN '[0.65,0.7)' WHEN r1 >= 0.7 THEN '>=0.7' END AS acf_lag1_bin
       FROM lifted AS l LEFT JOIN ({stats_sql('smooth')}) AS s ON s.account_id = l.name
-      LEFT JOIN acfs AS a ON a.account_id = l.name""", **_SUM, **_SMOOTH_METRICS)
+      LEFT JOIN acfs AS a ON a.account_id = l.name""", **_SUM, **JUDGED)
 
 
 register(

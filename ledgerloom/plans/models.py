@@ -11,47 +11,32 @@ from ledgerloom.operators import features as feat
 from ledgerloom.operators import matrix as mx
 from ledgerloom.operators import metrics as met
 from ledgerloom.operators import models as mo
+from ledgerloom.operators import policy as po
 from ledgerloom.operators import scoring as sc
+from ledgerloom.operators import sectors as sec
 from ledgerloom.operators import store as st
-from ledgerloom.operators import tsmetrics as ts
 from ledgerloom.operators import weekly as wk
-from ledgerloom.plans.panel import HARMONICS, KEYS, METRICS_SQL, ROLLING_SQL, WAVE_DIGITS, stats_sql
+from ledgerloom.plans.panel import HARMONICS, JUDGED, KEYS, ROLLING_SQL, WAVE_DIGITS, quality_run
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.sql import ACCOUNT, with_ctes
 from ledgerloom.sources import fixtures as fx
 from ledgerloom.sources import io
 
-_SMOOTH_METRICS = {k: v.replace("FROM mixed", "FROM smooth") for k, v in METRICS_SQL.items()}
-_KEPT = {
-    **_SMOOTH_METRICS,
-    "kept": f"""SELECT s.account_id FROM ({stats_sql('smooth')}) AS s JOIN acfs AS a ON a.account_id = s.account_id
-      WHERE n_obs >= 24 AND std_cashflow >= 1e-8 AND r1 > 0.70 AND completeness_ratio > 0.60
-        AND cv_cashflow BETWEEN 0.20 AND 2.00""",
-}
-
-
-def kept_accounts(smooth: DataFrame) -> DataFrame:
-    """Accounts chosen by moments only, so that plain SQL can choose the same ones."""
-    return ts.account_metrics(smooth, adf=False).where(
-        (F.col("acf_lag1") > 0.70) & (F.col("completeness_ratio") > 0.60)
-        & F.col("cv_cashflow").between(0.20, 2.00)
-    )
+def feature_table(spark, sf) -> DataFrame:
+    """Features of the accounts that the quality pipeline keeps, from the panel that it stored."""
+    run = quality_run(spark, sf)
+    return feat.feature_table(run.weekly, run.accounts, fx.calendar(spark, sf), fx.macro(spark, sf))
 
 
-def feature_table(spark, sf) -> DataFrame:
-    """The panel is stored first, as two branches read it: the transactions are scanned once."""
-    panel = io.written(fx.weekly(spark, sf), "weekly")
-    return feat.feature_table(
-        panel, kept_accounts(wk.trailing_mean(panel, 4)), fx.calendar(spark, sf), fx.macro(spark, sf)
-    )
+def _semi_quality(spark, sf) -> DataFrame:
+    run = quality_run(spark, sf)
+    return wk.restrict_to(run.weekly, run.accounts).select(*KEYS, "total_amount")
 
 
 register(
-    "semi_quality",
-    lambda s, d: wk.restrict_to(
-        p := io.written(fx.weekly(s, d), "weekly"), kept_accounts(wk.trailing_mean(p, 4))).select(*KEYS, "total_amount"),
+    "semi_quality", _semi_quality,
     with_ctes("SELECT account_id, week, sector, total_amount FROM weekly WHERE account_id IN (SELECT account_id FROM kept)",
-              **_KEPT),
+              **JUDGED),
     total_amount=4,
 )
 _FLAGS, _Z = ", ".join(S.CALENDAR_FLAGS), ", ".join(S.MACRO_KEYS)
@@ -62,7 +47,7 @@ register(
         SELECT *, {', '.join(f'{e} AS {n}' for n, e in ROLLING_SQL.items())} FROM lagged) AS f
       LEFT JOIN calendar AS c ON c.week = f.week LEFT JOIN macro AS m ON m.week = f.week - INTERVAL 7 DAY""",
               lagged=f"""SELECT *, {HARMONICS}, lag(total_amount) OVER ({ACCOUNT}) AS prev FROM weekly
-        WHERE account_id IN (SELECT account_id FROM kept)""", **_KEPT),
+        WHERE account_id IN (SELECT account_id FROM kept)""", **JUDGED),
     total_amount=4, prop_positive_24w=8, rolling_max_8w=4, rolling_min_8w=4, volatility_4w=3,
     **WAVE_DIGITS, **{k: 8 for k in S.MACRO_KEYS},
 )
@@ -460,14 +445,19 @@ def _final(spark, sf) -> DataFrame:
 
 
 def _train_and_score(spark, sf) -> DataFrame:
-    """Trained, saved, loaded and scored: the predictions table of one run, read back."""
-    features = model_inputs(spark, sf)
-    policy = fx.demo_policy(spark, sf)
+    """From transactions to predictions: panel and quality, policy with its indicators, features,
+    final models of every family, stored, loaded, scored, and the predictions table read back."""
+    run = quality_run(spark, sf)
+    assigned = sec.macro_assignment(run.accounts, sec.reference_mapping(spark))
+    policy = io.written(po.assignment_join(po.build_policy(run.accounts), assigned), "policy")
+    features = io.written(
+        feat.feature_table(run.weekly, run.accounts, fx.calendar(spark, sf), fx.macro(spark, sf)), "features"
+    )
     path = io.scratch_path(spark, "model-store")
     st.train(io.written(mx.ml_matrix(features, policy), "matrix"), path, "20240101-000000")
-    run = st.load_run(spark, path)
+    models = st.load_run(spark, path)
     predictions = io.scratch_path(spark, "predictions")
-    sc.save_rows(sc.batch_score(features, policy, run), predictions, run.run_stamp)
+    sc.save_rows(sc.batch_score(features, policy, models), predictions, models.run_stamp)
     return sc.saved_rows(spark, predictions)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas as S
 from ledgerloom.functions import columns as C
 from ledgerloom.functions.aggregates import keep_one
+from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators import calendar as cal
 from ledgerloom.operators import features as feat
 from ledgerloom.operators import quality as q
@@ -494,7 +495,58 @@ register(
       predictability_score, composite_score FROM scored"""),
     cv_cashflow=6, completeness_ratio=6, acf_lag1=6, predictability_score=7, composite_score=7,
 )
-register("quality_pipeline", lambda s, d: q.quality_accounts(fx.weekly_smooth(s, d), q.JOB_CUTS))
+register("quality_accounts", lambda s, d: q.quality_accounts(fx.weekly_smooth(s, d), q.JOB_CUTS))
+
+#: The cuts by moments alone: the unit-root test is made, and its p-value may take any value.
+OPEN_CUTS = q.QualityCuts(
+    acf_min=0.70, adf_pvalue_max=float("inf"), completeness_min=0.60, transactions_min=100, cv_min=0.20, cv_max=2.00,
+    predictability_min=38.0, composite_min=float("-inf"),
+)
+_PASSED = {
+    "acf": "acf_lag1 > 0.70", "completeness": "completeness_ratio > 0.60", "transactions": "total_transactions > 100",
+    "cv": "cv_cashflow >= 0.20 AND cv_cashflow <= 2.00", "predictability": "predictability_score > 38",
+}
+JUDGED = {
+    **{k: v.replace("FROM mixed", "FROM smooth") for k, v in METRICS_SQL.items()},
+    "trends": "SELECT account_id, CASE WHEN var_pop(x) = 0 THEN 0.0 ELSE regr_r2(x, i) END AS trend_strength FROM idx GROUP BY account_id",
+    "judged": f"""SELECT s.account_id, s.sector, n_obs, total_transactions, total_cashflow, cv_cashflow, completeness_ratio,
+        r1 AS acf_lag1, trend_strength, z.s AS seasonality_strength,
+        0.5 * r1 * 100 + 0.25 * trend_strength * 50 + 0.25 * z.s * 50 AS predictability_score
+      FROM ({stats_sql('smooth')}) AS s JOIN acfs AS a ON a.account_id = s.account_id
+      JOIN trends AS t ON t.account_id = s.account_id LEFT JOIN seasons AS z ON z.account_id = s.account_id
+      WHERE n_obs >= 24 AND std_cashflow >= 1e-8 AND r1 IS NOT NULL""",
+    "kept": f"SELECT * FROM judged WHERE {' AND '.join(_PASSED.values())}",
+}
+
+
+def quality_run(spark, sf, cuts: q.QualityCuts = OPEN_CUTS) -> q.QualityRun:
+    """Transactions to the panel and the accounts kept, judged on four-week means."""
+    return q.quality_pipeline(fx.transactions(spark, sf), cuts, smoothing=4)
+
+
+def _quality_counts(spark, sf) -> DataFrame:
+    return literal_table(spark, sorted(quality_run(spark, sf).counts.items()), "step string, n_accounts bigint")
+
+
+_JUDGED = (
+    "account_id", "sector", "n_obs", "total_transactions", "total_cashflow", "cv_cashflow", "completeness_ratio",
+    "acf_lag1", "trend_strength", "seasonality_strength", "predictability_score",
+)
+register(
+    "quality_pipeline", lambda s, d: quality_run(s, d).accounts.select(*_JUDGED),
+    with_ctes(f"SELECT {', '.join(_JUDGED)} FROM kept", **JUDGED),
+    total_cashflow=3, cv_cashflow=6, completeness_ratio=6, acf_lag1=7, trend_strength=7, seasonality_strength=7,
+    predictability_score=5,
+)
+register(
+    "quality_pipeline_counts", _quality_counts,
+    with_ctes(" UNION ALL ".join([
+        "SELECT 'accounts_in' AS step, count(*) AS n_accounts FROM judged",
+        "SELECT 'untested', 0", "SELECT 'fails_adf_pvalue', 0", "SELECT 'fails_composite', 0",
+        "SELECT 'kept', count(*) FROM kept",
+        *(f"SELECT 'fails_{n}', count(*) FROM judged WHERE NOT coalesce({c}, false)" for n, c in _PASSED.items()),
+    ]), **JUDGED),
+)
 CATEGORY_V6 = """CASE WHEN n_obs < 52 THEN 'E_short_history'
       WHEN seasonality_strength > 0.60 AND acf_lag1 >= 0.30 AND cv_cashflow < 1.0 AND trend_strength < 0.50
         THEN 'B_seasonal'

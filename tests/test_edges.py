@@ -334,3 +334,25 @@ def test_ewm_repeats_the_mean_over_missing_amounts(spark):
         want = [v for xs in amounts.values() for v in pd.Series(xs, dtype=float).ewm(span=span, adjust=False).mean()]
         assert got[f"ewm_{span}"].tolist() == pytest.approx(want, nan_ok=True)
     assert ewm_features(panel.where("false")).count() == 0
+
+
+def test_quality_pipeline_counts_what_it_rejects(spark):
+    """A short account is no account in; of the others each is kept or misses a cut; the panel is the raw one."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for name, n in (("walk", 60), ("noise", 60), ("short", 10), ("flat", 40)):
+        y = np.cumsum(rng.standard_normal(n)) + 20 if name == "walk" else 5 + 9 * rng.standard_normal(n)
+        y = np.full(n, 3.0) if name == "flat" else y
+        rows += [
+            (name, dt.datetime.combine(MONDAY + dt.timedelta(weeks=i, days=d), dt.time(9)), float(v) / 3, "retail")
+            for i, v in enumerate(y) for d in (0, 2, 4)
+        ]
+    tx = spark.createDataFrame(rows, "account_id string, op_ts timestamp, amount double, sector string")
+    cuts = q.QualityCuts(acf_min=0.5, adf_pvalue_max=2.0, cv_min=0.0, cv_max=9.0, predictability_min=-1e9, composite_min=-1e9)
+    run = q.quality_pipeline(tx, cuts)
+    assert [r.account_id for r in run.accounts.collect()] == ["walk"]
+    assert run.counts["accounts_in"] == 2 and run.counts["untested"] == 0 and run.counts["kept"] == 1
+    assert run.counts["fails_acf"] == 1 and run.counts["fails_completeness"] == 0 and run.counts["fails_cv"] == 0
+    assert sorted(map(tuple, run.weekly.collect())) == sorted(map(tuple, wk.weekly_cashflow(tx).collect()))
+    smooth = q.quality_pipeline(tx, cuts, smoothing=4)
+    assert smooth.weekly.count() == run.weekly.count() and smooth.counts["kept"] == 2
