@@ -71,8 +71,25 @@ register(
       JOIN series AS b ON b.account_id = a.account_id AND b.i = a.i - lag GROUP BY 1, 2, 3""", **_CORR),
     r=7,
 )
-register("ext_corr_select",
-         lambda s, d: ex.select_by_correlation(ex.external_correlations(ml_features(s, d))))
+#: The two-sided tail of Student's t in its finite series: sine |r|, cosine sqrt(1 - r^2) of the angle.
+_TAIL = """CASE WHEN r IS NULL OR n_pairs <= 2 THEN 1.0
+        WHEN n_pairs % 2 = 0 THEN 1 - abs(r) * list_sum(list_transform(range((n_pairs - 2) // 2),
+          lambda k: exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1) + k * ln(1 - r * r))))
+        ELSE 1 - 2 / pi() * (asin(abs(r)) + abs(r) * coalesce(list_sum(list_transform(range((n_pairs - 3) // 2),
+          lambda k: exp(lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5) + (k + 0.5) * ln(1 - r * r)))), 0)) END"""
+_LAG_CORR = """SELECT a.account_id, external, lag, covar_pop(a.total_amount, b.e)
+        / nullif(stddev_pop(CASE WHEN b.e IS NOT NULL THEN a.total_amount END) * stddev_pop(b.e), 0) AS r,
+      CAST(count(b.e) AS BIGINT) AS n_pairs
+      FROM numbered AS a CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS l(lag)
+      JOIN series AS b ON b.account_id = a.account_id AND b.i = a.i - lag GROUP BY 1, 2, 3"""
+register(
+    "ext_corr_select",
+    lambda s, d: ex.select_by_correlation(ex.external_correlations(ml_features(s, d))),
+    with_ctes(f"""SELECT account_id, external, bool_or(p < 0.05 AND abs(r) > 0.05) AS keep, min(p) AS min_p,
+      max(abs(r)) AS max_abs_r FROM (SELECT *, {_TAIL} AS p FROM lag_corr) GROUP BY account_id, external""",
+              **_CORR, lag_corr=_LAG_CORR),
+    min_p=7, max_abs_r=7,
+)
 register("ext_importance_select", lambda s, d: ex.select_by_importance(ml_features(s, d)))
 
 

@@ -541,8 +541,72 @@ def _fitted_sql(family: str) -> str:
       WHERE role = 'test' AND family = '{family}' GROUP BY f.account_id, fold""", **_NAIVE)
 
 
-register("fit_ridge", lambda s, d: mo.fit_ridge(matrix(s, d)))
-register("fit_logistic", lambda s, d: mo.fit_logistic(matrix(s, d)))
+def _first_order(spark, sf, task: str) -> DataFrame:
+    """Every linear fit with whether the gradient of its penalised loss vanishes on its training rows.
+
+    Per feature the gradient is the sum of residual times standardised value, less the penalty times
+    the standardised weight (ridge), or plus that weight (logistic, per class).
+    """
+    rows = stored_matrix(spark, sf)
+    regression = task == "regression"
+    models = io.written(mo.fit_ridge(rows) if regression else mo.fit_logistic(rows), task)
+    x = F.col("x_reg" if regression else "x_clf")
+    joined = rows.select("account_id", "pos", "y", "label", x.alias("x")).join(models, "account_id").where("pos < n_train")
+    if regression:
+        sides = F.array(F.struct(
+            F.lit(0).alias("cls"), (F.col("y") - mo.linear_prediction(F.col("x"))).alias("residual"),
+            F.col("coef").alias("weights"), F.col("alpha").alias("penalty"),
+        ))
+    else:
+        scores = F.zip_with(F.transform("coefs", lambda c: mo.dot(c, F.col("x"))), F.col("intercepts"), lambda v, b: v + b)
+        joined = joined.withColumn("_e", F.transform(scores, lambda v: F.exp(v - F.array_max(scores))))
+        total = F.aggregate("_e", F.lit(0.0), lambda acc, v: acc + v)
+        # The first of two classes is the fixed one: it has no weights of its own.
+        sides = F.filter(F.transform("classes", lambda c, i: F.struct(
+            c.alias("cls"), ((F.col("label") == c).cast("double") - F.get("_e", i) / total).alias("residual"),
+            F.get("coefs", i).alias("weights"), F.lit(1.0).alias("penalty"),
+        )), lambda side: (F.size("classes") > 2) | (side["cls"] != F.get("classes", F.lit(0))))
+    cells = joined.select("account_id", "mode", "fold", "n_train", F.size("x").alias("n_features"), "x", F.inline(sides)).select(
+        "account_id", "mode", "fold", "n_train", "n_features", "cls", "residual", "penalty",
+        F.posexplode(F.arrays_zip(F.col("x"), F.col("weights"))).alias("j", "cell"),
+    )
+    r, v = F.col("residual"), F.col("cell.x")
+    keys = ["account_id", "mode", "fold", "n_train", "n_features"]
+    sums = cells.groupBy(*keys, "cls", "j").agg(
+        F.sum(r * v).alias("rv"), F.sum(r).alias("r"), F.sum(r * r).alias("rr"), F.avg(v).alias("m"),
+        F.stddev_pop(v).alias("s"), F.first("cell.weights").alias("w"), F.first("penalty").alias("penalty"),
+    )
+    slope = (F.col("rv") - F.col("m") * F.col("r")) / F.col("s") - F.col("penalty") * F.col("w") * F.col("s")
+    size = 1e-6 * F.sqrt(F.col("rr") * F.col("n_train")) + 1e-5
+    constant = F.col("s") < 1e-9 * F.greatest(F.abs("m"), F.lit(1.0))
+    flat = (F.abs("r") <= size) & (constant | (F.abs(slope) <= size))
+    return sums.groupBy(*keys).agg(F.bool_and(flat).alias("stationary"))
+
+
+_LINEAR = {
+    **_ACCOUNTS,
+    "trainings": """SELECT account_id, s AS fold, CASE WHEN s < 0 THEN n_rows ELSE n_rows - 4 * (s + 1) END AS n_train
+      FROM accounts CROSS JOIN (VALUES (-1), (0), (1), (2)) AS f(s) WHERE s < 0 OR n_rows - 4 * (s + 1) >= 10""",
+    "keyed": f"""SELECT a.account_id, use_reg, use_clf, {_tail_sql('p.use_reg', True)} AS n_reg, {_tail_sql('p.use_clf', True)} AS n_clf
+      FROM (SELECT account_id FROM accounts) AS a LEFT JOIN policy_raw AS p ON p.account_id = a.account_id""",
+    "varied": """SELECT t.account_id, fold, count(DISTINCT label) AS n_classes FROM trainings AS t
+      JOIN labelled AS l ON l.account_id = t.account_id AND l.t >= 4 AND l.t - 4 < n_train GROUP BY t.account_id, fold""",
+}
+
+
+def _linear_keys(flag: str, size: str, where: str) -> str:
+    return with_ctes(f"""SELECT t.account_id, CASE WHEN coalesce({flag}, false) THEN 'with_externals' ELSE 'baseline' END AS mode,
+      t.fold, CAST(n_train AS INTEGER) AS n_train, CAST({size} AS INTEGER) AS n_features, true AS stationary
+      FROM trainings AS t JOIN keyed AS k ON k.account_id = t.account_id {where}""", **_LINEAR)
+
+
+register("ridge_coefficients", lambda s, d: mo.fit_ridge(matrix(s, d)))
+register("fit_ridge", lambda s, d: _first_order(s, d, "regression"), _linear_keys("use_reg", "n_reg", ""))
+register(
+    "fit_logistic", lambda s, d: _first_order(s, d, "classification"),
+    _linear_keys("use_clf", "n_clf", """JOIN varied AS v ON v.account_id = t.account_id AND v.fold = t.fold AND v.n_classes > 1
+      WHERE t.account_id IN (SELECT account_id FROM varied WHERE fold = 0 AND n_classes > 1)"""),
+)
 register("fit_forest", _fitted("rf"), _fitted_sql("rf"))
 register("fit_boosted", _fitted("lgbm"), _fitted_sql("lgbm"))
 register(
