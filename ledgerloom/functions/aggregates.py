@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.io import written
+
+#: Distinct values of one group that a task may order, and slots of a further split.
+MOST_RANKED = 100_000
+SPLITS = 256
+
 
 def keep_one(df: DataFrame, keys: list[str], order: list[str], which: str = "first") -> DataFrame:
     """One row per key, the smallest or largest by ``order``.
@@ -20,47 +26,81 @@ def keep_one(df: DataFrame, keys: list[str], order: list[str], which: str = "fir
     )
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which a NULL is one like others."""
+    own = right.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return left.join(own, same).drop(*(f"_key{i}" for i in range(len(keys))))
+
+
+def _running(keys: list[str], order: str) -> Column:
+    """Rows up to and with this one, in the group's order, besides those known to lie below."""
+    return F.col("_base") + F.sum("_n").over(Window.partitionBy(*keys).orderBy(order))
+
+
+def _narrowed(inside: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct values between those split points that enclose both middle ranks, with ``_base``.
+
+    Points are drawn from a sketch and what lies between them is counted exactly, so the middle is
+    never lost; SPLITS slots a group are all that is ordered.
+    """
+    shares = [i / SPLITS for i in range(SPLITS + 1)]
+    points = inside.groupBy(*keys).agg(F.percentile_approx("_v", shares, 20 * SPLITS).alias("_points"))
+    slot = F.size(F.filter("_points", lambda p: p <= F.col("_v")))
+    placed = written(_joined(inside, points, keys).withColumn("_slot", slot).drop("_points"), "median-slots")
+    counted = placed.groupBy(*keys, "_base", "_lower", "_upper", "_slot").agg(F.sum("_n").alias("_n"))
+    found = counted.withColumn("_cum", _running(keys, "_slot")).groupBy(*keys).agg(
+        F.min(F.when(F.col("_cum") >= F.col("_lower"), F.col("_slot"))).alias("_first"),
+        F.min(F.when(F.col("_cum") >= F.col("_upper"), F.col("_slot"))).alias("_last"),
+        F.max(F.when(F.col("_cum") < F.col("_lower"), F.col("_cum"))).alias("_passed"),
+    )
+    return _joined(placed, found, keys).where(F.col("_slot").between(F.col("_first"), F.col("_last"))).select(
+        *keys, "_v", "_n", F.coalesce("_passed", "_base").alias("_base"), "_lower", "_upper"
+    )
+
+
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, alias: str, most_ranked: int = MOST_RANKED
+) -> DataFrame:
     """Exact interpolated median per group, for groups of any size.
 
     The built-in ``median`` keeps every distinct value of a group in one buffer. Here a sketch first
     brackets the middle (rank 0.5 +/- 0.002, sketch error 0.0001), values below the bracket are only
-    counted, values above it are dropped, and the few inside are pre-counted per value and ranked.
-    NULL and NaN are ignored. Should a bracket ever miss the middle the job fails: it never
-    returns a guess.
+    counted, values above it are dropped, and the few inside are counted per distinct value and
+    stored. While a group still has more than ``most_ranked`` of them they are split further about
+    the middle; only then are they ranked, so no task orders more than that bound of a group. A round
+    leaves some two in SPLITS values. Should the first bracket ever miss the middle the job fails: it
+    never returns a guess.
 
-    A NULL key is a group of its own, and infinities are values like others.
+    NULL and NaN are ignored, a NULL key is a group of its own, infinities are values like others.
     """
     v = F.col(value)
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"))
     bracket = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", [0.498, 0.502], 10000).alias("_b"),
-        F.count("_v").alias("_total"),
+        F.percentile_approx("_v", [0.498, 0.502], 10000).alias("_b"), F.count("_v").alias("_total"),
     ).select(*keys, "_total", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-    own = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-    counted = (
-        rows.join(bracket.select(*own, "_total", "_lo", "_hi"), same)
+    counted = written(
+        _joined(rows, bracket, keys)
         .where(F.col("_v") <= F.col("_hi"))
-        .withColumn("_below", F.col("_v") < F.col("_lo"))
-        .withColumn("_v", F.when(~F.col("_below"), F.col("_v")))
-        .groupBy(*keys, "_total", "_below", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_v", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
+        .groupBy(*keys, "_total", "_v")
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "median-inside",
+    )
+    below = F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0))
+    ranks = counted.groupBy(*keys).agg(
+        below.alias("_base"), F.floor((F.max("_total") + 1) / 2).alias("_lower"),
+        (F.floor(F.max("_total") / 2) + 1).alias("_upper"),
     )
-    running = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.desc("_below"), "_v"))
-    total = F.col("_total")
-    lower_rank = F.floor((total + 1) / 2)
-    upper_rank = F.floor(total / 2) + 1
-    ends = (
-        counted.withColumn("_cum", running)
-        .groupBy(*keys)
-        .agg(
-            F.min(F.when(F.col("_cum") >= lower_rank, F.col("_v"))).alias("_a"),
-            F.min(F.when(F.col("_cum") >= upper_rank, F.col("_v"))).alias("_z"),
-            F.max(F.col("_below") & (F.col("_cum") >= lower_rank)).alias("_short"),
-        )
+    inside = _joined(counted.where("_v is not null").drop("_total"), ranks, keys)
+    while (inside.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > most_ranked:
+        inside = written(_narrowed(inside, keys), "median-narrowed")
+    ends = inside.withColumn("_cum", _running(keys, "_v")).groupBy(*keys).agg(
+        F.min(F.when(F.col("_cum") >= F.col("_lower"), F.col("_v"))).alias("_a"),
+        F.min(F.when(F.col("_cum") >= F.col("_upper"), F.col("_v"))).alias("_z"),
+        F.max(F.col("_base") >= F.col("_lower")).alias("_short"),
     )
     missed = F.col("_a").isNull() | F.col("_z").isNull() | F.col("_short")
     return ends.select(

@@ -356,3 +356,23 @@ def test_quality_pipeline_counts_what_it_rejects(spark):
     assert sorted(map(tuple, run.weekly.collect())) == sorted(map(tuple, wk.weekly_cashflow(tx).collect()))
     smooth = q.quality_pipeline(tx, cuts, smoothing=4)
     assert smooth.weekly.count() == run.weekly.count() and smooth.counts["kept"] == 2
+
+
+def test_median_of_a_crowded_bracket(spark, monkeypatch):
+    """Brackets with thousands of distinct values: rounds of splitting, and no task ranks over the bound."""
+    from ledgerloom.functions import aggregates as ag
+
+    monkeypatch.setattr(ag, "SPLITS", 16)
+    n = 400_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 4 == 0, "a").when(F.col("id") % 4 == 1, "b").alias("k"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**12)) / 7.0).alias("v"),
+    ).unionByName(spark.createDataFrame([("c", 1.0), ("c", 4.0), ("d", 2.5)], "k string, v double"))
+    seen = []
+    narrowed = ag._narrowed
+    monkeypatch.setattr(ag, "_narrowed", lambda inside, keys: seen.append(
+        inside.groupBy(*keys).count().agg(F.max("count")).first()[0]) or narrowed(inside, keys))
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", most_ranked=20).collect()}
+    assert len(seen) >= 2 and seen[0] > 300 and seen == sorted(seen, reverse=True)
+    pdf = df.toPandas()
+    assert got == {None if k != k or k is None else k: g.median() for k, g in pdf.groupby("k", dropna=False)["v"]}
