@@ -64,6 +64,19 @@ def ranked(
     )
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose texts go to Python 1,000 rows at a time where the session leaves Spark's default.
+
+    A worker and its JVM hold a few megabytes of texts at once then, not tens. The setting is the
+    session's and stays.
+    """
+    conf = docs.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "1000")
+    return docs
+
+
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose (doc_id, text) occurs in ``gone`` (doc_id, text_key).
 
@@ -79,6 +92,21 @@ def text_key() -> Column:
     return F.xxhash64(whole_text())
 
 
+class Memory(dict):
+    """What was worked out before; shrink() forgets everything once it holds ``most`` entries."""
+
+    def __init__(self, make, most: int):
+        self._make, self._most = make, most
+
+    def __missing__(self, key):
+        found = self[key] = self._make(key)
+        return found
+
+    def shrink(self) -> None:
+        if len(self) > self._most:
+            self.clear()
+
+
 # ---- numpy -----------------------------------------------------------------------------------
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -88,7 +116,7 @@ _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(SPACES)] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 @functools.lru_cache(2)
