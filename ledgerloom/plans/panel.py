@@ -398,8 +398,94 @@ register(
       ON d.account_id = i.account_id"""),
     df_statistic=4,
 )
-register("ts_adf", lambda s, d: ts.ts_adf(fx.weekly_mixed(s, d)))
-register("ts_metrics", lambda s, d: ts.ts_metrics(fx.weekly_mixed(s, d)))
+
+
+def _design_sql(lags: str, level_first: bool) -> str:
+    """Regression cells (account_id, i, c, v): constant, level and lagged differences, then the response last.
+
+    The constant is column 0. The level is column 1, or the last one before the response.
+    """
+    level, lag = ("1", "j + 1") if level_first else (f"{lags} + 1", "j")
+    sample = f"d.i > {lags}"
+    return f"""SELECT account_id, i, 0 AS c, 1.0 AS v FROM steps AS d WHERE {sample}
+      UNION ALL SELECT account_id, i, {level}, prev FROM steps AS d WHERE {sample}
+      UNION ALL SELECT account_id, i, {lags} + 2, dz FROM steps AS d WHERE {sample}
+      UNION ALL SELECT d.account_id, d.i, {lag}, e.dz FROM steps AS d CROSS JOIN (SELECT unnest(range(1, 40)) AS j) AS k
+        JOIN steps AS e ON e.account_id = d.account_id AND e.i = d.i - j WHERE {sample} AND j <= {lags}"""
+
+
+def _moments_sql(cells: str) -> str:
+    return f"""SELECT a.account_id, CAST(0 AS BIGINT) AS step, CAST(a.c AS BIGINT) AS p, CAST(b.c AS BIGINT) AS q, sum(a.v * b.v) AS v
+      FROM {cells} AS a JOIN {cells} AS b ON a.account_id = b.account_id AND a.i = b.i GROUP BY a.account_id, a.c, b.c"""
+
+
+def _eliminated_sql(moments: str, name: str) -> str:
+    """Gaussian elimination, one column a step: the corner that is left holds the residual moments."""
+    return f"""SELECT * FROM {moments} UNION ALL
+      SELECT e.account_id, e.step + 1, e.p, e.q, e.v - l.v * u.v / d.v FROM {name} AS e
+      JOIN {name} AS l ON l.account_id = e.account_id AND l.p = e.p AND l.q = e.step
+      JOIN {name} AS u ON u.account_id = e.account_id AND u.p = e.step AND u.q = e.q
+      JOIN {name} AS d ON d.account_id = e.account_id AND d.p = e.step AND d.q = e.step
+      WHERE e.p > e.step AND e.q > e.step"""
+
+
+def _surface(coefficients) -> str:
+    return " + ".join(f"({c!r}) * power(tau, {k})" for k, c in enumerate(coefficients))
+
+
+ADF_SQL = {
+    "series_of": """SELECT account_id, n, CAST(least(ceil(12.0 * power(n / 100.0, 0.25)), n // 2 - 2) AS BIGINT) AS most,
+        avg(x) AS mu, stddev_pop(x) AS sd FROM idx GROUP BY account_id, n HAVING max(x) > min(x) AND count(x) = n AND n >= 4""",
+    "steps": """SELECT account_id, i, z - prev AS dz, prev, n, most, best FROM (
+        SELECT i.account_id, i.i, (x - mu) / sd AS z, lag((x - mu) / sd) OVER (PARTITION BY i.account_id ORDER BY i.i) AS prev,
+          s.n, most, 0 AS best FROM idx AS i JOIN series_of AS s ON s.account_id = i.account_id) WHERE prev IS NOT NULL""",
+    "wide_cells": _design_sql("d.most", True),
+    "wide_moments": _moments_sql("wide_cells"),
+    "wide_left": _eliminated_sql("wide_moments", "wide_left"),
+    "chosen": """SELECT s.account_id, s.n, arg_min(step - 2, (n - 1 - most) * ln(v / (n - 1 - most)) + 2 * step) AS lags
+      FROM wide_left AS w JOIN series_of AS s ON s.account_id = w.account_id
+      WHERE p = most + 2 AND q = most + 2 AND step >= 2 GROUP BY s.account_id, s.n""",
+    "steps_chosen": "SELECT s.account_id, i, dz, prev, lags FROM steps AS s JOIN chosen AS c ON c.account_id = s.account_id",
+    "cells": _design_sql("d.lags", False).replace("FROM steps AS d", "FROM steps_chosen AS d"),
+    "cell_moments": _moments_sql("cells"),
+    "cell_left": _eliminated_sql("cell_moments", "cell_left"),
+    "taus": """SELECT account_id, xy / xx / sqrt((yy - xy * xy / xx) / (n - 3 - 2 * lags) / xx) AS tau FROM (
+        SELECT c.account_id, any_value(n) AS n, any_value(lags) AS lags, max(v) FILTER (p = lags + 1 AND q = lags + 1) AS xx,
+          max(v) FILTER (p = lags + 1 AND q = lags + 2) AS xy, max(v) FILTER (p = lags + 2 AND q = lags + 2) AS yy
+        FROM cell_left AS e JOIN chosen AS c ON c.account_id = e.account_id AND e.step = c.lags + 1 GROUP BY c.account_id)""",
+    # The normal distribution function by Simpson's rule.
+    "tested": f"""SELECT account_id, tau, CASE WHEN tau > {ts.ADF_TAU_MAX} THEN 1.0 WHEN tau < {ts.ADF_TAU_MIN} THEN 0.0
+        ELSE 0.5 + y / 400 / 3 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 401),
+          lambda k: CASE WHEN k IN (0, 400) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp(-0.5 * power(y * k / 400, 2)))) END AS p_value
+      FROM (SELECT *, CASE WHEN tau <= {ts.ADF_TAU_STAR} THEN {_surface(ts.ADF_SMALL_P)} ELSE {_surface(ts.ADF_LARGE_P)} END AS y FROM taus)""",
+}
+
+
+def _adf(body: str) -> str:
+    return with_ctes(body, **METRICS_SQL, **ADF_SQL).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _held(metrics: DataFrame) -> DataFrame:
+    """Short series that lags explain to the last bit have a statistic of rounding errors: all are -1000 here."""
+    return metrics.withColumn("adf_statistic", F.greatest("adf_statistic", F.lit(-1000.0)))
+
+
+_TAU = "greatest(tau, -1000.0) AS adf_statistic, p_value AS adf_pvalue"
+register(
+    "ts_adf", lambda s, d: _held(ts.ts_adf(fx.weekly_mixed(s, d))),
+    _adf(f"""SELECT i.account_id, {_TAU} FROM (SELECT DISTINCT account_id FROM idx) AS i
+      LEFT JOIN tested AS t ON t.account_id = i.account_id"""),
+    adf_statistic=4, adf_pvalue=5,
+)
+register(
+    "ts_metrics", lambda s, d: _held(ts.ts_metrics(fx.weekly_mixed(s, d))),
+    _adf(f"""SELECT a.account_id, {_TAU}, r1 AS acf_lag1, r2 AS acf_lag2, r1 * n / (n - 1) AS pacf_lag1,
+      trend_strength, z.s AS seasonality_strength FROM acfs AS a LEFT JOIN tested AS t ON t.account_id = a.account_id
+      LEFT JOIN seasons AS z ON z.account_id = a.account_id JOIN (SELECT account_id, CASE WHEN count(x) > 1 THEN
+        CASE WHEN var_pop(x) = 0 THEN 0.0 ELSE regr_r2(x, i) END END AS trend_strength FROM idx GROUP BY account_id) AS r
+      ON r.account_id = a.account_id"""),
+    adf_statistic=4, adf_pvalue=5, acf_lag1=7, acf_lag2=7, pacf_lag1=7, trend_strength=7, seasonality_strength=7,
+)
 register(
     "metrics_merge",
     lambda s, d: q.merge_metrics(
@@ -495,8 +581,6 @@ register(
       predictability_score, composite_score FROM scored"""),
     cv_cashflow=6, completeness_ratio=6, acf_lag1=6, predictability_score=7, composite_score=7,
 )
-register("quality_accounts", lambda s, d: q.quality_accounts(fx.weekly_smooth(s, d), q.JOB_CUTS))
-
 #: The cuts by moments alone: the unit-root test is made, and its p-value may take any value.
 OPEN_CUTS = q.QualityCuts(
     acf_min=0.70, adf_pvalue_max=float("inf"), completeness_min=0.60, transactions_min=100, cv_min=0.20, cv_max=2.00,
@@ -538,6 +622,23 @@ register(
     total_cashflow=3, cv_cashflow=6, completeness_ratio=6, acf_lag1=7, trend_strength=7, seasonality_strength=7,
     predictability_score=5,
 )
+_JOB = {
+    **{k: v.replace("FROM mixed", "FROM smooth") for k, v in METRICS_SQL.items()}, **ADF_SQL, **JUDGED,
+    "fully_judged": """SELECT j.*, p_value AS adf_pvalue, 0.35 * predictability_score + 0.20 * (1.0 - greatest(0.0, least(1.0, p_value))) * 100
+          + 0.20 * completeness_ratio * 100 + 0.15 * CASE WHEN total_cashflow > 0 THEN 10 * log10(total_cashflow) ELSE 0.0 END
+          + 0.10 * CASE WHEN total_transactions > 0 THEN 10 * log10(total_transactions) ELSE 0.0 END
+          - CASE WHEN cv_cashflow < 0.2 THEN (0.2 - cv_cashflow) * 50 WHEN cv_cashflow > 2.0 THEN (cv_cashflow - 2.0) * 20 ELSE 0.0 END
+          AS composite_score
+        FROM judged AS j JOIN tested AS t ON t.account_id = j.account_id""",
+}
+register(
+    "quality_accounts",
+    lambda s, d: q.quality_accounts(fx.weekly_smooth(s, d), q.JOB_CUTS).select(*_JUDGED, "adf_pvalue", "composite_score"),
+    with_ctes(f"SELECT {', '.join(_JUDGED)}, adf_pvalue, composite_score FROM fully_judged WHERE {JOB_SQL}", **_JOB)
+    .replace("WITH ", "WITH RECURSIVE ", 1),
+    total_cashflow=3, cv_cashflow=6, completeness_ratio=6, acf_lag1=7, trend_strength=7, seasonality_strength=7,
+    predictability_score=5, adf_pvalue=5, composite_score=5,
+)
 register(
     "quality_pipeline_counts", _quality_counts,
     with_ctes(" UNION ALL ".join([
