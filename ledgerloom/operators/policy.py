@@ -13,6 +13,7 @@ from ledgerloom.functions.literals import literal_table
 from ledgerloom.operators.quality import with_category
 from ledgerloom.schemas import CATEGORY_POLICY, require_columns
 
+#: Version texts that the builders write where the caller names none.
 VERSION_V7 = "v7-encapsulated-3pct"
 VERSION_V6 = "v6"
 VERSION_RULES = "v3.0"
@@ -88,14 +89,19 @@ def category_policy_join(categorised: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def policy_category(quality: DataFrame, table: DataFrame, version: str = "v7") -> DataFrame:
-    """Category-driven policy. Both versions use the v7 tree; v6 names the category as the rule."""
+def policy_category(
+    quality: DataFrame, table: DataFrame, version: str = "v7", version_text: str | None = None
+) -> DataFrame:
+    """Category-driven policy. Both versions use the v7 tree; v6 names the category as the rule.
+
+    ``version_text`` is what ``policy_version`` says, by default the version's own text.
+    """
     out = category_policy_join(with_category(quality), table)
     if version == "v6":
         out = out.withColumn("policy_rule_id", F.col("account_category"))
     return out.withColumns({
         "classification_model": F.lit(C.CLASSIFICATION_MODEL),
-        "policy_version": F.lit({"v7": VERSION_V7, "v6": VERSION_V6}[version]),
+        "policy_version": F.lit(version_text or {"v7": VERSION_V7, "v6": VERSION_V6}[version]),
     }).select(*POLICY_COLUMNS)
 
 
@@ -140,7 +146,9 @@ class RuleCuts:
         return C.first_match(rules, "baseline")
 
 
-def policy_rules(quality: DataFrame, cuts: RuleCuts, noise: float = 0.0) -> DataFrame:
+def policy_rules(
+    quality: DataFrame, cuts: RuleCuts, noise: float = 0.0, version_text: str = VERSION_RULES
+) -> DataFrame:
     """Externals by threshold rule: regression under R1-R3, classification under R1 only."""
     rule = F.col("policy_rule_id")
     return (
@@ -151,7 +159,7 @@ def policy_rules(quality: DataFrame, cuts: RuleCuts, noise: float = 0.0) -> Data
             "use_externals_classification": rule == "R1",
             "regression_model": F.lit(C.DEFAULT_REGRESSION_MODEL),
             "classification_model": F.lit(C.CLASSIFICATION_MODEL),
-            "policy_version": F.lit(VERSION_RULES),
+            "policy_version": F.lit(version_text),
         })
         .select(*POLICY_COLUMNS)
     )
@@ -199,16 +207,17 @@ def build_policy(
     noise: float = 0.0,
     lookup: DataFrame | None = None,
     overrides: DataFrame | None = None,
+    version_text: str | None = None,
 ) -> DataFrame:
     """Policy by mode: category_v7, category_v6, or rules with the enrichments of lookup, oracle or
     hybrid. Any other mode means plain rules."""
     mode = mode.strip().lower()
     if mode in ("category_v7", "category_v6"):
         table = builtin_policy(quality.sparkSession) if category_table is None else category_table
-        return policy_category(quality, load_category_policy(table), mode[-2:])
+        return policy_category(quality, load_category_policy(table), mode[-2:], version_text)
     if cuts is None:
         raise ValueError(f"policy mode {mode!r} needs rule thresholds")
-    policy = policy_rules(quality, cuts, noise)
+    policy = policy_rules(quality, cuts, noise, version_text or VERSION_RULES)
     if lookup is not None and mode in ("lookup", "hybrid"):
         policy = sector_cv_lookup_join(policy, lookup)
     if overrides is not None and mode in ("oracle", "hybrid"):
@@ -235,7 +244,8 @@ def sector_rule(sector: Column, cv: Column, priority_sectors, low=0.30, high=0.5
 
 
 def policy_from_quality(
-    quality: DataFrame, lookup: DataFrame, priority_sectors, mode: str = "hybrid"
+    quality: DataFrame, lookup: DataFrame, priority_sectors, mode: str = "hybrid",
+    version_text: str = VERSION_RULES,
 ) -> DataFrame:
     """Sector rule, replaced by the lookup cell where one matches (modes lookup and hybrid)."""
     ruled = quality.select(
@@ -257,6 +267,6 @@ def policy_from_quality(
         F.coalesce("_clf", F.lit(False)).alias("use_externals_classification"),
         F.lit(C.DEFAULT_REGRESSION_MODEL).alias("regression_model"),
         F.lit(C.CLASSIFICATION_MODEL).alias("classification_model"),
-        F.lit(VERSION_RULES).alias("policy_version"),
+        F.lit(version_text).alias("policy_version"),
         F.when(F.col("_hit"), "lookup_sector_cv").otherwise("rules_v2").alias("policy_source"),
     )

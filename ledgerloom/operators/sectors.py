@@ -33,15 +33,20 @@ def reference_mapping(spark) -> DataFrame:
 
 
 def load_mapping(raw: DataFrame) -> DataFrame:
-    """Normalise a mapping table read as text: required columns, lower/trim, blank keys, casts."""
+    """Normalise a mapping table read as text: required columns, lower/trim, blank keys, casts.
+
+    Other columns (a label, a source) stay as they are.
+    """
     require_columns(raw, MAPPING_COLUMNS, "sector mapping")
     blank = F.lit("")
+    others = [F.col(c) for c in raw.columns if c not in MAPPING_COLUMNS]
     return raw.select(
         F.lower(F.trim("sector")).alias("sector"),
         F.coalesce(C.clean_key(F.col("macro_primary")), blank).alias("macro_primary"),
         F.coalesce(C.clean_key(F.col("macro_secondary")), blank).alias("macro_secondary"),
         F.col("include_calendar").try_cast("boolean").alias("include_calendar"),
         F.col("priority").try_cast("int").alias("priority"),
+        *others,
     )
 
 

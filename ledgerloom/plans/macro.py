@@ -131,7 +131,7 @@ def _ref_load(spark, sf):
         F.coalesce(key, F.lit("masi_index_z")).alias("macro_primary"),
         F.lit(None).cast("string").alias("macro_secondary"),
         F.when(k % 2 == 0, "true").otherwise("False").alias("include_calendar"),
-        k.cast("string").alias("priority"),
+        k.cast("string").alias("priority"), F.col("s_name").alias("sector_label"), F.lit("suppliers").alias("source"),
     )
     path = io.scratch_path(spark, "mapping-csv")
     io.write_csv(raw, path)
@@ -142,8 +142,8 @@ register(
     "ref_load", _ref_load,
     """SELECT lower(s_name) AS sector,
       CASE s_suppkey % 4 WHEN 0 THEN 'oil_price_z' WHEN 3 THEN 'masi_index_z' ELSE '' END AS macro_primary,
-      '' AS macro_secondary, s_suppkey % 2 = 0 AS include_calendar, CAST(s_suppkey AS INTEGER) AS priority
-      FROM supplier""",
+      '' AS macro_secondary, s_suppkey % 2 = 0 AS include_calendar, CAST(s_suppkey AS INTEGER) AS priority,
+      s_name AS sector_label, 'suppliers' AS source FROM supplier""",
 )
 _CAL = "is_ramadan,is_eid_alfitr,is_month_end_week,is_payroll_week,is_quarter_end"
 RESOLVED = f"""SELECT account_id, sector, coalesce(m1, a1) AS macro_primary, coalesce(m2, a2) AS macro_secondary,

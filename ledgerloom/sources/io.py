@@ -28,8 +28,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, once no DataFrame that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -376,3 +376,30 @@ def test_median_of_a_crowded_bracket(spark, monkeypatch):
     assert len(seen) >= 2 and seen[0] > 300 and seen == sorted(seen, reverse=True)
     pdf = df.toPandas()
     assert got == {None if k != k or k is None else k: g.median() for k, g in pdf.groupby("k", dropna=False)["v"]}
+
+
+def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from ledgerloom.sources import io
+
+    monkeypatch.setattr(io, "shared_dir", lambda _: str(tmp_path))
+    kept = tmp_path / "other"
+    kept.mkdir()
+    assert io.written(spark.range(5), "numbers").count() == 5
+    (folder,) = (p for p in Path(tmp_path).iterdir() if p != kept)
+    assert io.drop_scratch(spark) and not folder.exists() and kept.exists()
+
+
+def test_mapping_keeps_other_columns_and_policies_name_their_version(spark):
+    raw = spark.createDataFrame(
+        [(" Retail ", "Shops", "nan", "", "true", "3", "survey")],
+        "sector string, sector_label string, macro_primary string, macro_secondary string, include_calendar string, priority string, source string")
+    got = one(sec.load_mapping(raw))
+    assert (got.sector, got.sector_label, got.source, got.macro_primary, got.priority) == ("retail", "Shops", "survey", "", 3)
+    quality = spark.createDataFrame(
+        [("a", "retail", 99, 0.5, 0.9, 0.6, 40.0, 50.0, 0.1, 0.2)],
+        "account_id string, sector string, n_obs long, cv_cashflow double, completeness_ratio double, acf_lag1 double,"
+        " predictability_score double, composite_score double, trend_strength double, seasonality_strength double")
+    assert one(po.build_policy(quality)).policy_version == po.VERSION_V7
+    assert one(po.build_policy(quality, version_text="v8")).policy_version == "v8"
