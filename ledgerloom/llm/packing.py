@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ranked, table, whole_text
+from ledgerloom.llm.common import Memory, ranked, table, whole_text
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.io import written
 
@@ -46,49 +46,44 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-        self._word = re.compile(f"[^{WHITE}]+")
+        self._word = re.compile(f"[^{WHITE}]+").findall
         self._plain = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+").fullmatch
         self._split = regex.compile(SPLIT).findall
         # Byte-level models write bytes without a visible Latin-1 character as those from U+0100 on.
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in visible]
         self._letters = {b: b for b in visible} | {b: 0x100 + i for i, b in enumerate(hidden)}
+        size = self._tokenizer.get_vocab_size()
+        self._bytes = [i.to_bytes(4, "little") for i in range(size)]
+        self._pieces = Memory(self._of_piece, MEMORY_WORDS // 2)
+        self._words = Memory(self._of_word, MEMORY_WORDS)
 
     def _of_piece(self, piece: str) -> bytes:
-        if piece not in self._pieces:
-            if len(self._pieces) > MEMORY_WORDS // 2:
-                self._pieces.clear()
-            letters = piece.encode().decode("latin-1").translate(self._letters)
-            ids = [t.id for t in self._tokenizer.model.tokenize(letters)]
-            self._pieces[piece] = np.array(ids, np.uint32).tobytes()
-        return self._pieces[piece]
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+        ids = self._bytes
+        return b"".join([ids[t.id] for t in self._tokenizer.model.tokenize(letters)])
 
     def _of_word(self, word: str) -> bytes:
         if self._plain(word) and "<|" not in word:
-            return b"".join(map(self._of_piece, self._split(word.lower())))
+            low, pieces = word.lower(), self._pieces
+            if low.isalpha():
+                return pieces[low]
+            if low[:-1].isalpha() and low[-1] in ".,;:!?":
+                return pieces[low[:-1]] + pieces[low[-1]]
+            return b"".join([pieces[p] for p in self._split(low)])
         ids = self._tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, np.uint32).tobytes()
 
-    def __call__(self, text: str) -> np.ndarray:
-        known = self._words
-        if len(known) > MEMORY_WORDS:
-            known.clear()
-        words = self._word.findall(text)
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self._of_word(w)
-            found = [known[w] for w in words]
-        return np.frombuffer(b"".join(found), np.uint32)
+    def __call__(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        self._words.shrink()
+        self._pieces.shrink()
+        return b"".join(map(self._words.__getitem__, self._word(text)))
 
 
 def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Each text's ids and ``end_id``, cut into windows and a rest: PIECES, without the ids."""
-    path = tokenizer or default_tokenizer()
+    path, end = tokenizer or default_tokenizer(), end_id.to_bytes(4, "little")
 
     def pieces(batches):
         encode = WordTokenizer(path)
@@ -96,10 +91,11 @@ def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[tuple] = []
             for doc_id, text in zip(ids_of, texts, strict=True):
-                ids = np.append(encode(text), np.uint32(end_id))
-                for s in range(0, len(ids), window):
-                    piece = ids[s : s + window]
-                    rows.append((doc_id, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                ids = encode(text) + end
+                total = len(ids) // 4
+                for s in range(0, total, window):
+                    piece = ids[4 * s : 4 * (s + window)]
+                    rows.append((doc_id, s, len(piece) // 4, zlib.crc32(piece), total))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
