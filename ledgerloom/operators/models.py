@@ -1,19 +1,20 @@
 """Per-account linear models and pooled tree models.
 
-Ridge and logistic fits are small convex problems per account: one grouped Arrow call fits every fold
-of an account and returns coefficients on the raw scale. All scoring is then a join and a dot product
+Ridge models come from additive moments of each account's blocks of weeks, logistic ones from a grouped
+Arrow call that fits every fold of an account; both give coefficients on the raw scale. All scoring is then a join and a dot product
 in the JVM. Forests and boosted trees are fitted by ``pyspark.ml`` over the rows of all accounts
 routed to them, as a tree ensemble per account would be one task's private work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -26,6 +27,8 @@ from ledgerloom.sources.io import written
 
 FINAL_FOLD = -1
 RIDGE_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
+#: Contiguous parts of a training set on which ridge chooses its penalty.
+INNER = 3
 
 _KEYS = "account_id string, mode string, fold int, n_train int"
 RIDGE_SCHEMA = f"{_KEYS}, alpha double, intercept double, coef array<double>"
@@ -58,7 +61,7 @@ def _r2(y: np.ndarray, yhat: np.ndarray) -> float:
     return 1.0 - rss / tss
 
 
-def ridge_fit(x: np.ndarray, y: np.ndarray, alphas=RIDGE_ALPHAS, inner: int = 3):
+def ridge_fit(x: np.ndarray, y: np.ndarray, alphas=RIDGE_ALPHAS, inner: int = INNER):
     """Standardised ridge, penalty by contiguous cross-validated R2; returns raw-scale weights."""
     z, mean, scale = _standardise(x)
     scores = np.zeros(len(alphas))
@@ -177,17 +180,146 @@ def _grouped(
     )
 
 
-def fit_ridge(
+def _ridge_blocks(n: int, n_splits: int, test_size: int, min_train: int) -> list[int]:
+    """Positions that bound the blocks of which every training set and its inner thirds are made."""
+    cuts = set()
+    for _, end in _train_ends(n, n_splits, test_size, min_train):
+        cuts |= {part[-1] + 1 for part in np.array_split(np.arange(end), INNER) if len(part)}
+    return sorted(cuts)
+
+
+def _merged_moments(blocks: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and centred products of the union of blocks, pair by pair."""
+    n, mean, products = blocks[0]
+    for m, other, more in blocks[1:]:
+        away = other - mean
+        products = products + more + np.outer(away, away) * (n * m / (n + m))
+        mean = mean + away * (m / (n + m))
+        n += m
+    return n, mean, products
+
+
+def _ridge_of_moments(parts: list[list[tuple]], alphas=RIDGE_ALPHAS) -> tuple[float, float, np.ndarray]:
+    """ridge_fit() from the moments of the training rows; ``parts`` are the blocks of each inner third.
+
+    The response is the last column. The held third's residuals follow from its moments alone.
+    """
+    n, mean, products = _merged_moments([b for part in parts for b in part])
+    scale = np.sqrt(np.diag(products)[:-1] / n)
+    scale = np.where(scale > 10 * np.finfo(float).eps * np.maximum(np.abs(mean[:-1]), 1.0), scale, 1.0)
+    unit = np.append(scale, 1.0)
+
+    def path(blocks, alphas) -> tuple[np.ndarray, np.ndarray]:
+        _, own, cross = _merged_moments(blocks)
+        own, cross = (own - mean) / unit, cross / np.outer(unit, unit)
+        values, vectors = np.linalg.eigh(cross[:-1, :-1])
+        rotated = vectors.T @ cross[:-1, -1]
+        coef = np.stack([vectors @ (rotated / (np.maximum(values, 0.0) + a)) for a in alphas])
+        return coef, own[-1] - coef @ own[:-1]
+
+    scores = np.zeros(len(alphas))
+    for i, held in enumerate(parts):
+        coef, intercept = path([b for j, part in enumerate(parts) if j != i for b in part], alphas)
+        rows, own, cross = _merged_moments(held)
+        own, cross = (own - mean) / unit, cross / np.outer(unit, unit)
+        tss = cross[-1, -1]
+        for k, (c, b) in enumerate(zip(coef, intercept, strict=True)):
+            rss = tss - 2 * c @ cross[:-1, -1] + c @ cross[:-1, :-1] @ c + rows * (own[-1] - b - c @ own[:-1]) ** 2
+            scores[k] += (1.0 if rss == 0 else 0.0) if tss == 0 else 1 - rss / tss
+    best = int(np.argmax(scores))
+    coef, intercept = path([b for part in parts for b in part], alphas[best : best + 1])
+    raw = coef[0] / scale
+    return alphas[best], float(intercept[0] + mean[-1] - raw @ mean[:-1]), raw
+
+
+def block_moments(
     matrix: DataFrame, n_splits: int = 3, test_size: int = 4, min_train: int = 10, min_rows: int = 14
 ) -> DataFrame:
-    """Ridge coefficients per account and fold, the final fit as fold -1 (alone with ``n_splits=0``)."""
+    """Per account the moments of its blocks: (account_id, mode, n_rows, blocks of (block, n, moments)).
+
+    ``moments`` holds the means of the features and the response and their centred products, as
+    doubles. Each batch of rows makes its own; they are additive, so rows need not be sorted or
+    together, and an account is a few of them however many rows it has.
+    """
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, modes = batch.column(0), batch.column(4).to_pylist()
+            codes = names.dictionary_encode()
+            pos, sizes, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+            x = batch.column(5)
+            starts = np.concatenate(([0], np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))))
+            values = x.flatten().to_numpy(zero_copy_only=False)
+            for n in np.unique(sizes):
+                if n not in cuts:
+                    cuts[n] = np.array(_ridge_blocks(int(n), n_splits, test_size, min_train))
+            block = np.array([np.searchsorted(cuts[n], p, "right") for n, p in zip(sizes, pos, strict=True)])
+            code = codes.indices.to_numpy(zero_copy_only=False)
+            order = np.lexsort((block, code))
+            edges = np.flatnonzero(np.diff(code[order]) | np.diff(block[order])) + 1
+            out = []
+            for rows in np.split(order, edges):
+                first = rows[0]
+                wide = np.stack([np.append(values[starts[r] : starts[r + 1]], y[r]) for r in rows])
+                mean = wide.mean(axis=0)
+                away = wide - mean
+                moments = np.concatenate((mean, (away.T @ away).ravel())).tobytes()
+                out.append((codes.dictionary[code[first]].as_py(), modes[first], int(sizes[first]),
+                            int(block[first]), len(rows), moments))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], columns
+            )
+
+    columns = ["account_id", "mode", "n_rows", "block", "n", "moments"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    rows = matrix.where(F.col("n_rows") >= min_rows).select(
+        "account_id", F.col("pos").cast("long"), F.col("n_rows").cast("long"), F.col("y").cast("double"),
+        F.col("mode_reg").alias("mode"), F.col("x_reg").alias("x"),
+    )
+    return rows.mapInArrow(
+        partial, "account_id string, mode string, n_rows long, block int, n long, moments binary"
+    ).groupBy("account_id").agg(
+        F.first("mode").alias("mode"), F.first("n_rows").alias("n_rows"),
+        F.collect_list(F.struct("block", "n", "moments")).alias("blocks"),
+    )
 
-    def fit(x, y):
-        alpha, intercept, coef = ridge_fit(x, y.astype(float))
-        return {"alpha": alpha, "intercept": intercept, "coef": coef}
 
-    return _grouped(matrix, "x_reg", "y", "mode_reg", RIDGE_SCHEMA, fit,
-                    n_splits, test_size, min_train, min_rows)
+def fit_ridge(
+    matrix: DataFrame, n_splits: int = 3, test_size: int = 4, min_train: int = 10, min_rows: int = 14
+) -> DataFrame:
+    """Ridge coefficients per account and fold, the final fit as fold -1 (alone with ``n_splits=0``).
+
+    Every fold's training set, and each third that the penalty is chosen on, is a union of the blocks
+    of block_moments(), so all fits of an account come from one pass over its rows and from moments
+    only. An account is one row by the time it is fitted.
+    """
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, mode, n, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                cuts = _ridge_blocks(n, n_splits, test_size, min_train)
+                met: list[list[tuple]] = [[] for _ in range(len(cuts) + 1)]
+                for b in blocks:
+                    data = np.frombuffer(b["moments"])
+                    width = int((np.sqrt(4 * len(data) + 1) - 1) / 2 + 0.5)
+                    met[b["block"]].append((b["n"], data[:width], data[width:].reshape(width, width)))
+                for fold, end in _train_ends(n, n_splits, test_size, min_train):
+                    ends = [0, *(part[-1] + 1 for part in np.array_split(np.arange(end), INNER))]
+                    places = np.searchsorted([0, *cuts], ends)
+                    parts = [
+                        [m for i in range(a, b) for m in met[i]] for a, b in zip(places, places[1:])
+                    ]
+                    out.append((name, mode, fold, end, *_ridge_of_moments(parts)))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                    ["account_id", "mode", "fold", "n_train", "alpha", "intercept", "coef"],
+                )
+
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+    return block_moments(matrix, n_splits, test_size, min_train, min_rows).mapInArrow(solved, RIDGE_SCHEMA)
 
 
 def fit_logistic(

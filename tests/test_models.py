@@ -124,3 +124,30 @@ def test_classifier_needs_an_evaluable_fold(spark):
         models = mo.fit_logistic(matrix, n_splits).collect()
         assert {m["account_id"] for m in models} == {"fit"}
         assert len(models) == n_splits + 1
+
+
+def test_ridge_from_moments_equals_ridge_on_rows(spark):
+    """Every fold and the final fit, rows shuffled over many batches, widths that differ by account."""
+    rng = np.random.default_rng(5)
+    rows, wanted = [], {}
+    for name, n, p in (("a", 14, 4), ("b", 57, 9), ("c", 302, 26), ("d", 40, 4), ("short", 13, 4)):
+        x = rng.normal(size=(n, p)) * rng.choice([1e4, 1.0, 0.01], p) + rng.choice([1e5, 0.0, 3.0], p)
+        x[:, 1] = 0.1  # a constant
+        x[:, 2] = (rng.random(n) < 0.2) * 1.0
+        y = x @ rng.normal(size=p) + 1e3 * rng.normal(size=n)
+        rows += [(name, i, n, "baseline", x[i].tolist(), float(y[i])) for i in range(n)]
+        for fold, end in mo._train_ends(n, 3, 4, 10) if n >= 14 else []:
+            wanted[name, fold] = (end, *mo.ridge_fit(x[:end], y[:end]))
+    order = rng.permutation(len(rows))
+    matrix = spark.createDataFrame(
+        [rows[i] for i in order], "account_id string, pos int, n_rows long, mode_reg string, x_reg array<double>, y double")
+    got = mo.fit_ridge(matrix.repartition(9)).collect()
+    assert len(got) == len(wanted)
+    for r in got:
+        end, alpha, intercept, coef = wanted[r.account_id, r.fold]
+        assert (r.n_train, r.alpha, r.mode) == (end, alpha, "baseline")
+        size = np.abs(coef).max()
+        assert np.abs(np.array(r.coef) - coef).max() < 1e-8 * size
+        assert abs(r.intercept - intercept) < 1e-8 * max(abs(intercept), size * 1e5)
+    assert {r.fold for r in mo.fit_ridge(matrix, n_splits=0).collect()} == {-1}
+    assert mo.fit_ridge(matrix.where("false")).count() == 0
