@@ -12,15 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import table, whole_text
+from ledgerloom.llm.common import Memory, table, whole_text
 from ledgerloom.plans.registry import register
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Determinised states, and pieces, that a worker remembers; it forgets all when it has that many.
 MEMORY_STATES = 400_000
 MEMORY_PIECES = 600_000
-#: Undecided bytes from which on a state looks for settled boundaries; most pieces end before.
-LOOKAHEAD = 24
 
 
 def default_ranks() -> str:
@@ -45,42 +43,50 @@ class Transducer:
 
     A sequence of tokens is what the merges make of its bytes exactly if every token is what they
     make of its own bytes and every two neighbours are what they make of theirs. So for each
-    prefix of a piece one last token is determined by the token before it. A state is what may still
-    matter of the input: the last token emitted and the bytes since. From it, the last token of each
-    longer prefix follows; a boundary is settled when every token that may yet end later, and so
-    starts at a live boundary (the bytes from there begin some token), has it on its way back. The
-    lookahead is bounded by the longest token. States and arcs are made when they are first met.
+    prefix of a piece one last token is determined by the token before it. A token that ends later
+    starts at a live boundary: the bytes from there begin some token. Going back from the live
+    boundaries token by token, the ways meet; the tokens up to that boundary are settled and emitted.
+
+    A state is what still matters of the input: the bytes since the settled boundary, the last token
+    at each boundary in them, and the token before them, unless no token can start there any more.
+    Pieces share states, and an arc is made when it is first met, so that a new piece is mostly a
+    walk along known arcs. The lookahead is bounded by the longest token.
     """
 
+    #: In place of the token before the undecided bytes: none (a piece begins), and any.
+    NONE, ANY = -1, -2
+
     def __init__(self, ranks: dict[bytes, int], memory: int = MEMORY_STATES):
         self.ranks = ranks
         self.memory = memory
         self.bytes_of = {v: k for k, v in ranks.items()}
+        self.sizes = {v: len(k) for k, v in ranks.items()}
         self.begins = {k[:n] for k in ranks for n in range(1, len(k))}
         self.ends = {k[-n:] for k in ranks for n in range(1, len(k) + 1)}
-        self.longest = max(map(len, ranks))
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # (last token or -1, undecided bytes) -> number; and for each number the state, last tokens.
-        self.numbers: dict[tuple[int, bytes], int] = {}
+        # (token before, undecided bytes, last tokens) -> number, and back.
+        self.numbers: dict[tuple[int, bytes, tuple[int, ...]], int] = {}
         self.states: list[tuple[int, bytes, tuple[int, ...]]] = []
         self.arcs: dict[int, tuple[tuple[int, ...], int]] = {}
-        self.start = self._number(-1, b"", ())
-
-    def _number(self, token: int, rest: bytes, lasts: tuple[int, ...]) -> int:
-        key = (token, rest)
-        if key not in self.numbers:
-            self.numbers[key] = len(self.states)
-            self.states.append((token, rest, lasts))
-        return self.numbers[key]
-
-    def _merged(self, piece: bytes) -> list[bytes]:
-        """The merges carried out in order of rank, for at most two tokens' bytes."""
+        self.start = self._number(self.NONE, b"", ())
+
+    def _number(self, before: int, rest: bytes, lasts: tuple[int, ...]) -> int:
+        key = (before, rest, lasts)
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.numbers[key] = len(self.states)
+            self.states.append(key)
+        return number
+
+    def _merged(self, piece: bytes, parts_left: int = 1) -> list[bytes]:
+        """The merges carried out in order of rank on the bytes of a token, until so many parts are left."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
+        while len(parts) > parts_left:
             best = min(
                 range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60)
             )
@@ -94,57 +100,86 @@ class Transducer:
             self.whole[token] = len(self._merged(self.bytes_of[token])) == 1
         return self.whole[token]
 
+    def _half(self, token: int, side: int) -> int:
+        """The left (0) or right (1) part that the last merge of a standing token joined."""
+        if token not in self.halves:
+            left, right = self._merged(self.bytes_of[token], 2)
+            self.halves[token] = self.ranks[left], self.ranks[right]
+        return self.halves[token][side]
+
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether the merges keep the boundary between two standing tokens.
+
+        Undone latest first, their merges show each pair of parts that meets at the boundary. It goes
+        if a pair makes a token whose merge comes before the merge undone last: one of lower rank, or
+        of the same rank and further left.
+        """
+        names, undone = self.bytes_of, 1 << 60
+        while self.ranks.get(names[a] + names[b], undone) >= undone:
+            if self.sizes[a] == self.sizes[b] == 1:
+                return True
+            if self.sizes[b] == 1 or (a > b and self.sizes[a] > 1):
+                undone, a = a, self._half(a, 1)
+            else:
+                undone, b = b + 1, self._half(b, 0)
+        return False
+
     def _follows(self, left: int, right: int) -> bool:
         if left < 0:
             return True
         key = left << 24 | right
-        if key not in self.pairs:
+        held = self.pairs.get(key)
+        if held is None:
             if len(self.pairs) > 2 * self.memory:
                 self.pairs.clear()
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            self.pairs[key] = self._merged(a + b) == [a, b]
-        return self.pairs[key]
+            held = self.pairs[key] = self._apart(left, right)
+        return held
 
     def _last(self, before: int, rest: bytes, lasts: tuple[int, ...]) -> int:
         """Last token of the whole of ``rest``, given the last tokens of its shorter prefixes."""
-        n, ranks, ends = len(rest), self.ranks, self.ends
+        ranks, ends = self.ranks, self.ends
         found = []
-        for at in range(n - 1, -1, -1):
+        for at in range(len(rest) - 1, -1, -1):
             tail = rest[at:]
             if tail not in ends:
                 break
-            if tail in ranks:
-                found.append((at, ranks[tail]))
+            token = ranks.get(tail)
+            if token is not None:
+                found.append((at, token))
         for at, token in reversed(found):
             if self._stands(token) and self._follows(lasts[at - 1] if at else before, token):
                 return token
         raise ValueError("the vocabulary lacks a byte")
 
+    def _tokens(self, lasts: tuple[int, ...], at: int) -> list[int]:
+        """The tokens up to boundary ``at``, by going back from it."""
+        out = []
+        while at:
+            out.append(lasts[at - 1])
+            at -= self.sizes[lasts[at - 1]]
+        return out[::-1]
+
     def _arc(self, number: int, byte: int) -> tuple[tuple[int, ...], int]:
         before, rest, lasts = self.states[number]
         rest += bytes((byte,))
         lasts += (self._last(before, rest, lasts),)
-        n = len(rest)
-        if n < LOOKAHEAD:
-            return (), self._number(before, rest, lasts)
-        size = lambda t: len(self.bytes_of[t])
-        live = [j for j in range(max(0, n - self.longest + 1), n) if rest[j:] in self.begins] + [n]
-        # Go back from the last live boundary; what all the others also pass is settled.
-        ways = []
-        for j in live:
-            way = [j]
-            while way[-1]:
-                way.append(way[-1] - size(lasts[way[-1] - 1]))
-            ways.append(set(way))
-        settled = max(set.intersection(*ways))
-        emitted: list[int] = []
-        at = settled
-        while at:
-            emitted.append(lasts[at - 1])
-            at -= size(lasts[at - 1])
-        emitted.reverse()
-        token = emitted[-1] if emitted else before
-        return tuple(emitted), self._number(token, rest[settled:], lasts[settled:])
+        sizes, begins = self.sizes, self.begins
+        settled = len(rest)
+        for live in range(len(rest)):
+            if rest[live:] in begins:
+                while settled != live:
+                    if settled > live:
+                        settled -= sizes[lasts[settled - 1]]
+                    else:
+                        live -= sizes[lasts[live - 1]]
+                if not settled:
+                    break
+        emitted = self._tokens(lasts, settled)
+        before = emitted[-1] if emitted else before
+        rest, lasts = rest[settled:], lasts[settled:]
+        if rest and rest not in begins:
+            before = self.ANY
+        return tuple(emitted), self._number(before, rest, lasts)
 
     def encode(self, piece: bytes) -> list[int]:
         if len(self.states) > self.memory or len(self.arcs) > 4 * self.memory:
@@ -160,11 +195,7 @@ class Transducer:
                 out += arc[0]
             number = arc[1]
         _, rest, lasts = self.states[number]
-        tail, at = [], len(rest)
-        while at:
-            tail.append(lasts[at - 1])
-            at -= len(self.bytes_of[lasts[at - 1]])
-        return out + tail[::-1]
+        return out + self._tokens(lasts, len(rest))
 
 
 class Encoder:
@@ -175,22 +206,16 @@ class Encoder:
 
         self.split = regex.compile(pattern).findall
         self.transducer = Transducer(load_ranks(path))
-        self.known: dict[str, bytes] = {}
+        self.names = [i.to_bytes(4, "little") for i in range(max(self.transducer.bytes_of) + 1)]
+        self.known = Memory(self._of_piece, MEMORY_PIECES)
+
+    def _of_piece(self, piece: str) -> bytes:
+        names = self.names
+        return b"".join([names[i] for i in self.transducer.encode(piece.encode("utf-8", "surrogatepass"))])
 
     def __call__(self, text: str) -> np.ndarray:
-        known = self.known
-        if len(known) > MEMORY_PIECES:
-            known.clear()
-        pieces = self.split(text)
-        try:
-            found = [known[p] for p in pieces]
-        except KeyError:
-            for p in pieces:
-                if p not in known:
-                    ids = self.transducer.encode(p.encode("utf-8", "surrogatepass"))
-                    known[p] = np.array(ids, np.uint32).tobytes()
-            found = [known[p] for p in pieces]
-        return np.frombuffer(b"".join(found), np.uint32)
+        self.known.shrink()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), np.uint32)
 
 
 class Decoder:
@@ -281,19 +306,17 @@ def decoded_documents(encoded: DataFrame, ranks: str | None = None) -> DataFrame
 
 
 def digests(docs: DataFrame, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the bytes decoded from them."""
+    """doc_id, n_tokens, and SHA-256 of the ids and of the bytes decoded from them.
+
+    The decoded bytes are the tokens' own, in order; Decoder makes text of them. A null or empty text
+    has no ids; repeated rows and null doc_ids stay; no rows give no rows.
+    """
     def row(doc_id, text, ids, names):
-        table_of = decoded.get("table")
-        if table_of is None:
-            decoded["table"] = table_of = Decoder({v: k for k, v in names.items()})
-        table_of.rest = b""
         sha = hashlib.sha256()
         for s in range(0, len(ids), 65_536):
-            sha.update(table_of.feed(ids[s : s + 65_536].tolist()).encode())
-        sha.update(table_of.feed([], last=True).encode())
+            sha.update(b"".join(map(names.__getitem__, ids[s : s + 65_536].tolist())))
         return doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), sha.hexdigest()
 
-    decoded: dict[str, Decoder] = {}
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
