@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from ledgerloom.plans.registry import register
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Determinised states, and pieces, that a worker remembers; it forgets all when it has that many.
-MEMORY_STATES = 400_000
+MEMORY_STATES = 600_000
 MEMORY_PIECES = 600_000
 
 
@@ -198,13 +199,36 @@ class Transducer:
         return out + self._tokens(lasts, len(rest))
 
 
+# Fixed value: the public pattern; and its letters, numbers and white space among the plain characters.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LETTERS, NUMBERS, WHITE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \xa0"
+NOT_PLAIN = "[^\t-\r -~\xa0-\u024f]"
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of the pattern in a text.
+
+    Texts of plain characters only (white space, ASCII and Latin letters and signs) are split by the
+    public pattern written out for those, which the standard library matches three times as fast.
+    """
+    import regex
+
+    general = regex.compile(pattern).findall
+    if pattern != PATTERN:
+        return general
+    plain = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+"
+        f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+    ).findall
+    other = re.compile(NOT_PLAIN).search
+    return lambda text: general(text) if other(text) else plain(text)
+
+
 class Encoder:
     """Ids of whole texts: each match of the pattern is a piece for the transducer."""
 
     def __init__(self, path: str, pattern: str):
-        import regex
-
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         self.transducer = Transducer(load_ranks(path))
         self.names = [i.to_bytes(4, "little") for i in range(max(self.transducer.bytes_of) + 1)]
         self.known = Memory(self._of_piece, MEMORY_PIECES)

@@ -390,6 +390,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_bpe_splits_plain_texts_alike():
+    import public_tokenizers
+    import regex
+
+    assert byte_bpe.PATTERN == public_tokenizers.PATTERN
+    general, fast = regex.compile(byte_bpe.PATTERN).findall, byte_bpe.splitter(byte_bpe.PATTERN)
+    plain = [chr(i) for i in [*range(9, 14), *range(32, 127), *range(0xA0, 0x250)]]
+    rng = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(rng.choice(plain if rng.random() < 0.5 else " '\t\nstdrevlm1 ") for _ in range(rng.randrange(9)))
+        assert fast(text) == general(text)
+    for text in ("a\x85b", "x\x1cy", "漢字 1", "é́a", ""):
+        assert fast(text) == general(text)
+
+
 def test_bpe(docs, rows):
     import public_tokenizers
 
