@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACE_CLASS, table, whole_text
+from ledgerloom.llm.common import SPACE_CLASS, small_or_shuffled, table, whole_text
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.io import written
 
@@ -16,15 +16,19 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Rows a (language, source) group needs for estimates of its own; smaller ones are pooled.
 MIN_ROWS = 60
-C_STEPS = 3
+#: Concentration steps end when no group's determinant changes by more than this share, or after so many.
+SETTLED = 0.01
+C_STEPS = 10
 #: Share of a group that the determinant is minimised over.
 CORE = 0.75
 #: Squared distance beyond which a text is rejected. The 0.9999 quantile of chi-squared with five
 #: degrees of freedom is 25.7; text statistics have heavier tails than the normal.
 CUTOFF = 45.0
 CHI2_5_MEDIAN = 4.351
-#: Transformed statistics, each with the least standard deviation that it is taken to have.
-FEATURES = {"f_length": 0.08, "f_symbols": 0.5, "f_lines": 1.2, "f_repeats": 1.2, "f_upper": 0.04}
+#: Transformed statistics, each with the least standard deviation that it is taken to have: small
+#: enough that repeated lines (from half of the lines) or words (from a fifth) alone go beyond
+#: CUTOFF where other texts have none.
+FEATURES = {"f_length": 0.08, "f_symbols": 0.5, "f_lines": 0.095, "f_repeats": 0.063, "f_upper": 0.04}
 KEYS = list(FEATURES)
 
 
@@ -83,13 +87,13 @@ def statistics(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    percent = lambda part, whole: F.log1p(100.0 * F.col(part) / F.greatest(F.col(whole), F.lit(1)))
+    share = lambda part, whole: F.col(part) / F.greatest(F.col(whole), F.lit(1))
     return stats.withColumns({
         "base_failed": failed,
         "f_length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / F.greatest(F.col("n_words"), F.lit(1))),
-        "f_symbols": percent("n_symbols", "word_chars"), "f_lines": percent("n_dup_lines", "_n_lines"),
-        "f_repeats": percent("n_repeat_words", "n_words"),
-        "f_upper": F.sqrt(F.col("_upper") / F.greatest(F.col("word_chars"), F.lit(1))),
+        "f_symbols": F.log1p(100.0 * share("n_symbols", "word_chars")),
+        "f_lines": F.sqrt(share("n_dup_lines", "_n_lines")), "f_repeats": F.sqrt(share("n_repeat_words", "n_words")),
+        "f_upper": F.sqrt(share("_upper", "word_chars")),
     }).drop("_upper", "_n_lines")
 
 
@@ -136,7 +140,7 @@ def _factored(groups: DataFrame) -> DataFrame:
 
 def _distances(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Add _d2, the squared Mahalanobis distance; null for rows without a group."""
-    away = rows.join(groups, "_group", "left")
+    away = rows.join(small_or_shuffled(groups), "_group", "left")
     for i, key in enumerate(KEYS):
         value = F.col(key) - F.col(f"m_{i}")
         for k in range(i):
@@ -155,6 +159,13 @@ def _estimates(rows: DataFrame) -> DataFrame:
     return written(_factored(moments), "outliers-groups")
 
 
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    """The largest relative change of a group's determinant, one number for all groups."""
+    det = lambda side: sum((2 * F.log(F.col(f"{side}.l_{i}_{i}")) for i in range(len(KEYS))), F.lit(0.0))
+    change = F.abs(F.exp(det("b") - det("a")) - 1)
+    return before.alias("a").join(after.alias("b"), "_group").agg(F.max(change).alias("x")).first()["x"] or 0.0
+
+
 def quality(docs: DataFrame, min_rows: int = MIN_ROWS, c_steps: int = C_STEPS, cutoff: float = CUTOFF) -> DataFrame:
     """One row per row of ``docs``: doc_id, base statistics, base_failed, distance, kept.
 
@@ -162,7 +173,7 @@ def quality(docs: DataFrame, min_rows: int = MIN_ROWS, c_steps: int = C_STEPS, c
     symbols, repeated lines, repeated words and capitals). Minimum-covariance-determinant estimates
     for each language and source start from medians and absolute deviations; each concentration
     step keeps the CORE share of rows with the least distances and estimates mean and covariance
-    from them. A row is rejected if its squared Mahalanobis distance is beyond ``cutoff``.
+    from them, until the determinants settle. A row is rejected if its squared Mahalanobis distance is beyond ``cutoff``.
 
     Groups with fewer than ``min_rows`` rows are pooled by language, and pools still smaller over
     all languages; a row in a pool smaller than that has a null distance and only the base rules.
@@ -180,7 +191,7 @@ def quality(docs: DataFrame, min_rows: int = MIN_ROWS, c_steps: int = C_STEPS, c
         fit.groupBy("_group").agg(*(near(F.col(k), 0.5).alias(f"m_{i}") for i, k in enumerate(KEYS))),
         "outliers-medians",
     )
-    spread = fit.join(medians, "_group").groupBy("_group").agg(*(
+    spread = fit.join(small_or_shuffled(medians), "_group").groupBy("_group").agg(*(
         F.pow(1.4826 * near(F.abs(F.col(k) - F.col(f"m_{i}")), 0.5), F.lit(2)).alias(f"c_{i}_{i}")
         for i, k in enumerate(KEYS)
     ))
@@ -188,15 +199,17 @@ def quality(docs: DataFrame, min_rows: int = MIN_ROWS, c_steps: int = C_STEPS, c
     groups = written(_factored(medians.join(spread, "_group").withColumns(off)), "outliers-groups")
     for _ in range(c_steps):
         away = _distances(fit, groups)
-        edges = away.groupBy("_group").agg(near("_d2", CORE).alias("_edge"))
-        groups = _estimates(away.join(edges, "_group").where("_d2 <= _edge"))
+        edges = written(away.groupBy("_group").agg(near("_d2", CORE).alias("_edge")), "outliers-edges")
+        before, groups = groups, _estimates(away.join(small_or_shuffled(edges), "_group").where("_d2 <= _edge"))
+        if _moved(before, groups) <= SETTLED:
+            break
     away = _distances(fit, groups)
     scale = written(
         away.groupBy("_group").agg(
             F.greatest(near("_d2", 0.5) / CHI2_5_MEDIAN, F.lit(1.0)).alias("_scale")
         ), "outliers-scale",
     )
-    final = _distances(rows, groups).join(scale, "_group", "left")
+    final = _distances(rows, groups).join(small_or_shuffled(scale), "_group", "left")
     distance = F.col("_d2") / F.col("_scale")
     return final.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -170,6 +170,40 @@ def test_outliers_against_numpy(spark):
     assert {d for d, r in found.items() if not r["kept"]} == junk
 
 
+def test_outliers_in_each_statistic_alone(spark):
+    """One statistic of a planted text is extreme, the others are as in the plain ones, which stay."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnop"
+
+    def word(n=6):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    def plain():
+        return [" ".join(word(rng.randrange(5, 8)) for _ in range(rng.randrange(6, 10))) for _ in range(8)]
+
+    rows, junk = [], {}
+    for i in range(600):
+        lines, kind = plain(), None
+        if i % 50 == 7:
+            kind, lines = "length", [" ".join(word(60) for _ in line.split(" ")) for line in lines]
+        elif i % 50 == 14:
+            kind, lines = "symbols", [line.replace(" ", " ## ") for line in lines]
+        elif i % 50 == 21:
+            kind, lines = "lines", [x for line in lines for x in (line, "aaa bbb")]
+        elif i % 50 == 28:
+            kind, words = "repeats", " ".join(lines).split(" ")
+            lines = [" ".join([*words, *words[:9]])]
+        elif i % 50 == 35:
+            kind, lines = "upper", [line.upper() for line in lines]
+        if kind:
+            junk[i] = kind
+        rows.append((i, "\n".join(lines), "en", "s1"))
+    found = _by_id(outliers.quality(_frame(spark, rows)))
+    assert not any(r["base_failed"] for r in found.values())
+    kept = {d: (junk.get(d), round(r["distance"])) for d, r in found.items() if r["kept"] == (d in junk)}
+    assert kept == {}
+
+
 def test_sharding(docs, rows):
     found = sharding.propagate(docs, shards=4).collect()
     texts = {d: t or "" for d, t, *_ in rows}
