@@ -1,290 +1,274 @@
-"""Language-model scores by a weighted backoff automaton over bytes, learned from the corpus."""
+"""Language-model scores by a weighted backoff automaton over words, learned from the corpus."""
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import SPACES, chunks, encoded, table, whole_text, word_hashes
+from ledgerloom.llm.common import chunks, encoded, mixed, table, whole_text, word_hashes
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.io import written
 
-ORDER = 4
-DISCOUNT = 0.5
-#: Bytes of text that one task scores together, and so learns the needed n-grams for.
-BLOCK_BYTES = 12 << 20
-#: Ends a text; no word has it, since it is white space.
-END = 0x0A
-#: Kind of a counted row: words; n-grams have their length as kind.
-WORD = -1
+#: Words of the longest n-gram; a state is a context of at most one word fewer.
+ORDER = 2
+#: Bytes of text that one task counts or scores together.
+BLOCK_BYTES = 8 << 20
+#: The symbol that ends a text and, as a context, starts one; no word hashes like it but by chance.
 END_HASH = np.uint64(0x5851F42D4C957F2D)
-#: Arcs and (state, word) scores that a task remembers.
-MEMORY = 500_000
-# NUL marks what is beyond the end symbol, so that of a text becomes another control character.
-_BLANKS = bytes.maketrans(
-    SPACES + bytes(range(65, 91)) + b"\0", b" " * len(SPACES) + bytes(range(97, 123)) + b"\x01"
-)
+#: Classes of contexts by the bit length of their count.
+CLASSES = 64
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _joined(text: bytes) -> bytes:
-    """The text's tokens as one line: A-Z lower-cased, words joined by a space, the end symbol."""
-    return b" ".join(text.translate(_BLANKS).split()) + bytes((END,))
+@dataclass
+class Level:
+    """The distinct n-grams of one length in a block, and which of them ends at each token."""
 
+    keys: np.ndarray  # hashes, ascending
+    ids: np.ndarray  # by token, the number of its n-gram; -1 where the text's start is nearer
+    first: np.ndarray  # by n-gram, the token where it occurs first
 
-def _codes(lines: list[bytes], order: int) -> np.ndarray:
-    """The n-gram from each byte of the lines on, packed into 32 bits; NULs beyond the end symbol."""
-    data = np.frombuffer((b"\0" * (order - 1)).join(lines) + b"\0" * order, np.uint8).astype(np.uint32)
-    n = len(data) - order + 1
-    codes = np.zeros(n, np.uint32)
-    for k in range(order):
-        codes = codes << np.uint32(8) | data[k : k + n]
-    return codes[codes >> np.uint32(8 * (order - 1)) > 0]
 
+class Block:
+    """The tokens of some texts: each text is the start, its words and the end."""
 
-def _counted(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values and the sums of their weights."""
-    if not len(values):
-        return values, weights.astype(np.int64)
-    order = np.argsort(values, kind="stable")
-    values, weights = values[order], weights[order]
-    at = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-    return values[at], np.add.reduceat(weights.astype(np.int64), at)
-
-
-class Tally:
-    """Counts of words and n-grams in a block, training texts only, with a row for every one met."""
+    def __init__(self, texts: list[bytes], order: int):
+        parts, sizes = [], []
+        for a, b in chunks(texts):
+            words, first = word_hashes(texts[a:b], lower=True)
+            sizes.append(np.diff(first) + 2)
+            parts.append(np.insert(words, np.stack([first[:-1], first[1:]], 1).ravel(), END_HASH))
+        tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        self.sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        self.start = np.concatenate(([0], np.cumsum(self.sizes)))
+        inside = np.arange(len(tokens)) - np.repeat(self.start[:-1], self.sizes)
+        #: The start is a context only: nothing counts or scores it.
+        self.scored = inside > 0
+        self.levels: list[Level] = []
+        key = tokens
+        for n in range(1, order + 1):
+            if n > 1:  # The n - 1 tokens that end one before, and this one.
+                key = np.concatenate((key[:1], mixed(key[:-1] * _STEP + tokens[1:] + np.uint64(n))))
+            usable = np.flatnonzero(inside >= n - 1)
+            keys, first, ids = np.unique(key[usable], return_index=True, return_inverse=True)
+            by_token = np.full(len(tokens), -1)
+            by_token[usable] = ids
+            self.levels.append(Level(keys, by_token, usable[first]))
+
+    def trained(self, held_out: np.ndarray) -> np.ndarray:
+        return self.scored & ~np.repeat(held_out, self.sizes)
+
+
+def _cells(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the keys by bucket, the buckets met, where each begins, and the end)."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    met, at = np.unique(bucket[order], return_index=True)
+    return order, met, np.append(at, len(keys))
+
+
+def _tallied(order: int, buckets: int):
+    """Function of a block's rows: its n-grams' keys and counts in training, a row for each bucket."""
+    def run(rows: pa.Table) -> pa.Table:
+        block = Block(encoded(rows.column("text")), order)
+        trained = block.trained(rows.column("held_out").to_numpy())
+        out = []
+        for n, level in enumerate(block.levels, 1):
+            counts = np.bincount(level.ids[trained & (level.ids >= 0)], minlength=len(level.keys)).astype("<u4")
+            by_bucket, met, at = _cells(level.keys, buckets)
+            for i, b in enumerate(met):
+                some = by_bucket[at[i] : at[i + 1]]
+                out.append((n, int(b), level.keys[some].tobytes(), counts[some].tobytes()))
+        number = rows.column("block")[0].as_py()
+        n, b, keys, counts = zip(*out, strict=True)
+        return pa.table({
+            "block": pa.array([number] * len(out), pa.int32()), "n": pa.array(n, pa.int32()),
+            "bucket": pa.array(b, pa.int32()), "keys": pa.array(keys, pa.binary()),
+            "counts": pa.array(counts, pa.binary()),
+        })
+    return run
 
-    def __init__(self, order: int):
-        self.order = order
-        self.parts: dict[int, list] = {WORD: [], order: []}
 
-    def _add(self, kind: int, values: np.ndarray, trained: bool) -> None:
-        values, n = np.unique(values, return_counts=True)
-        self.parts[kind].append((values, n if trained else np.zeros(len(n), np.int64)))
-        if sum(len(v) for v, _ in self.parts[kind]) > 2_000_000:
-            self.parts[kind] = [self.of(kind)]
+def _summed(rows: pa.Table) -> pa.Table:
+    """The corpus's counts of a bucket's n-grams, for each block in the order in which it sent them.
 
-    def add(self, texts: list[bytes], trained: bool) -> None:
-        for a, b in chunks(texts):
-            words, _ = word_hashes(texts[a:b], lower=True)
-            self._add(WORD, np.append(words, np.full(b - a, END_HASH)), trained)
-            self._add(self.order, _codes([_joined(t) for t in texts[a:b]], self.order), trained)
-
-    def of(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """Values and counts of a kind; shorter n-grams are prefixes of the longest, counted later."""
-        if kind not in self.parts:
-            codes, _ = self.of(self.order)
-            shift = np.uint64(8 * (self.order - kind))
-            codes = np.unique(codes.astype(np.uint64) >> shift)
-            codes = codes[(codes & np.uint64(255) > 0) | (kind == 0)] << shift
-            return codes, np.zeros(len(codes), np.int64)
-        parts = self.parts[kind] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        return _counted(np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts]))
+    The row without a block says how many n-grams occur in training, how often, and how many once.
+    """
+    keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
+    counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows.column("counts").to_pylist()])
+    distinct, ids = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(ids, weights=counts, minlength=len(distinct)).astype("<i8")
+    sent = np.split(total[ids], np.cumsum([len(k) for k in keys])[:-1])
+    size = len(keys) + 1
+    zeros = [0] * len(keys)
+    return pa.table({
+        "block": pa.array([*rows.column("block").to_pylist(), None], pa.int32()),
+        "n": pa.array([rows.column("n")[0].as_py()] * size, pa.int32()),
+        "bucket": pa.array([rows.column("bucket")[0].as_py()] * size, pa.int32()),
+        "counts": pa.array([*(s.tobytes() for s in sent), b""], pa.binary()),
+        "distinct": pa.array([*zeros, int((total > 0).sum())], pa.int64()),
+        "total": pa.array([*zeros, int(total.sum())], pa.int64()),
+        "once": pa.array([*zeros, int((total == 1).sum())], pa.int64()),
+    })
+
+
+def _corpus_counts(block: Block, sums: pa.Table, buckets: int) -> list[np.ndarray]:
+    """For each length, the corpus's count of every n-gram of the block."""
+    found = [np.zeros(len(level.keys), np.int64) for level in block.levels]
+    cells = [_cells(level.keys, buckets) for level in block.levels]
+    for n, b, counts in zip(*(sums.column(c).to_pylist() for c in ("n", "bucket", "counts")), strict=True):
+        by_bucket, met, at = cells[n - 1]
+        i = np.searchsorted(met, b)
+        found[n - 1][by_bucket[at[i] : at[i + 1]]] = np.frombuffer(counts, "<i8")
+    return found
+
+
+def _class(counts: np.ndarray) -> np.ndarray:
+    """Bit length of counts."""
+    return np.frexp(counts.astype(np.float64))[1]
 
 
 class Automaton:
-    """Contexts are states; an n-gram of the block is an arc; a failure arc drops the first byte.
+    """States are the contexts met in a block, arcs the n-grams that go on from them.
 
-    An arc's weight is log10 of the discounted share of its count, plus what backs off to the state
-    below; a failure arc's weight is log10 of the mass the discount frees. Arcs and failures are
-    looked up in the block's counts when they are first taken, then remembered.
+    An arc's weight is log10 of the smoothed probability of its last token; a state without an arc
+    for a token has a failure arc to the context without its first word, whose weight is log10 of
+    what the state leaves to the shorter one. The empty context has an arc for every known token
+    and one for all unknown ones. An arc leads to the context of its last words; an unknown token
+    to the empty one. States and arcs carry their n-gram's number in the block.
     """
 
-    def __init__(self, counts: dict[bytes, tuple[int, int, int]], order: int, symbols: int):
-        self.counts = counts  # n-gram -> its count, and the sum and number of its continuations
-        self.order, self.floor = order, 1.0 / (symbols + 1)
-        self.states: dict[bytes, int] = {b"": 0}
-        self.names = [b""]
-        self.arcs: dict[int, tuple[float, int]] = {}
-
-    def _probability(self, context: bytes, byte: bytes) -> float:
-        below = self._probability(context[1:], byte) if context else self.floor
-        _, total, kinds = self.counts.get(context, (0, 0, 0))
-        if not total:
-            return below
-        count = self.counts.get(context + byte, (0, 0, 0))[0]
-        return (max(count - DISCOUNT, 0.0) + DISCOUNT * kinds * below) / total
-
-    def step(self, state: int, byte: int) -> tuple[float, int]:
-        key = state << 8 | byte
-        if key not in self.arcs:
-            if len(self.arcs) > MEMORY:
-                self.arcs.clear()
-            context, symbol = self.names[state], bytes((byte,))
-            name = (context + symbol)[-(self.order - 1) :] if self.order > 1 else b""
-            while name and not self.counts.get(name, (0, 0, 0))[1]:  # Failure: the next shorter state.
-                name = name[1:]
-            if name not in self.states:
-                self.states[name] = len(self.names)
-                self.names.append(name)
-            self.arcs[key] = math.log10(self._probability(context, symbol)), self.states[name]
-        return self.arcs[key]
-
-    def read(self, state: int, data: bytes) -> tuple[float, int]:
+    def __init__(self, block: Block, counts: list[np.ndarray], total: int, left: np.ndarray):
+        self.depth = len(counts) - 1
+        known = counts[0] > 0
+        below = np.where(known, (1 - left[0, 0]) * counts[0] / max(total, 1), left[0, 0])
+        self.known = known.tolist()
+        self.arcs, self.failures = [np.log10(below).tolist()], []
+        for n in range(1, len(counts)):
+            level, shorter = block.levels[n], block.levels[n - 1]
+            context = counts[n - 1][shorter.ids[level.first - 1]]
+            back = left[n, _class(context)]
+            share = counts[n] / np.maximum(context, 1)
+            below = np.where(
+                counts[n] > 0, (1 - back) * share + back * below[shorter.ids[level.first]], np.nan
+            )
+            self.arcs.append(np.log10(below).tolist())
+            self.failures.append(np.log10(left[n, _class(counts[n - 1])]).tolist())
+
+    def read(self, path: list[list[int]]) -> float:
+        """log10 of a text's probability; path[d][i] is the number of the d + 1 tokens that end at i."""
         score = 0.0
-        for byte in data:
-            weight, state = self.step(state, byte)
+        depth = min(self.depth, 1) if self.known[path[0][0]] else 0
+        for i in range(1, len(path[0])):
+            while (weight := self.arcs[depth][path[depth][i]]) != weight:  # No such arc.
+                depth -= 1
+                score += self.failures[depth][path[depth][i - 1]]
             score += weight
-        return score, state
+            depth = min(depth + 1, self.depth) if self.known[path[0][i]] else 0
+        return score
 
 
-def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows dealt by a hash into blocks of about ``block_bytes`` of text, one partition each."""
+def _blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """Rows dealt by a hash into blocks of about ``block_bytes`` of text, and the number of blocks."""
     size = docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     return docs.select(
         F.pmod(F.xxhash64("doc_id", whole_text()), F.lit(n)).cast("int").alias("block"),
         "doc_id", held.alias("held_out"), whole_text().alias("text"),
-    )
-
-
-def _tallied(order: int):
-    def run(batches):
-        tally: dict[int, Tally] = {}
-        for batch in batches:
-            block, held = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            texts = encoded(batch.column(2))
-            for b in np.unique(block):
-                for flag in (False, True):
-                    some = np.flatnonzero((block == b) & (held == flag))
-                    tally.setdefault(int(b), Tally(order)).add([texts[i] for i in some], not flag)
-        for b, counts in tally.items():
-            for kind in range(WORD, order + 1):
-                values, n = counts.of(kind)
-                for at in range(0, len(values), 100_000):
-                    v = values[at : at + 100_000].astype(np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(v), b, np.int32)), pa.array(np.full(len(v), kind, np.int32)),
-                         pa.array(v), pa.array(n[at : at + 100_000])],
-                        ["block", "kind", "code", "n"],
-                    )
-    return run
+    ), n
 
 
 def scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    The model is an interpolated absolute-discount n-gram model over the bytes of a text's tokens,
-    learned from the rows that are not held out. Rows are dealt into blocks. Each block counts its
-    own words and n-grams; the counts are summed over all blocks in a shuffle, and every block gets
-    back the sums of what occurs in it, so its automaton gives the whole model's score on its texts.
-    Nothing that grows with the corpus is broadcast; two totals reach the driver.
-
-    Null and empty texts are the end symbol alone; a null doc_id is not held out. Repeated rows
-    count as often as they occur; other columns are ignored; no rows give no rows.
+    The model is an n-gram model over words, learned from the rows that are not held out. Its
+    symbols are those of the base score: every training token and one for all unknown ones. A
+    context leaves to the shorter one the share of tokens that, after contexts counted about as
+    often (same bit length), form an n-gram seen once; the empty context leaves its share to the
+    unknown symbol. Probabilities after each context so add up to 1.
+
+    Rows are dealt into blocks. A block sends the keys of its n-grams, by hash, to buckets that
+    grow in number with the blocks; a bucket returns the corpus's counts in the same order. So
+    every block has the whole model's counts of what occurs in it, of the model nothing is
+    broadcast, and an n-gram costs a bucket one entry a block however frequent it is. The driver
+    gets totals and ``order`` x 64 shares.
+
+    Null and empty texts are the end alone; a null doc_id is not held out. Repeated rows count as
+    often as they occur; other columns are ignored; no rows give no rows. Where every row is held
+    out, every token is unknown and has probability 1.
     """
-    assert 1 <= order <= 4, "an n-gram is packed into 32 bits"
-    dealt = _blocks(docs, block_bytes)
-    met = written(
-        dealt.select("block", "held_out", "text").repartition("block").mapInArrow(_tallied(order), "block int, kind int, code long, n long"),
-        "lm-counts",
-    )
-    sums = written(met.groupBy("kind", "code").agg(F.sum("n").alias("total")), "lm-sums")
-    words = sums.where(f"kind = {WORD} and total > 0").agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, distinct = words["n"] or 0, words["v"]
-    grams = sums.where(f"kind = {order} and total > 0")
-    # Continuations of each context, on the context's code padded with NULs to the full width.
-    context = []
-    for length in range(order):
-        shift = 8 * (order - length)
-        prefix = F.shiftleft(F.shiftright("code", shift), shift)
-        next_ = F.shiftright("code", shift - 8)
-        seen = grams.select(prefix.alias("code"), next_.alias("next"), "total").where(F.col("next") % 256 != 0)
-        by_next = seen.groupBy("code", "next").agg(F.sum("total").alias("total"))
-        context.append(by_next.groupBy("code").agg(
-            F.sum("total").alias("total"), F.count(F.lit(1)).alias("kinds")
-        ).select(F.lit(length).alias("length"), "code", "total", "kinds"))
-    contexts = context[0]
-    for more in context[1:]:
-        contexts = contexts.unionByName(more)
-    # An n-gram's own count is a continuation's: those of full width, and shorter ones as sums.
-    own = []
-    for length in range(1, order + 1):
-        shift = 8 * (order - length)
-        prefix = F.shiftleft(F.shiftright("code", shift), shift)
-        own.append(
-            grams.select(prefix.alias("code"), "total").where(F.pmod(F.shiftright("code", shift), F.lit(256)) != 0)
-            .groupBy("code").agg(F.sum("total").alias("count")).select(F.lit(length).alias("length"), "code", "count")
-        )
-    owned = own[0]
-    for more in own[1:]:
-        owned = owned.unionByName(more)
-    model = written(
-        owned.join(contexts, ["length", "code"], "full").select(
-            "length", "code", F.coalesce("count", F.lit(0)).alias("count"),
-            F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kinds", F.lit(0)).alias("kinds"),
+    assert order >= 1
+    dealt, buckets = _blocks(docs, block_bytes)
+    sums = written(
+        dealt.groupBy("block")
+        .applyInArrow(_tallied(order, buckets), "block int, n int, bucket int, keys binary, counts binary")
+        .groupBy("n", "bucket")
+        .applyInArrow(
+            _summed, "block int, n int, bucket int, counts binary, distinct long, total long, once long"
         ),
-        "lm-model",
+        "lm-counts",
     )
-    needed = met.where(f"kind > {WORD}").withColumnRenamed("kind", "length").join(model, ["length", "code"]).select(
-        "block", "length", "code", "count", "total", "kinds"
-    ).unionByName(
-        met.where(f"kind = {WORD}").join(sums.where(f"kind = {WORD} and total > 0").drop("kind"), "code").select(
-            "block", F.lit(WORD).alias("length"), "code", F.col("total").alias("count"),
-            F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("kinds"),
+    totals = sums.where("n = 1 and block is null").agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("distinct", "total", "once"))
+    ).first()
+    n, v = int(totals["total"]), int(totals["distinct"])
+    by_block = sums.where("block is not null").select("block", "n", "bucket", "counts").groupBy("block")
+
+    def classes(rows: pa.Table, slice_: pa.Table) -> pa.Table:
+        block = Block(encoded(rows.column("text")), order)
+        counts = _corpus_counts(block, slice_, buckets)
+        trained = block.trained(rows.column("held_out").to_numpy())
+        out = []
+        for k in range(1, order):
+            at = np.flatnonzero(trained & (block.levels[k].ids >= 0))
+            kind = _class(counts[k - 1][block.levels[k - 1].ids[at - 1]])
+            once = counts[k][block.levels[k].ids[at]] == 1
+            tokens = np.bincount(kind, minlength=CLASSES)
+            single = np.bincount(kind[once], minlength=CLASSES)
+            out += [(k, int(c), int(tokens[c]), int(single[c])) for c in np.flatnonzero(tokens)]
+        names = ("n", "class", "tokens", "once")
+        return pa.table({name: pa.array([r[i] for r in out], pa.int64()) for i, name in enumerate(names)})
+
+    # What a context leaves to the shorter one, by its length and class.
+    left = np.full((order, CLASSES), 0.5)
+    left[0, 0] = (totals["once"] + 1) / (n + 2) if n else 1.0
+    if order > 1:
+        shares = dealt.groupBy("block").cogroup(by_block).applyInArrow(
+            classes, "n long, class long, tokens long, once long"
         )
-    )
-    n, v = int(total), int(distinct)
+        for r in shares.groupBy("n", "class").agg(F.sum("tokens").alias("tokens"), F.sum("once").alias("once")).collect():
+            left[r["n"], r["class"]] = (r["once"] + 1) / (r["tokens"] + 2)
 
     def score_block(rows: pa.Table, slice_: pa.Table) -> pa.Table:
-        length = slice_.column("length").to_numpy()
-        code, count = slice_.column("code").to_numpy(), slice_.column("count").to_numpy()
-        is_word = length < 0
-        by_hash = np.argsort(code[is_word].view(np.uint64))
-        hashes, known = code[is_word].view(np.uint64)[by_hash], count[is_word][by_hash]
-        entries = zip(
-            length[~is_word].tolist(), code[~is_word].tolist(), count[~is_word].tolist(),
-            slice_.column("total").to_numpy()[~is_word].tolist(),
-            slice_.column("kinds").to_numpy()[~is_word].tolist(), strict=True,
-        )
-        grams_of = {c.to_bytes(order, "big")[:size]: (a, b, k) for size, c, a, b, k in entries}
-        automaton = Automaton(grams_of, order, 256)
-        texts = encoded(rows.column("text"))
-        tokens, seen, base, lm = [], [], [], []
-        remembered: dict[tuple[int, bytes], tuple[float, int]] = {}
-        for a, b in chunks(texts):
-            found, first = word_hashes(texts[a:b], lower=True)
-            at = np.searchsorted(hashes, found)
-            hit = np.minimum(at, max(len(hashes) - 1, 0))
-            c = np.where(hashes[hit] == found, known[hit], 0) if len(hashes) else np.zeros(len(found), np.int64)
-            end_at = np.searchsorted(hashes, END_HASH)
-            end = int(known[end_at]) if end_at < len(hashes) and hashes[end_at] == END_HASH else 0
-            logs = np.log10((c + 1) / (n + v + 1))
-            for i in range(b - a):
-                own_c, own_logs = c[first[i] : first[i + 1]], logs[first[i] : first[i + 1]]
-                tokens.append(len(own_c) + 1)
-                seen.append(int((own_c > 0).sum()) + (end > 0))
-                base.append(float(own_logs.sum()) + math.log10((end + 1) / (n + v + 1)))
-                state, total_score = 0, 0.0
-                words_of = _joined(texts[a + i])[:-1].split(b" ")
-                for w in words_of[:-1]:
-                    key = (state, w)
-                    step = remembered.get(key)
-                    if step is None:
-                        if len(remembered) > MEMORY:
-                            remembered.clear()
-                        step = remembered[key] = automaton.read(state, w + b" ")
-                    total_score += step[0]
-                    state = step[1]
-                weight, _ = automaton.read(state, words_of[-1] + bytes((END,)))
-                lm.append(total_score + weight)
+        block = Block(encoded(rows.column("text")), order)
+        counts = _corpus_counts(block, slice_, buckets)
+        automaton = Automaton(block, counts, n, left)
+        c = np.where(block.scored, counts[0][block.levels[0].ids], 0)
+        base = np.where(block.scored, np.log10((c + 1) / (n + v + 1)), 0.0)
+        at = block.start[:-1]
+        lm = [
+            automaton.read([level.ids[a:b].tolist() for level in block.levels])
+            for a, b in zip(block.start[:-1].tolist(), block.start[1:].tolist(), strict=True)
+        ]
         return pa.table({
             "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"),
-            "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(seen, pa.int64()),
-            "train_tokens": pa.array([n] * len(tokens), pa.int64()),
-            "base_score": pa.array(base, pa.float64()), "score": pa.array(lm, pa.float64()),
+            "n_tokens": pa.array(block.sizes - 1, pa.int64()),
+            "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), at), pa.int64()),
+            "train_tokens": pa.array([n] * len(at), pa.int64()),
+            "base_score": pa.array(np.add.reduceat(base, at), pa.float64()),
+            "score": pa.array(lm, pa.float64()),
         })
 
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
-    return dealt.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score_block, schema)
+    return dealt.groupBy("block").cogroup(by_block).applyInArrow(score_block, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,27 +111,40 @@ def base_scores(rows):
     }
 
 
-def byte_model(rows, order, discount=0.5):
-    """{doc_id: log10 probability} by the interpolated model written out, byte by byte."""
-    lines = {d: " ".join(words(lowered(t).replace("\0", "\1"))).encode() + b"\n" for d, t in rows}
-    counts = defaultdict(Counter)
+def word_model(rows, order):
+    """{doc_id: log10 probability} by the interpolated word model written out, token by token."""
+    # None ends a text; as the first of a context it starts one.
+    lines = {d: [None, *words(lowered(t)), None] for d, t in rows}
+    after = defaultdict(Counter)
     for d, line in lines.items():
         if not held_out(d):
-            for i in range(len(line)):
-                for k in range(order):
-                    # A context of k bytes starts in this line.
-                    if i - k >= 0:
-                        counts[line[i - k : i]][line[i]] += 1
-
-    def p(context, byte):
-        below = p(context[1:], byte) if context else 1 / 257
-        c = counts.get(context)
-        if not c:
+            for i in range(1, len(line)):
+                for k in range(min(order, i + 1)):
+                    after[tuple(line[i - k : i])][line[i]] += 1
+    known = after[()]
+    total = known.total()
+    # How often a context occurs as an n-gram: the start as often as the end.
+    times = {c: after[c[:-1]][c[-1]] if c != (None,) else known[None] for c in list(after) if c}
+    tokens, once = Counter(), Counter()
+    for context, following in after.items():
+        if context:
+            kind = len(context), times[context].bit_length()
+            tokens[kind] += following.total()
+            once[kind] += sum(c == 1 for c in following.values())
+    unknown = (sum(c == 1 for c in known.values()) + 1) / (total + 2) if total else 1.0
+
+    def p(context, token):
+        if not context:
+            return (1 - unknown) * known[token] / total if known[token] else unknown
+        below = p(context[1:], token)
+        if not times.get(context):
             return below
-        return (max(c[byte] - discount, 0) + discount * len(c) * below) / c.total()
+        kind = len(context), times[context].bit_length()
+        left = (once[kind] + 1) / (tokens[kind] + 2)
+        return (1 - left) * after[context][token] / times[context] + left * below
 
     return {
-        d: sum(math.log10(p(line[max(0, i - order + 1) : i], line[i])) for i in range(len(line)))
+        d: sum(math.log10(p(tuple(line[max(0, i - order + 1) : i]), line[i])) for i in range(1, len(line)))
         for d, line in lines.items()
     }
 

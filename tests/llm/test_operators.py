@@ -354,10 +354,34 @@ def test_page_language(spark, tmp_path):
     assert any(abs(no_suffix[i][1] - c) > 0.01 for i, (_, c) in expected.items())
 
 
-@pytest.mark.parametrize("order", [1, 2, 4])
+def test_lm_beats_base(spark):
+    """Of held-out texts that the model never read, nearly all score above the base."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r for r in lm_scoring.scores(docs).collect() if r["held_out"]]
+    assert len(held) > 100
+    assert sum(r["score"] > r["base_score"] for r in held) >= 0.95 * len(held)
+
+
+def test_lm_without_training(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    docs = spark.createDataFrame([(i, "Some words", 7) for i in ids], "doc_id long, text string, block int")
+    for r in lm_scoring.scores(docs).collect():
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_lm_long_text(spark):
+    """A text longer than a chunk of numpy work and than a block."""
+    rows = [(0, "Alpha beta gamma " * 60_000), (1, "beta alpha"), (2, None), (4, "")]
+    model = brute.word_model([(d, t or "") for d, t in rows], 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in lm_scoring.scores(docs, block_bytes=100_000).collect():
+        assert r["score"] == pytest.approx(model[r["doc_id"]], rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm(docs, rows, order):
     plain = [(d, t) for d, t, *_ in rows]
-    base, model = brute.base_scores(plain), brute.byte_model(plain, order)
+    base, model = brute.base_scores(plain), brute.word_model(plain, order)
     for r in lm_scoring.scores(docs, order=order, block_bytes=20_000).collect():
         d = r["doc_id"]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == base[d][:4]
