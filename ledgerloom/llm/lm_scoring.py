@@ -71,6 +71,17 @@ def _cells(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, met, np.append(at, len(keys))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """A byte a count; counts from 255 on follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, size).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<i8", offset=size)
+    return counts
+
+
 def _tallied(order: int, buckets: int):
     """Function of a block's rows: its n-grams' keys and counts in training, a row for each bucket."""
     def run(rows: pa.Table) -> pa.Table:
@@ -78,11 +89,11 @@ def _tallied(order: int, buckets: int):
         trained = block.trained(rows.column("held_out").to_numpy())
         out = []
         for n, level in enumerate(block.levels, 1):
-            counts = np.bincount(level.ids[trained & (level.ids >= 0)], minlength=len(level.keys)).astype("<u4")
+            counts = np.bincount(level.ids[trained & (level.ids >= 0)], minlength=len(level.keys))
             by_bucket, met, at = _cells(level.keys, buckets)
             for i, b in enumerate(met):
                 some = by_bucket[at[i] : at[i + 1]]
-                out.append((n, int(b), level.keys[some].tobytes(), counts[some].tobytes()))
+                out.append((n, int(b), level.keys[some].tobytes(), _packed(counts[some])))
         number = rows.column("block")[0].as_py()
         n, b, keys, counts = zip(*out, strict=True)
         return pa.table({
@@ -99,17 +110,18 @@ def _summed(rows: pa.Table) -> pa.Table:
     The row without a block says how many n-grams occur in training, how often, and how many once.
     """
     keys = [np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows.column("counts").to_pylist()])
+    sizes = [len(k) for k in keys]
+    counts = np.concatenate([_unpacked(*c) for c in zip(rows.column("counts").to_pylist(), sizes, strict=True)])
     distinct, ids = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(ids, weights=counts, minlength=len(distinct)).astype("<i8")
-    sent = np.split(total[ids], np.cumsum([len(k) for k in keys])[:-1])
+    total = np.bincount(ids, weights=counts, minlength=len(distinct)).astype(np.int64)
+    sent = np.split(total[ids], np.cumsum(sizes)[:-1])
     size = len(keys) + 1
     zeros = [0] * len(keys)
     return pa.table({
         "block": pa.array([*rows.column("block").to_pylist(), None], pa.int32()),
         "n": pa.array([rows.column("n")[0].as_py()] * size, pa.int32()),
         "bucket": pa.array([rows.column("bucket")[0].as_py()] * size, pa.int32()),
-        "counts": pa.array([*(s.tobytes() for s in sent), b""], pa.binary()),
+        "counts": pa.array([*map(_packed, sent), b""], pa.binary()),
         "distinct": pa.array([*zeros, int((total > 0).sum())], pa.int64()),
         "total": pa.array([*zeros, int(total.sum())], pa.int64()),
         "once": pa.array([*zeros, int((total == 1).sum())], pa.int64()),
@@ -123,7 +135,7 @@ def _corpus_counts(block: Block, sums: pa.Table, buckets: int) -> list[np.ndarra
     for n, b, counts in zip(*(sums.column(c).to_pylist() for c in ("n", "bucket", "counts")), strict=True):
         by_bucket, met, at = cells[n - 1]
         i = np.searchsorted(met, b)
-        found[n - 1][by_bucket[at[i] : at[i + 1]]] = np.frombuffer(counts, "<i8")
+        found[n - 1][by_bucket[at[i] : at[i + 1]]] = _unpacked(counts, at[i + 1] - at[i])
     return found
 
 
