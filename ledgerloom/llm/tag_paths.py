@@ -31,8 +31,10 @@ CLOSES_SELF = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-BOILERPLATE = frozenset("head nav header footer aside dialog menu button figcaption".split())
+BOILERPLATE = frozenset("head nav header footer aside dialog menu button".split())
 CONTENT = frozenset(("article", "main"))
+# Elements that are a part of what holds them, however long they are.
+PARTS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol li dl dt dd figure figcaption".split())
 # Words of class and id names that tell what a container is for.
 NAMES = frozenset(
     "ad ads adv advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist "
@@ -100,7 +102,8 @@ def _opened(tag: str, attrs: str, parent: Element) -> Element:
         names = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found).lower()) if w in NAMES]
     label = f"{tag}.{'.'.join(sorted(set(names)))}" if names else tag
     flagged = parent.flagged
-    if tag in BOILERPLATE or SURE_NAMES.intersection(names):
+    own_header = tag == "header" and parent.content  # An article's header holds its headline.
+    if (tag in BOILERPLATE and not own_header) or SURE_NAMES.intersection(names):
         flagged = "sure"
     elif names and not flagged:
         flagged = "named"
@@ -248,7 +251,8 @@ def main_text(page: str) -> str:
     a share of their standard deviation; nodes inside article or main elements have theirs raised by
     CONTENT_PRIOR. What reaches it, is in no container for other purposes and no list of links is
     chosen. The content's containers are the outermost article or main elements with chosen nodes,
-    or all of them where none has any; without such elements, the deepest element with most content.
+    or all of them where none has any; without such elements, the deepest element with most of the
+    text of nodes that reach it unsmoothed too.
     All text of the containers belongs to the article, short lines included, but for what is in
     containers for other purposes, lists of links, teasers and repeated notices.
     """
@@ -300,12 +304,18 @@ def main_text(page: str) -> str:
         kept = [ok and not out for ok, out in zip(held, listed, strict=True)]
         # Containers of lists alone: the lists are the content.
         return " ".join(x.text for x, ok in zip(nodes, kept if any(kept) else held, strict=True) if ok)
+    # What only its neighbours' ratios raise is content inside the container, not what sets it.
+    strong = [good and not small for good, small in zip(chosen, low, strict=True)]
+    if not any(strong):
+        strong = chosen
     sums: dict[int, tuple[int, Element]] = {}
     size = 0
-    for x, ok in zip(nodes, chosen, strict=True):
+    for x, ok in zip(nodes, strong, strict=True):
         if ok:
             size += len(x.text)
             e = x.element
+            while e.tag in PARTS:
+                e = e.parent
             while e is not None:
                 sums[id(e)] = (sums.get(id(e), (0, e))[0] + len(x.text), e)
                 e = e.parent
@@ -323,7 +333,7 @@ def main_text(page: str) -> str:
 
     listed = _lists(nodes, low, {id(container)})
     return " ".join(
-        x.text for x, ok, good, out in zip(nodes, judged, chosen, listed, strict=True)
+        x.text for x, ok, good, out in zip(nodes, judged, strong, listed, strict=True)
         if ok and (good or (within(x.element) and not out and x.links * 2 < len(x.text)))
     )
 

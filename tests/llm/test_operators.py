@@ -540,6 +540,45 @@ def test_tag_paths_judges_inside_article():
         assert not any(w in text for w in ("Other story", "teaser", "Read this", "members"))
 
 
+def test_tag_paths_keeps_the_articles_own_header():
+    """An article's header and captions are its text; the page's header is not."""
+    page = (
+        f"<body><header><h1>Site</h1></header><article><header><h1>Headline</h1></header>{LONG}"
+        f"<figure><img src=a><figcaption>A caption.</figcaption></figure>{LONG}<footer>Tags</footer></article></body>"
+    )
+    text = tag_paths.main_text(page)
+    assert text.startswith("Headline A sentence") and "A caption." in text
+    assert "Site" not in text and "Tags" not in text
+
+
+def _nameless(seed):
+    """A page of plain div and p elements, and its article's text."""
+    rng = random.Random(seed)
+    words = [f"w{seed}x{i}" for i in range(200)]
+
+    def some(a, b):
+        return " ".join(rng.choice(words) for _ in range(rng.randint(a, b)))
+
+    paragraphs = [some(20, 60) + ", " + some(10, 40) + "." for _ in range(rng.randint(4, 9))]
+    title = some(3, 6)
+    menu = "".join(f"<div><div>{some(1, 2)}</div></div>" for _ in range(rng.randint(3, 7)))
+    side = "".join(f"<div><div><p>{some(2, 4)}</p></div></div>" for _ in range(rng.randint(2, 6)))
+    foot = f"<div><div><div>{some(2, 5)}</div></div></div>"
+    article = f"<div><h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"
+    parts = [f"<div>{menu}</div>", f"<section>{article}</section>", f"<div>{side}</div>", foot]
+    if seed % 3 == 0:
+        parts[1:3] = parts[2:0:-1]
+    return f"<html><body>{''.join(parts)}</body></html>", " ".join([title, *paragraphs])
+
+
+def test_tag_paths_without_names(monkeypatch):
+    """Where no name tells the article, the ratios alone choose it: constant ratios fail."""
+    pages = [_nameless(seed) for seed in range(40)]
+    assert [tag_paths.main_text(html) for html, _ in pages] == [text for _, text in pages]
+    monkeypatch.setattr(tag_paths, "_fused_ratios", lambda nodes: ([1.0] * len(nodes),) * 2)
+    assert not any(tag_paths.main_text(html) == text for html, text in pages)
+
+
 def test_tag_reader_loses_no_text():
     """Long attributes, self-closed and unclosed raw elements, and forms around a page."""
     long = "x" * 4001
