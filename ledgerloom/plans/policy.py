@@ -84,11 +84,11 @@ register(
 register("policy_rules", lambda s, d: po.policy_rules(scored(s, d), CUTS), with_ctes(_RULED), **_MDIGITS)
 register(
     "sector_cv_lookup_join",
-    lambda s, d: po.sector_cv_lookup_join(po.policy_rules(scored(s, d), CUTS), fx.sector_cells(s, d))
+    lambda s, d: po.sector_cv_lookup_join(po.policy_rules(scored(s, d), CUTS), fx.profile_cells(s, d))
     .select("account_id", "use_externals_regression", "use_externals_classification"),
     with_ctes(f"""SELECT account_id, coalesce(cell_reg, use_externals_regression) AS use_externals_regression,
       coalesce(cell_clf, use_externals_classification) AS use_externals_classification
-      FROM (SELECT *, {_BUCKET} AS b FROM ruled) AS r LEFT JOIN cells AS c ON c.sector = r.sector AND c.cv_bucket = r.b""",
+      FROM (SELECT *, {_BUCKET} AS b FROM ruled) AS r LEFT JOIN profile_cells AS c ON c.sector = r.sector AND c.cv_bucket = r.b""",
               ruled=_RULED),
 )
 register(
@@ -153,13 +153,13 @@ register(
 )
 register(
     "policy_from_quality",
-    lambda s, d: po.policy_from_quality(scored(s, d), fx.sector_cells(s, d), PRIORITY),
+    lambda s, d: po.policy_from_quality(scored(s, d), fx.profile_cells(s, d), PRIORITY),
     with_ctes(f"""SELECT account_id, r.sector, cv_cashflow, predictability_score, composite_score,
       coalesce(cell_reg, r.sector IN ('transport', 'retail') OR (cv_cashflow >= 0.3 AND cv_cashflow < 0.5))
         AS use_externals_regression, coalesce(cell_clf, false) AS use_externals_classification,
       'rf' AS regression_model, 'logistic' AS classification_model, 'v3.0' AS policy_version,
       CASE WHEN c.sector IS NOT NULL THEN 'lookup_sector_cv' ELSE 'rules_v2' END AS policy_source
-      FROM (SELECT *, {_BUCKET} AS b FROM scored) AS r LEFT JOIN cells AS c ON c.sector = r.sector AND c.cv_bucket = r.b"""),
+      FROM (SELECT *, {_BUCKET} AS b FROM scored) AS r LEFT JOIN profile_cells AS c ON c.sector = r.sector AND c.cv_bucket = r.b"""),
     cv_cashflow=6, predictability_score=7, composite_score=7,
 )
 
