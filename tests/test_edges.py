@@ -20,6 +20,7 @@ from ledgerloom.operators import scoring as sc
 from ledgerloom.operators import sectors as sec
 from ledgerloom.operators import tsmetrics as ts
 from ledgerloom.operators import weekly as wk
+from ledgerloom.sources import fixtures as fx
 
 MONDAY = dt.date(2024, 1, 1)
 
@@ -403,3 +404,34 @@ def test_mapping_keeps_other_columns_and_policies_name_their_version(spark):
         " predictability_score double, composite_score double, trend_strength double, seasonality_strength double")
     assert one(po.build_policy(quality)).policy_version == po.VERSION_V7
     assert one(po.build_policy(quality, version_text="v8")).policy_version == "v8"
+
+
+def test_lookup_cells_come_from_all_profiles(spark, tmp_path):
+    """Every order counts in its cell, in every sector: a table of nations has no such cells."""
+    rows = [(k, k % 14, 100.0) for k in range(1, 400)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    cells = fx.profile_cells(spark, str(tmp_path)).collect()
+    profiles = fx.metric_profiles(spark, str(tmp_path)).select("sector").distinct().collect()
+    assert {r.sector for r in cells} == {r.sector for r in profiles} == set(fx.SECTORS)
+
+
+def test_features_are_cut_by_moments_alone():
+    """Neither few transactions nor a low score removes an account."""
+    from ledgerloom.plans.models import FEATURE_CUTS
+
+    assert FEATURE_CUTS.transactions_min < 0 and FEATURE_CUTS.predictability_min == float("-inf")
+    assert (FEATURE_CUTS.acf_min, FEATURE_CUTS.completeness_min, FEATURE_CUTS.cv_min, FEATURE_CUTS.cv_max) == (0.7, 0.6, 0.2, 2.0)
+
+
+def test_median_rows_are_not_dealt_by_group(spark):
+    """A group that holds nearly all rows is not sorted in one task."""
+    from ledgerloom.functions import aggregates as ag
+
+    rows = spark.range(2000).selectExpr("if(id < 1990, 'a', null) AS k", "cast(id AS double) AS _v")
+    joined = ag._joined(rows, rows.groupBy("k").agg(F.count("_v").alias("n")), ["k"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
