@@ -76,15 +76,11 @@ def ridge_fit(x: np.ndarray, y: np.ndarray, alphas=RIDGE_ALPHAS, inner: int = IN
     return alphas[best], float(intercept[0] - raw @ mean), raw
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
-
-
-def logistic_fit(x: np.ndarray, labels: np.ndarray, c: float = 1.0, steps: int = 100):
+def logistic_fit(x: np.ndarray, labels: np.ndarray, c: float = 1.0, steps: int = 100, start: tuple | None = None):
     """L2 logistic regression by damped Newton; the intercepts carry no penalty.
 
-    Two classes use one weight vector (the second class's), more use one per class.
+    Two classes use one weight vector (the second class's), more use one per class. ``start``, what
+    this function returned for other rows, spares steps where its classes are the same: the minimum is one.
     """
     classes = np.unique(labels)
     z, mean, scale = _standardise(x)
@@ -92,41 +88,52 @@ def logistic_fit(x: np.ndarray, labels: np.ndarray, c: float = 1.0, steps: int =
     n, p = design.shape
     binary = len(classes) == 2
     k = 1 if binary else len(classes)
-    truth = (labels[:, None] == (classes[1:] if binary else classes)).astype(float)
+    across = np.ascontiguousarray(design.T)
+    truth = ((classes[1:] if binary else classes)[:, None] == labels).astype(float)
     penalty = np.tile(np.append(np.ones(p - 1), 0.0), k) / c
-
-    def scores(w):
-        s = design @ w.reshape(k, p).T
-        return np.column_stack([np.zeros(n), s]) if binary else s
-
-    def loss(w):
-        s = scores(w)
-        top = s.max(axis=1)
-        log_norm = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-        own = (s[:, 1:] if binary else s) * truth
-        return float(np.sum(log_norm) - own.sum() + 0.5 * penalty @ (w * w))
+    # Equal shifts of all classes' intercepts change nothing: without this the Hessian is singular.
+    fixed = np.diag(penalty) + (0.0 if binary else np.outer(penalty == 0, penalty == 0))
+
+    def tried(w):
+        """The penalised loss at ``w`` and the classes' probabilities, one row a class."""
+        score = w.reshape(k, p) @ across
+        top = score.max(axis=0)
+        if binary:
+            top = np.maximum(top, 0.0)
+        prob = np.exp(score - top)
+        total = prob.sum(axis=0)
+        if binary:
+            total += np.exp(-top)
+        value = float(np.sum(top + np.log(total)) - np.vdot(score, truth) + 0.5 * penalty @ (w * w))
+        return value, prob / total
 
     w = np.zeros(k * p)
-    value = loss(w)
+    if start is not None and np.array_equal(start[0], classes):
+        weights = np.asarray(start[2])[-k:]
+        w = np.column_stack([weights * scale, np.asarray(start[1])[-k:] + weights @ mean]).ravel()
+    value, prob = tried(w)
     for _ in range(steps):
-        prob = _softmax(scores(w))
-        prob = prob[:, 1:] if binary else prob
-        gradient = ((prob - truth).T @ design).ravel() + penalty * w
+        gradient = ((prob - truth) @ design).ravel() + penalty * w
         if np.max(np.abs(gradient)) < 1e-8:
             break
-        hessian = np.diag(penalty)
+        spread = (prob[:, None, :] * across).reshape(k * p, n)
+        hessian = fixed - spread @ spread.T
         for a in range(k):
-            for b in range(k):
-                weight = prob[:, a] * ((a == b) - prob[:, b])
-                hessian[a * p : (a + 1) * p, b * p : (b + 1) * p] += (design.T * weight) @ design
-        step = np.linalg.lstsq(hessian, gradient, rcond=1e-12)[0]
+            own = slice(a * p, (a + 1) * p)
+            hessian[own, own] += spread[own] @ design
+        try:
+            step = np.linalg.solve(hessian, gradient)
+        except np.linalg.LinAlgError:
+            step = np.linalg.lstsq(hessian, gradient, rcond=1e-12)[0]
         size = 1.0
-        while size > 1e-8 and loss(w - size * step) > value:
+        met = tried(w - step)
+        while not met[0] <= value + 1e-12 * abs(value) and size > 1e-8:
             size /= 2
+            met = tried(w - size * step)
         if size <= 1e-8:
             break
         w = w - size * step
-        value = loss(w)
+        value, prob = met
     weights = w.reshape(k, p)
     raw = weights[:, :-1] / scale
     intercepts = weights[:, -1] - raw @ mean
@@ -138,6 +145,14 @@ def logistic_fit(x: np.ndarray, labels: np.ndarray, c: float = 1.0, steps: int =
 
 # --- grouped fits ---------------------------------------------------------------------------------
 
+def dealt_by_account(rows: DataFrame) -> DataFrame:
+    """Rows by account over all of the session's shuffle partitions.
+
+    Adaptive execution would join partitions of few bytes; a fit's time is not in its bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "account_id")
+
+
 def _train_ends(n: int, n_splits: int, test_size: int, min_train: int) -> list[tuple[int, int]]:
     """(fold, rows to train on); the final fold trains on everything."""
     ends = [(s, n - (s + 1) * test_size) for s in range(n_splits)]
@@ -146,13 +161,13 @@ def _train_ends(n: int, n_splits: int, test_size: int, min_train: int) -> list[t
 
 def _grouped(
     matrix: DataFrame, x: str, target: str, mode: str, schema: str,
-    fit: Callable[[np.ndarray, np.ndarray], dict | None],
+    fit: Callable[[np.ndarray, np.ndarray, dict | None], dict | None],
     n_splits: int, test_size: int, min_train: int, min_rows: int,
     worth: Callable[[np.ndarray], bool] = lambda targets: True,
 ) -> DataFrame:
     """Fit every fold of each account; a group is one account's weeks, bounded by the calendar.
 
-    An account whose targets are not ``worth`` a model gets none.
+    An account whose targets are not ``worth`` a model gets none. ``fit`` is given the fold before, to start from.
     """
 
     def per_account(rows: pd.DataFrame) -> pd.DataFrame:
@@ -161,9 +176,11 @@ def _grouped(
         targets = rows["target"].to_numpy()
         out = []
         ends = _train_ends(len(rows), n_splits, test_size, min_train) if worth(targets) else []
+        before = None
         for fold, end in ends:
-            fitted = fit(features[:end], targets[:end])
+            fitted = fit(features[:end], targets[:end], before)
             if fitted is not None:
+                before = fitted
                 out.append({
                     "account_id": rows["account_id"].iloc[0], "mode": rows["mode"].iloc[0],
                     "fold": fold, "n_train": end, **fitted,
@@ -171,13 +188,9 @@ def _grouped(
         columns = [part.split()[0] for part in schema.split(", ")]
         return pd.DataFrame(out, columns=columns)
 
-    return (
-        matrix.where(F.col("n_rows") >= min_rows)
-        .select("account_id", "pos", F.col(mode).alias("mode"), F.col(x).alias("x"),
-                F.col(target).alias("target"))
-        .groupBy("account_id")
-        .applyInPandas(per_account, schema)
-    )
+    rows = matrix.where(F.col("n_rows") >= min_rows).select(
+        "account_id", "pos", F.col(mode).alias("mode"), F.col(x).alias("x"), F.col(target).alias("target"))
+    return dealt_by_account(rows).groupBy("account_id").applyInPandas(per_account, schema)
 
 
 def _ridge_blocks(n: int, n_splits: int, test_size: int, min_train: int) -> list[int]:
@@ -331,10 +344,11 @@ def fit_logistic(
     needs ``min_train`` rows of two classes, whether or not fold models are asked for.
     """
 
-    def fit(x, labels):
+    def fit(x, labels, before):
         if len(np.unique(labels)) < 2:
             return None
-        classes, intercepts, coefs = logistic_fit(x, labels)
+        start = before and (before["classes"], before["intercepts"], before["coefs"])
+        classes, intercepts, coefs = logistic_fit(x, labels, start=start)
         return {"classes": classes, "intercepts": intercepts, "coefs": list(coefs)}
 
     def evaluable(labels):
