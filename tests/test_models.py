@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,37 @@ def test_ridge_from_moments_equals_ridge_on_rows(spark):
         assert abs(r.intercept - intercept) < 1e-8 * max(abs(intercept), size * 1e5)
     assert {r.fold for r in mo.fit_ridge(matrix, n_splits=0).collect()} == {-1}
     assert mo.fit_ridge(matrix.where("false")).count() == 0
+
+
+def test_logistic_from_another_start_is_the_same_minimum():
+    x, _, rng = data(n=80)
+    for labels in (rng.integers(0, 3, size=80), rng.integers(0, 2, size=80)):
+        start = mo.logistic_fit(x[:60], labels[:60])
+        cold, warm = mo.logistic_fit(x, labels), mo.logistic_fit(x, labels, start=start)
+        assert np.abs(cold[2] - warm[2]).max() < 1e-6
+        assert np.abs((cold[1] - cold[1].mean()) - (warm[1] - warm[1].mean())).max() < 1e-6
+
+
+def test_first_order_check_tells_right_fits_from_wrong(spark, monkeypatch):
+    """The sums come from one table an account, not from a row a feature."""
+    from ledgerloom.plans import models as pm
+
+    x, y, rng = data(n=60)
+    x[:, 3] = 7.0
+    rows = [(k, i, 60, "baseline", "baseline", x[i].tolist(), x[i].tolist(), float(y[i]), int(i * j % 7 > 2))
+            for j, k in ((1, "a"), (3, "b")) for i in range(60)]
+    matrix = spark.createDataFrame(
+        rows, "account_id string, pos int, n_rows long, mode_reg string, mode_clf string, "
+        "x_reg array<double>, x_clf array<double>, y double, label int")
+    monkeypatch.setattr(pm, "stored_matrix", lambda s, d: matrix)
+    for task in ("regression", "classification"):
+        got = pm._first_order(spark, "", task)
+        assert [r.stationary for r in got.collect()] == [True] * 8
+    sums = pm._residual_sums(pa.table({
+        "account_id": ["a"] * 2, "mode": ["m"] * 2, "fold": pa.array([0, 0], pa.int32()), "n_train": pa.array([2, 2], pa.int32()),
+        "n_features": pa.array([2, 2], pa.int32()), "x": [[1.0, 2.0], [3.0, 2.0]], "residuals": [[1.0], [2.0]],
+    })).to_pylist()
+    assert [(r["side"], r["r"], r["rr"], r["rv"], r["m"], r["s"]) for r in sums] == [(0, 3.0, 5.0, [7.0, 6.0], [2.0, 2.0], [1.0, 0.0])]
+    fit = mo.fit_ridge
+    monkeypatch.setattr(mo, "fit_ridge", lambda m: fit(m).withColumn("coef", F.transform("coef", lambda c: c + 0.5)))
+    assert not any(r.stationary for r in pm._first_order(spark, "", "regression").collect())
