@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -242,6 +244,19 @@ class Encoder:
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), np.uint32)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, changed: int, pattern: str) -> Encoder:
+    return Encoder(path, pattern)
+
+
+def shared_encoder(path: str, pattern: str) -> Encoder:
+    """The process's encoder: what one task's texts taught it, the worker's next tasks need not learn again.
+
+    Another ranks file, or one that has changed, takes its place.
+    """
+    return _encoder(path, os.stat(path).st_mtime_ns, pattern)
+
+
 class Decoder:
     """Ids to text in any slices: a state machine holds back an unfinished UTF-8 sequence.
 
@@ -282,7 +297,7 @@ def encode_texts(
     fields = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, pattern)
+        encoder = shared_encoder(path, pattern)
         names = encoder.transducer.bytes_of
         for batch in batches:
             rows = [
@@ -301,8 +316,8 @@ def encoded_documents(docs: DataFrame, ranks: str | None = None, pattern: str |
     """doc_id and ids (array of int) of every row's whole text, as the public encoder gives them.
 
     A null or empty text has no ids. Repeated rows and null doc_ids stay as they are; other columns
-    are ignored; no rows give no rows. A worker holds one batch, the vocabulary and two memories of
-    bounded size; nothing is shuffled.
+    are ignored; no rows give no rows. A worker holds one batch, and from task to task the vocabulary
+    and two memories of bounded size; nothing is shuffled.
     """
     return encode_texts(
         docs, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]),

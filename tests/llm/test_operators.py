@@ -609,3 +609,22 @@ def test_ranked(spark):
         for v in by.values():
             v.sort()
             assert [x for x, _ in v] == list(range(len(v))) and [y for _, y in v] == sorted(y for _, y in v)
+
+
+def test_tasks_of_a_worker_share_an_encoder(spark, tmp_path):
+    """A worker's second task starts with what the first one's texts taught it; a changed ranks file starts anew."""
+    import os
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("worker", "encoder")])
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(40)
+    seen = byte_bpe.encode_texts(docs, schema, lambda doc_id, text, ids, names: (os.getpid(), id(names))).distinct().collect()
+    assert len(seen) == len({r["worker"] for r in seen}) < 40
+    own = tmp_path / "ranks"
+    own.write_bytes(open(path, "rb").read())
+    first = byte_bpe.shared_encoder(str(own), public_tokenizers.PATTERN)
+    assert byte_bpe.shared_encoder(str(own), public_tokenizers.PATTERN) is first
+    os.utime(own, ns=(1, 1))
+    assert byte_bpe.shared_encoder(str(own), public_tokenizers.PATTERN) is not first
