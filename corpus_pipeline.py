@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import small_batches
 from ledgerloom.llm.exact_dedup import drop_exact_duplicates
-from ledgerloom.llm.language_id import keep_identified
+from ledgerloom.llm.language_id import declared_code, keep_identified
 from ledgerloom.llm.near_dedup import drop_near_duplicates
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.substring_dedup import remove_repeats
@@ -15,7 +16,7 @@ from ledgerloom.sources.io import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is identified."""
+    """Rows whose language is identified, with that as their lang."""
     return keep_identified(small_batches(docs))
 
 
@@ -35,8 +36,8 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the texts, placed in training sequences."""
-    return pack(small_batches(docs))
+    """Pieces of the texts, placed in training sequences of one language each."""
+    return pack(small_batches(docs), by=declared_code(F.col("lang")))
 
 
 STAGES = [

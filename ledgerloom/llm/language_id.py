@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import chunks, encoded, table, text_key, whole_text, without_rows
+from ledgerloom.llm.common import chunks, encoded, small_or_shuffled, table, text_key, whole_text, without_rows
 from ledgerloom.plans.registry import register
 from ledgerloom.sources.io import written
 
@@ -274,10 +274,30 @@ def identify(evidence: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> Dat
     )
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is identified, all columns as they were."""
-    gone = identify(document_evidence(docs)).where("not kept").select("doc_id", "text_key").distinct()
-    return without_rows(docs, written(gone, "language-gone"))
+def keep_identified(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The rows of ``docs`` whose language is identified, with that language as their ``lang``.
+
+    A ``lang`` that already says it (en-GB says en), or that none better than ``min_confidence`` takes the
+    place of, stays as it is, and so do all other columns. Rows of one doc_id, text and declaration get one
+    language: where their sources name several, the first by name.
+    """
+    better = (F.col("confidence") >= min_confidence) & ~F.col("language").eqNullSafe(F.col("declared"))
+    verdicts = written(
+        identify(document_evidence(docs), min_confidence).withColumn("better", F.coalesce(better, F.lit(False)))
+        .where("not kept or better"), "language-verdicts",
+    )
+    gone = verdicts.where("not kept").select("doc_id", "text_key").distinct()
+    named = verdicts.where("kept and better").groupBy(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("declared").alias("_declared")
+    ).agg(F.min("language").alias("_language"))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
+        & declared_code(F.col("lang")).eqNullSafe(F.col("_declared"))
+    )
+    left = without_rows(docs, written(gone, "language-gone"))
+    return left.join(small_or_shuffled(written(named, "language-named")), same, "left").select(
+        *(F.coalesce("_language", "lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns)
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

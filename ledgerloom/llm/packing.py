@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Memory, ranked, table, whole_text
@@ -81,8 +81,14 @@ class WordTokenizer:
         return b"".join(map(self._words.__getitem__, self._word(text)))
 
 
-def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Each text's ids and ``end_id``, cut into windows and a rest: PIECES, without the ids."""
+def cut(
+    docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID, by: Column | None = None
+) -> DataFrame:
+    """Each text's ids and ``end_id``, cut into windows and a rest: PIECES, without the ids.
+
+    With ``by``, a string, its value follows as ``part``: empty where it is null.
+    """
+    part = [] if by is None else [F.coalesce(by, F.lit("")).alias("part")]
     path, end = tokenizer or default_tokenizer(), end_id.to_bytes(4, "little")
 
     def pieces(batches):
@@ -90,17 +96,22 @@ def cut(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[tuple] = []
-            for doc_id, text in zip(ids_of, texts, strict=True):
+            owners: list[int] = []
+            for i, (doc_id, text) in enumerate(zip(ids_of, texts, strict=True)):
                 ids = encode(text) + end
                 total = len(ids) // 4
                 for s in range(0, total, window):
                     piece = ids[4 * s : 4 * (s + window)]
                     rows.append((doc_id, s, len(piece) // 4, zlib.crc32(piece), total))
+                    owners.append(i)
             columns = zip(*rows, strict=True) if rows else [[]] * 5
-            names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part"]
+            arrays = [pa.array(c, pa.int64()) for c in columns]
+            if batch.num_columns > 2:
+                arrays.append(batch.column(2).take(pa.array(owners, pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
-    return docs.select("doc_id", whole_text()).mapInArrow(pieces, PIECES)
+    return docs.select("doc_id", whole_text(), *part).mapInArrow(pieces, f"{PIECES}, part string" if part else PIECES)
 
 
 def _closest(lengths: list[int], counts: dict[int, int], room: int) -> list[tuple[int, int]]:
@@ -162,11 +173,13 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, dic
     return out
 
 
-def _places(planned: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[np.ndarray, ...]]:
-    """For each length: first rank, first sequence, pieces in a sequence and offset, by pattern."""
+def _places(planned: list[tuple[int, dict[int, int]]], sequence: int = 0) -> dict[int, tuple[np.ndarray, ...]]:
+    """For each length: first rank, first sequence, pieces in a sequence and offset, by pattern.
+
+    ``sequence`` is the plan's first.
+    """
     taken: dict[int, int] = {}
     rows: dict[int, list[tuple[int, int, int, int]]] = {}
-    sequence = 0
     for repeat, pattern in planned:
         offset = 0
         for length, times in sorted(pattern.items(), reverse=True):
@@ -178,7 +191,7 @@ def _places(planned: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[np.nda
 
 
 def pack(
-    docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID
+    docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID, by: Column | None = None
 ) -> DataFrame:
     """Pack all texts into sequences of at most ``window`` tokens: one row per piece.
 
@@ -187,20 +200,33 @@ def pack(
     Only the histogram of piece lengths (at most ``window`` rows) reaches the driver; a piece's
     place follows from its rank among those of its length, which is worked out in buckets.
 
+    With ``by``, a string column of ``docs`` with few values, a sequence holds pieces of one value only, there is
+    a histogram a value, and the value follows as ``part`` (empty where it is null).
+
     A null or empty text is the end id alone. A repeated row is packed as often as it occurs, a null
     doc_id stays null; other columns are ignored. No rows give no rows.
     """
-    pieces = written(cut(docs, window, tokenizer, end_id), "packing-pieces")
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = _places(plan(histogram, window))
+    parts = [] if by is None else ["part"]
+    pieces = written(cut(docs, window, tokenizer, end_id, by), "packing-pieces")
+    histograms: dict[str, dict[int, int]] = {}
+    for r in pieces.groupBy(*parts, "length").agg(F.count(F.lit(1)).alias("n")).collect():
+        histograms.setdefault(r["part"] if parts else "", {})[r["length"]] = r["n"]
+    places, sequences = {}, 0
+    for name in sorted(histograms):
+        planned = plan(histograms[name], window)
+        places |= {(name, k): place for k, place in _places(planned, sequences).items()}
+        sequences += sum(repeat for repeat, _ in planned)
 
     @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        lengths, ranks = length.to_numpy(), rank.to_numpy()
+    def place(*columns: pd.Series) -> pd.DataFrame:
+        lengths, ranks = columns[0].to_numpy(), columns[1].to_numpy()
+        codes, found = pd.factorize(columns[2]) if parts else (np.zeros(len(lengths), np.int64), [""])
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for k in np.unique(lengths):
-            rows = np.flatnonzero(lengths == k)
-            first, sequences, times, offsets = places[int(k)]
+        kinds = codes * (window + 1) + lengths
+        for kind in np.unique(kinds):
+            rows = np.flatnonzero(kinds == kind)
+            code, k = divmod(int(kind), window + 1)
+            first, sequences, times, offsets = places[found[code], k]
             at = np.searchsorted(first, ranks[rows], "right") - 1
             inside = ranks[rows] - first[at]
             sequence[rows] = sequences[at] + inside // times[at]
@@ -210,9 +236,9 @@ def pack(
     order = [F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     return (
-        ranked(pieces, ["length"], order, "_rank")
-        .withColumn("_place", place("length", "_rank"))
-        .select(*names, "_place.sequence_id", "_place.offset")
+        ranked(pieces, [*parts, "length"], order, "_rank")
+        .withColumn("_place", place("length", "_rank", *parts))
+        .select(*names, "_place.sequence_id", "_place.offset", *parts)
     )
 
 

@@ -1,6 +1,9 @@
 """The pipeline's stages on a driver table: columns, decisions and the last stage's pieces."""
 
+from collections import defaultdict
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 import brute
 
@@ -34,3 +37,30 @@ def test_language_stage_keeps_clean_rows(spark, sf_dir):
     named = "lang is not null and length(text) > 2"
     assert kept.where(named).groupBy("lang").count().collect() != []
     assert kept.where(named).count() == docs.where(named).count()
+
+
+def test_language_decides_sequences(spark, sf_dir):
+    """A wrong or missing declaration gives way to the identified language, and no sequence mixes languages."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang is not null and length(text) > 200")
+    wrong = [r["doc_id"] for r in table.where("lang = 'en'").orderBy("doc_id").limit(3).collect()]
+    at = F.col("doc_id").isin
+    lang = F.when(at(wrong[:1]), "de").when(at(wrong[1:2]), None).when(at(wrong[2:]), "en-GB").otherwise(F.col("lang"))
+    stages, true = dict(corpus_pipeline.STAGES), {r["doc_id"]: r["lang"] for r in table.collect()}
+    docs = stages["language_id"](spark, table.withColumn("lang", lang), sf_dir)
+    assert docs.columns == table.columns
+    found = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert found == true | {wrong[2]: "en-GB"}
+    pieces = stages["packing"](spark, docs, sf_dir).collect()
+    sequences = defaultdict(list)
+    for r in pieces:
+        assert r["part"] == true[r["doc_id"]]
+        sequences[r["sequence_id"]].append(r)
+    assert sorted(sequences) == list(range(len(sequences)))
+    for own in sequences.values():
+        assert len({r["part"] for r in own}) == 1
+        ends = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == ends
+            ends += r["length"]
+        assert ends <= 2048
+    assert {r["doc_id"] for r in pieces} == set(true) and docs.count() == table.count()
