@@ -2,7 +2,7 @@
 
 Ridge models come from additive moments of each account's blocks of weeks, logistic ones from a grouped
 Arrow call that fits every fold of an account; both give coefficients on the raw scale. All scoring is then a join and a dot product
-in the JVM. Forests and boosted trees are models of ``pyspark.ml``, grown by operators.trees over the rows of all
+in the JVM. Forests (grown by operators.trees) and boosted trees (by ``pyspark.ml``) are fitted over the rows of all
 accounts routed to them, as a tree ensemble per account would be one task's private work.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import model_family
 from ledgerloom.operators.matrix import walk_forward_folds
-from ledgerloom.operators.trees import grow_boosted, grow_forest
+from ledgerloom.operators.trees import grow_forest
 from ledgerloom.sources.io import written
 
 FINAL_FOLD = -1
@@ -404,6 +404,11 @@ def _vectors(rows: DataFrame, x: str) -> DataFrame:
     return rows.withColumn("_features", array_to_vector(F.col(x)))
 
 
+def _compact(train: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """Few rows in few partitions: boosting runs hundreds of short jobs over the same rows."""
+    return train.coalesce(max(1, -(-train.count() // rows_per_task)))
+
+
 def fit_forest(train: DataFrame, x: str = "x_pooled", trees: int = 100, depth: int = 5, seed: int = 42):
     """Random forest over the rows of all accounts routed to it."""
     forest = RandomForestRegressor(
@@ -422,7 +427,7 @@ def fit_boosted(
         featuresCol="_features", labelCol="y", predictionCol="yhat",
         maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed,
     )
-    return grow_boosted(train, x, boosted)
+    return boosted.fit(_vectors(_compact(train), x))
 
 
 def pooled_predictions(model, rows: DataFrame, x: str = "x_pooled") -> DataFrame:

@@ -1,10 +1,9 @@
-"""Forests and boosted trees from histograms of blocks of rows, which add up.
+"""Forests from histograms of blocks of rows, which add up.
 
-The trees are those of ``pyspark.ml`` (32 bins, variance, its rules for leaves, weights of rounds and
-candidate thresholds) and come back as its models. A level of all trees of an ensemble is one pass: each
-block sums count, response and its square per node, feature and bin, the sums of a forest's tree meet in a
-shuffle and its best splits are found there; boosting's one tree is summed on the driver, from a few
-partitions a core. What the driver holds is bounded by the parameters and the cluster. A block is a few columns of bytes and not an object a row.
+The trees are grown by the rules of ``pyspark.ml`` (32 bins, variance, its leaves and candidate thresholds)
+and come back as its model. A level of all trees is one pass: each block sums count, response and its
+square per node, feature and bin, the sums of a tree meet in a shuffle and its best splits are found there.
+Only splits reach the driver. A block is a few columns of bytes and not an object a row.
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel, TaskContext
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +24,6 @@ from ledgerloom.sources.io import scratch_path
 
 #: Rows a block, which stay in a core's cache while all trees pass over them.
 BLOCK_ROWS = 20_000
-#: Boosting rounds after which the rows' residuals are made from the stored rows again, to keep lineage short.
-ROUNDS_KEPT = 25
 #: Rows of a bootstrap sample by 16 random bits: the counts of Poisson's law with mean 1, to a 65,536th.
 _DRAWN = np.repeat(np.arange(9), np.diff(np.rint(
     65536 * np.append(np.cumsum(np.append(0.0, np.exp(-1) / np.cumprod(np.maximum(np.arange(8), 1)))), 1.0)
@@ -228,17 +223,13 @@ def _best(sums: np.ndarray, subset: np.ndarray, cuts: np.ndarray) -> tuple[np.nd
 
 
 def _grown(blocks: RDD, count: int, depth: int, slots: int, thresholds: list[np.ndarray], bins: int,
-           rng: np.random.Generator, seed: int | None) -> Trees:
-    """``count`` trees over the blocks, all of a level in one pass; a node sees ``slots`` features.
-
-    A single tree's nodes must see all, as the sums of the larger children come from those of their parents.
-    """
+           rng: np.random.Generator, seed: int) -> Trees:
+    """``count`` trees over the blocks, all of a level in one pass; a node sees ``slots`` features."""
     heap, cuts = 2 ** (depth + 1) - 1, np.array([len(t) for t in thresholds])
     trees = Trees(
         np.zeros((count, heap), np.int64), np.zeros((count, heap), np.int64),
         np.tile(np.repeat(np.arange(heap), 2), (count, 1)), np.zeros((count, heap)), np.zeros((count, heap, 3)),
     )
-    before = None
     for level in range(depth):
         first, nodes = 2 ** level - 1, 2 ** level
         every = np.tile(np.arange(len(cuts)), (count, nodes, 1))
@@ -248,25 +239,9 @@ def _grown(blocks: RDD, count: int, depth: int, slots: int, thresholds: list[np.
             wanted = np.repeat(trees.split()[:, (first - 1) // 2 : first], 2, axis=1)
         if not wanted.any():
             break
-        if count > 1:
-            sums = blocks.mapPartitions(
-                lambda own: _sums(own, trees, level, subsets, wanted, bins, seed, level == depth - 1))
-            found = sums.reduceByKey(np.add, min(count, blocks.context.defaultParallelism)).map(
-                lambda tree: (tree[0], _best(tree[1], subsets[tree[0]], cuts))).collect()
-        else:
-            # One tree's sums, a few from each core, are less than what a shuffle costs.
-            fewer = wanted
-            if before is not None:
-                # The larger child is what its parent has more than the smaller one.
-                rows = trees.stats[:, first : first + nodes, 0].reshape(count, -1, 2)
-                smaller = np.stack([rows[..., 0] <= rows[..., 1], rows[..., 0] > rows[..., 1]], axis=2)
-                fewer = wanted & smaller.reshape(count, -1)
-            sums = sum(part for _, part in blocks.mapPartitions(
-                lambda own: _sums(own, trees, level, subsets, fewer, bins, seed, True)).collect())
-            for i in np.flatnonzero(wanted[0] & ~fewer[0]):
-                sums[:, :, i] = before[:, :, i // 2] - sums[:, :, i ^ 1]
-            before = sums
-            found = [(0, _best(sums, subsets[0], cuts))]
+        sums = blocks.mapPartitions(lambda own: _sums(own, trees, level, subsets, wanted, bins, seed, level == depth - 1))
+        found = sums.reduceByKey(np.add, min(count, blocks.context.defaultParallelism)).map(
+            lambda tree: (tree[0], _best(tree[1], subsets[tree[0]], cuts))).collect()
         for t, (feature, cut, gain, left, total) in found:
             own = slice(first, first + nodes)
             met = total[:, :1] > 0
@@ -279,17 +254,7 @@ def _grown(blocks: RDD, count: int, depth: int, slots: int, thresholds: list[np.
     return trees
 
 
-def _residuals(block: tuple, steps: list[tuple[Trees, float, float]]) -> tuple:
-    """The block with each step's tree taken from its responses: (scale of y, share of the tree) a step."""
-    number, binned, y = block
-    rows, room = np.arange(len(y)), _Room(len(y))
-    for tree, scale, share in steps:
-        levels = int(np.log2(tree.feature.shape[1] + 1)) - 1
-        y = scale * y - share * tree.values()[0].take(room.walked(binned, rows, tree, 0, levels))
-    return number, binned, y
-
-
-# --- ensembles ------------------------------------------------------------------------------------
+# --- forests -------------------------------------------------------------------------------------
 
 def _ready(train: DataFrame, x: str, bins: int, seed: int, rows_per_task: int) -> tuple[list[np.ndarray], RDD]:
     """Candidate thresholds and blocks of the rows; unusable rows are an error, as in ``pyspark.ml``."""
@@ -313,45 +278,13 @@ def grow_forest(train: DataFrame, x: str, forest: RandomForestRegressor) -> Rand
         trees = _grown(blocks, count, forest.getMaxDepth(), slots, thresholds, bins, np.random.default_rng(seed), seed)
     finally:
         blocks.unpersist()
-    return _model(train.sparkSession, forest, RandomForestRegressionModel, trees, np.ones(count), thresholds)
-
-
-def grow_boosted(train: DataFrame, x: str, boosted: GBTRegressor) -> GBTRegressionModel:
-    """Boosted trees of the estimator's rounds, step, depth and bins.
-
-    As in ``pyspark.ml`` the first tree counts whole and later ones by the step; they are fitted to twice
-    the residual, the slope of the squared loss. A round's rows are made from those of the round before, and
-    every so many rounds from the training rows and all trees.
-    """
-    bins, rate = boosted.getMaxBins(), boosted.getStepSize()
-    thresholds, blocks = _ready(train, x, bins, boosted.getSeed(), 50_000)
-    rng = np.random.default_rng(boosted.getSeed())
-    steps: list[tuple[Trees, float, float]] = []
-    rows = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    before = None
-    try:
-        for k in range(boosted.getMaxIter()):
-            tree = _grown(rows, 1, boosted.getMaxDepth(), len(thresholds), thresholds, bins, rng, None)
-            steps.append((tree, 1.0, 2.0 * rate) if k else (tree, 2.0, 2.0))
-            if before is not None:
-                before.unpersist()
-            before, source, taken = rows, rows, steps[-1:]
-            if (k + 1) % ROUNDS_KEPT == 0:
-                source, taken = blocks, list(steps)
-            rows = source.map(lambda block, taken=taken: _residuals(block, taken)).persist(StorageLevel.MEMORY_AND_DISK)
-    finally:
-        for held in (before, rows):
-            if held is not None:
-                held.unpersist()
-    trees = Trees(*(np.concatenate(parts) for parts in zip(*(
-        (s.feature, s.cut, s.child, s.gain, s.stats) for s, _, _ in steps), strict=True)))
-    weights = np.append(1.0, np.full(len(steps) - 1, rate))
-    return _model(train.sparkSession, boosted, GBTRegressionModel, trees, weights, thresholds)
+    return _model(train.sparkSession, forest, trees, thresholds)
 
 
-def _model(spark: SparkSession, estimator, kind: type, trees: Trees, weights: np.ndarray, thresholds: list[np.ndarray]):
+def _model(spark: SparkSession, estimator: RandomForestRegressor, trees: Trees, thresholds: list[np.ndarray]):
     """The fitted ``pyspark.ml`` model, by its own reader, from a folder in the format of its writer."""
-    path = scratch_path(spark, "ensemble")
+    path = scratch_path(spark, "forest")
+    count = len(trees.feature)
     params = {p.name: v for p, v in estimator.extractParamMap().items()}
     single = {p.name for p in DecisionTreeRegressor().params}
 
@@ -361,14 +294,14 @@ def _model(spark: SparkSession, estimator, kind: type, trees: Trees, weights: np
             "sparkVersion": spark.version, "uid": uid, "paramMap": held, "defaultParamMap": {}, **more,
         })
 
-    about = metadata(kind.__name__, estimator.uid, params, numFeatures=len(thresholds), numTrees=len(weights))
+    about = metadata("RandomForestRegressionModel", estimator.uid, params, numFeatures=len(thresholds), numTrees=count)
     spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/metadata")
     own = {k: v for k, v in params.items() if k in single}
-    about = [(t, metadata("DecisionTreeRegressionModel", f"{estimator.uid}_{t}", own), float(w)) for t, w in enumerate(weights)]
+    about = [(t, metadata("DecisionTreeRegressionModel", f"{estimator.uid}_{t}", own), 1.0) for t in range(count)]
     spark.createDataFrame(about, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
-    nodes = [(t, node) for t in range(len(weights)) for node in _numbered(trees, t, thresholds)]
+    nodes = [(t, node) for t in range(count) for node in _numbered(trees, t, thresholds)]
     spark.createDataFrame(nodes, _NODES).coalesce(1).write.parquet(f"{path}/data")
-    return kind.load(path)
+    return RandomForestRegressionModel.load(path)
 
 
 def _numbered(trees: Trees, t: int, thresholds: list[np.ndarray]) -> list[tuple]:
