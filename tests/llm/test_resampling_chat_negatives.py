@@ -134,6 +134,21 @@ def test_rewriting_templates_are_found():
     assert not any(f[4] for f in chat.located(template, talk[:3]))
 
 
+def test_every_prefix_is_rendered_whole():
+    """A template may say what horizon it likes: each turn is found in the whole prefix that ends with it."""
+    lengths = []
+
+    def numbered(messages):
+        lengths.append(len(messages))
+        return "".join(f"<{len(messages) // 50}.{i}>" * (i == 0) + f"({r}:{t})" for i, (r, t) in enumerate(messages))
+
+    template = chat.Template(numbered, ("((", "))"), horizon=2)
+    found = list(chat.located(template, [("user", f"t{i}") for i in range(60)]))
+    assert sorted(lengths) == sorted([*range(1, 61), *range(1, 50), *range(1, 50)])
+    assert [f[4] for f in found] == [False] * 49 + [True] * 11
+    assert found[48][1:4] == (found[48][1], found[48][1] + 6, found[48][1] + 9)
+
+
 def test_template_that_drops_a_text():
     template = chat.Template(lambda m: "".join(f"<{r}>{t}" * (r != "hidden") for r, t in m), ("<user>", "<hidden>"))
     found = list(chat.located(template, [("user", "a"), ("hidden", "b"), ("user", "")]))
