@@ -2,7 +2,7 @@
 
 Ridge models come from additive moments of each account's blocks of weeks, logistic ones from a grouped
 Arrow call that fits every fold of an account; both give coefficients on the raw scale. All scoring is then a join and a dot product
-in the JVM. Forests (grown by operators.trees) and boosted trees (by ``pyspark.ml``) are fitted over the rows of all
+in the JVM. Forests (grown by operators.trees) and boosted trees (by operators.boosting) are fitted over the rows of all
 accounts routed to them, as a tree ensemble per account would be one task's private work.
 """
 
@@ -10,18 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import model_family
+from ledgerloom.operators.boosting import at_once, grow_boosted
 from ledgerloom.operators.matrix import walk_forward_folds
 from ledgerloom.operators.trees import grow_forest
 from ledgerloom.sources.io import written
@@ -405,7 +404,7 @@ def _vectors(rows: DataFrame, x: str) -> DataFrame:
 
 
 def _compact(train: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
-    """Few rows in few partitions: boosting runs hundreds of short jobs over the same rows."""
+    """Few rows in few partitions; which rows candidate thresholds are drawn from depends on them."""
     return train.coalesce(max(1, -(-train.count() // rows_per_task)))
 
 
@@ -423,11 +422,19 @@ def fit_boosted(
     seed: int = 42,
 ):
     """Gradient-boosted trees over the rows of all accounts routed to them."""
+    return fit_boosted_sets([train], x, rounds, rate, depth, seed)[0]
+
+
+def fit_boosted_sets(
+    trains: list[DataFrame], x: str = "x_pooled", rounds: int = 100, rate: float = 0.05, depth: int = 4,
+    seed: int = 42,
+) -> list:
+    """fit_boosted() of each set of rows; one job serves them all where they are large."""
     boosted = GBTRegressor(
         featuresCol="_features", labelCol="y", predictionCol="yhat",
         maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed,
     )
-    return boosted.fit(_vectors(_compact(train), x))
+    return grow_boosted([_compact(train) for train in trains], x, boosted)
 
 
 def pooled_predictions(model, rows: DataFrame, x: str = "x_pooled") -> DataFrame:
@@ -435,6 +442,8 @@ def pooled_predictions(model, rows: DataFrame, x: str = "x_pooled") -> DataFrame
 
 
 POOLED_FITS = {"rf": fit_forest, "lgbm": fit_boosted}
+#: Families whose models of several sets of rows are fitted together.
+SETS_FITS = {"lgbm": fit_boosted_sets}
 
 
 def routed(rows: DataFrame, family: str) -> DataFrame:
@@ -481,20 +490,18 @@ def pooled_fold_predictions(
     )
     tested = written(calendar_folds(mine, n_splits, test_size, min_rows=min_rows, grid_weeks=grid_weeks), "pooled-folds")
 
-    def scored(row) -> DataFrame | None:
-        train = mine.where(F.col("week") < F.lit(row["cut"]))
-        if train.isEmpty():
-            return None
-        model = POOLED_FITS[family](train, **parameters)
-        return pooled_predictions(model, tested.where(F.col("cut") == F.lit(row["cut"]))).drop("x_pooled", "week")
+    def fitted(trains: list[DataFrame]) -> list:
+        if family in SETS_FITS:
+            return SETS_FITS[family](trains, **parameters)
+        return at_once(matrix.sparkSession, lambda train: POOLED_FITS[family](train, **parameters), trains)
 
-    cuts = tested.select("cut").distinct().orderBy("cut").collect()
+    def scored(cut, model) -> DataFrame:
+        return pooled_predictions(model, tested.where(F.col("cut") == F.lit(cut))).drop("x_pooled", "week")
+
+    cuts = [r["cut"] for r in tested.select("cut").distinct().orderBy("cut").collect()]
+    first = mine.agg(F.min("week").alias("week")).first()["week"]
+    cuts = [cut for cut in cuts if cut is not None and first is not None and first < cut]
+    models = fitted([mine.where(F.col("week") < F.lit(cut)) for cut in cuts])
     none = tested.where("false").drop("x_pooled", "week").withColumn("yhat", F.lit(0.0))
-    found = [df for df in at_once(matrix.sparkSession, scored, cuts) if df is not None]
+    found = [scored(cut, model) for cut, model in zip(cuts, models, strict=True)]
     return reduce(DataFrame.unionByName, found, none).withColumn("model_name", F.lit(family))
-
-
-def at_once(spark: SparkSession, work: Callable, items: list, threads: int = 4) -> list:
-    """``work`` of each item, some at a time: a fit is a chain of jobs too short to fill a cluster."""
-    with ThreadPool(threads) as pool:
-        return pool.map(inheritable_thread_target(spark)(work), items)

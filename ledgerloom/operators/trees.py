@@ -39,13 +39,12 @@ _NODES = (
 
 # --- rows to blocks -------------------------------------------------------------------------------
 
-def _thresholds(values: np.ndarray, bins: int) -> np.ndarray:
+def thresholds_between(distinct: np.ndarray, counts: np.ndarray, rows: float, bins: int) -> np.ndarray:
     """Between all distinct values where they are few, else where as many rows lie between them."""
-    distinct, counts = np.unique(values, return_counts=True)
     middles = (distinct[:-1] + distinct[1:]) / 2.0
     if len(middles) < bins:
         return middles
-    stride = len(values) / bins
+    stride = rows / bins
     found, target = [], stride
     below = np.cumsum(counts)
     for i in range(1, len(distinct)):
@@ -63,11 +62,15 @@ def _candidates(train: DataFrame, x: str, n: int, bins: int, seed: int) -> list[
     wanted = max(bins * bins, 10_000)
     rows = train.select(x) if n <= wanted else train.select(x).sample(False, wanted / n, seed)
     values = np.array([r[0] for r in rows.collect()], dtype=float)
-    return [_thresholds(column, min(bins, n)) for column in values.T]
+    return [
+        thresholds_between(*np.unique(column, return_counts=True), len(column), min(bins, n)) for column in values.T
+    ]
 
 
-def _blocks(train: DataFrame, x: str, thresholds: list[np.ndarray], partitions: int) -> RDD:
-    """(number, bins of features by rows, responses) of some rows each; a number is a block's own."""
+def packed_blocks(
+    train: DataFrame, x: str, thresholds: list[np.ndarray], partitions: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(number, bins of features by rows, responses) of some rows each, as bytes; a number is a block's own."""
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         kept, rows = [], 0
@@ -87,16 +90,20 @@ def _blocks(train: DataFrame, x: str, thresholds: list[np.ndarray], partitions:
             wide = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
             kept.append((np.stack([np.searchsorted(t, v).astype(np.uint8) for t, v in zip(thresholds, wide.T, strict=True)]), y))
             rows += len(y)
-            if rows >= BLOCK_ROWS:
+            if rows >= block_rows:
                 yield block()
                 kept, rows, number = [], 0, number + 1
         if kept:
             yield block()
 
-    width = len(thresholds)
-    packed = train.select(F.col("y").cast("double"), x).coalesce(partitions).mapInArrow(
+    return train.select(F.col("y").cast("double"), x).coalesce(partitions).mapInArrow(
         binned, "number long, bins binary, y binary")
-    return packed.rdd.map(lambda r: (
+
+
+def _blocks(train: DataFrame, x: str, thresholds: list[np.ndarray], partitions: int) -> RDD:
+    """The blocks as arrays."""
+    width = len(thresholds)
+    return packed_blocks(train, x, thresholds, partitions).rdd.map(lambda r: (
         r["number"], np.frombuffer(r["bins"], np.uint8).reshape(width, -1), np.frombuffer(r["y"])))
 
 
@@ -121,6 +128,25 @@ class Trees:
     def values(self) -> np.ndarray:
         return self.stats[..., 1] / np.maximum(self.stats[..., 0], 1.0)
 
+    def take(self, t: int, level: int, gain: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, total: np.ndarray):
+        """The best splits of a level of tree ``t``, where their gain is above 0, and the statistics of its nodes met."""
+        first = 2 ** level - 1
+        own = slice(first, first + 2 ** level)
+        self.stats[t, own] = np.where(total[:, :1] > 0, total, self.stats[t, own])
+        for k in np.flatnonzero(gain > 0):
+            i = first + k
+            self.feature[t, i], self.cut[t, i], self.gain[t, i] = feature[k], cut[k], gain[k]
+            self.child[t, 2 * i : 2 * i + 2] = 2 * i + 1, 2 * i + 2
+            self.stats[t, 2 * i + 1], self.stats[t, 2 * i + 2] = left[k], total[k] - left[k]
+
+
+def empty_trees(count: int, depth: int) -> Trees:
+    heap = 2 ** (depth + 1) - 1
+    return Trees(
+        np.zeros((count, heap), np.int64), np.zeros((count, heap), np.int64),
+        np.tile(np.repeat(np.arange(heap), 2), (count, 1)), np.zeros((count, heap)), np.zeros((count, heap, 3)),
+    )
+
 
 class _Room:
     """Arrays used again for each tree and feature of a block: making them anew costs more than filling them."""
@@ -203,7 +229,7 @@ def _impurity(stats: np.ndarray) -> np.ndarray:
     return (stats[2] - stats[1] * stats[1] / count) / count
 
 
-def _best(sums: np.ndarray, subset: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+def best_splits(sums: np.ndarray, subset: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Feature, bin, gain and statistics, left and all, of each node's best split; a gain of 0 is none."""
     left = sums.cumsum(axis=3)
     total = left[:, 0, :, -1]
@@ -225,11 +251,7 @@ def _best(sums: np.ndarray, subset: np.ndarray, cuts: np.ndarray) -> tuple[np.nd
 def _grown(blocks: RDD, count: int, depth: int, slots: int, thresholds: list[np.ndarray], bins: int,
            rng: np.random.Generator, seed: int) -> Trees:
     """``count`` trees over the blocks, all of a level in one pass; a node sees ``slots`` features."""
-    heap, cuts = 2 ** (depth + 1) - 1, np.array([len(t) for t in thresholds])
-    trees = Trees(
-        np.zeros((count, heap), np.int64), np.zeros((count, heap), np.int64),
-        np.tile(np.repeat(np.arange(heap), 2), (count, 1)), np.zeros((count, heap)), np.zeros((count, heap, 3)),
-    )
+    cuts, trees = np.array([len(t) for t in thresholds]), empty_trees(count, depth)
     for level in range(depth):
         first, nodes = 2 ** level - 1, 2 ** level
         every = np.tile(np.arange(len(cuts)), (count, nodes, 1))
@@ -241,28 +263,27 @@ def _grown(blocks: RDD, count: int, depth: int, slots: int, thresholds: list[np.
             break
         sums = blocks.mapPartitions(lambda own: _sums(own, trees, level, subsets, wanted, bins, seed, level == depth - 1))
         found = sums.reduceByKey(np.add, min(count, blocks.context.defaultParallelism)).map(
-            lambda tree: (tree[0], _best(tree[1], subsets[tree[0]], cuts))).collect()
+            lambda tree: (tree[0], best_splits(tree[1], subsets[tree[0]], cuts))).collect()
         for t, (feature, cut, gain, left, total) in found:
-            own = slice(first, first + nodes)
-            met = total[:, :1] > 0
-            trees.stats[t, own] = np.where(met, total, trees.stats[t, own])
-            for k in np.flatnonzero(gain > 0):
-                i = first + k
-                trees.feature[t, i], trees.cut[t, i], trees.gain[t, i] = feature[k], cut[k], gain[k]
-                trees.child[t, 2 * i : 2 * i + 2] = 2 * i + 1, 2 * i + 2
-                trees.stats[t, 2 * i + 1], trees.stats[t, 2 * i + 2] = left[k], total[k] - left[k]
+            trees.take(t, level, gain, feature, cut, left, total)
     return trees
 
 
 # --- forests -------------------------------------------------------------------------------------
 
-def _ready(train: DataFrame, x: str, bins: int, seed: int, rows_per_task: int) -> tuple[list[np.ndarray], RDD]:
-    """Candidate thresholds and blocks of the rows; unusable rows are an error, as in ``pyspark.ml``."""
+def checked_rows(train: DataFrame, x: str) -> int:
+    """The number of rows; unusable rows, or none, are an error, as in ``pyspark.ml``."""
     odd = F.col("y").isNull() | F.isnan("y") | F.col(x).isNull() | F.exists(
         x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     n, bad = train.agg(F.count(F.lit(1)), F.count_if(odd)).first()
     if n == 0 or bad:
         raise ValueError(f"{bad} of {n} rows to train on have no finite response or features" if n else "no rows to train on")
+    return n
+
+
+def _ready(train: DataFrame, x: str, bins: int, seed: int, rows_per_task: int) -> tuple[list[np.ndarray], RDD]:
+    """Candidate thresholds and blocks of the rows."""
+    n = checked_rows(train, x)
     thresholds = _candidates(train, x, n, bins, seed)
     most = 4 * train.sparkSession.sparkContext.defaultParallelism
     return thresholds, _blocks(train, x, thresholds, max(1, min(most, -(-n // rows_per_task))))
@@ -278,12 +299,12 @@ def grow_forest(train: DataFrame, x: str, forest: RandomForestRegressor) -> Rand
         trees = _grown(blocks, count, forest.getMaxDepth(), slots, thresholds, bins, np.random.default_rng(seed), seed)
     finally:
         blocks.unpersist()
-    return _model(train.sparkSession, forest, trees, thresholds)
+    return saved_model(train.sparkSession, forest, RandomForestRegressionModel, trees, np.ones(count), thresholds)
 
 
-def _model(spark: SparkSession, estimator: RandomForestRegressor, trees: Trees, thresholds: list[np.ndarray]):
+def saved_model(spark: SparkSession, estimator, kind: type, trees: Trees, weights: np.ndarray, thresholds: list[np.ndarray]):
     """The fitted ``pyspark.ml`` model, by its own reader, from a folder in the format of its writer."""
-    path = scratch_path(spark, "forest")
+    path = scratch_path(spark, "ensemble")
     count = len(trees.feature)
     params = {p.name: v for p, v in estimator.extractParamMap().items()}
     single = {p.name for p in DecisionTreeRegressor().params}
@@ -294,14 +315,14 @@ def _model(spark: SparkSession, estimator: RandomForestRegressor, trees: Trees,
             "sparkVersion": spark.version, "uid": uid, "paramMap": held, "defaultParamMap": {}, **more,
         })
 
-    about = metadata("RandomForestRegressionModel", estimator.uid, params, numFeatures=len(thresholds), numTrees=count)
+    about = metadata(kind.__name__, estimator.uid, params, numFeatures=len(thresholds), numTrees=count)
     spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/metadata")
     own = {k: v for k, v in params.items() if k in single}
-    about = [(t, metadata("DecisionTreeRegressionModel", f"{estimator.uid}_{t}", own), 1.0) for t in range(count)]
+    about = [(t, metadata("DecisionTreeRegressionModel", f"{estimator.uid}_{t}", own), float(weights[t])) for t in range(count)]
     spark.createDataFrame(about, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     nodes = [(t, node) for t in range(count) for node in _numbered(trees, t, thresholds)]
     spark.createDataFrame(nodes, _NODES).coalesce(1).write.parquet(f"{path}/data")
-    return RandomForestRegressionModel.load(path)
+    return kind.load(path)
 
 
 def _numbered(trees: Trees, t: int, thresholds: list[np.ndarray]) -> list[tuple]:
